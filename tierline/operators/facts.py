@@ -43,5 +43,5 @@ def fact_rows(
         cond = cond & (dim["start_date"] <= t) & (dim["end_date"].isNull() | (t < dim["end_date"]))
         joined = incoming.join(dim, cond, "left")
     out = joined.select(F.col(key_col), *[F.col(c) for c in columns])
-    when = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    when = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
     return out.withColumn("created_at", when)

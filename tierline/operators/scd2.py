@@ -42,14 +42,19 @@ SCD_COLUMNS = ("hash_value", "start_date", "end_date", "is_current", "created_at
 class Scd2Result:
     state: DataFrame  # every version after the load
     changes: DataFrame  # business keys + change_type ('new' | 'changed') + new surrogate key
+    current: DataFrame  # the current rows after the load (one per key)
+    expired: DataFrame | None  # rows this load expired (None on a first load)
 
 
 def _ts(value) -> Column:
+    """``as_of`` as a zone-free timestamp (None: the session's local time now)."""
+    if value is None:
+        return F.localtimestamp()
     if isinstance(value, Column):
-        return value.cast("timestamp")
+        return value.cast("timestamp_ntz")
     if isinstance(value, str):
         value = dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp")
+    return F.lit(value).cast("timestamp_ntz")
 
 
 def dimension_columns(keys: Sequence[str], attrs: Sequence[str], key_col: str) -> list[str]:
@@ -63,7 +68,7 @@ def scd2_apply(
     attrs: Sequence[str],
     tracked: Sequence[str],
     order: Sequence[Column],
-    as_of,
+    as_of,  # None = now
     key_col: str,
     double_scale: int = 6,
 ) -> Scd2Result:
@@ -103,7 +108,8 @@ def scd2_apply(
     change_set = keyed.select(*keys, "change_type", key_col)
     out_cols = dimension_columns(keys, attrs, key_col)
     if current is None:
-        return Scd2Result(new_versions.select(*out_cols), change_set)
+        first = new_versions.select(*out_cols)
+        return Scd2Result(first, change_set, first, None)
 
     changed_keys = keyed.filter(F.col("change_type") == "changed").select(
         *keys, F.lit(True).alias("_tl_changed")
@@ -118,4 +124,5 @@ def scd2_apply(
     ).select(*out_cols)
     history = current.filter(~F.col("is_current")).select(*out_cols)
     state = history.unionByName(current_part).unionByName(new_versions.select(*out_cols))
-    return Scd2Result(state, change_set)
+    still_current = current_part.filter(F.col("is_current")).unionByName(new_versions.select(*out_cols))
+    return Scd2Result(state, change_set, still_current, current_part.filter(~F.col("is_current")))
