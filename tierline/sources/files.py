@@ -133,3 +133,12 @@ def write_source_files(
     if folder_by:
         writer = writer.partitionBy(folder_by)
     writer.save(path)
+
+
+def load_fixture(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A JSON (lines) or CSV (with header) fixture read with an explicit schema, by file suffix."""
+    if path.endswith(".json") or path.endswith(".jsonl"):
+        return spark.read.schema(schema).json(path)
+    if path.endswith(".csv"):
+        return spark.read.schema(schema).option("header", "true").csv(path)
+    raise ValueError(f"unsupported fixture type: {path}")

@@ -135,3 +135,9 @@ class DimensionStore(VersionedTable):
             )
         self._commit(v)
         return v
+
+
+def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for an append-only log folder: an empty parquet file with the schema."""
+    if not _exists(spark, path):
+        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)

@@ -102,8 +102,10 @@ def ingest_files(
 
     read_opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger",)}
     resolved = resolve_schema(spark, source, fmt, read_opts, schema, schema_location)
+    if isinstance(resolved, str):
+        resolved = T.StructType.fromDDL(resolved)
     if rescue_column and fmt in ("json", "xml"):
-        if isinstance(resolved, T.StructType) and rescue_column not in resolved.fieldNames():
+        if rescue_column not in resolved.fieldNames():
             resolved = T.StructType([*resolved.fields, T.StructField(rescue_column, T.StringType(), True)])
         opts["columnNameOfCorruptRecord"] = rescue_column
     stream = spark.readStream.format(fmt).schema(resolved).options(**opts).load(source)
@@ -168,3 +170,19 @@ def _ingest_csv(
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
     """The bronze table: all batches, schemas merged by name (new columns NULL in old files)."""
     return spark.read.option("mergeSchema", "true").parquet(target)
+
+
+def csv_stream(spark: SparkSession, path: str, schema_location: str, options: Mapping[str, str] | None = None) -> DataFrame:
+    """A streaming CSV DataFrame (header on) whose column names persist in ``schema_location``.
+
+    Names come from the stored schema, else from the headers of the files
+    present now (then stored). This is the plain reader for declared datasets;
+    it maps columns by position within one schema, so folders whose files may
+    differ in header should go through ``ingest_files(..., "csv")`` instead.
+    """
+    opts = {"header": "true", **{k: str(v) for k, v in (options or {}).items()}}
+    schema = load_schema(spark, schema_location)
+    if schema is None:
+        schema = infer_names(spark, path, "csv", opts)
+        save_schema(spark, schema, schema_location)
+    return spark.readStream.schema(schema).options(**opts).csv(path)
