@@ -4,10 +4,19 @@ Every run picks up only files not seen before (the checkpoint records them),
 writes them with lineage columns, and stops (``availableNow``). A rerun with
 no new files adds nothing.
 
-* JSON, XML, parquet, text: the stream reads with a schema that matches
-  columns by name. For JSON/XML the schema is the stored one widened by any
-  new column names (``addNewColumns``), persisted under ``schema_location``;
-  restarting on the same checkpoint with the wider schema is allowed.
+* JSON: new files stream in as text (one row per line, or per file with
+  ``multiLine``); each micro-batch parses its records as
+  ``map<string,string>`` (every top-level field as text, nested objects as
+  their JSON text), takes the batch's distinct field names, widens the stored
+  schema by new names (``addNewColumns``, persisted under
+  ``schema_location``) and projects the fields by name. One read of the new
+  files only; no inference pass over the folder. Malformed records keep their
+  raw text in the rescue column.
+* XML: the same file batches; names are inferred from the batch's own files
+  only (bounded by ``max_files_per_trigger``), widened and persisted, then
+  the files are read with the widened all-text schema.
+* parquet, text: the stream reads with the files' schema and writes through
+  the file sink.
 * CSV: a CSV reader maps columns by position, so files whose headers differ
   (added, missing or reordered columns) would be misread. The CSV stream
   therefore discovers new files as text; each micro-batch groups its files by
@@ -26,6 +35,7 @@ from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +109,8 @@ def ingest_files(
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     if fmt == "csv":
         return _ingest_csv(spark, source, target, checkpoint, opts, rescue_column)
+    if fmt in ("json", "xml"):
+        return _ingest_records(spark, source, target, checkpoint, fmt, opts, schema, schema_location, rescue_column)
 
     read_opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger",)}
     resolved = resolve_schema(spark, source, fmt, read_opts, schema, schema_location)
@@ -167,6 +179,119 @@ def _ingest_csv(
     return IngestResult(totals["rows"], totals["batches"])
 
 
+STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup", "maxFileAge", "latestFirst")
+
+
+def _as_struct(spark: SparkSession, schema: T.StructType | str | None) -> T.StructType | None:
+    if schema is None or isinstance(schema, T.StructType):
+        return schema
+    return T.StructType.fromDDL(schema)
+
+
+def _ingest_records(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    fmt: str,
+    opts: dict[str, str],
+    schema: T.StructType | str | None,
+    schema_location: str | None,
+    rescue_column: str | None,
+) -> IngestResult:
+    stream_opts = {k: v for k, v in opts.items() if k in STREAM_OPTIONS}
+    read_opts = {k: v for k, v in opts.items() if k not in STREAM_OPTIONS}
+    multi_line = fmt == "xml" or read_opts.get("multiLine", "false").lower() == "true"
+    fixed = _as_struct(spark, schema)
+    lines = (
+        spark.readStream.format("text")
+        .options(**stream_opts)
+        .option("wholetext", str(multi_line).lower())
+        .load(source)
+        .select("value", F.col("_metadata.file_path").alias("file_path"))
+    )
+    state = {"schema": fixed or (load_schema(spark, schema_location) if schema_location else None)}
+    totals = {"rows": 0, "batches": 0}
+
+    def evolve(names: list[str]) -> T.StructType:
+        if fixed is not None:
+            return fixed
+        seen = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        widened = widen(state["schema"], seen)
+        if widened != state["schema"]:
+            if schema_location:
+                save_schema(spark, widened, schema_location)
+            state["schema"] = widened
+        return widened
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        # The batch is bounded by max_files_per_trigger; keep it while it is read twice
+        # (names, then data). A lost executor just recomputes it from the batch's files.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if fmt == "json":
+                data = _json_batch(batch, multi_line, evolve, rescue_column)
+            else:
+                data = _xml_batch(batch, read_opts, evolve, rescue_column)
+            if data is None:
+                return
+            data = data.withColumn("ingestion_time", F.current_timestamp())
+            obs = Observation(f"bronze_rows_{batch_id}")
+            data.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                f"{target.rstrip('/')}/batch_id={batch_id}"
+            )
+            totals["rows"] += int(obs.get["n"])
+            totals["batches"] += 1
+        finally:
+            batch.unpersist()
+
+    query = (
+        lines.writeStream.foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return IngestResult(totals["rows"], totals["batches"])
+
+
+def _json_batch(batch: DataFrame, multi_line: bool, evolve, rescue_column: str | None) -> DataFrame | None:
+    text = F.col("value")
+    if multi_line:
+        as_list = F.when(
+            F.ltrim(text).startswith("["), F.from_json(text, "array<map<string,string>>")
+        ).otherwise(F.array(F.from_json(text, "map<string,string>")))
+        records = batch.select(F.explode(as_list).alias("m"), "value", "file_path")
+    else:
+        records = batch.filter(F.trim(text) != "").select(
+            F.from_json(text, "map<string,string>").alias("m"), "value", "file_path"
+        )
+    names = [r["k"] for r in records.select(F.explode(F.map_keys("m")).alias("k")).distinct().collect()]
+    if not names and records.isEmpty():
+        return None
+    schema = evolve(sorted(names))
+    cols = [F.col("m").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    if rescue_column:
+        cols.append(F.when(F.col("m").isNull(), F.col("value")).alias(rescue_column))
+    return records.select(*cols, "file_path")
+
+
+def _xml_batch(batch: DataFrame, read_opts: Mapping[str, str], evolve, rescue_column: str | None) -> DataFrame | None:
+    spark = batch.sparkSession
+    files = [r["file_path"] for r in batch.select("file_path").distinct().collect()]  # bounded per batch
+    if not files:
+        return None
+    inferred = spark.read.format("xml").options(**read_opts).load(files).schema
+    schema = evolve([f.name for f in inferred.fields if f.name != rescue_column])
+    opts = dict(read_opts)
+    full = schema
+    if rescue_column:
+        opts["columnNameOfCorruptRecord"] = rescue_column
+        full = T.StructType([*schema.fields, T.StructField(rescue_column, T.StringType(), True)])
+    data = spark.read.format("xml").options(**opts).schema(full).load(files)
+    return data.select(*[F.col(f"`{c}`") for c in full.fieldNames()], F.col("_metadata.file_path").alias("file_path"))
+
+
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
     """The bronze table: all batches, schemas merged by name (new columns NULL in old files)."""
     return spark.read.option("mergeSchema", "true").parquet(target)
