@@ -22,16 +22,28 @@ def anti_join_new(
     existing: DataFrame,
     keys: Sequence[str],
     null_safe: bool = True,
+    prefilter: bool = True,
 ) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``existing``.
 
     Keys compare null-safe by default (``<=>``): with plain ``=`` a NULL key
     part (an open ``end_date``) never matches and the row is loaded again.
-    Only the distinct keys of ``existing`` are shuffled (a partial aggregate
-    shrinks repeated keys map-side); a hot key on the incoming side is split by
-    AQE's skew-join handling, which covers left-anti joins.
+
+    ``existing`` is usually the whole loaded table and ``incoming`` one
+    increment. With ``prefilter`` the loaded keys are first semi-joined with
+    the increment's distinct keys; when the increment is small that join is a
+    broadcast hash join (planner/AQE size check), so the large table is
+    scanned but never shuffled, and the anti-join then runs against the few
+    keys that matched. A large increment falls back to sort-merge joins, no
+    worse than shuffling all loaded keys. A hot key on the incoming side is
+    split by AQE's skew-join handling, which covers left-anti joins.
     """
-    right = existing.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    cols = [F.col(f"`{k}`") for k in keys]
+    right = existing.select(*cols)
+    if prefilter:
+        inc_keys = incoming.select(*cols).distinct()
+        right = right.join(inc_keys, key_condition(right, inc_keys, keys, null_safe), "left_semi")
+    right = right.distinct()
     return incoming.join(right, key_condition(incoming, right, keys, null_safe), "left_anti")
 
 

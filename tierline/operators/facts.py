@@ -16,6 +16,7 @@ def fact_rows(
     columns: Sequence[str],
     created_at=None,
     point_in_time_col: str | None = None,
+    prefilter: bool = True,
 ) -> DataFrame:
     """``key_col`` + ``columns`` (+ ``created_at``) for every incoming row.
 
@@ -27,14 +28,23 @@ def fact_rows(
 
     The join is a plain equi-join: AQE turns it into a broadcast only when the
     dimension side is measured small at run time, and splits skewed fact keys.
+    With ``prefilter`` the dimension is first cut to the keys present in the
+    increment (a semi-join that broadcasts the increment's distinct keys when
+    they are few), so a small increment never shuffles a large dimension.
     Current keys must be unique (see ``quality.unique_current_keys``), otherwise
     fact rows multiply.
     """
+    wanted = incoming.select(*keys).distinct()
     if point_in_time_col is None:
         dim = dimension.filter(F.col("is_current")).select(*keys, key_col)
+        if prefilter:
+            dim = dim.join(wanted, list(keys), "left_semi")
         joined = incoming.join(dim, list(keys), "left")
     else:
-        dim = dimension.select(*[F.col(k).alias(f"_tl_d_{k}") for k in keys], key_col, "start_date", "end_date")
+        dim = dimension.select(*keys, key_col, "start_date", "end_date")
+        if prefilter:
+            dim = dim.join(wanted, list(keys), "left_semi")
+        dim = dim.select(*[F.col(k).alias(f"_tl_d_{k}") for k in keys], key_col, "start_date", "end_date")
         t = F.to_date(F.col(point_in_time_col))
         cond = None
         for k in keys:

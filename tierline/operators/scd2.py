@@ -81,8 +81,12 @@ def scd2_apply(
         changes = staged.withColumn("change_type", F.lit("new"))
         start = 0
     else:
-        cur = current.filter(F.col("is_current")).select(
-            *keys, F.col("hash_value").alias("_tl_cur_hash")
+        # Only current rows whose key is in the batch matter; the semi-join against the
+        # batch's keys is a broadcast when the batch is small, so the dimension is not shuffled.
+        cur = (
+            current.filter(F.col("is_current"))
+            .select(*keys, F.col("hash_value").alias("_tl_cur_hash"))
+            .join(staged.select(*keys), list(keys), "left_semi")
         )
         joined = staged.join(cur, list(keys), "left")
         changes = joined.filter(
