@@ -20,16 +20,19 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import hashlib
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.casting import ConformSpec
 from tierline.functions.text import render_template, row_text, xml_field
 from tierline.operators import conform as conform_ops
 from tierline.operators import dedup, enrich, facts, incremental, metadata, quality, runlog, scd2
+from tierline.sources.files import path_exists
 from tierline.sources.tables import DimensionStore, VersionedTable, append_rows, read_log
 from tierline.streaming.bronze import IngestResult, ingest_files, read_bronze
 
@@ -91,14 +94,26 @@ def _load_tag(parts: Sequence) -> str:
 def _bounds(
     spark: SparkSession, lake: Lake, pipeline: str, frames: Mapping[str, DataFrame], ts_col: str
 ) -> dict[str, tuple]:
-    """``{source: (lo, hi)}``: stored marks, and each source's current max (one aggregate per source)."""
+    """``{source: (lo, hi)}``: stored marks and each source's current maximum.
+
+    All maxima come from one job (one single-column aggregate per source, unioned);
+    the marks from another. Both results have one row per source.
+    """
     log = incremental.latest_marks(marks(spark, lake).filter(F.col("pipeline_name") == pipeline))
-    stored = {r["pipeline_destination"]: r["ingestion_time"] for r in log.collect()}  # one row per source
-    out = {}
+    stored = {r["pipeline_destination"]: r["ingestion_time"] for r in log.collect()}
+    maxima = None
     for name, df in frames.items():
-        hi = df.agg(F.max(ts_col).alias("m")).first()["m"]
-        out[name] = (stored.get(name), hi)
-    return out
+        part = df.agg(F.max(ts_col).alias("hi")).select(F.lit(name).alias("source"), "hi")
+        maxima = part if maxima is None else maxima.unionByName(part)
+    his = {r["source"]: r["hi"] for r in maxima.collect()} if maxima is not None else {}
+    return {name: (stored.get(name), his.get(name)) for name in frames}
+
+
+def _write_counted(df: DataFrame, path: str, name: str) -> int:
+    """Overwrite ``path`` with ``df`` and return the row count observed during the write."""
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return int(obs.get["n"])
 
 
 def _append_marks(spark: SparkSession, lake: Lake, pipeline: str, src: str, bounds: Mapping[str, tuple]) -> None:
@@ -177,7 +192,9 @@ def silver_job(
         rows = incremental.bounded(bronze[name], "ingestion_time", lo, hi).drop("batch_id", "_rescued_data")
         parts[name] = _flatten(rows, s)
     union = conform_ops.union_sources(parts, source_col="source")
-    union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time")
+    # The increment feeds two writes (silver and quarantine): keep it for the job's
+    # duration. A lost executor recomputes its part from the bounded bronze read.
+    union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
     valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=["file_path", "bronze_ingestion_time", "source"])
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
 
@@ -197,8 +214,7 @@ def silver_job(
         existing = spark.read.parquet(silver_path).filter(F.col("load") != F.lit(tag))
         new_rows = dedup.anti_join_new(unique, existing, keys)
     out = f"{silver_path}/load={tag}"
-    new_rows.write.mode("overwrite").parquet(out)
-    loaded = spark.read.parquet(out).count()
+    loaded = _write_counted(new_rows, out, f"silver_{table}_{tag}")
 
     rejects = quality.quarantine_rows(dups, f"silver.{table}", at=as_of)
     rejects = rejects.unionByName(quality.quarantine_rows(bad_casts, f"silver.{table}", at=as_of))
@@ -206,21 +222,19 @@ def silver_job(
         rejects = rejects.unionByName(
             quality.quarantine_rows(key_nulls.withColumn("reject_reason", F.lit("NULL key")), f"silver.{table}", at=as_of)
         )
-    rejects.write.mode("overwrite").parquet(f"{lake.system('rejects')}/table={table}/load={tag}")
-    n_rejected = spark.read.parquet(f"{lake.system('rejects')}/table={table}/load={tag}").count()
+    n_rejected = _write_counted(rejects, f"{lake.system('rejects')}/table={table}/load={tag}", f"rejects_{table}_{tag}")
     checks.append(
         quality.CheckResult("silver", table, "business_key_check", "PASS" if n_rejected == 0 else "FAIL", n_rejected,
                             f"{n_rejected} rows quarantined")
     )
     append_rows(quality.result_rows(spark, checks, as_of), lake.system("quality"))
     _append_marks(spark, lake, pipeline, "bronze", bounds)
+    union.unpersist()
     return SilverResult(loaded, n_rejected, checks)
 
 
 def _has(spark: SparkSession, path: str) -> bool:
-    from tierline.sources.tables import _exists
-
-    return _exists(spark, path)
+    return path_exists(spark, path)
 
 
 # ------------------------------------------------------------------ gold
@@ -273,10 +287,9 @@ def fact_job(
     incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
     dimension = DimensionStore(spark, lake.layer("gold", dim)).current()
     rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of)
-    out = f"{lake.layer('gold', fact)}/load={_load_tag([lo])}"
-    rows.write.mode("overwrite").parquet(out)
+    n = _write_counted(rows, f"{lake.layer('gold', fact)}/load={_load_tag([lo])}", f"fact_{fact}")
     _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
-    return spark.read.parquet(out).count()
+    return n
 
 
 # ------------------------------------------------------------------ metadata-driven (C7–C9)

@@ -11,11 +11,12 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from tierline.plans.catalog import QUERIES
 
     out = dict(QUERIES)
-    try:
-        from tierline.plans.streams import STREAM_QUERIES
-    except ImportError:
-        STREAM_QUERIES = {}
+    from tierline.plans.streams import STREAM_QUERIES
+
     out.update(STREAM_QUERIES)
+    from tierline.plans.lake import LAKE_QUERIES
+
+    out.update(LAKE_QUERIES)
     return out
 
 
@@ -23,9 +24,10 @@ def all_oracles() -> dict[str, str]:
     from tierline.plans.oracle import ORACLE
 
     out = dict(ORACLE)
-    try:
-        from tierline.plans.streams import STREAM_ORACLE
-    except ImportError:
-        STREAM_ORACLE = {}
+    from tierline.plans.streams import STREAM_ORACLE
+
     out.update(STREAM_ORACLE)
+    from tierline.plans.lake import LAKE_ORACLE
+
+    out.update(LAKE_ORACLE)
     return out

@@ -6,6 +6,7 @@ Bronze keeps every source column as text; types are applied in silver.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,12 +54,19 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
     spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(location)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the session's Hadoop file system (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(location).first()
-    except Exception:  # noqa: BLE001 - no schema stored yet
+    if not path_exists(spark, location):
         return None
-    return None if row is None else T.StructType.fromJson(__import__("json").loads(row["value"]))
+    row = spark.read.text(location).first()
+    return None if row is None else T.StructType.fromJson(json.loads(row["value"]))
 
 
 def infer_names(spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None = None) -> T.StructType:

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.sources.files import path_exists
+
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
@@ -31,11 +33,7 @@ COMMIT_SCHEMA = T.StructType(
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+_exists = path_exists
 
 
 def append_rows(df: DataFrame, path: str) -> None:

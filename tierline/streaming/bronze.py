@@ -31,6 +31,7 @@ processed as several batches of bounded size rather than one.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -162,11 +163,7 @@ def _ingest_csv(
             groups[r["header"]].append(r["file_path"])
         data = read_csv_groups(batch.sparkSession, groups, csv_opts, sep)
         data = data.withColumn("ingestion_time", F.current_timestamp())
-        obs = Observation(f"bronze_rows_{batch_id}")
-        data.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{target.rstrip('/')}/batch_id={batch_id}"
-        )
-        totals["rows"] += int(obs.get["n"])
+        totals["rows"] += _write_batch(data, target, batch_id)
         totals["batches"] += 1
 
     query = (
@@ -236,11 +233,7 @@ def _ingest_records(
             if data is None:
                 return
             data = data.withColumn("ingestion_time", F.current_timestamp())
-            obs = Observation(f"bronze_rows_{batch_id}")
-            data.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-                f"{target.rstrip('/')}/batch_id={batch_id}"
-            )
-            totals["rows"] += int(obs.get["n"])
+            totals["rows"] += _write_batch(data, target, batch_id)
             totals["batches"] += 1
         finally:
             batch.unpersist()
@@ -292,8 +285,36 @@ def _xml_batch(batch: DataFrame, read_opts: Mapping[str, str], evolve, rescue_co
     return data.select(*[F.col(f"`{c}`") for c in full.fieldNames()], F.col("_metadata.file_path").alias("file_path"))
 
 
+def bronze_schema_path(target: str) -> str:
+    """The bronze folder's own schema (a ``_``-folder, which Spark's readers skip)."""
+    return f"{target.rstrip('/')}/_schema"
+
+
+def _write_batch(data: DataFrame, target: str, batch_id: int) -> int:
+    """Write one micro-batch to ``batch_id=N`` (overwrite: a replay replaces itself), widen the
+    folder's recorded schema by any new column, and return the rows written."""
+    spark = data.sparkSession
+    obs = Observation(f"bronze_rows_{batch_id}_{uuid.uuid4().hex[:8]}")
+    data.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+        f"{target.rstrip('/')}/batch_id={batch_id}"
+    )
+    stored = load_schema(spark, bronze_schema_path(target))
+    widened = widen(stored, data.schema)
+    if widened != stored:
+        save_schema(spark, widened, bronze_schema_path(target))
+    return int(obs.get["n"])
+
+
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
-    """The bronze table: all batches, schemas merged by name (new columns NULL in old files)."""
+    """The bronze table: all batches by column name (columns a batch lacks are NULL).
+
+    Batch folders read with the folder's recorded schema, so no footer of any
+    file is opened to plan the read; folders written by the file sink fall back
+    to merging the file schemas.
+    """
+    schema = load_schema(spark, bronze_schema_path(target))
+    if schema is not None:
+        return spark.read.schema(schema).parquet(target)
     return spark.read.option("mergeSchema", "true").parquet(target)
 
 
