@@ -49,11 +49,6 @@ def new_marks(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def combined_mark(marks: DataFrame, mark_col: str = "new_mark") -> Column:
-    """The reference-style single mark over several sources: ``greatest`` skips NULLs."""
-    return F.max(mark_col)
-
-
 def latest_marks(
     log: DataFrame,
     keys: Sequence[str] = ("pipeline_name", "pipeline_destination"),

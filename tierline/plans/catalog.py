@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.hashing import row_hash
-from tierline.functions.text import render_template, xml_field
+from tierline.functions.text import render_template
 from tierline.operators import conform as conform_ops
 from tierline.operators import dedup, enrich, facts, incremental, keys, metadata, quality, runlog, scd2
 from tierline.functions.casting import conform

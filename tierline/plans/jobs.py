@@ -17,8 +17,11 @@ Incremental contract of every silver/gold job:
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import functools
+import logging
+import time
 import hashlib
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -37,10 +40,21 @@ from tierline.sources.tables import DimensionStore, VersionedTable, append_rows,
 from tierline.streaming.bronze import IngestResult, ingest_files, read_bronze
 
 
+log = logging.getLogger("tierline.jobs")
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+@contextlib.contextmanager
+def _step(name: str):
+    """Log how long a step of a job took (DEBUG level)."""
+    t0 = time.perf_counter()
+    yield
+    log.debug("%s: %.2fs", name, time.perf_counter() - t0)
+
+
 @dataclass
 class Lake:
     root: str
@@ -88,7 +102,9 @@ def marks(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def _load_tag(parts: Sequence) -> str:
-    return hashlib.sha1(repr(tuple(parts)).encode()).hexdigest()[:16]
+    """Folder tag of a load, from the marks it starts at (a letter first, so partition
+    discovery always reads it as text)."""
+    return "m" + hashlib.sha1(repr(tuple(parts)).encode()).hexdigest()[:16]
 
 
 def _bounds(
@@ -184,8 +200,10 @@ def silver_job(
     """Bronze sources → typed, de-duplicated silver rows (C2/C3)."""
     as_of = as_of or _now()
     pipeline = f"silver.{table}"
-    bronze = {name: read_bronze(spark, s.bronze_path) for name, s in sources.items()}
-    bounds = _bounds(spark, lake, pipeline, bronze, "ingestion_time")
+    with _step(f"{pipeline}: read bronze"):
+        bronze = {name: read_bronze(spark, s.bronze_path) for name, s in sources.items()}
+    with _step(f"{pipeline}: bounds"):
+        bounds = _bounds(spark, lake, pipeline, bronze, "ingestion_time")
     parts = {}
     for name, s in sources.items():
         lo, hi = bounds[name]
@@ -209,12 +227,13 @@ def silver_job(
     tag = _load_tag([bounds[n][0] for n in sorted(bounds)])
     silver_path = lake.layer("silver", table)
     new_rows = unique
-    if _has(spark, silver_path):
+    if _has(spark, silver_path):  # noqa: SIM102
         # Rows already loaded, except this load's own folder (a rerun rewrites it).
         existing = spark.read.parquet(silver_path).filter(F.col("load") != F.lit(tag))
         new_rows = dedup.anti_join_new(unique, existing, keys)
     out = f"{silver_path}/load={tag}"
-    loaded = _write_counted(new_rows, out, f"silver_{table}_{tag}")
+    with _step(f"{pipeline}: write silver"):
+        loaded = _write_counted(new_rows, out, f"silver_{table}_{tag}")
 
     rejects = quality.quarantine_rows(dups, f"silver.{table}", at=as_of)
     rejects = rejects.unionByName(quality.quarantine_rows(bad_casts, f"silver.{table}", at=as_of))
@@ -222,13 +241,17 @@ def silver_job(
         rejects = rejects.unionByName(
             quality.quarantine_rows(key_nulls.withColumn("reject_reason", F.lit("NULL key")), f"silver.{table}", at=as_of)
         )
-    n_rejected = _write_counted(rejects, f"{lake.system('rejects')}/table={table}/load={tag}", f"rejects_{table}_{tag}")
+    with _step(f"{pipeline}: write rejects"):
+        n_rejected = _write_counted(
+            rejects, f"{lake.system('rejects')}/table={table}/load={tag}", f"rejects_{table}_{tag}"
+        )
     checks.append(
         quality.CheckResult("silver", table, "business_key_check", "PASS" if n_rejected == 0 else "FAIL", n_rejected,
                             f"{n_rejected} rows quarantined")
     )
-    append_rows(quality.result_rows(spark, checks, as_of), lake.system("quality"))
-    _append_marks(spark, lake, pipeline, "bronze", bounds)
+    with _step(f"{pipeline}: logs and marks"):
+        append_rows(quality.result_rows(spark, checks, as_of), lake.system("quality"))
+        _append_marks(spark, lake, pipeline, "bronze", bounds)
     union.unpersist()
     return SilverResult(loaded, n_rejected, checks)
 
@@ -260,10 +283,13 @@ def dimension_job(
     lo, hi = bounds[silver_table]
     incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
     store = DimensionStore(spark, lake.layer("gold", dim))
-    current = store.read() if store.exists() else None
-    result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col)
-    store.write_load(result.current, result.expired)
-    _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
+    with _step(f"{pipeline}: apply"):
+        current = store.read() if store.exists() else None
+        result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col)
+    with _step(f"{pipeline}: write"):
+        store.write_load(result.current, result.expired)
+    with _step(f"{pipeline}: marks"):
+        _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
     return result
 
 

@@ -50,12 +50,6 @@ def folder_of(key: str) -> F.Column:
     return F.regexp_extract(F.col("file_path"), rf"{key}=([^/]+)/", 1)
 
 
-def bronze_customers(bronze: DataFrame) -> DataFrame:
-    return conform(bronze, CUSTOMER_TEXT_SPEC).withColumn("source_dir", folder_of("seg")).select(
-        *[dst for _, dst, _ in CUSTOMER_TEXT_SPEC], "source_dir"
-    ) if "file_path" in bronze.columns else conform(bronze, CUSTOMER_TEXT_SPEC)
-
-
 def _bronze_customers(spark: SparkSession, d: Dirs) -> DataFrame:
     bronze = read_bronze(spark, d.bronze)
     typed = conform(bronze, CUSTOMER_TEXT_SPEC, keep=["file_path"])
