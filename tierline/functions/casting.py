@@ -10,10 +10,12 @@ routed to quarantine.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ConformSpec = Sequence[tuple[str, str, str]]
 
@@ -68,3 +70,27 @@ def cast_failures(spec: ConformSpec, raw_prefix: str = "") -> Column:
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def ntz_literal(value) -> Column:
+    """A zone-free timestamp from a Column, an ISO string or a datetime.
+
+    A Python ``datetime`` goes through its ISO text, so the value does not
+    depend on the Python process's or the session's time zone.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
+    return F.lit(value).cast("timestamp_ntz")
+
+
+def literal_like(value, dtype: T.DataType) -> Column:
+    """``value`` as a literal of a column's type (zone-free columns get zone-free literals)."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_literal(value)
+    return F.lit(value)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierline.functions.casting import ntz_literal
+
 
 def fact_rows(
     incoming: DataFrame,
@@ -53,5 +55,5 @@ def fact_rows(
         cond = cond & (dim["start_date"] <= t) & (dim["end_date"].isNull() | (t < dim["end_date"]))
         joined = incoming.join(dim, cond, "left")
     out = joined.select(F.col(key_col), *[F.col(c) for c in columns])
-    when = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
+    when = F.localtimestamp() if created_at is None else ntz_literal(created_at)
     return out.withColumn("created_at", when)

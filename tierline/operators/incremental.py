@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.functions.casting import literal_like
+
 MARK_SCHEMA = T.StructType(
     [
         T.StructField("pipeline_name", T.StringType(), False),
@@ -34,11 +36,12 @@ MARK_SCHEMA = T.StructType(
 
 def bounded(df: DataFrame, ts_col: str, lo=None, hi=None) -> DataFrame:
     """Rows with ``lo < ts <= hi`` (either bound may be None). Pushed to the scan."""
+    dtype = df.schema[ts_col].dataType
     cond: Column | None = None
     if lo is not None:
-        cond = F.col(ts_col) > F.lit(lo)
+        cond = F.col(ts_col) > literal_like(lo, dtype)
     if hi is not None:
-        upper = F.col(ts_col) <= F.lit(hi)
+        upper = F.col(ts_col) <= literal_like(hi, dtype)
         cond = upper if cond is None else cond & upper
     return df if cond is None else df.filter(cond)
 

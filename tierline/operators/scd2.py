@@ -24,13 +24,13 @@ Semantics:
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.functions.casting import ntz_literal
 from tierline.functions.hashing import row_hash
 from tierline.operators.dedup import latest_per_key
 from tierline.operators.keys import assign_keys, max_key
@@ -48,13 +48,7 @@ class Scd2Result:
 
 def _ts(value) -> Column:
     """``as_of`` as a zone-free timestamp (None: the session's local time now)."""
-    if value is None:
-        return F.localtimestamp()
-    if isinstance(value, Column):
-        return value.cast("timestamp_ntz")
-    if isinstance(value, str):
-        value = dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp_ntz")
+    return F.localtimestamp() if value is None else ntz_literal(value)
 
 
 def dimension_columns(keys: Sequence[str], attrs: Sequence[str], key_col: str) -> list[str]:

@@ -212,7 +212,8 @@ def mark_log(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("pipeline_name"),
         F.lit("events").alias("pipeline_src"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("pipeline_destination"),
-        F.date_trunc("hour", F.col("ts")).alias("ingestion_time"),
+        # date_trunc returns a zoned timestamp; cast back so the mark stays zone-free like ts.
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("ingestion_time"),
         F.col("ts").alias("updated_at"),
     )
 
