@@ -127,6 +127,14 @@ def test_layers_end_to_end(spark, workdir):
     assert silver3.loaded == 0 and fact3 == 0
     assert DimensionStore(spark, lake.layer("gold", "dim_employee")).current().count() == 4
 
+    # Marks never move backwards: every source's mark rows increase with each load.
+    marks = sorted(jobs.marks(spark, lake).collect(), key=lambda r: r.updated_at)
+    last = {}
+    for m in marks:
+        key = (m.pipeline_name, m.pipeline_destination)
+        assert key not in last or m.ingestion_time > last[key]
+        last[key] = m.ingestion_time
+
     runs = jobs.run_states(spark, lake)
     assert {r.status for r in runs.collect()} == {"SUCCESS"}
     assert runs.count() == 9

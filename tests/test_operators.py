@@ -242,3 +242,14 @@ def test_conform_projection(spark):
     df = spark.createDataFrame([("7", "x")], "Employee_id string, Name string")
     out = conform(df, [("Employee_id", "employee_id", "int"), ("Name", "name", "string")])
     assert out.dtypes == [("employee_id", "int"), ("name", "string")]
+
+
+def test_expect_table(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    quality.expect_table(df, "t", ["name"], ["id"])
+    with pytest.raises(quality.QualityError, match="missing"):
+        quality.expect_table(df, "t", ["file_path"])
+    with pytest.raises(quality.QualityError, match="repeated"):
+        quality.expect_table(df.unionByName(df), "t", keys=["id"])
+    with pytest.raises(quality.QualityError, match="no rows"):
+        quality.expect_table(df.limit(0), "t", keys=["id"])

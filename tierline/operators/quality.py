@@ -194,3 +194,27 @@ def unique_current_keys(dim: DataFrame, keys: Sequence[str], current_col: str =
         .agg(F.count(F.lit(1)).alias("current_rows"))
         .filter(F.col("current_rows") > 1)
     )
+
+
+def expect_table(df: DataFrame, name: str, required: Sequence[str] = (), keys: Sequence[str] = ()) -> None:
+    """Raise ``QualityError`` unless the table has rows, the required columns and unique ``keys``.
+
+    Rows and repeated keys come from one aggregate over the table.
+    """
+    missing = missing_columns(df, [*required, *keys])
+    if missing:
+        raise QualityError(f"{name}: missing columns {missing}")
+    if keys:
+        row = (
+            df.groupBy(*[F.col(f"`{k}`") for k in keys])
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(F.col("_n") > 1).alias("dups"))
+            .first()
+        )
+        rows, dups = int(row["rows"]), int(row["dups"])
+    else:
+        rows, dups = (0 if df.isEmpty() else 1), 0
+    if rows == 0:
+        raise QualityError(f"{name}: no rows")
+    if dups:
+        raise QualityError(f"{name}: {dups} repeated keys {list(keys)}")

@@ -312,6 +312,10 @@ def fact_job(
     lo, hi = bounds[silver_table]
     incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
     dimension = DimensionStore(spark, lake.layer("gold", dim)).current()
+    # Several current rows for one key would multiply fact rows: check the keys this load touches.
+    touched = dimension.join(incoming.select(*keys).distinct(), list(keys), "left_semi")
+    if not quality.unique_current_keys(touched, keys).isEmpty():
+        raise quality.QualityError(f"{dim}: business keys with more than one current row")
     rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of)
     n = _write_counted(rows, f"{lake.layer('gold', fact)}/load={_load_tag([lo])}", f"fact_{fact}")
     _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
