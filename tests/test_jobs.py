@@ -122,10 +122,14 @@ def test_layers_end_to_end(spark, workdir):
     assert got == [(1, 50000.0, 10, False, 1), (1, 52000.0, 20, True, 4), (5, 55000.0, 30, True, 2),
                    (6, 65000.0, 40, True, 3), (7, 40000.0, 10, True, 5)]
 
-    # Third run with no new files: nothing loads, marks and anti-join hold.
+    # Third run with no new files: nothing loads, marks and anti-join hold, and the
+    # dimension gets no new version.
+    store = DimensionStore(spark, lake.layer("gold", "dim_employee"))
+    version_before = store.latest_version()
     silver3, fact3 = run_all_layers(spark, lake, src, dt.datetime(2024, 3, 1))
     assert silver3.loaded == 0 and fact3 == 0
-    assert DimensionStore(spark, lake.layer("gold", "dim_employee")).current().count() == 4
+    assert store.latest_version() == version_before
+    assert store.current().count() == 4
 
     # Marks never move backwards: every source's mark rows increase with each load.
     marks = sorted(jobs.marks(spark, lake).collect(), key=lambda r: r.updated_at)

@@ -286,8 +286,11 @@ def dimension_job(
     with _step(f"{pipeline}: apply"):
         current = store.read() if store.exists() else None
         result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col)
-    with _step(f"{pipeline}: write"):
-        store.write_load(result.current, result.expired)
+    # No new or changed key: nothing to rewrite (the change set is already materialised,
+    # so this check is cheap); the mark still advances.
+    if current is None or not result.changes.isEmpty():
+        with _step(f"{pipeline}: write"):
+            store.write_load(result.current, result.expired)
     with _step(f"{pipeline}: marks"):
         _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
     return result

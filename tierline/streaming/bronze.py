@@ -152,6 +152,7 @@ def _ingest_csv(
         )
     )
     totals = {"rows": 0, "batches": 0}
+    recorded: dict = {}
     sep = csv_opts.get("sep", csv_opts.get("delimiter", ","))
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -163,7 +164,7 @@ def _ingest_csv(
             groups[r["header"]].append(r["file_path"])
         data = read_csv_groups(batch.sparkSession, groups, csv_opts, sep)
         data = data.withColumn("ingestion_time", F.current_timestamp())
-        totals["rows"] += _write_batch(data, target, batch_id)
+        totals["rows"] += _write_batch(data, target, batch_id, recorded)
         totals["batches"] += 1
 
     query = (
@@ -209,6 +210,7 @@ def _ingest_records(
     )
     state = {"schema": fixed or (load_schema(spark, schema_location) if schema_location else None)}
     totals = {"rows": 0, "batches": 0}
+    recorded: dict = {}
 
     def evolve(names: list[str]) -> T.StructType:
         if fixed is not None:
@@ -233,7 +235,7 @@ def _ingest_records(
             if data is None:
                 return
             data = data.withColumn("ingestion_time", F.current_timestamp())
-            totals["rows"] += _write_batch(data, target, batch_id)
+            totals["rows"] += _write_batch(data, target, batch_id, recorded)
             totals["batches"] += 1
         finally:
             batch.unpersist()
@@ -290,18 +292,23 @@ def bronze_schema_path(target: str) -> str:
     return f"{target.rstrip('/')}/_schema"
 
 
-def _write_batch(data: DataFrame, target: str, batch_id: int) -> int:
+def _write_batch(data: DataFrame, target: str, batch_id: int, recorded: dict) -> int:
     """Write one micro-batch to ``batch_id=N`` (overwrite: a replay replaces itself), widen the
-    folder's recorded schema by any new column, and return the rows written."""
+    folder's recorded schema by any new column, and return the rows written.
+
+    ``recorded`` caches the folder's schema for the run (read once, written on change).
+    """
     spark = data.sparkSession
     obs = Observation(f"bronze_rows_{batch_id}_{uuid.uuid4().hex[:8]}")
     data.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
         f"{target.rstrip('/')}/batch_id={batch_id}"
     )
-    stored = load_schema(spark, bronze_schema_path(target))
-    widened = widen(stored, data.schema)
-    if widened != stored:
+    if "schema" not in recorded:
+        recorded["schema"] = load_schema(spark, bronze_schema_path(target))
+    widened = widen(recorded["schema"], data.schema)
+    if widened != recorded["schema"]:
         save_schema(spark, widened, bronze_schema_path(target))
+        recorded["schema"] = widened
     return int(obs.get["n"])
 
 
