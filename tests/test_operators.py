@@ -253,3 +253,18 @@ def test_expect_table(spark):
         quality.expect_table(df.unionByName(df), "t", keys=["id"])
     with pytest.raises(quality.QualityError, match="no rows"):
         quality.expect_table(df.limit(0), "t", keys=["id"])
+
+
+def test_assign_keys_with_coalesced_range_partitions(spark):
+    # Many more shuffle partitions than the data needs: AQE coalesces the range partitions.
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(0, 200000).select(((F.col("id") * 7919) % 200003).alias("v")).repartition(13)
+        out = keys.assign_keys(df, ["v"], "k")
+        from pyspark.sql import Window
+
+        ranked = out.withColumn("r", F.row_number().over(Window.orderBy("v")))  # test-only global rank
+        assert ranked.filter(F.col("r") != F.col("k")).count() == 0
+        assert out.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first() == (1, 200000, 200000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -39,11 +39,12 @@ def assign_keys(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(f"`{c}`") for c in order_cols]
+    # Without a fixed count AQE sizes the range partitions (coalescing keeps them
+    # contiguous ranges, so the global order holds across partitions).
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     positioned = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_tl_pid", F.spark_partition_id())
         .withColumn("_tl_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
