@@ -65,6 +65,7 @@ def scd2_apply(
     as_of,  # None = now
     key_col: str,
     double_scale: int = 6,
+    start_key: int | None = None,
 ) -> Scd2Result:
     as_of_ts = _ts(as_of)
     as_of_date = F.to_date(as_of_ts)
@@ -89,7 +90,9 @@ def scd2_apply(
             *staged.columns,
             F.when(F.col("_tl_cur_hash").isNull(), F.lit("new")).otherwise(F.lit("changed")).alias("change_type"),
         )
-        start = max_key(current, key_col)
+        # The largest key handed out so far: given by the caller (a store keeps it with
+        # each commit), else one scan of the key column.
+        start = max_key(current, key_col) if start_key is None else start_key
 
     keyed = assign_keys(changes, list(keys), key_col, start=start)
     new_versions = keyed.select(

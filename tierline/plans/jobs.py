@@ -285,12 +285,15 @@ def dimension_job(
     store = DimensionStore(spark, lake.layer("gold", dim))
     with _step(f"{pipeline}: apply"):
         current = store.read() if store.exists() else None
-        result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col)
+        start = store.committed_max_key() if current is not None else 0
+        result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col, start_key=start)
     # No new or changed key: nothing to rewrite (the change set is already materialised,
     # so this check is cheap); the mark still advances.
     if current is None or not result.changes.isEmpty():
         with _step(f"{pipeline}: write"):
-            store.write_load(result.current, result.expired)
+            new_max = result.changes.agg(F.max(key_col).alias("m")).first()["m"]
+            top = max(v for v in (start, new_max) if v is not None) if (start or new_max) else None
+            store.write_load(result.current, result.expired, max_key=top)
     with _step(f"{pipeline}: marks"):
         _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
     return result

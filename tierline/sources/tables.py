@@ -29,6 +29,7 @@ COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
         T.StructField("committed_at", T.TimestampType(), False),
+        T.StructField("max_key", T.LongType(), True),
     ]
 )
 
@@ -65,7 +66,7 @@ class VersionedTable:
     def latest_version(self) -> int | None:
         if not _exists(self.spark, self._log):
             return None
-        row = self.spark.read.parquet(self._log).agg(F.max("version").alias("v")).first()
+        row = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log).agg(F.max("version").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
     def path(self, version: int) -> str:
@@ -77,9 +78,20 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version in {self.base}")
         return self.spark.read.parquet(self.path(v))
 
-    def _commit(self, version: int) -> None:
+    def _commit(self, version: int, max_key: int | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        append_rows(self.spark.createDataFrame([(version, now)], COMMIT_SCHEMA), self._log)
+        append_rows(self.spark.createDataFrame([(version, now, max_key)], COMMIT_SCHEMA), self._log)
+
+    def committed_max_key(self) -> int | None:
+        """The largest surrogate key recorded with the latest commit (None if not recorded)."""
+        if not _exists(self.spark, self._log):
+            return None
+        row = (
+            self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
+            .agg(F.max_by("max_key", "version").alias("k"))
+            .first()
+        )
+        return None if row is None or row["k"] is None else int(row["k"])
 
     def write(self, df: DataFrame) -> int:
         """Write ``df`` as the next version and commit it; returns the version."""
@@ -118,8 +130,9 @@ class DimensionStore(VersionedTable):
         hist = self.history(version)
         return cur if hist is None else cur.unionByName(hist.select(*cur.columns))
 
-    def write_load(self, current_rows: DataFrame, expired_rows: DataFrame | None) -> int:
-        """Write the current rows and the rows this load expired, then commit."""
+    def write_load(self, current_rows: DataFrame, expired_rows: DataFrame | None, max_key: int | None = None) -> int:
+        """Write the current rows and the rows this load expired, then commit (with the
+        largest surrogate key so far, so the next load need not scan for it)."""
         v = (self.latest_version() or 0) + 1
         current_rows.drop("is_current").write.mode("overwrite").parquet(self.current_path(v))
         if expired_rows is not None:
@@ -131,7 +144,7 @@ class DimensionStore(VersionedTable):
                 .partitionBy("b")
                 .parquet(self.history_path)
             )
-        self._commit(v)
+        self._commit(v, max_key)
         return v
 
 
