@@ -214,3 +214,16 @@ def test_current_filter_prunes_history(spark, workdir):
     plan = store.read().filter("is_current")._jdf.queryExecution().optimizedPlan().toString()
     assert "history" not in plan
     assert store.read().count() == 2
+
+
+def test_bronze_reads_only_logged_batches(spark, workdir):
+    src, bronze, ckpt = f"{workdir}/src", f"{workdir}/bronze", f"{workdir}/ckpt"
+    write_csv(src, "f1.csv", ["id", "name"], [["1", "a"]])
+    ingest_files(spark, src, bronze, ckpt, "csv")
+    # A batch whose files exist but which never logged completion (crashed or still committing).
+    spark.createDataFrame([("9", "z", None, None)], "id string, name string, file_path string, ingestion_time timestamp") \
+        .write.parquet(f"{bronze}/batch_id=7")
+    assert [r.id for r in read_bronze(spark, bronze).collect()] == ["1"]
+    write_csv(src, "f2.csv", ["id", "name"], [["2", "b"]])
+    ingest_files(spark, src, bronze, ckpt, "csv")
+    assert sorted(r.id for r in read_bronze(spark, bronze).collect()) == ["1", "2"]

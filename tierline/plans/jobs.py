@@ -213,6 +213,13 @@ def silver_job(
     # The increment feeds two writes (silver and quarantine): keep it for the job's
     # duration. A lost executor recomputes its part from the bounded bronze read.
     union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of)
+    finally:
+        union.unpersist()
+
+
+def _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of) -> SilverResult:
     valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=["file_path", "bronze_ingestion_time", "source"])
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
 
@@ -252,7 +259,6 @@ def silver_job(
     with _step(f"{pipeline}: logs and marks"):
         append_rows(quality.result_rows(spark, checks, as_of), lake.system("quality"))
         _append_marks(spark, lake, pipeline, "bronze", bounds)
-    union.unpersist()
     return SilverResult(loaded, n_rejected, checks)
 
 

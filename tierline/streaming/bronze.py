@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from tierline.sources.files import (
     csv_headers,
+    path_exists,
     infer_names,
     load_schema,
     read_csv_groups,
@@ -292,37 +293,71 @@ def bronze_schema_path(target: str) -> str:
     return f"{target.rstrip('/')}/_schema"
 
 
+BATCH_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType(), False),
+        T.StructField("rows", T.LongType(), False),
+        T.StructField("ingestion_time", T.TimestampType(), True),
+    ]
+)
+
+
+def bronze_batch_log_path(target: str) -> str:
+    """Batches whose data and schema are complete, one row each (a ``_``-folder)."""
+    return f"{target.rstrip('/')}/_batches"
+
+
 def _write_batch(data: DataFrame, target: str, batch_id: int, recorded: dict) -> int:
     """Write one micro-batch to ``batch_id=N`` (overwrite: a replay replaces itself), widen the
-    folder's recorded schema by any new column, and return the rows written.
+    folder's recorded schema by any new column, then log the batch as complete; return its rows.
 
-    ``recorded`` caches the folder's schema for the run (read once, written on change).
+    Readers take only logged batches, so a batch whose files are still being
+    committed (or whose job died) is invisible to them. ``recorded`` caches the
+    folder's schema for the run (read once, written on change).
     """
     spark = data.sparkSession
     obs = Observation(f"bronze_rows_{batch_id}_{uuid.uuid4().hex[:8]}")
-    data.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-        f"{target.rstrip('/')}/batch_id={batch_id}"
-    )
+    data.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingestion_time").alias("t")).write.mode(
+        "overwrite"
+    ).parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
     if "schema" not in recorded:
         recorded["schema"] = load_schema(spark, bronze_schema_path(target))
     widened = widen(recorded["schema"], data.schema)
     if widened != recorded["schema"]:
         save_schema(spark, widened, bronze_schema_path(target))
         recorded["schema"] = widened
-    return int(obs.get["n"])
+    seen = obs.get
+    spark.createDataFrame([(int(batch_id), int(seen["n"]), seen["t"])], BATCH_LOG_SCHEMA).coalesce(1).write.mode(
+        "append"
+    ).parquet(bronze_batch_log_path(target))
+    return int(seen["n"])
+
+
+def committed_batch(spark: SparkSession, target: str) -> int | None:
+    """The last batch id logged as complete (batches run in order), or None."""
+    if not path_exists(spark, bronze_batch_log_path(target)):
+        return None
+    row = spark.read.schema(BATCH_LOG_SCHEMA).parquet(bronze_batch_log_path(target)).agg(
+        F.max("batch_id").alias("b")
+    ).first()
+    return None if row is None or row["b"] is None else int(row["b"])
 
 
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
     """The bronze table: all batches by column name (columns a batch lacks are NULL).
 
     Batch folders read with the folder's recorded schema, so no footer of any
-    file is opened to plan the read; folders written by the file sink fall back
-    to merging the file schemas.
+    file is opened to plan the read, and only batches logged as complete are
+    read; folders written by the file sink (whose own log gives the same
+    guarantee) fall back to merging the file schemas.
     """
     schema = load_schema(spark, bronze_schema_path(target))
-    if schema is not None:
-        return spark.read.schema(schema).parquet(target)
-    return spark.read.option("mergeSchema", "true").parquet(target)
+    if schema is None:
+        return spark.read.option("mergeSchema", "true").parquet(target)
+    last = committed_batch(spark, target)
+    df = spark.read.schema(schema).parquet(target)
+    # Partition pruning: folders of batches not (yet) logged as complete are not read.
+    return df.filter(F.col("batch_id") <= F.lit(-1 if last is None else last))
 
 
 def csv_stream(spark: SparkSession, path: str, schema_location: str, options: Mapping[str, str] | None = None) -> DataFrame:
