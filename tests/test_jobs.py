@@ -227,3 +227,58 @@ def test_bronze_reads_only_logged_batches(spark, workdir):
     write_csv(src, "f2.csv", ["id", "name"], [["2", "b"]])
     ingest_files(spark, src, bronze, ckpt, "csv")
     assert sorted(r.id for r in read_bronze(spark, bronze).collect()) == ["1", "2"]
+
+
+def test_silver_and_fact_loads_are_exactly_once_across_crashes(spark, workdir, monkeypatch):
+    from tierline.sources.tables import LoadLog
+
+    src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
+    write_csv(f"{src}/emp_a", "a1.csv", HEADER, [emp(1, "Ann", "Lee", "50000", 10), emp(2, "Bob", "Ray", "60000", 20)])
+    jobs.bronze_job(spark, lake, "emp_a", f"{src}/emp_a", "csv")
+    sources = {"a": jobs.SilverSource(lake.layer("bronze", "emp_a"))}
+
+    def silver(as_of):
+        return jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, as_of=as_of)
+
+    # 1. The job dies after its data and log row, before the marks.
+    real_marks = jobs._append_marks
+
+    def boom(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(jobs, "_append_marks", boom)
+    try:
+        silver(dt.datetime(2024, 1, 1))
+        raise AssertionError("expected the simulated crash")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(jobs, "_append_marks", real_marks)
+    rerun = silver(dt.datetime(2024, 1, 2))  # completes the marks, rewrites nothing
+    assert rerun.loaded == 2
+    rows = LoadLog(spark, lake.layer("silver", "employee")).read().collect()
+    assert sorted(r.employee_id for r in rows) == [1, 2]
+    assert {str(r.silver_ingestion_time) for r in rows} == {"2024-01-01 00:00:00"}  # first attempt's rows kept
+    assert silver(dt.datetime(2024, 1, 3)).loaded == 0  # marks are in place now
+
+    # 2. A fact load dies before its log row: its folder stays invisible and the rerun replaces it.
+    jobs.dimension_job(spark, lake, "dim_employee", "employee", ["employee_id"], ATTRS, TRACKED,
+                       [F.col("silver_ingestion_time").desc()], "employee_key", as_of=dt.datetime(2024, 1, 4))
+    real_commit = LoadLog.commit
+
+    def commit_boom(self, *a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(LoadLog, "commit", commit_boom)
+    cols = ["employee_id", "salary"]
+    try:
+        jobs.fact_job(spark, lake, "fact_employee", "employee", "dim_employee", ["employee_id"], "employee_key", cols)
+        raise AssertionError("expected the simulated crash")
+    except RuntimeError:
+        pass
+    assert LoadLog(spark, lake.layer("gold", "fact_employee")).read() is None
+    monkeypatch.setattr(LoadLog, "commit", real_commit)
+    assert jobs.fact_job(spark, lake, "fact_employee", "employee", "dim_employee", ["employee_id"], "employee_key",
+                         cols) == 2
+    assert LoadLog(spark, lake.layer("gold", "fact_employee")).read().count() == 2
+    assert jobs.fact_job(spark, lake, "fact_employee", "employee", "dim_employee", ["employee_id"], "employee_key",
+                         cols) == 0

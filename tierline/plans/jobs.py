@@ -20,9 +20,10 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import functools
+import hashlib
+import json
 import logging
 import time
-import hashlib
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -35,8 +36,7 @@ from tierline.functions.casting import ConformSpec
 from tierline.functions.text import render_template, row_text, xml_field
 from tierline.operators import conform as conform_ops
 from tierline.operators import dedup, enrich, facts, incremental, metadata, quality, runlog, scd2
-from tierline.sources.files import path_exists
-from tierline.sources.tables import DimensionStore, VersionedTable, append_rows, read_log
+from tierline.sources.tables import DimensionStore, LoadLog, VersionedTable, append_rows, read_log
 from tierline.streaming.bronze import IngestResult, ingest_files, read_bronze
 
 
@@ -132,6 +132,15 @@ def _write_counted(df: DataFrame, path: str, name: str) -> int:
     return int(obs.get["n"])
 
 
+def _bounds_json(bounds: Mapping[str, tuple]) -> str:
+    return json.dumps({k: (None if hi is None else hi.isoformat()) for k, (_, hi) in bounds.items()})
+
+
+def _bounds_from_json(text: str | None) -> dict[str, tuple]:
+    raw = json.loads(text or "{}")
+    return {k: (None, None if v is None else dt.datetime.fromisoformat(v)) for k, v in raw.items()}
+
+
 def _append_marks(spark: SparkSession, lake: Lake, pipeline: str, src: str, bounds: Mapping[str, tuple]) -> None:
     rows = None
     now = _now()
@@ -209,17 +218,24 @@ def silver_job(
         lo, hi = bounds[name]
         rows = incremental.bounded(bronze[name], "ingestion_time", lo, hi).drop("batch_id", "_rescued_data")
         parts[name] = _flatten(rows, s)
+    tag = _load_tag([bounds[n][0] for n in sorted(bounds)])
+    loads = LoadLog(spark, lake.layer("silver", table))
+    done = loads.find(tag)
+    if done is not None:
+        # This load was completed by an earlier attempt that stopped before its marks.
+        _append_marks(spark, lake, pipeline, "bronze", _bounds_from_json(done["bounds"]))
+        return SilverResult(int(done["rows"]), 0, [])
     union = conform_ops.union_sources(parts, source_col="source")
     # The increment feeds two writes (silver and quarantine): keep it for the job's
     # duration. A lost executor recomputes its part from the bounded bronze read.
     union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of)
+        return _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of, tag, loads)
     finally:
         union.unpersist()
 
 
-def _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of) -> SilverResult:
+def _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of, tag, loads) -> SilverResult:
     valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=["file_path", "bronze_ingestion_time", "source"])
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
 
@@ -231,12 +247,10 @@ def _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_nu
         key_nulls, valid_nn = valid.filter(any_null), valid.filter(~any_null)
     unique, dups = quality.split_duplicate_keys(valid_nn, keys, "Duplicate business key")
 
-    tag = _load_tag([bounds[n][0] for n in sorted(bounds)])
     silver_path = lake.layer("silver", table)
     new_rows = unique
-    if _has(spark, silver_path):  # noqa: SIM102
-        # Rows already loaded, except this load's own folder (a rerun rewrites it).
-        existing = spark.read.parquet(silver_path).filter(F.col("load") != F.lit(tag))
+    existing = loads.read()  # completed loads only; this load's folder is not among them
+    if existing is not None:
         new_rows = dedup.anti_join_new(unique, existing, keys)
     out = f"{silver_path}/load={tag}"
     with _step(f"{pipeline}: write silver"):
@@ -257,15 +271,12 @@ def _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_nu
                             f"{n_rejected} rows quarantined")
     )
     with _step(f"{pipeline}: logs and marks"):
+        loads.commit(tag, loaded, _bounds_json(bounds))
         append_rows(quality.result_rows(spark, checks, as_of), lake.system("quality"))
         _append_marks(spark, lake, pipeline, "bronze", bounds)
     return SilverResult(loaded, n_rejected, checks)
 
 
-def _has(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
-
-
 # ------------------------------------------------------------------ gold
 
 
@@ -284,7 +295,9 @@ def dimension_job(
     """Silver → SCD2 dimension (C4/C5); the mark advances even when nothing changed."""
     as_of = as_of or _now()
     pipeline = f"gold.{dim}"
-    silver = spark.read.parquet(lake.layer("silver", silver_table))
+    silver = LoadLog(spark, lake.layer("silver", silver_table)).read()
+    if silver is None:
+        return None
     bounds = _bounds(spark, lake, pipeline, {silver_table: silver}, "silver_ingestion_time")
     lo, hi = bounds[silver_table]
     incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
@@ -319,9 +332,17 @@ def fact_job(
     """Silver rows → fact rows keyed to the current dimension version (C6)."""
     as_of = as_of or _now()
     pipeline = f"gold.{fact}"
-    silver = spark.read.parquet(lake.layer("silver", silver_table))
+    silver = LoadLog(spark, lake.layer("silver", silver_table)).read()
+    if silver is None:
+        return 0
     bounds = _bounds(spark, lake, pipeline, {silver_table: silver}, "silver_ingestion_time")
     lo, hi = bounds[silver_table]
+    tag = _load_tag([lo])
+    loads = LoadLog(spark, lake.layer("gold", fact))
+    done = loads.find(tag)
+    if done is not None:  # completed earlier; only the marks were missing
+        _append_marks(spark, lake, pipeline, f"silver.{silver_table}", _bounds_from_json(done["bounds"]))
+        return int(done["rows"])
     incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
     dimension = DimensionStore(spark, lake.layer("gold", dim)).current()
     # Several current rows for one key would multiply fact rows: check the keys this load touches.
@@ -329,7 +350,8 @@ def fact_job(
     if not quality.unique_current_keys(touched, keys).isEmpty():
         raise quality.QualityError(f"{dim}: business keys with more than one current row")
     rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of)
-    n = _write_counted(rows, f"{lake.layer('gold', fact)}/load={_load_tag([lo])}", f"fact_{fact}")
+    n = _write_counted(rows, f"{lake.layer('gold', fact)}/load={tag}", f"fact_{fact}")
+    loads.commit(tag, n, _bounds_json(bounds))
     _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
     return n
 

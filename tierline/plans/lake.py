@@ -19,7 +19,7 @@ from tierline.plans import jobs
 from tierline.plans.catalog import CUSTOMER_ATTRS, CUSTOMER_TEXT_SPEC, table
 from tierline.session import scratch_path
 from tierline.sources.files import write_source_files
-from tierline.sources.tables import DimensionStore
+from tierline.sources.tables import DimensionStore, LoadLog
 
 AS_OF = (dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1))
 LAKE_TRACKED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -105,7 +105,7 @@ def build_lake(spark: SparkSession, sf_dir: str, name: str, rounds: int, with_fa
 
 def q_lake_silver(spark, sf_dir):
     lake = build_lake(spark, sf_dir, "lake_silver", rounds=1)
-    silver = spark.read.parquet(lake.layer("silver", "customer"))
+    silver = LoadLog(spark, lake.layer("silver", "customer")).read()
     return silver.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "source")
 
 
@@ -127,7 +127,7 @@ def q_lake_dimension(spark, sf_dir):
 
 def q_lake_fact(spark, sf_dir):
     lake = build_lake(spark, sf_dir, "lake_fact", rounds=2, with_facts=True)
-    return spark.read.parquet(lake.layer("gold", "fact_orders")).select(
+    return LoadLog(spark, lake.layer("gold", "fact_orders")).read().select(
         "customer_key", "o_orderkey", "c_custkey", "o_totalprice", "o_orderdate", "created_at"
     )
 

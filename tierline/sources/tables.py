@@ -152,3 +152,49 @@ def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """``CREATE TABLE IF NOT EXISTS`` for an append-only log folder: an empty parquet file with the schema."""
     if not _exists(spark, path):
         spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+LOAD_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("load", T.StringType(), False),
+        T.StructField("rows", T.LongType(), False),
+        T.StructField("bounds", T.StringType(), True),  # JSON {source: upper bound}, to finish marks on a rerun
+        T.StructField("committed_at", T.TimestampType(), False),
+    ]
+)
+
+
+class LoadLog:
+    """Completed loads of an append-only table made of ``load=<tag>`` folders.
+
+    A load folder becomes visible to readers only once its row is in
+    ``<base>/_loads``; a load that is already logged is never rewritten, so
+    rows keep the timestamps downstream jobs have seen (exactly-once across
+    crashes between the data write, the log row and the marks).
+    """
+
+    def __init__(self, spark: SparkSession, base: str) -> None:
+        self.spark = spark
+        self.base = base.rstrip("/")
+        self.path = f"{self.base}/_loads"
+
+    def _log(self) -> DataFrame | None:
+        if not _exists(self.spark, self.path):
+            return None
+        return self.spark.read.schema(LOAD_LOG_SCHEMA).parquet(self.path)
+
+    def find(self, tag: str):
+        log = self._log()
+        return None if log is None else log.filter(F.col("load") == tag).first()
+
+    def commit(self, tag: str, rows: int, bounds_json: str | None) -> None:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        append_rows(self.spark.createDataFrame([(tag, int(rows), bounds_json, now)], LOAD_LOG_SCHEMA), self.path)
+
+    def read(self) -> DataFrame | None:
+        """Rows of logged loads only (``None`` if nothing was loaded yet)."""
+        log = self._log()
+        if log is None:
+            return None
+        tags = [r["load"] for r in log.select("load").distinct().collect()]  # one per load
+        return self.spark.read.parquet(self.base).filter(F.col("load").isin(tags))
