@@ -31,6 +31,7 @@ processed as several batches of bounded size rather than one.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections import defaultdict
 from collections.abc import Mapping
@@ -288,32 +289,44 @@ def _xml_batch(batch: DataFrame, read_opts: Mapping[str, str], evolve, rescue_co
     return data.select(*[F.col(f"`{c}`") for c in full.fieldNames()], F.col("_metadata.file_path").alias("file_path"))
 
 
-def bronze_schema_path(target: str) -> str:
-    """The bronze folder's own schema (a ``_``-folder, which Spark's readers skip)."""
-    return f"{target.rstrip('/')}/_schema"
-
-
 BATCH_LOG_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType(), False),
         T.StructField("rows", T.LongType(), False),
         T.StructField("ingestion_time", T.TimestampType(), True),
+        T.StructField("schema_json", T.StringType(), False),  # the folder's schema after this batch
     ]
 )
 
 
 def bronze_batch_log_path(target: str) -> str:
-    """Batches whose data and schema are complete, one row each (a ``_``-folder)."""
+    """Batches whose data is complete, one row each, with the folder's schema (a ``_``-folder,
+    which Spark's readers skip)."""
     return f"{target.rstrip('/')}/_batches"
 
 
+def _latest_batch(spark: SparkSession, target: str) -> tuple[int, T.StructType] | None:
+    """``(last logged batch id, folder schema)`` from one small read of the batch log."""
+    if not path_exists(spark, bronze_batch_log_path(target)):
+        return None
+    row = (
+        spark.read.schema(BATCH_LOG_SCHEMA)
+        .parquet(bronze_batch_log_path(target))
+        .agg(F.max("batch_id").alias("b"), F.max_by("schema_json", "batch_id").alias("s"))
+        .first()
+    )
+    if row is None or row["b"] is None:
+        return None
+    return int(row["b"]), T.StructType.fromJson(json.loads(row["s"]))
+
+
 def _write_batch(data: DataFrame, target: str, batch_id: int, recorded: dict) -> int:
-    """Write one micro-batch to ``batch_id=N`` (overwrite: a replay replaces itself), widen the
-    folder's recorded schema by any new column, then log the batch as complete; return its rows.
+    """Write one micro-batch to ``batch_id=N`` (overwrite: a replay replaces itself), then log
+    it as complete together with the folder's schema widened by any new column; return its rows.
 
     Readers take only logged batches, so a batch whose files are still being
     committed (or whose job died) is invisible to them. ``recorded`` caches the
-    folder's schema for the run (read once, written on change).
+    folder's schema for the run.
     """
     spark = data.sparkSession
     obs = Observation(f"bronze_rows_{batch_id}_{uuid.uuid4().hex[:8]}")
@@ -321,43 +334,36 @@ def _write_batch(data: DataFrame, target: str, batch_id: int, recorded: dict) ->
         "overwrite"
     ).parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
     if "schema" not in recorded:
-        recorded["schema"] = load_schema(spark, bronze_schema_path(target))
-    widened = widen(recorded["schema"], data.schema)
-    if widened != recorded["schema"]:
-        save_schema(spark, widened, bronze_schema_path(target))
-        recorded["schema"] = widened
+        latest = _latest_batch(spark, target)
+        recorded["schema"] = None if latest is None else latest[1]
+    recorded["schema"] = widen(recorded["schema"], data.schema)
     seen = obs.get
-    spark.createDataFrame([(int(batch_id), int(seen["n"]), seen["t"])], BATCH_LOG_SCHEMA).coalesce(1).write.mode(
-        "append"
-    ).parquet(bronze_batch_log_path(target))
+    spark.createDataFrame(
+        [(int(batch_id), int(seen["n"]), seen["t"], recorded["schema"].json())], BATCH_LOG_SCHEMA
+    ).coalesce(1).write.mode("append").parquet(bronze_batch_log_path(target))
     return int(seen["n"])
 
 
 def committed_batch(spark: SparkSession, target: str) -> int | None:
     """The last batch id logged as complete (batches run in order), or None."""
-    if not path_exists(spark, bronze_batch_log_path(target)):
-        return None
-    row = spark.read.schema(BATCH_LOG_SCHEMA).parquet(bronze_batch_log_path(target)).agg(
-        F.max("batch_id").alias("b")
-    ).first()
-    return None if row is None or row["b"] is None else int(row["b"])
+    latest = _latest_batch(spark, target)
+    return None if latest is None else latest[0]
 
 
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
     """The bronze table: all batches by column name (columns a batch lacks are NULL).
 
-    Batch folders read with the folder's recorded schema, so no footer of any
-    file is opened to plan the read, and only batches logged as complete are
-    read; folders written by the file sink (whose own log gives the same
-    guarantee) fall back to merging the file schemas.
+    Batch folders are read with the schema recorded in the batch log, so no
+    footer of any file is opened to plan the read, and only batches logged as
+    complete are read (partition pruning on ``batch_id``). Folders written by
+    the file sink (whose own log gives the same guarantee) fall back to merging
+    the file schemas.
     """
-    schema = load_schema(spark, bronze_schema_path(target))
-    if schema is None:
+    latest = _latest_batch(spark, target)
+    if latest is None:
         return spark.read.option("mergeSchema", "true").parquet(target)
-    last = committed_batch(spark, target)
-    df = spark.read.schema(schema).parquet(target)
-    # Partition pruning: folders of batches not (yet) logged as complete are not read.
-    return df.filter(F.col("batch_id") <= F.lit(-1 if last is None else last))
+    last, schema = latest
+    return spark.read.schema(schema).parquet(target).filter(F.col("batch_id") <= F.lit(last))
 
 
 def csv_stream(spark: SparkSession, path: str, schema_location: str, options: Mapping[str, str] | None = None) -> DataFrame:
