@@ -282,3 +282,22 @@ def test_silver_and_fact_loads_are_exactly_once_across_crashes(spark, workdir, m
     assert LoadLog(spark, lake.layer("gold", "fact_employee")).read().count() == 2
     assert jobs.fact_job(spark, lake, "fact_employee", "employee", "dim_employee", ["employee_id"], "employee_key",
                          cols) == 0
+
+
+def test_late_source_with_older_times_is_not_skipped(spark, workdir):
+    """One mark per source: a source that commits late with older ingestion times still loads."""
+    from tierline.streaming.bronze import _write_batch
+
+    src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
+    sources = {"a": jobs.SilverSource(lake.layer("bronze", "emp_a")),
+               "b": jobs.SilverSource(lake.layer("bronze", "emp_b"))}
+    write_csv(f"{src}/emp_a", "a1.csv", HEADER, [emp(1, "Ann", "Lee", "50000", 10)])
+    jobs.bronze_job(spark, lake, "emp_a", f"{src}/emp_a", "csv")
+    # Source b has delivered nothing yet: it takes no part in the first load.
+    assert jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, as_of=dt.datetime(2024, 1, 1)).loaded == 1
+    # Source b now lands a batch stamped before source a's mark.
+    late = spark.createDataFrame([dict(zip(HEADER, emp(2, "Bob", "Ray", "60000", 20)))])
+    late = late.select(*HEADER, F.lit("late.csv").alias("file_path"),
+                       F.lit(dt.datetime(2000, 1, 1)).cast("timestamp").alias("ingestion_time"))
+    _write_batch(late, lake.layer("bronze", "emp_b"), 0, {})
+    assert jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, as_of=dt.datetime(2024, 1, 2)).loaded == 1

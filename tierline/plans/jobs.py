@@ -36,6 +36,7 @@ from tierline.functions.casting import ConformSpec
 from tierline.functions.text import render_template, row_text, xml_field
 from tierline.operators import conform as conform_ops
 from tierline.operators import dedup, enrich, facts, incremental, metadata, quality, runlog, scd2
+from tierline.sources.files import path_exists
 from tierline.sources.tables import DimensionStore, LoadLog, VersionedTable, append_rows, read_log
 from tierline.streaming.bronze import IngestResult, ingest_files, read_bronze
 
@@ -209,6 +210,10 @@ def silver_job(
     """Bronze sources → typed, de-duplicated silver rows (C2/C3)."""
     as_of = as_of or _now()
     pipeline = f"silver.{table}"
+    # A source that has delivered nothing yet has no bronze folder: it simply takes no part.
+    sources = {name: s for name, s in sources.items() if path_exists(spark, s.bronze_path)}
+    if not sources:
+        return SilverResult(0, 0, [])
     with _step(f"{pipeline}: read bronze"):
         bronze = {name: read_bronze(spark, s.bronze_path) for name, s in sources.items()}
     with _step(f"{pipeline}: bounds"):
