@@ -10,13 +10,19 @@ failing the job.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The batch function runs in Python workers, which need not have this library
+# installed: ship this module's functions by value rather than by import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Scorer = Callable[[list[str]], list[str]]
 
 
