@@ -301,3 +301,22 @@ def test_late_source_with_older_times_is_not_skipped(spark, workdir):
                        F.lit(dt.datetime(2000, 1, 1)).cast("timestamp").alias("ingestion_time"))
     _write_batch(late, lake.layer("bronze", "emp_b"), 0, {})
     assert jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, as_of=dt.datetime(2024, 1, 2)).loaded == 1
+
+
+def test_csv_quotes_and_multiline_fallback(spark, workdir):
+    src = f"{workdir}/src"
+    os.makedirs(src)
+    with open(f"{src}/q.csv", "w") as f:
+        f.write('id,name,note\n1,"Lee, Ann",plain\n\n2,Bob,"say ""hi"""\n')
+    # Same options, same answers as Spark's CSV reader (RFC 4180 doubled quotes need escape='"').
+    ingest_files(spark, src, f"{workdir}/b", f"{workdir}/c", "csv", options={"escape": '"'})
+    got = sorted((r.id, r.name, r.note) for r in read_bronze(spark, f"{workdir}/b").collect())
+    assert got == [("1", "Lee, Ann", "plain"), ("2", "Bob", 'say "hi"')]
+
+    src2 = f"{workdir}/src2"
+    os.makedirs(src2)
+    with open(f"{src2}/m.csv", "w") as f:
+        f.write('id,note\n1,"two\nlines"\n2,one\n')
+    ingest_files(spark, src2, f"{workdir}/b2", f"{workdir}/c2", "csv", options={"multiLine": "true"})
+    got2 = sorted((r.id, r.note) for r in read_bronze(spark, f"{workdir}/b2").collect())
+    assert got2 == [("1", "two\nlines"), ("2", "one")]

@@ -44,11 +44,12 @@ from pyspark.sql import types as T
 
 from tierline.sources.files import (
     csv_headers,
-    path_exists,
     infer_names,
     load_schema,
+    path_exists,
     read_csv_groups,
     save_schema,
+    split_header,
     widen,
     with_lineage,
 )
@@ -157,17 +158,32 @@ def _ingest_csv(
     recorded: dict = {}
     sep = csv_opts.get("sep", csv_opts.get("delimiter", ","))
 
+    multi_line = csv_opts.get("multiLine", "false").lower() == "true"
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        pairs = csv_headers(batch).collect()  # one row per new file of this batch
-        if not pairs:
-            return
-        groups: dict[str, list[str]] = defaultdict(list)
-        for r in pairs:
-            groups[r["header"]].append(r["file_path"])
-        data = read_csv_groups(batch.sparkSession, groups, csv_opts, sep)
-        data = data.withColumn("ingestion_time", F.current_timestamp())
-        totals["rows"] += _write_batch(data, target, batch_id, recorded)
-        totals["batches"] += 1
+        lines = None
+        try:
+            if multi_line:  # quoted fields may span lines: re-read the files with the CSV reader
+                pairs = csv_headers(batch).collect()  # one row per new file of this batch
+                if not pairs:
+                    return
+                groups: dict[str, list[str]] = defaultdict(list)
+                for r in pairs:
+                    groups[r["header"]].append(r["file_path"])
+                data = read_csv_groups(batch.sparkSession, groups, csv_opts, sep)
+            else:
+                lines = batch.withColumn("_tl_mid", F.monotonically_increasing_id()).persist(
+                    StorageLevel.MEMORY_AND_DISK
+                )
+                data = _parse_csv_lines(lines, csv_opts, sep, rescue_column)
+            if data is None:
+                return
+            data = data.withColumn("ingestion_time", F.current_timestamp())
+            totals["rows"] += _write_batch(data, target, batch_id, recorded)
+            totals["batches"] += 1
+        finally:
+            if lines is not None:
+                lines.unpersist()
 
     query = (
         lines.writeStream.foreachBatch(process)
@@ -179,6 +195,43 @@ def _ingest_csv(
     return IngestResult(totals["rows"], totals["batches"])
 
 
+def _parse_csv_lines(lines: DataFrame, csv_opts: Mapping[str, str], sep: str, rescue_column: str | None):
+    """Parse a batch's CSV lines in place, each file with its own header (one read of the files).
+
+    ``lines`` carries ``_tl_mid``, a per-line id (partition index + position,
+    reproducible because a batch's file splits are fixed) and should be
+    persisted by the caller for the duration of the write. A file's header is
+    its smallest-id line of the first block. Data lines are parsed with
+    ``from_csv`` under their header's column names and unioned by name. Only
+    one row per file (its header) reaches the driver and is broadcast back.
+    """
+    spark = lines.sparkSession
+    heads = (
+        lines.filter(F.col("block") == 0)
+        .groupBy("file_path")
+        .agg(F.min_by(F.struct("value", "_tl_mid"), "_tl_mid").alias("h"))
+        .select("file_path", F.col("h.value").alias("header"), F.col("h._tl_mid").alias("_tl_hmid"))
+        .collect()  # one row per new file of this batch
+    )
+    if not heads:
+        return None
+    head_df = spark.createDataFrame(
+        [(r["file_path"], r["header"], r["_tl_hmid"]) for r in heads], "file_path string, header string, _tl_hmid long"
+    )
+    body = lines.join(F.broadcast(head_df), "file_path").filter(
+        (F.col("_tl_mid") != F.col("_tl_hmid")) & (F.col("value") != "")
+    )
+    opts = {k: v for k, v in csv_opts.items() if k not in ("multiLine", "inferSchema")}
+    out: DataFrame | None = None
+    for header in sorted({r["header"] for r in heads}):
+        fields = [*split_header(header, sep), *([rescue_column] if rescue_column else [])]
+        ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in fields)
+        part = body.filter(F.col("header") == header).select(F.from_csv("value", ddl, opts).alias("_tl_r"), "file_path")
+        part = part.select(*[F.col("_tl_r").getField(n).alias(n) for n in fields], "file_path")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup", "maxFileAge", "latestFirst")
 
 
