@@ -192,9 +192,14 @@ class LoadLog:
         append_rows(self.spark.createDataFrame([(tag, int(rows), bounds_json, now)], LOAD_LOG_SCHEMA), self.path)
 
     def read(self) -> DataFrame | None:
-        """Rows of logged loads only (``None`` if nothing was loaded yet)."""
+        """Rows of logged loads only (``None`` if nothing was loaded yet).
+
+        A semi-join with the log (one row per load, so broadcasting it is
+        bounded by the number of loads, not the data); dynamic partition
+        pruning then skips the folders of loads that were never logged.
+        """
         log = self._log()
         if log is None:
             return None
-        tags = [r["load"] for r in log.select("load").distinct().collect()]  # one per load
-        return self.spark.read.parquet(self.base).filter(F.col("load").isin(tags))
+        tags = log.select("load").distinct()
+        return self.spark.read.parquet(self.base).join(F.broadcast(tags), "load", "left_semi")
