@@ -1,0 +1,2 @@
+"""Composite jobs and the registered queries over the given tables (with their
+DuckDB oracles)."""

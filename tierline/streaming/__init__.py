@@ -1,0 +1,2 @@
+"""Incremental file ingestion (Structured Streaming, run to completion) and
+declared streaming datasets."""
