@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import byte_bpe
+from tierline.llm import byte_bpe, token_file
 from tierline.llm.common import table
+from tierline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +27,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@query
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-file")
+    token_file.tokenize_to_file(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, path=path
+    )
+    return token_file.read_token_file(spark, path, with_ids=False)
