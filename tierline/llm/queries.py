@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, token_file
+from tierline.llm import byte_bpe, simhash, token_file
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -36,3 +37,9 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, path=path
     )
     return token_file.read_token_file(spark, path, with_ids=False)
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
