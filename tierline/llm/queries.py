@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, simhash, token_file
+from tierline.llm import byte_bpe, simhash, sketch, token_file
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -43,3 +43,21 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketch.with_next_sketch(table(spark, sf_dir, "documents"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
+    rows = rows.select("doc_id", "sketch", "next_sketch", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"))
+    rows = rows.select("*", sketch.sketch("edited").alias("edited_sketch"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketch.to_text("sketch").alias("fingerprint"),
+        sketch.to_text("edited_sketch").alias("edited_fingerprint"),
+        sketch.resemblance("sketch", "edited_sketch").alias("near_edited"),
+        sketch.resemblance("sketch", "next_sketch").alias("near_next"),
+    )
