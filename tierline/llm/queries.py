@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, simhash, sketch, token_file
+from tierline.llm import byte_bpe, decontam, simhash, sketch, token_file
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -61,3 +61,8 @@ def op8_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketch.resemblance("sketch", "edited_sketch").alias("near_edited"),
         sketch.resemblance("sketch", "next_sketch").alias("near_next"),
     )
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
