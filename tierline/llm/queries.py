@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, decontam, simhash, sketch, token_file
+from tierline.llm import byte_bpe, decontam, language, ring, simhash, sketch, token_file
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -66,3 +66,20 @@ def op8_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ring.shard_texts(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit(ring.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = language.train(docs, F.when(F.col("doc_id").isNotNull() & ~held_out, F.col("lang")))
+    rows = language.identify(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
