@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, decontam, language, ring, simhash, sketch, token_file
+from tierline.llm import byte_bpe, decontam, language, pii, ring, simhash, sketch, token_file
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -83,3 +83,18 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs, F.when(F.col("doc_id").isNotNull() & ~held_out, F.col("lang")))
     rows = language.identify(docs.select("doc_id", "text"), model)
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, pii.train(docs)).drop("text")
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.filter("base_spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+            for kind in pii.KINDS
+        ),
+        F.sha2(pii.span_text("base_spans"), 256).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
