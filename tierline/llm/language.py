@@ -186,6 +186,20 @@ def fit(texts: list[str], labels: list[str], max_landmarks: int = LANDMARKS_PER_
     return model
 
 
+#: One document in so many is held out from training.
+HOLD_OUT = 5
+
+
+def held_out(key: str = "doc_id") -> Column:
+    """Whether the key's hash keeps the document out of training; false for a null key."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % HOLD_OUT == 0, F.lit(False))
+
+
+def training_label(key: str = "doc_id", label: str = "lang") -> Column:
+    """The label of documents that may be learned from; null for the others."""
+    return F.when(F.col(key).isNotNull() & ~held_out(key), F.col(label))
+
+
 def training_sample(df: DataFrame, label: Column, key: str, text: str, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """(text, label) of at most ``per_language`` rows with a letter a label: the least by a hash of key and text.
 

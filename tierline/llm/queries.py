@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, decontam, language, pii, ring, simhash, sketch, token_file
+from tierline.llm import byte_bpe, decontam, html_text, language, pii, ring, simhash, sketch, token_file, url_reputation
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -79,10 +79,9 @@ def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    model = language.train(docs, F.when(F.col("doc_id").isNotNull() & ~held_out, F.col("lang")))
+    model = language.train(docs, language.training_label())
     rows = language.identify(docs.select("doc_id", "text"), model)
-    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return rows.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
 @query
@@ -98,3 +97,84 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_text("base_spans"), 256).alias("base_sha256"),
         pii.span_text("spans").alias("spans"),
     )
+
+
+#: Rules that go before the estimate.
+URL_RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
+
+
+@query
+def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page shows the document whose id is in its path (``/lang/id``); that document's labels are the outcome."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    shown = F.regexp_extract(url_reputation.url_path(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1).try_cast("long")
+    outcomes = pages.select("url", shown.alias("shown")).join(labels, F.col("shown") == labels["doc_id"])
+    bad = url_reputation.any_bad(F.col("quality") == 0, F.col("toxic") == 1)
+    judged = url_reputation.judge_urls(pages, outcomes.select("url", bad.alias("bad")), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op1_url_reputation"] = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages
+), p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), outcome AS (
+  SELECT p.host, CASE WHEN coalesce(l.quality = 0, l.toxic = 1) IS NULL THEN NULL
+                      WHEN coalesce(l.quality = 0, FALSE) OR coalesce(l.toxic = 1, FALSE) THEN 1 ELSE 0 END AS bad
+  FROM p JOIN labels l ON try_cast(nullif(regexp_extract(p.path, '^/[^/]*/([0-9]{1,18})', 1), '') AS BIGINT) = l.doc_id
+), hosts AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+  FROM (SELECT host, bad FROM outcome UNION ALL SELECT host, NULL FROM p) GROUP BY host
+), h AS (
+  SELECT host, n, bad, CASE WHEN length(host) - length(replace(host, '.', '')) >= 2
+                            THEN regexp_extract(host, '[^.]*[.][^.]*$', 0) ELSE host END AS domain,
+         regexp_extract(host, '[^.]*$', 0) AS suffix
+  FROM hosts
+), top AS (SELECT (coalesce(sum(bad), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS m FROM h),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(top.m) AS prior FROM h, top GROUP BY suffix),
+s1 AS (SELECT coalesce(sum(CASE WHEN n > 1 THEN n * pow(bad / n - prior, 2) - prior * (1 - prior) END)
+                / nullif(sum(CASE WHEN n > 1 THEN (n - 1) * prior * (1 - prior) END), 0), 0) AS share FROM s0),
+s2 AS (SELECT CASE WHEN share <= 1.0 / 1001 THEN 1000.0 ELSE greatest(1.0, 1 / share - 1) END AS k FROM s1),
+s AS (SELECT suffix, (bad + k * prior) / (n + k) AS m FROM s0, s2),
+d0 AS (SELECT h.domain, h.suffix, sum(h.n) AS n, sum(h.bad) AS bad, any_value(s.m) AS prior
+       FROM h JOIN s USING (suffix) GROUP BY h.domain, h.suffix),
+d1 AS (SELECT coalesce(sum(CASE WHEN n > 1 THEN n * pow(bad / n - prior, 2) - prior * (1 - prior) END)
+                / nullif(sum(CASE WHEN n > 1 THEN (n - 1) * prior * (1 - prior) END), 0), 0) AS share FROM d0),
+d2 AS (SELECT CASE WHEN share <= 1.0 / 1001 THEN 1000.0 ELSE greatest(1.0, 1 / share - 1) END AS k FROM d1),
+d AS (SELECT domain, (bad + k * prior) / (n + k) AS m FROM d0, d2),
+m0 AS (SELECT h.host, h.n, h.bad, d.m AS prior FROM h JOIN d USING (domain)),
+m1 AS (SELECT coalesce(sum(CASE WHEN n > 1 THEN n * pow(bad / n - prior, 2) - prior * (1 - prior) END)
+                / nullif(sum(CASE WHEN n > 1 THEN (n - 1) * prior * (1 - prior) END), 0), 0) AS share FROM m0),
+m2 AS (SELECT CASE WHEN share <= 1.0 / 1001 THEN 1000.0 ELSE greatest(1.0, 1 / share - 1) END AS k FROM m1),
+m AS (SELECT host, (bad + k * prior) / (n + k) AS mean, n + k AS weight FROM m0, m2),
+r AS (
+  SELECT p.page_id, p.host, p.path, m.mean - 1.645 * sqrt(m.mean * (1 - m.mean) / (m.weight + 1)) AS bound,
+         CASE WHEN (p.host = 'example.org' OR p.host LIKE '%.example.org') AND starts_with(p.path, '/en/1') THEN 'example.org/en/1'
+              WHEN (p.host = 'example.org' OR p.host LIKE '%.example.org') AND starts_with(p.path, '/es/') THEN 'example.org/es/'
+              WHEN (p.host = 'com' OR p.host LIKE '%.com') AND starts_with(p.path, '/de/') THEN 'com/de/'
+              WHEN (p.host = 'com' OR p.host LIKE '%.com') AND starts_with(p.path, '/fr/') THEN 'com/fr/'
+              WHEN (p.host = 'org' OR p.host LIKE '%.org') AND starts_with(p.path, '/') THEN 'org/' END AS rule
+  FROM p LEFT JOIN m USING (host)
+)
+SELECT page_id, host, path, rule,
+       CASE rule WHEN 'org/' THEN 'allow' WHEN 'example.org/es/' THEN 'block' WHEN 'example.org/en/1' THEN 'block'
+                 WHEN 'com/fr/' THEN 'allow' WHEN 'com/de/' THEN 'block'
+                 ELSE CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END END AS verdict
+FROM r
+"""
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_repeated")
