@@ -383,3 +383,8 @@ def span_text(spans: str | Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     col = F.col(spans) if isinstance(spans, str) else spans
     return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def count_kind(spans: str, kind: str) -> Column:
+    """How many of the spans are of the kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -90,10 +90,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(docs, pii.train(docs)).drop("text")
     return found.select(
         "doc_id",
-        *(
-            F.size(F.filter("base_spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-            for kind in pii.KINDS
-        ),
+        *(pii.count_kind("base_spans", kind).alias(f"n_{kind}") for kind in pii.KINDS),
         F.sha2(pii.span_text("base_spans"), 256).alias("base_sha256"),
         pii.span_text("spans").alias("spans"),
     )
