@@ -24,18 +24,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.llm.common import ship_package, slices, staged
+from tierline.llm.words import WordMemo, cut_punctuation, encode_words
 
 #: Ids after which a block ends (with the document that reaches it).
 BLOCK_IDS = 1 << 16
 #: Entries of each of the two generations of a worker's word memo, and its longest word.
 MEMO_ENTRIES = 300_000
 MEMO_KEY_CHARS = 48
+#: Words of letters below this are one pre-token each.
+_LATIN_END = "\u0100"
 _BYTES = np.arange(4)
 #: Lengths of the four values that each control byte describes.
 LENGTHS = ((np.arange(256)[:, None] >> (2 * _BYTES)) & 3) + 1
@@ -69,9 +73,10 @@ def decode_values(control: bytes, data: bytes, count: int) -> np.ndarray:
 class WordTokenizer:
     """The tokenizers library behind a memo of words.
 
-    The vocabulary's pre-tokenizer drops white space and never joins across it, so
-    a text's ids are those of its words in order. Texts that may hold a special
-    token's string go to the library whole.
+    The vocabulary's pre-tokenizer drops white space, never joins across it or
+    from a word into the punctuation after it, and lower-cases, so a text's ids are
+    those of its lower-cased words and punctuation in order. Texts that may hold a
+    special token's string go to the library whole.
     """
 
     def __init__(self, definition: str):
@@ -82,34 +87,47 @@ class WordTokenizer:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo = WordMemo(self._learn, MEMO_ENTRIES, MEMO_KEY_CHARS)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _library(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
-    def _remember(self, found: dict[str, bytes]) -> None:
-        self.memo.update((k, v) for k, v in found.items() if len(k) <= MEMO_KEY_CHARS)
-        if len(self.memo) > MEMO_ENTRIES:
-            self.older, self.memo = self.memo, {}
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only: each is one pre-token, so many are encoded as one text."""
+        out: list[bytes] = []
+        for lo in range(0, len(words), 1000):
+            some = words[lo : lo + 1000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            word = np.array(found.word_ids)
+            if not len(word) or word[-1] != len(some) - 1:  # the library cut a word
+                out += self._library(some)
+                continue
+            raw = np.array(found.ids, dtype=self.dtype)
+            ends = (np.searchsorted(word, np.arange(1, len(some) + 1)) * raw.itemsize).tolist()
+            raw = raw.tobytes()
+            out += [raw[s:e] for s, e in zip([0, *ends], ends, strict=False)]
+        return out
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words."""
+        plain = [w for w in words if w.isalpha() and (w.isascii() or max(w) < _LATIN_END)]
+        other = list(set(words).difference(plain))
+        return dict(zip(plain, self._letters(plain), strict=True)) | dict(zip(other, self._library(other), strict=True))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as ``dtype``."""
-        cut = [
-            [t] if any(s in t for s in self.special) else t.replace("\n", " ").split(" ")
-            for t in texts
-        ]
-        distinct = set().union(*cut)
-        ids = {word: self.memo[word] for word in distinct & self.memo.keys()}
-        again = {word: self.older[word] for word in (distinct - ids.keys()) & self.older.keys()}
-        ids |= again
-        missing = list(distinct - ids.keys())
-        found = dict(zip(missing, self._library(missing), strict=True)) if missing else {}
-        ids |= found
-        self._remember(again)
-        self._remember(found)
-        return [b"".join([ids[word] for word in words]) for words in cut]
+        whole = {i: self._library([t])[0] for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        plain = pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string())
+        plain = pc.ascii_lower(pc.replace_substring(plain, "\n", " "))
+        lists = pc.split_pattern(cut_punctuation(plain, " "), " ")
+        ids, ends = encode_words(lists, self.memo.encode, self.dtype)
+        raw = ids.tobytes()
+        ends = (ends * ids.itemsize).tolist()
+        out = [raw[s:e] for s, e in zip([0, *ends], ends, strict=False)]
+        for i, found in whole.items():
+            out[i] = found
+        return out
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
@@ -135,7 +153,7 @@ def encode_ids(df: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id",
         words = _tokenizer(definition.value)
         end = np.array([end_id], dtype=words.dtype).tobytes()
         for batch in batches:
-            for part in slices(batch, 1024):
+            for part in slices(batch, 2048):
                 ids = words.encode_many([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([i + end for i in ids], pa.binary())], names=schema.names
