@@ -20,11 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tierline.llm.common import ship_package, slices, with_fields
+from tierline.llm.words import WordMemo, cut_punctuation, encode_words
 
 #: Entries of each of the memo's two generations, and the longest text it holds.
 MEMO_ENTRIES = 300_000
@@ -34,6 +36,7 @@ ROW_TREE_BYTES = 64
 ROW_TREES = 4096
 _NONE = 1 << 60
 _TWO_SPACES = regex.compile(r"\s\s")
+_MARK = "\x01"
 
 
 def read_ranks(path: str) -> bytes:
@@ -190,25 +193,7 @@ class ByteBpe:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.byte_ids = np.array([self.ranks.get(bytes([b]), 0) for b in range(256)], dtype=np.int64)
         self.pair_rank = PairRanks(self.ranks)
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _parts(self, text: str) -> list[str]:
-        """Words with the space before them, or the pattern's pieces.
-
-        The pattern always cuts between a character that is not white space and a
-        single space before another such character, so a text without two white
-        space characters in a row can be looked up word by word.
-        """
-        if not text:
-            return []
-        if _TWO_SPACES.search(text):
-            return self.find(text)
-        first, *rest = text.split(" ")
-        parts = [" " + word for word in rest]
-        if first:
-            parts.insert(0, first)
-        return parts
+        self.memo = WordMemo(self._learn, MEMO_ENTRIES, MEMO_KEY_CHARS)
 
     def _merge_all(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of distinct pieces: whole tokens by lookup, the others by merging."""
@@ -230,44 +215,46 @@ class ByteBpe:
                 out.update(zip((piece for piece, _ in some), merged, strict=True))
         return out
 
-    def _learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of parts that the memo lacks; short ones enter it."""
-        cut = {part: self.find(part) for part in parts}
-        known, older = self.memo, self.older
-        wanted = {piece for pieces in cut.values() for piece in pieces if piece not in known and piece not in older}
-        fresh = self._merge_all(list(wanted))
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of new parts: their pieces' ids in a row, each distinct piece merged once."""
+        cut = [self.find(part) for part in parts]
+        ids = {piece: self.memo.get(piece) for pieces in cut for piece in pieces}
+        fresh = self._merge_all([piece for piece, found in ids.items() if found is None])
+        ids |= fresh
+        self.memo.put(fresh)
+        return {part: b"".join([ids[piece] for piece in pieces]) for part, pieces in zip(parts, cut, strict=True)}
 
-        def ids(piece: str) -> bytes:
-            got = fresh.get(piece)
-            return got if got is not None else known[piece] if piece in known else older[piece]
+    def _parts(self, texts: list[str]) -> pa.ListArray:
+        """Each text as words with the space before them, or as the pattern's pieces.
 
-        out = {part: b"".join(map(ids, pieces)) for part, pieces in cut.items()}
-        self._remember(fresh)
-        self._remember(out)
-        return out
-
-    def _remember(self, found: dict[str, bytes]) -> None:
-        self.memo.update((k, v) for k, v in found.items() if len(k) <= MEMO_KEY_CHARS)
-        if len(self.memo) > MEMO_ENTRIES:
-            self.older, self.memo = self.memo, {}
+        The pattern always cuts between a character that is not white space and a
+        single space before another such character, so a text without two white
+        space characters in a row can be looked up word by word: a mark before
+        every space, and before a word's punctuation, is where it is cut.
+        """
+        cut_by_pattern = {i: self.find(t) for i, t in enumerate(texts) if _TWO_SPACES.search(t) or _MARK in t}
+        plain = pa.array(["" if i in cut_by_pattern else t for i, t in enumerate(texts)], pa.large_string())
+        lists = pc.split_pattern(cut_punctuation(pc.replace_substring(plain, " ", _MARK + " "), _MARK), _MARK)
+        if not cut_by_pattern:
+            return lists
+        rows = lists.to_pylist()
+        for i, pieces in cut_by_pattern.items():
+            rows[i] = pieces
+        return pa.array(rows, pa.list_(pa.large_string()))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self._parts(t) for t in texts]
-        distinct = set().union(*cut)
-        ids = {part: self.memo[part] for part in distinct & self.memo.keys()}
-        again = {part: self.older[part] for part in (distinct - ids.keys()) & self.older.keys()}
-        ids |= again
-        self._remember(again)
-        ids |= self._learn(distinct - ids.keys())
-        return [b"".join([ids[part] for part in parts]) for parts in cut]
+        ids, ends = encode_words(self._parts(texts), self.memo.encode, "<u4")
+        raw = ids.tobytes()
+        ends = (ends * 4).tolist()
+        return [raw[s:e] for s, e in zip([0, *ends], ends, strict=False)]
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+        return b"".join(map(tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 _CODERS: dict[tuple[int, str], ByteBpe] = {}
@@ -309,7 +296,7 @@ def encode_documents(df: DataFrame, vocabulary: str, pattern: str, text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab.value, pattern)
         for batch in batches:
-            for part in slices(batch, 1024):
+            for part in slices(batch, 2048):
                 ids = bpe.encode_many([t or "" for t in part.column(text).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept]
@@ -347,7 +334,7 @@ def document_digests(df: DataFrame, vocabulary: str, pattern: str, key: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab.value, pattern)
         for batch in batches:
-            for part in slices(batch, 1024):
+            for part in slices(batch, 2048):
                 counts, digests, back = [], [], []
                 for ids in bpe.encode_many([t or "" for t in part.column(1).to_pylist()]):
                     counts.append(len(ids) // 4)
