@@ -170,8 +170,8 @@ def test_scd2_versions_and_idempotence(spark):
 def test_latest_marks_and_bounds(spark):
     t = dt.datetime
     log = spark.createDataFrame(
-        [("p", "s", "d1", t(2024, 1, 1), t(2024, 1, 2)), ("p", "s", "d1", t(2024, 1, 5), t(2024, 1, 6)),
-         ("p", "s", "d2", t(2024, 1, 3), t(2024, 1, 3))],
+        [("p", "s", "d1", t(2024, 1, 1), t(2024, 1, 2), 1), ("p", "s", "d1", t(2024, 1, 5), t(2024, 1, 6), 2),
+         ("p", "s", "d2", t(2024, 1, 3), t(2024, 1, 3), None)],
         incremental.MARK_SCHEMA,
     )
     got = rows(incremental.latest_marks(log), "pipeline_destination", "ingestion_time")

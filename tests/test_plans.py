@@ -51,3 +51,15 @@ def test_anti_join_keeps_the_loaded_side_unshuffled_for_small_increments(spark):
     small = spark.range(0, 10).select((F.col("id") * 1000).alias("k"))
     p = plan(dedup.anti_join_new(small, big, ["k"]))
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
+
+
+def test_small_keys_are_hashed_not_sorted(spark):
+    """Counting keys and picking the latest row need no aggregate over sorted rows."""
+    queries = registry.all_queries()
+    for name in ("dup_key_valid", "dup_key_rejected", "latest_mark", "run_log_latest", "audit_events"):
+        assert "SortAggregate" not in plan(queries[name](spark, SF_DIR)), name
+    assert "WindowGroupLimit" in plan(queries["latest_mark"](spark, SF_DIR))
+
+
+def test_full_fact_load_has_no_prefilter(spark):
+    assert "LeftSemi" not in plan(registry.all_queries()["fact_load"](spark, SF_DIR))

@@ -7,8 +7,10 @@ which drops NULLs and therefore collides on those rows; it is kept only to
 reproduce old hashes.
 
 Canonical text per type: strings as is; integral, boolean and date values by
-their SQL text; floating values through ``decimal(38, scale)`` so the text does
-not depend on an engine's shortest-float printing.
+their SQL text. A floating value that ``decimal(38, scale)`` holds exactly is
+printed as that decimal, which does not depend on an engine's float printing; any
+other (finer, huge, NaN, infinite) by its shortest round-trip text. So two
+different doubles never share a text, and only NULL has none.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ def canonical_text(df: DataFrame, name: str, double_scale: int = 6) -> Column:
     dtype = df.schema[name].dataType
     c = F.col(f"`{name}`")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.cast(T.DecimalType(38, double_scale)).cast("string")
+        exact = c.try_cast(T.DecimalType(38, double_scale))
+        return F.when(exact.cast(dtype) == c, exact.cast("string")).otherwise(c.cast("string"))
     return c.cast("string")
 
 

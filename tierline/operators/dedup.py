@@ -17,6 +17,20 @@ def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_s
     return cond
 
 
+def prefixed_keys(keys: Sequence[str], prefix: str = "_tl_k_") -> list[Column]:
+    """The key columns under names that cannot clash, for the other side of a join."""
+    return [F.col(f"`{k}`").alias(f"{prefix}{k}") for k in keys]
+
+
+def same_keys(keys: Sequence[str], prefix: str = "_tl_k_") -> Column:
+    """Null-safe equality of the keys with the prefixed keys of the other side."""
+    cond: Column | None = None
+    for k in keys:
+        c = F.col(f"`{k}`").eqNullSafe(F.col(f"`{prefix}{k}`"))
+        cond = c if cond is None else cond & c
+    return cond
+
+
 def anti_join_new(
     incoming: DataFrame,
     existing: DataFrame,

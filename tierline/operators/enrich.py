@@ -68,16 +68,6 @@ def enrich_with_model(
     return df.mapInPandas(run, schema)
 
 
-def review_candidates(df: DataFrame, columns: Sequence[str], order: Sequence[str], limit: int | None) -> DataFrame:
-    """Columns to review, in a deterministic order, optionally capped (a top-k).
-
-    The cap is the feature of a review job (how many rows a person reads); it
-    plans as a distributed top-k (``TakeOrderedAndProject``).
-    """
-    out = df.select(*columns).orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])
-    return out.limit(limit) if limit is not None else out
-
-
 def digest_scorer(prompts: list[str]) -> list[str]:
     """Deterministic stand-in for a model: SHA-256 hex of each whole prompt."""
     import hashlib

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.casting import ntz_literal
+from tierline.operators.dedup import prefixed_keys, same_keys
 
 
 def fact_rows(
@@ -32,28 +33,21 @@ def fact_rows(
     dimension side is measured small at run time, and splits skewed fact keys.
     With ``prefilter`` the dimension is first cut to the keys present in the
     increment (a semi-join that broadcasts the increment's distinct keys when
-    they are few), so a small increment never shuffles a large dimension.
+    they are few), so a small increment never shuffles a large dimension; pass
+    ``False`` for a full load, where it only adds work. Keys compare null-safe.
     Current keys must be unique (see ``quality.unique_current_keys``), otherwise
     fact rows multiply.
     """
-    wanted = incoming.select(*keys).distinct()
-    if point_in_time_col is None:
-        dim = dimension.filter(F.col("is_current")).select(*keys, key_col)
-        if prefilter:
-            dim = dim.join(wanted, list(keys), "left_semi")
-        joined = incoming.join(dim, list(keys), "left")
-    else:
-        dim = dimension.select(*keys, key_col, "start_date", "end_date")
-        if prefilter:
-            dim = dim.join(wanted, list(keys), "left_semi")
-        dim = dim.select(*[F.col(k).alias(f"_tl_d_{k}") for k in keys], key_col, "start_date", "end_date")
+    dim = dimension if point_in_time_col is not None else dimension.filter(F.col("is_current"))
+    validity = ["start_date", "end_date"] if point_in_time_col is not None else []
+    dim = dim.select(*prefixed_keys(keys), key_col, *[F.col(c).alias(f"_tl_{c}") for c in validity])
+    if prefilter:
+        dim = dim.join(incoming.select(*keys).distinct(), same_keys(keys), "left_semi")
+    cond = same_keys(keys)
+    if point_in_time_col is not None:
         t = F.to_date(F.col(point_in_time_col))
-        cond = None
-        for k in keys:
-            c = incoming[k] == dim[f"_tl_d_{k}"]
-            cond = c if cond is None else cond & c
-        cond = cond & (dim["start_date"] <= t) & (dim["end_date"].isNull() | (t < dim["end_date"]))
-        joined = incoming.join(dim, cond, "left")
+        cond = cond & (F.col("_tl_start_date") <= t) & (F.col("_tl_end_date").isNull() | (t < F.col("_tl_end_date")))
+    joined = incoming.join(dim, cond, "left")
     out = joined.select(F.col(key_col), *[F.col(c) for c in columns])
     when = F.localtimestamp() if created_at is None else ntz_literal(created_at)
     return out.withColumn("created_at", when)

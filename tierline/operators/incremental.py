@@ -1,9 +1,9 @@
 """High-water marks and bounded incremental reads.
 
 A mark log is an append-only table ``(pipeline_name, pipeline_src,
-pipeline_destination, ingestion_time, updated_at)``. The current mark of a
-``(name, destination)`` pair is the ``ingestion_time`` of its latest row
-(``max_by``, a partial aggregate, so no sort of the log). Rows are never
+pipeline_destination, ingestion_time, updated_at, position)``. The current mark of a
+``(name, destination)`` pair is the ``ingestion_time`` of its latest row (a top-1
+per key, cut in each map task before the shuffle). Rows are never
 updated: a new mark is a new row, which is what a plain parquet table allows
 and what makes a replay harmless.
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.casting import literal_like
+from tierline.operators.dedup import latest_per_key
 
 MARK_SCHEMA = T.StructType(
     [
@@ -30,6 +31,7 @@ MARK_SCHEMA = T.StructType(
         T.StructField("pipeline_destination", T.StringType(), False),
         T.StructField("ingestion_time", T.TimestampType(), True),
         T.StructField("updated_at", T.TimestampType(), False),
+        T.StructField("position", T.LongType(), True),
     ]
 )
 
@@ -60,22 +62,23 @@ def latest_marks(
 ) -> DataFrame:
     """Latest row per key of an append-only log (top-1 by ``order_col``).
 
-    ``max_by`` aggregates map-side, so a key holding most of the log is folded
-    per partition before the shuffle.
+    ``row_number() = 1`` keeps one row per key in each map task (window group
+    limit) before the shuffle, so a key holding most of the log moves little.
+    Rows that share the latest time are ordered by their values.
     """
-    latest = F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(order_col))
-    out = log.groupBy(*keys).agg(latest.alias("_v"), F.max(order_col).alias(order_col))
-    return out.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols], order_col)
+    order = [F.col(order_col).desc(), *[F.col(c).desc_nulls_last() for c in value_cols]]
+    return latest_per_key(log.select(*keys, *value_cols, order_col), keys, order)
 
 
 def read_mark(log: DataFrame, name: str, destination: str):
     """Scalar mark for one pair (one small job; None if there is none)."""
-    row = (
+    rows = (
         log.filter((F.col("pipeline_name") == name) & (F.col("pipeline_destination") == destination))
-        .agg(F.max_by("ingestion_time", "updated_at").alias("m"))
-        .first()
+        .orderBy(F.col("updated_at").desc())
+        .limit(1)
+        .collect()
     )
-    return None if row is None else row["m"]
+    return rows[0]["ingestion_time"] if rows else None
 
 
 def mark_rows(
@@ -85,7 +88,8 @@ def mark_rows(
     destination: str,
     mark,
     updated_at: dt.datetime | None = None,
+    position: int | None = None,
 ) -> DataFrame:
-    """One new mark row (append it to the log)."""
+    """One new mark row (append it to the log); ``position`` is the batch or load number behind the mark."""
     now = updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return spark.createDataFrame([(name, src, destination, mark, now)], MARK_SCHEMA)
+    return spark.createDataFrame([(name, src, destination, mark, now, position)], MARK_SCHEMA)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.operators.dedup import key_condition
+from tierline.operators.dedup import prefixed_keys, same_keys
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -51,7 +51,10 @@ def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
 
 
 def check_columns(df: DataFrame, layer: str, table_name: str, required: Iterable[str]) -> CheckResult:
-    missing = missing_columns(df, required)
+    return schema_result(layer, table_name, missing_columns(df, required))
+
+
+def schema_result(layer: str, table_name: str, missing: Sequence[str]) -> CheckResult:
     if missing:
         return CheckResult(layer, table_name, "schema_check", "FAIL", len(missing), str(missing))
     return CheckResult(layer, table_name, "schema_check", "PASS")
@@ -86,10 +89,13 @@ def positive_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _report(df, columns, {c: F.col(f"`{c}`") <= 0 for c in columns}, True)
 
 
-def check_nulls(df: DataFrame, layer: str, table_name: str, column: str) -> CheckResult:
-    """Gate: count NULLs of a column (one job)."""
-    n = df.agg(F.count_if(F.col(f"`{column}`").isNull()).alias("n")).first()["n"]
-    return CheckResult(layer, table_name, f"{column}_null_check", "PASS" if n == 0 else "FAIL", int(n))
+def check_nulls(df: DataFrame, layer: str, table_name: str, columns: Sequence[str]) -> list[CheckResult]:
+    """Gates: the NULLs of each column, all counted by one aggregate."""
+    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return [
+        CheckResult(layer, table_name, f"{c}_null_check", "PASS" if n == 0 else "FAIL", int(n), f"{n} NULL values")
+        for c, n in zip(columns, counts, strict=True)
+    ]
 
 
 def raise_on_failure(results: Iterable[CheckResult]) -> None:
@@ -106,24 +112,15 @@ def split_duplicate_keys(
     """``(valid, rejected)``: rows whose key occurs once, and *all* rows of repeated keys.
 
     NULL key parts group together (as in a window partition). Instead of a
-    ``count(*) OVER (PARTITION BY key)`` — which sorts every row of a hot key
-    in one task — the key counts are a partial aggregate. The valid rows come
-    straight out of that aggregate (a group of one carries its only row); the
-    rejected rows are found by a null-safe semi-join against the repeated keys,
-    whose hot partitions AQE splits.
+    ``count(*) OVER (PARTITION BY key)``, which sorts every row of a hot key in
+    one task, the keys alone are counted by a hash aggregate (map-side first).
+    Valid and rejected rows then come from a null-safe anti- and semi-join with
+    the repeated keys, whose hot partitions AQE splits.
     """
-    cols = df.columns
-    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.count(F.lit(1)).alias("_tl_n"),
-        F.first(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("_tl_row"),
-    )
-    valid = grouped.filter(F.col("_tl_n") == 1).select(
-        *[F.col(f"_tl_row.`{c}`").alias(c) for c in cols]
-    )
-    repeated = grouped.filter(F.col("_tl_n") > 1).select(*[F.col(f"`{k}`") for k in keys])
-    rejected = df.join(repeated, key_condition(df, repeated, keys, True), "left_semi").withColumn(
-        "reject_reason", F.lit(reason)
-    )
+    counted = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_tl_n"))
+    repeated = counted.filter(F.col("_tl_n") > 1).select(*prefixed_keys(keys))
+    valid = df.join(repeated, same_keys(keys), "left_anti")
+    rejected = df.join(repeated, same_keys(keys), "left_semi").withColumn("reject_reason", F.lit(reason))
     return valid, rejected
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.operators.dedup import latest_per_key
+
 RUN_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),
@@ -92,20 +94,21 @@ def state_rank(status: Column) -> Column:
 
 
 def latest_state(log: DataFrame, key: str = "run_id", time_col: str = "event_time") -> DataFrame:
-    """Latest row per run (partial aggregate; ties resolved in favour of an end state)."""
-    others = [c for c in log.columns if c != key]
-    order = F.struct(F.col(time_col), state_rank(F.col("status")))
-    latest = F.max_by(F.struct(*[F.col(c) for c in others]), order)
-    # layer/job_name live on the start row only; keep the first non-NULL seen.
-    firsts = [F.first(c, ignorenulls=True).alias(f"_tl_first_{c}") for c in ("layer", "job_name") if c in others]
-    out = log.groupBy(key).agg(latest.alias("_tl_v"), *firsts)
-    cols = []
-    for c in others:
-        if c in ("layer", "job_name"):
-            cols.append(F.coalesce(F.col(f"_tl_v.{c}"), F.col(f"_tl_first_{c}")).alias(c))
-        else:
-            cols.append(F.col(f"_tl_v.{c}").alias(c))
-    return out.select(key, *cols)
+    """Latest row per run (top-1 cut in each map task; ties resolved in favour of an end state).
+
+    Where the latest row names no layer or job, the run's earliest row that does gives them.
+    """
+    latest = latest_per_key(log, [key], [F.col(time_col).desc(), state_rank(F.col("status")).desc()])
+    names = [c for c in ("layer", "job_name") if c in log.columns]
+    if not names:
+        return latest
+    named = log.filter(F.coalesce(*[F.col(c) for c in names]).isNotNull())
+    first = latest_per_key(named, [key], [F.col(time_col).asc(), state_rank(F.col("status")).asc()])
+    first = first.select(F.col(key).alias("_tl_key"), *[F.col(c).alias(f"_tl_{c}") for c in names])
+    joined = latest.join(first, F.col(key) == F.col("_tl_key"), "left")
+    return joined.select(
+        *[F.coalesce(F.col(c), F.col(f"_tl_{c}")).alias(c) if c in names else F.col(c) for c in log.columns]
+    )
 
 
 def update_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str], set_cols: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ current).
 Semantics:
 - the batch is reduced to its latest row per business key under ``order``
   (a total order: pass tie-breakers);
+- keys compare null-safe, so a NULL key is one business key like any other;
 - a key with no current row is *new*; a key whose tracked-column hash differs
   from its current row is *changed*; anything else is left alone, including
   keys absent from the batch (deletes are not propagated);
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions.casting import ntz_literal
 from tierline.functions.hashing import row_hash
-from tierline.operators.dedup import latest_per_key
+from tierline.operators.dedup import latest_per_key, prefixed_keys, same_keys
 from tierline.operators.keys import assign_keys, max_key
 
 SCD_COLUMNS = ("hash_value", "start_date", "end_date", "is_current", "created_at", "updated_at")
@@ -80,10 +81,10 @@ def scd2_apply(
         # batch's keys is a broadcast when the batch is small, so the dimension is not shuffled.
         cur = (
             current.filter(F.col("is_current"))
-            .select(*keys, F.col("hash_value").alias("_tl_cur_hash"))
-            .join(staged.select(*keys), list(keys), "left_semi")
+            .select(*prefixed_keys(keys), F.col("hash_value").alias("_tl_cur_hash"))
+            .join(staged.select(*keys), same_keys(keys), "left_semi")
         )
-        joined = staged.join(cur, list(keys), "left")
+        joined = staged.join(cur, same_keys(keys), "left")
         changes = joined.filter(
             F.col("_tl_cur_hash").isNull() | (F.col("hash_value") != F.col("_tl_cur_hash"))
         ).select(
@@ -113,9 +114,9 @@ def scd2_apply(
         return Scd2Result(first, change_set, first, None)
 
     changed_keys = keyed.filter(F.col("change_type") == "changed").select(
-        *keys, F.lit(True).alias("_tl_changed")
+        *prefixed_keys(keys), F.lit(True).alias("_tl_changed")
     )
-    cur_rows = current.filter(F.col("is_current")).join(changed_keys, list(keys), "left")
+    cur_rows = current.filter(F.col("is_current")).join(changed_keys, same_keys(keys), "left")
     expired = F.col("_tl_changed").isNotNull()
     current_part = cur_rows.select(
         *[F.col(c) for c in out_cols if c not in ("end_date", "is_current", "updated_at")],

@@ -10,6 +10,7 @@ deterministic functions of the rows, written the same way in the SQL oracle
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +29,9 @@ MARK_LO = "2024-01-10 00:00:00"
 MARK_HI = "2024-01-25 00:00:00"
 NEW_KEY_OFFSET = 1_000_000
 REVIEW_PRICE = 400000
-REVIEW_LIMIT = 100
 ORDER_PROMPT = (
-    "Analyze this order.\nOrder: {o_orderkey}\nCustomer: {o_custkey}\nStatus: {o_orderstatus}\n"
-    "Total: {o_totalprice}\nPriority: {o_orderpriority}\nIdentify whether it is abnormal."
+    "Order {o_orderkey} of customer {o_custkey} costs {o_totalprice}, has status {o_orderstatus} and priority "
+    "{o_orderpriority}.\nIs its price plausible? Answer yes or no with one reason."
 )
 DOC_PROMPT = "Summarize the following {lang} text from {source}:\n{text}"
 
@@ -165,7 +165,8 @@ def customer_sources(cust: DataFrame) -> dict[str, DataFrame]:
         F.to_json(F.struct(F.col("c_name").alias("Name"))).alias("customer"),
         as_text["c_nationkey"].alias("c_nationkey"), as_text["c_acctbal"].alias("c_acctbal"), "c_mktsegment",
     )
-    c = cust.filter(F.col("c_mktsegment") == "MACHINERY").select(
+    taken = F.coalesce(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"), F.lit(False))
+    c = cust.filter(~taken).select(
         as_text["c_custkey"].alias("c_custkey"),
         F.concat(F.lit("<customer><Name>"), F.col("c_name"), F.lit("</Name></customer>")).alias("customer"),
         as_text["c_nationkey"].alias("c_nationkey"), as_text["c_acctbal"].alias("c_acctbal"), "c_mktsegment",
@@ -337,6 +338,33 @@ def q_row_hash(spark, sf_dir):
     return part.select("p_partkey", row_hash(part, HASHED_PART).alias("hash_value"))
 
 
+def q_row_hash_doubles(spark, sf_dir):
+    """Whether the change hash tells a double from a close, a huge, a NaN and a NULL one."""
+    balance = F.col("c_acctbal")
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", (balance * 1e-9).alias("tiny"), (balance * 1e-9 * (1 + 2.0**-50)).alias("next"),
+        (balance * 1e35).alias("huge"), F.lit(float("nan")).alias("nan"), F.lit(None).cast("double").alias("none"),
+        (balance + 0.0).alias("same"), balance.alias("balance"),
+    )
+    pairs = [("tiny", "next"), ("tiny", "huge"), ("nan", "none"), ("nan", "balance"), ("same", "balance")]
+    return cust.select(
+        "c_custkey", *[(row_hash(cust, [a]) != row_hash(cust, [b])).alias(f"{a}_{b}") for a, b in pairs]
+    )
+
+
+def q_scd2_null_key(spark, sf_dir):
+    """Customers of nation 0 share a NULL key: two equal loads leave one current row for it."""
+    cust = table(spark, sf_dir, "customer")
+    batch = cust.withColumn("c_custkey", F.when(F.col("c_nationkey") != 0, F.col("c_custkey")))
+    load = functools.partial(
+        scd2.scd2_apply, incoming=batch, keys=["c_custkey"], attrs=CUSTOMER_ATTRS, tracked=CUSTOMER_TRACKED,
+        order=[F.col("c_name").desc()], key_col="customer_key",
+    )
+    first = load(None, as_of=F.lit(AS_OF_1).cast("timestamp_ntz")).state
+    second = load(first, as_of=F.lit(AS_OF_2).cast("timestamp_ntz")).state
+    return second.select("c_custkey", "c_name", "c_acctbal", "is_current", "start_date", "end_date")
+
+
 def q_surrogate_keys(spark, sf_dir):
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return keys.assign_keys(cust, ["c_nationkey", "c_custkey"], "customer_key")
@@ -399,7 +427,7 @@ def q_fact_load(spark, sf_dir):
     dim = customer_dimension(spark, sf_dir).state
     orders = table(spark, sf_dir, "orders").withColumn("c_custkey", F.col("o_custkey"))
     return facts.fact_rows(orders, dim, ["c_custkey"], "customer_key", FACT_COLUMNS,
-                           created_at=F.lit(AS_OF_1).cast("timestamp_ntz"))
+                           created_at=F.lit(AS_OF_1).cast("timestamp_ntz"), prefilter=False)
 
 
 def q_fact_missing_dim(spark, sf_dir):
@@ -420,27 +448,28 @@ def q_fact_point_in_time(spark, sf_dir):
         "fact_date", F.when(F.col("o_orderstatus") == "O", F.lit(AS_OF_2)).otherwise(F.lit(AS_OF_1)).cast("date")
     )
     return facts.fact_rows(orders, dim, ["c_custkey"], "customer_key", ["o_orderkey", "o_custkey", "fact_date"],
-                           created_at=F.lit(AS_OF_2).cast("timestamp_ntz"), point_in_time_col="fact_date")
+                           created_at=F.lit(AS_OF_2).cast("timestamp_ntz"), point_in_time_col="fact_date",
+                           prefilter=False)
 
 
 # ---------------------------------------------------------------- metadata-driven
 
 
 CLEAN_RULES = [
-    {"column": "product_name", "action": "trim"},
-    {"column": "product_name", "action": "lower"},
-    {"column": "category", "action": "trim"},
-    {"column": "category", "action": "lower"},
-    {"column": "price", "action": "cast_double"},
-    {"column": "price", "action": "band", "target": "price_category"},
+    {"column": "p_name", "action": "trim"},
+    {"column": "p_name", "action": "lower"},
+    {"column": "p_type", "action": "trim"},
+    {"column": "p_type", "action": "lower"},
+    {"column": "p_retailprice", "action": "cast_double"},
+    {"column": "p_retailprice", "action": "band", "target": "price_band"},
 ]
 
 GOLD_CONFIG = {
-    "aggregation": {"group_by": ["customer_id", "customer_name"]},
+    "aggregation": {"group_by": ["o_custkey", "c_name"]},
     "metrics": [
-        {"column": "amount", "function": "sum", "alias": "total_sales", "round": 2},
-        {"column": "*", "function": "count", "alias": "order_count"},
-        {"column": "amount", "function": "max", "alias": "max_order"},
+        {"column": "o_totalprice", "function": "sum", "alias": "price_sum", "round": 2},
+        {"column": "*", "function": "count", "alias": "n_orders"},
+        {"column": "o_totalprice", "function": "max", "alias": "price_max"},
     ],
 }
 
@@ -449,9 +478,9 @@ def product_catalog(part: DataFrame) -> DataFrame:
     """Parts as a raw product catalog: padded, upper-cased names, text prices."""
     return part.select(
         "p_partkey",
-        F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")).alias("product_name"),
-        F.concat(F.col("p_type"), F.lit(" ")).alias("category"),
-        F.concat(F.lit(" "), F.col("p_retailprice").cast("string")).alias("price"),
+        F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")).alias("p_name"),
+        F.concat(F.col("p_type"), F.lit(" ")).alias("p_type"),
+        F.concat(F.lit(" "), F.col("p_retailprice").cast("string")).alias("p_retailprice"),
     )
 
 
@@ -462,10 +491,7 @@ def q_clean_rules(spark, sf_dir):
 def orders_clean(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
-    return orders.join(cust, orders.o_custkey == cust.c_custkey).select(
-        F.col("o_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
-        F.col("o_totalprice").alias("amount"),
-    )
+    return orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_custkey", "c_name", "o_totalprice")
 
 
 def q_gold_metrics(spark, sf_dir):
@@ -478,8 +504,7 @@ def q_gold_metrics(spark, sf_dir):
 def q_threshold_prompts(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > REVIEW_PRICE)
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    picked = enrich.review_candidates(orders, cols, [F.col("o_totalprice").desc(), F.col("o_orderkey")], REVIEW_LIMIT)
-    return picked.select("o_orderkey", render_template(ORDER_PROMPT).alias("prompt"))
+    return orders.select(*cols).select("o_orderkey", render_template(ORDER_PROMPT).alias("prompt"))
 
 
 def q_enrich_deterministic(spark, sf_dir):
@@ -577,7 +602,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dup_groups": q_dup_groups,
     "expectations_report": q_expectations_report,
     "row_hash": q_row_hash,
+    "row_hash_doubles": q_row_hash_doubles,
     "surrogate_keys": q_surrogate_keys,
+    "scd2_null_key": q_scd2_null_key,
     "scd2_first_load": q_scd2_first_load,
     "scd2_changes": q_scd2_changes,
     "scd2_second_load": q_scd2_second_load,

@@ -14,7 +14,6 @@ from tierline.plans.catalog import (
     MARK_LO,
     METRIC_TABLES,
     NEW_KEY_OFFSET,
-    REVIEW_LIMIT,
     REVIEW_PRICE,
     SCHEMA_CHECKS,
     TABLE_KEYS,
@@ -25,7 +24,9 @@ NL = "chr(10)"
 
 
 def _dec(c: str) -> str:
-    return f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)"
+    """Text of a double: as a decimal where that is exact, else its shortest round-trip form."""
+    decimal = f"CAST({c} AS DECIMAL(38,6))"
+    return f"CASE WHEN CAST({decimal} AS DOUBLE) = {c} THEN CAST({decimal} AS VARCHAR) ELSE CAST({c} AS VARCHAR) END"
 
 
 CUSTOMER_HASH = f"sha256(to_json([c_name, {_dec('c_acctbal')}, c_mktsegment]))"
@@ -213,6 +214,15 @@ ORACLE: dict[str, str] = {
                sha256(to_json([p_name, CASE WHEN p_size >= 10 THEN p_brand END, p_type,
                                CAST(p_size AS VARCHAR), {_dec('p_retailprice')}])) AS hash_value
         FROM part""",
+    "row_hash_doubles": """
+        SELECT c_custkey, c_acctbal * 1e-9 <> c_acctbal * 1e-9 * (1 + pow(2.0, -50)) AS tiny_next,
+               c_acctbal <> 0 AS tiny_huge, TRUE AS nan_none, TRUE AS nan_balance, FALSE AS same_balance
+        FROM customer""",
+    "scd2_null_key": f"""
+        SELECT CASE WHEN c_nationkey <> 0 THEN c_custkey END AS c_custkey, c_name, c_acctbal, TRUE AS is_current,
+               DATE '{AS_OF_1[:10]}' AS start_date, CAST(NULL AS DATE) AS end_date
+        FROM customer
+        QUALIFY row_number() OVER (PARTITION BY CASE WHEN c_nationkey <> 0 THEN c_custkey END ORDER BY c_name DESC) = 1""",
     "surrogate_keys": """
         SELECT c_custkey, c_nationkey, row_number() OVER (ORDER BY c_nationkey, c_custkey) AS customer_key
         FROM customer""",
@@ -241,24 +251,22 @@ ORACLE: dict[str, str] = {
         FROM f LEFT JOIN dim2 d ON f.o_custkey = d.c_custkey AND d.start_date <= f.fact_date
              AND (d.end_date IS NULL OR f.fact_date < d.end_date)""",
     "clean_rules": """
-        SELECT p_partkey, lower(trim('  ' || upper(p_name) || ' ')) AS product_name,
-               lower(trim(p_type || ' ')) AS category, p_retailprice AS price,
+        SELECT p_partkey, lower(trim('  ' || upper(p_name) || ' ')) AS p_name,
+               lower(trim(p_type || ' ')) AS p_type, p_retailprice,
                CASE WHEN p_retailprice >= 1000 THEN 'Premium' WHEN p_retailprice >= 500 THEN 'Standard'
-                    ELSE 'Budget' END AS price_category
+                    ELSE 'Budget' END AS price_band
         FROM part""",
     "gold_metrics": """
-        SELECT o.o_custkey AS customer_id, c.c_name AS customer_name, round(sum(o.o_totalprice), 2) AS total_sales,
-               count(*) AS order_count, max(o.o_totalprice) AS max_order
+        SELECT o.o_custkey, c.c_name, round(sum(o.o_totalprice), 2) AS price_sum,
+               count(*) AS n_orders, max(o.o_totalprice) AS price_max
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
         GROUP BY 1, 2""",
     "threshold_prompts": f"""
         SELECT o_orderkey,
-               'Analyze this order.' || {NL} || 'Order: ' || CAST(o_orderkey AS VARCHAR) || {NL} ||
-               'Customer: ' || CAST(o_custkey AS VARCHAR) || {NL} || 'Status: ' || o_orderstatus || {NL} ||
-               'Total: ' || CAST(o_totalprice AS VARCHAR) || {NL} || 'Priority: ' || o_orderpriority || {NL} ||
-               'Identify whether it is abnormal.' AS prompt
-        FROM orders WHERE o_totalprice > {REVIEW_PRICE}
-        ORDER BY o_totalprice DESC, o_orderkey LIMIT {REVIEW_LIMIT}""",
+               'Order ' || CAST(o_orderkey AS VARCHAR) || ' of customer ' || CAST(o_custkey AS VARCHAR) || ' costs ' ||
+               CAST(o_totalprice AS VARCHAR) || ', has status ' || o_orderstatus || ' and priority ' ||
+               o_orderpriority || '.' || {NL} || 'Is its price plausible? Answer yes or no with one reason.' AS prompt
+        FROM orders WHERE o_totalprice > {REVIEW_PRICE}""",
     "enrich_deterministic": f"""
         SELECT doc_id, sha256('Summarize the following ' || lang || ' text from ' || source || ':' || {NL} || text)
                AS ai_result
