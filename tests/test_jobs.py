@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierline.plans import jobs
-from tierline.sources.tables import DimensionStore, VersionedTable
+from tierline.operators import quality
+from tierline.sources.tables import ConcurrentWriteError, DimensionStore, LoadLog, VersionedTable, append_rows, read_log
 from tierline.streaming.bronze import ingest_files, read_bronze
 from tierline.streaming.registry import DatasetRegistry
 
@@ -102,7 +105,7 @@ def test_layers_end_to_end(spark, workdir):
     write_xml(f"{src}/emp_c", "c1.xml", [(6, "Fay", "Ng", "65000", 40)])
     silver1, fact1 = run_all_layers(spark, lake, src, dt.datetime(2024, 1, 1))
 
-    s = spark.read.parquet(lake.layer("silver", "employee"))
+    s = LoadLog(spark, lake.layer("silver", "employee")).read()
     assert sorted(r.employee_id for r in s.collect()) == [1, 5, 6]
     assert {r.employee_id: r.first_name for r in s.collect()} == {1: "Ann", 5: "Eve", 6: "Fay"}
     assert silver1.rejected == 5  # 2 (two sources) + 3 (bad salary) + 4 ×2
@@ -128,6 +131,7 @@ def test_layers_end_to_end(spark, workdir):
     version_before = store.latest_version()
     silver3, fact3 = run_all_layers(spark, lake, src, dt.datetime(2024, 3, 1))
     assert silver3.loaded == 0 and fact3 == 0
+    assert LoadLog(spark, lake.layer("silver", "employee")).last()["load"] == 2
     assert store.latest_version() == version_before
     assert store.current().count() == 4
 
@@ -194,7 +198,9 @@ def test_registry_runs_declared_datasets(spark, workdir):
         return s.readStream.schema("sku string").option("header", "true").csv(f"{workdir}/erp")
 
     assert reg.run(spark, f"{workdir}/lake") == {"bronze_crm": 1, "bronze_erp": 2}
-    assert spark.read.parquet(reg.path(f"{workdir}/lake", "bronze_erp")).columns == ["sku", "file_path", "ingestion_time"]
+    erp_rows = read_bronze(spark, reg.path(f"{workdir}/lake", "bronze_erp"))
+    assert erp_rows.columns == ["sku", "file_path", "ingestion_time", "batch_id"] and erp_rows.count() == 2
+    assert reg.run(spark, f"{workdir}/lake") == {"bronze_crm": 0, "bronze_erp": 0}
 
 
 def test_versioned_table_ignores_uncommitted(spark, workdir):
@@ -230,8 +236,6 @@ def test_bronze_reads_only_logged_batches(spark, workdir):
 
 
 def test_silver_and_fact_loads_are_exactly_once_across_crashes(spark, workdir, monkeypatch):
-    from tierline.sources.tables import LoadLog
-
     src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
     write_csv(f"{src}/emp_a", "a1.csv", HEADER, [emp(1, "Ann", "Lee", "50000", 10), emp(2, "Bob", "Ray", "60000", 20)])
     jobs.bronze_job(spark, lake, "emp_a", f"{src}/emp_a", "csv")
@@ -253,12 +257,15 @@ def test_silver_and_fact_loads_are_exactly_once_across_crashes(spark, workdir, m
     except RuntimeError:
         pass
     monkeypatch.setattr(jobs, "_append_marks", real_marks)
-    rerun = silver(dt.datetime(2024, 1, 2))  # completes the marks, rewrites nothing
-    assert rerun.loaded == 2
+    assert jobs.marks(spark, lake).count() == 0
+    assert silver(dt.datetime(2024, 1, 2)).loaded == 0  # the load is committed: completes the marks, rewrites nothing
+    assert [(m.pipeline_destination, m.position) for m in jobs.marks(spark, lake).collect()] == [("a", 0)]
     rows = LoadLog(spark, lake.layer("silver", "employee")).read().collect()
     assert sorted(r.employee_id for r in rows) == [1, 2]
     assert {str(r.silver_ingestion_time) for r in rows} == {"2024-01-01 00:00:00"}  # first attempt's rows kept
-    assert silver(dt.datetime(2024, 1, 3)).loaded == 0  # marks are in place now
+    assert silver(dt.datetime(2024, 1, 3)).loaded == 0
+
+    assert jobs.marks(spark, lake).count() == 1
 
     # 2. A fact load dies before its log row: its folder stays invisible and the rerun replaces it.
     jobs.dimension_job(spark, lake, "dim_employee", "employee", ["employee_id"], ATTRS, TRACKED,
@@ -320,3 +327,161 @@ def test_csv_quotes_and_multiline_fallback(spark, workdir):
     ingest_files(spark, src2, f"{workdir}/b2", f"{workdir}/c2", "csv", options={"multiLine": "true"})
     got2 = sorted((r.id, r.note) for r in read_bronze(spark, f"{workdir}/b2").collect())
     assert got2 == [("1", "two\nlines"), ("2", "one")]
+
+
+def employee_sources(spark, lake, src):
+    jobs.bronze_job(spark, lake, "emp_a", f"{src}/emp_a", "csv")
+    return {"a": jobs.SilverSource(lake.layer("bronze", "emp_a"))}
+
+
+def load(spark, lake, src, as_of):
+    silver = jobs.silver_job(spark, lake, "employee", employee_sources(spark, lake, src), SPEC, KEYS, as_of=as_of)
+    jobs.dimension_job(spark, lake, "dim_employee", "employee", ["employee_id"], ATTRS, TRACKED,
+                       [F.col("silver_ingestion_time").desc()], "employee_key", as_of=as_of)
+    fact = jobs.fact_job(spark, lake, "fact_employee", "employee", "dim_employee", ["employee_id"], "employee_key",
+                         ["employee_id", "salary"], as_of=as_of)
+    return silver.loaded, fact
+
+
+def test_idle_runs_and_crashes_lose_nothing(spark, workdir, monkeypatch):
+    """Load, idle run, crash between data and commit, idle run, delivery: every row arrives once."""
+    src, lake, day = f"{workdir}/src", jobs.Lake(f"{workdir}/lake"), dt.datetime(2024, 1, 1)
+    write_csv(f"{src}/emp_a", "a1.csv", HEADER, [emp(1, "Ann", "Lee", "50000", 10)])
+    assert load(spark, lake, src, day) == (1, 1)
+    assert load(spark, lake, src, day) == (0, 0)
+    write_csv(f"{src}/emp_a", "a2.csv", HEADER, [emp(2, "Bob", "Ray", "60000", 20)])
+    real = LoadLog.commit
+
+    def crash(self, *a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(LoadLog, "commit", crash)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        load(spark, lake, src, day)
+    monkeypatch.setattr(LoadLog, "commit", real)
+    assert load(spark, lake, src, dt.datetime(2023, 1, 1)) == (1, 1)  # an earlier time than the first load's
+    assert load(spark, lake, src, day) == (0, 0)
+    write_csv(f"{src}/emp_a", "a3.csv", HEADER, [emp(3, "Cid", "Kay", "70000", 30)])
+    assert load(spark, lake, src, day) == (1, 1)
+    facts = LoadLog(spark, lake.layer("gold", "fact_employee")).read()
+    assert sorted(r.employee_id for r in facts.collect()) == [1, 2, 3]
+
+
+def test_gates_log_then_raise(spark, workdir):
+    src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
+    write_csv(f"{src}/emp_a", "a1.csv", [h for h in HEADER if h != "Department_id"], [["1"] * 12])
+    sources = employee_sources(spark, lake, src)
+    with pytest.raises(quality.QualityError, match="Department_id"):
+        jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS)
+    rows = read_log(spark, lake.system("quality")).collect()
+    assert {(r.table_name, r.check_name, r.status) for r in rows} == {
+        ("employee.a", "schema_check", "FAIL"), ("employee", "schema_check", "FAIL")
+    }
+    assert LoadLog(spark, lake.layer("silver", "employee")).last() is None
+
+    src2, lake2 = f"{workdir}/src2", jobs.Lake(f"{workdir}/lake2")
+    write_csv(f"{src2}/emp_a", "a1.csv", HEADER, [emp(1, "", "Lee", "50000", 10), emp(2, "Bob", "Ray", "1", 10)])
+    with pytest.raises(quality.QualityError, match="First_Name_null_check"):
+        jobs.silver_job(spark, lake2, "employee", employee_sources(spark, lake2, src2), SPEC, KEYS, null_gates=["First_Name"])
+    failed = read_log(spark, lake2.system("quality")).filter("status = 'FAIL'").collect()
+    assert [(r.check_name, r.failed_records) for r in failed] == [("First_Name_null_check", 1)]
+
+
+def test_malformed_records_keep_their_text_in_quarantine(spark, workdir):
+    src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
+    os.makedirs(f"{src}/emp_b")
+    with open(f"{src}/emp_b/b.json", "w") as f:
+        f.write(json.dumps(emp_json(5, "Eve", "Sun", "55000", 30)) + '\n{"Employee_id": "6", "Salary": \n')
+    jobs.bronze_job(spark, lake, "emp_b", f"{src}/emp_b", "json")
+    sources = {"b": jobs.SilverSource(lake.layer("bronze", "emp_b"), json_fields={
+        "First_Name": ("customer", "$.First_Name"), "Last_Name": ("customer", "$.Last_Name")})}
+    result = jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, not_null=["employee_id"])
+    assert (result.loaded, result.rejected) == (1, 1)
+    row = jobs.read_rejects(spark, lake, "employee").first()
+    assert row.reject_reason == "Malformed record"
+    assert json.loads(row.payload)["_rescued_data"].startswith('{"Employee_id": "6"')
+    assert "_rescued_data" not in LoadLog(spark, lake.layer("silver", "employee")).read().columns
+
+
+def test_replayed_batch_is_left_alone(spark, workdir):
+    from tierline.streaming.bronze import _write_batch
+
+    rows = spark.createDataFrame([("1",)], "id string").withColumn("ingestion_time", F.current_timestamp())
+    assert _write_batch(rows, f"{workdir}/b", 0, {}) == 1
+    before = read_bronze(spark, f"{workdir}/b").first().ingestion_time
+    assert _write_batch(rows, f"{workdir}/b", 0, {}) == 0
+    assert read_bronze(spark, f"{workdir}/b").first().ingestion_time == before
+    assert spark.read.parquet(f"{workdir}/b/_batches").count() == 1
+
+
+def test_increments_are_partition_filters(spark, workdir):
+    src, lake, day = f"{workdir}/src", jobs.Lake(f"{workdir}/lake"), dt.datetime(2024, 1, 1)
+    for i in (1, 2):
+        write_csv(f"{src}/emp_a", f"a{i}.csv", HEADER, [emp(i, "Ann", "Lee", "50000", 10)])
+        load(spark, lake, src, day)
+    plan = LoadLog(spark, lake.layer("silver", "employee")).read(after=1)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*load#\d+L > 1", plan) and "Join" not in plan
+    from tierline.streaming.bronze import last_batches, read_batches
+
+    bronze = lake.layer("bronze", "emp_a")
+    newest = last_batches(spark, {"a": bronze})["a"]
+    plan = read_batches(spark, bronze, newest, after=0)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*batch_id#\d+L > 0", plan)
+
+
+def test_commit_refuses_a_taken_version(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t")
+    t.write(spark.range(3))
+    with pytest.raises(ConcurrentWriteError):
+        t._commit(1)
+    loads = LoadLog(spark, f"{workdir}/l")
+    spark.range(2).write.parquet(loads.folder(1))
+    loads.commit(1, 2, {"x": 1}, spark.range(1).schema)
+    with pytest.raises(ConcurrentWriteError):
+        loads.commit(1, 2, {"x": 2}, spark.range(1).schema)
+    assert loads.positions() == {"x": 1} and loads.read().count() == 2
+
+
+def test_xml_and_multiline_json_are_never_one_value(spark, workdir, monkeypatch):
+    """Only paths are streamed: no text source with whole files takes part."""
+    from tierline.streaming import bronze
+
+    monkeypatch.setattr(bronze, "_text_lines", lambda *a, **k: (_ for _ in ()).throw(AssertionError("read as text")))
+    write_xml(f"{workdir}/x", "c1.xml", [(6, "Fay", "Ng", "65000", 40)])
+    assert ingest_files(spark, f"{workdir}/x", f"{workdir}/bx", f"{workdir}/cx", "xml", options={"rowTag": "record"}).rows == 1
+    os.makedirs(f"{workdir}/j")
+    with open(f"{workdir}/j/a b.json", "w") as f:
+        f.write('[\n{"id": 1,\n "o": {"k": [1, 2]}},\n{"id": "2"}\n]')
+    with open(f"{workdir}/j/bad.json", "w") as f:
+        f.write('{"id": 3,\n ')
+    assert ingest_files(spark, f"{workdir}/j", f"{workdir}/bj", f"{workdir}/cj", "json", options={"multiLine": "true"}).rows == 3
+    got = sorted((r.id or "", r.o or "", r._rescued_data is not None) for r in read_bronze(spark, f"{workdir}/bj").collect())
+    assert got == [("", "", True), ("1", '{"k": [1, 2]}', False), ("2", "", False)]
+
+
+def test_csv_headers_and_rescue(spark, workdir):
+    src = f"{workdir}/src"
+    os.makedirs(src)
+    with open(f"{src}/a.csv", "w") as f:
+        f.write('"Name, full",id,,last\n"Doe, J",7,x,l\n"Roe",8,y,m,more\nshort\n')
+    with open(f"{src}/b.csv", "w") as f:
+        f.write('id,id,other\n9,10,z\n')
+    ingest_files(spark, src, f"{workdir}/b", f"{workdir}/c", "csv")
+    columns = ["Name, full", "id", "_c2", "last", "id_1", "other", "_rescued_data"]
+    got = sorted(tuple(r[c] or "" for c in columns) for r in read_bronze(spark, f"{workdir}/b").collect())
+    assert got == [("", "9", "", "", "10", "z", ""), ("Doe, J", "7", "x", "l", "", "", ""),
+                   ("Roe", "8", "y", "m", "", "", '"Roe",8,y,m,more'), ("short", "", "", "", "", "", "")]
+
+
+def test_run_errors_are_kept_whole(spark, workdir):
+    lake = jobs.Lake(f"{workdir}/lake")
+    lake.create_logs(spark)
+
+    def boom():
+        raise RuntimeError("x" * 5000)
+
+    with pytest.raises(RuntimeError):
+        jobs.run_job(spark, lake, "silver", "x", boom)
+    assert len(jobs.run_states(spark, lake).first().error) > 5000
+    append_rows(jobs.runlog.metric_row(spark, "j", "SUCCESS", 1), lake.system("metrics"))
+    assert read_log(spark, lake.system("metrics")).count() == 1

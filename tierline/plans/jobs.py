@@ -6,13 +6,16 @@ system tables are append-only.
 
 Incremental contract of every silver/gold job:
 
-1. read the mark ``lo`` per source (one mark per source, so a late source
-   with older times is not skipped);
-2. fix ``hi`` = the source's current maximum *before* writing anything;
-3. process ``lo < t <= hi``;
-4. write output to a folder named by the starting marks (a rerun after a
-   crash rewrites the same folder instead of adding a second copy);
-5. append the new marks.
+1. how far earlier loads have read each source comes from the target's own log,
+   as a batch or load number, so times given by a caller or a clock never decide
+   what is read;
+2. the end of each source is fixed from the source's log *before* writing;
+3. no source has anything beyond: the job returns without writing a load;
+4. the increment is read by a filter on the source's partition column;
+5. output goes to the next numbered folder, and one log row commits the data and
+   the new read positions together. A job that died before it leaves a folder that
+   the rerun overwrites; one that died after it has nothing to repeat;
+6. new marks (position and time) are appended; a rerun completes missing ones.
 """
 
 from __future__ import annotations
@@ -20,8 +23,6 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import functools
-import hashlib
-import json
 import logging
 import time
 import uuid
@@ -29,16 +30,23 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.casting import ConformSpec
-from tierline.functions.text import render_template, row_text, xml_field
+from tierline.functions.text import render_template, row_text
 from tierline.operators import conform as conform_ops
 from tierline.operators import dedup, enrich, facts, incremental, metadata, quality, runlog, scd2
-from tierline.sources.files import path_exists
-from tierline.sources.tables import DimensionStore, LoadLog, VersionedTable, append_rows, read_log
-from tierline.streaming.bronze import IngestResult, ingest_files, read_bronze
+from tierline.sources.tables import (
+    DimensionStore,
+    LoadLog,
+    VersionedTable,
+    append_rows,
+    ensure_log,
+    read_log,
+    write_observed,
+)
+from tierline.streaming.bronze import RESCUE_COLUMN, IngestResult, ingest_files, last_batches, read_batches
 
 
 log = logging.getLogger("tierline.jobs")
@@ -66,6 +74,20 @@ class Lake:
     def system(self, name: str) -> str:
         return self.layer("system", name)
 
+    def create_logs(self, spark: SparkSession) -> None:
+        """Create the system tables that do not exist yet, empty, so they can be read from the start."""
+        for name, schema in SYSTEM_LOGS.items():
+            ensure_log(spark, self.system(name), schema)
+
+
+SYSTEM_LOGS = {
+    "marks": incremental.MARK_SCHEMA,
+    "runs": runlog.RUN_SCHEMA,
+    "audit": runlog.AUDIT_SCHEMA,
+    "metrics": runlog.METRIC_SCHEMA,
+    "quality": quality.RESULT_SCHEMA,
+}
+
 
 # ------------------------------------------------------------------ run logging
 
@@ -82,7 +104,7 @@ def run_job(spark: SparkSession, lake: Lake, layer: str, job: str, fn: Callable[
         append_rows(runlog.audit_row(spark, run_id, runlog.START, f"{layer}.{job} started"), lake.system("audit"))
         records = int(fn() or 0)
     except Exception as e:
-        msg = f"{type(e).__name__}: {e}"[:2000]
+        msg = f"{type(e).__name__}: {e}"
         append_rows(runlog.end_row(spark, run_id, runlog.FAILED, 0, msg, layer, job), lake.system("runs"))
         append_rows(runlog.audit_row(spark, run_id, runlog.ERROR, msg), lake.system("audit"))
         raise
@@ -102,56 +124,29 @@ def marks(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_log(spark, lake.system("marks"), incremental.MARK_SCHEMA)
 
 
-def _load_tag(parts: Sequence) -> str:
-    """Folder tag of a load, from the marks it starts at (a letter first, so partition
-    discovery always reads it as text)."""
-    return "m" + hashlib.sha1(repr(tuple(parts)).encode()).hexdigest()[:16]
-
-
-def _bounds(
-    spark: SparkSession, lake: Lake, pipeline: str, frames: Mapping[str, DataFrame], ts_col: str
-) -> dict[str, tuple]:
-    """``{source: (lo, hi)}``: stored marks and each source's current maximum.
-
-    All maxima come from one job (one single-column aggregate per source, unioned);
-    the marks from another. Both results have one row per source.
-    """
-    log = incremental.latest_marks(marks(spark, lake).filter(F.col("pipeline_name") == pipeline))
-    stored = {r["pipeline_destination"]: r["ingestion_time"] for r in log.collect()}
-    maxima = None
-    for name, df in frames.items():
-        part = df.agg(F.max(ts_col).alias("hi")).select(F.lit(name).alias("source"), "hi")
-        maxima = part if maxima is None else maxima.unionByName(part)
-    his = {r["source"]: r["hi"] for r in maxima.collect()} if maxima is not None else {}
-    return {name: (stored.get(name), his.get(name)) for name in frames}
-
-
-def _write_counted(df: DataFrame, path: str, name: str) -> int:
-    """Overwrite ``path`` with ``df`` and return the row count observed during the write."""
-    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return int(obs.get["n"])
-
-
-def _bounds_json(bounds: Mapping[str, tuple]) -> str:
-    return json.dumps({k: (None if hi is None else hi.isoformat()) for k, (_, hi) in bounds.items()})
-
-
-def _bounds_from_json(text: str | None) -> dict[str, tuple]:
-    raw = json.loads(text or "{}")
-    return {k: (None, None if v is None else dt.datetime.fromisoformat(v)) for k, v in raw.items()}
-
-
-def _append_marks(spark: SparkSession, lake: Lake, pipeline: str, src: str, bounds: Mapping[str, tuple]) -> None:
-    rows = None
-    now = _now()
-    for name, (lo, hi) in bounds.items():
-        if hi is None or (lo is not None and hi <= lo):
-            continue
-        r = incremental.mark_rows(spark, pipeline, src, name, hi, now)
+def _append_marks(
+    spark: SparkSession, lake: Lake, pipeline: str, src: str, positions: Mapping[str, int], times: Mapping[str, object]
+) -> None:
+    """One mark row per source that moved (one append)."""
+    rows, now = None, _now()
+    for name, position in positions.items():
+        r = incremental.mark_rows(spark, pipeline, src, name, times.get(name), now, position)
         rows = r if rows is None else rows.unionByName(r)
     if rows is not None:
-        append_rows(rows, lake.system("marks"))
+        append_rows(rows.coalesce(1), lake.system("marks"))
+
+
+def _complete_marks(
+    spark: SparkSession, lake: Lake, pipeline: str, src: str, positions: Mapping[str, int], times: Mapping[str, object]
+) -> None:
+    """Append the marks that a job which died after its commit has left out."""
+    log = marks(spark, lake).filter(F.col("pipeline_name") == pipeline)
+    marked = {
+        r["pipeline_destination"]: r["position"]
+        for r in log.groupBy("pipeline_destination").agg(F.max("position").alias("position")).collect()
+    }
+    behind = {name: p for name, p in positions.items() if marked.get(name) is None or marked[name] < p}
+    _append_marks(spark, lake, pipeline, src, behind, times)
 
 
 # ------------------------------------------------------------------ bronze
@@ -159,12 +154,12 @@ def _append_marks(spark: SparkSession, lake: Lake, pipeline: str, src: str, boun
 
 def bronze_job(
     spark: SparkSession, lake: Lake, table: str, source_dir: str, fmt: str, options: Mapping[str, str] | None = None,
-    max_files_per_trigger: int | None = 1000,
+    max_files_per_trigger: int = 1000, rescue_column: str | None = RESCUE_COLUMN,
 ) -> IngestResult:
     base = lake.layer("bronze", table)
     return ingest_files(
         spark, source_dir, base, f"{base}_checkpoint", fmt, options=options, schema_location=f"{base}_schema",
-        max_files_per_trigger=max_files_per_trigger,
+        max_files_per_trigger=max_files_per_trigger, rescue_column=rescue_column,
     )
 
 
@@ -189,12 +184,32 @@ class SilverResult:
 
 
 def _flatten(df: DataFrame, src: SilverSource) -> DataFrame:
-    for target, (column, path) in src.json_fields.items():
-        df = df.withColumn(target, F.get_json_object(column, path))
-    for target, (column, tag) in src.xml_fields.items():
-        df = df.withColumn(target, xml_field(column, tag))
-    drop = [*src.drop, *{c for c, _ in src.json_fields.values()}, *{c for c, _ in src.xml_fields.values()}]
-    return df.drop(*drop)
+    for flatten, fields in ((conform_ops.flatten_json, src.json_fields), (conform_ops.flatten_xml, src.xml_fields)):
+        for column in dict.fromkeys(c for c, _ in fields.values()):
+            df = flatten(df, column, {target: path for target, (c, path) in fields.items() if c == column})
+    return df.drop(*src.drop)
+
+
+def _gate(
+    spark: SparkSession, lake: Lake, table: str, parts: Mapping[str, DataFrame], spec: ConformSpec,
+    required: Sequence[str], null_gates: Sequence[str], at: dt.datetime,
+) -> list[quality.CheckResult]:
+    """Check the raw sources; on failure write every result, then raise ``QualityError``.
+
+    Each source must have the ``required`` columns, some source each of the spec's
+    columns, and the ``null_gates`` columns no NULL in any source (one aggregate).
+    """
+    checks = [quality.check_columns(df, "silver", f"{table}.{name}", required) for name, df in parts.items()]
+    everywhere = {c for df in parts.values() for c in df.columns}
+    missing = [source for source, _, _ in spec if source not in everywhere]
+    checks.append(quality.schema_result("silver", table, missing))
+    if null_gates and not any(c.status == "FAIL" for c in checks):
+        union = conform_ops.union_sources({n: df.select(*null_gates) for n, df in parts.items()}, None)
+        checks += quality.check_nulls(union, "silver", table, null_gates)
+    if any(c.status == "FAIL" for c in checks):
+        append_rows(quality.result_rows(spark, checks, at), lake.system("quality"))
+        quality.raise_on_failure(checks)
+    return checks
 
 
 def silver_job(
@@ -206,80 +221,111 @@ def silver_job(
     keys: Sequence[str],
     not_null: Sequence[str] = (),
     as_of: dt.datetime | None = None,
+    required: Sequence[str] | None = None,
+    null_gates: Sequence[str] = (),
 ) -> SilverResult:
-    """Bronze sources → typed, de-duplicated silver rows (C2/C3)."""
+    """Bronze sources → typed, de-duplicated silver rows (C2/C3).
+
+    ``required`` raw columns (default: those behind the keys) must be in every source, and
+    ``null_gates`` raw columns without NULL, or the job logs the result and fails. Rows with
+    values that do not convert, NULL in ``not_null`` or a repeated key go to quarantine.
+    """
     as_of = as_of or _now()
     pipeline = f"silver.{table}"
-    # A source that has delivered nothing yet has no bronze folder: it simply takes no part.
-    sources = {name: s for name, s in sources.items() if path_exists(spark, s.bronze_path)}
-    if not sources:
+    # A source that has delivered nothing yet has no batch log: it simply takes no part.
+    with _step(f"{pipeline}: positions"):
+        newest = last_batches(spark, {name: s.bronze_path for name, s in sources.items()})
+        loads = LoadLog(spark, lake.layer("silver", table))
+        last = loads.last()
+        done = loads.positions(last) if last is not None else {}
+    times = {name: row["ingestion_time"] for name, row in newest.items()}
+    pending = {name: row["batch_id"] for name, row in newest.items() if row["batch_id"] > done.get(name, -1)}
+    if not pending:
+        _complete_marks(spark, lake, pipeline, "bronze", done, times)
         return SilverResult(0, 0, [])
-    with _step(f"{pipeline}: read bronze"):
-        bronze = {name: read_bronze(spark, s.bronze_path) for name, s in sources.items()}
-    with _step(f"{pipeline}: bounds"):
-        bounds = _bounds(spark, lake, pipeline, bronze, "ingestion_time")
     parts = {}
-    for name, s in sources.items():
-        lo, hi = bounds[name]
-        rows = incremental.bounded(bronze[name], "ingestion_time", lo, hi).drop("batch_id", "_rescued_data")
-        parts[name] = _flatten(rows, s)
-    tag = _load_tag([bounds[n][0] for n in sorted(bounds)])
-    loads = LoadLog(spark, lake.layer("silver", table))
-    done = loads.find(tag)
-    if done is not None:
-        # This load was completed by an earlier attempt that stopped before its marks.
-        _append_marks(spark, lake, pipeline, "bronze", _bounds_from_json(done["bounds"]))
-        return SilverResult(int(done["rows"]), 0, [])
+    for name in sources:
+        if name in pending:
+            rows = read_batches(spark, sources[name].bronze_path, newest[name], after=done.get(name)).drop("batch_id")
+            parts[name] = _flatten(rows, sources[name])
+    if required is None:
+        raw_of = {target: source for source, target, _ in spec}
+        required = list(dict.fromkeys(raw_of[k] for k in [*keys, *not_null] if k in raw_of))
+    checks = _gate(spark, lake, table, parts, spec, required, null_gates, as_of)
     union = conform_ops.union_sources(parts, source_col="source")
+    if RESCUE_COLUMN not in union.columns:
+        union = union.withColumn(RESCUE_COLUMN, F.lit(None).cast("string"))
     # The increment feeds two writes (silver and quarantine): keep it for the job's
     # duration. A lost executor recomputes its part from the bounded bronze read.
     union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of, tag, loads)
+        number = (0 if last is None else last["load"]) + 1
+        existing = None if last is None else loads.read(last=last)
+        result, schema = _silver_load(
+            spark, lake, table, pipeline, union, existing, spec, keys, not_null, as_of, number, loads.folder(number)
+        )
     finally:
         union.unpersist()
+    with _step(f"{pipeline}: logs and marks"):
+        loads.commit(number, result.loaded, pending, schema)
+        result.checks[:0] = checks
+        append_rows(quality.result_rows(spark, result.checks, as_of), lake.system("quality"))
+        _append_marks(spark, lake, pipeline, "bronze", pending, times)
+    return result
 
 
-def _silver_load(spark, lake, table, pipeline, union, bounds, spec, keys, not_null, as_of, tag, loads) -> SilverResult:
-    valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=["file_path", "bronze_ingestion_time", "source"])
+def _silver_load(spark, lake, table, pipeline, union, existing, spec, keys, not_null, as_of, number, folder):
+    kept = ["file_path", "bronze_ingestion_time", "source", RESCUE_COLUMN]
+    valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=kept)
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
 
-    checks = [quality.check_columns(valid, "silver", table, [*keys, *not_null])]
     key_nulls = None
     valid_nn = valid
     if not_null:
         any_null = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
         key_nulls, valid_nn = valid.filter(any_null), valid.filter(~any_null)
     unique, dups = quality.split_duplicate_keys(valid_nn, keys, "Duplicate business key")
-
-    silver_path = lake.layer("silver", table)
-    new_rows = unique
-    existing = loads.read()  # completed loads only; this load's folder is not among them
-    if existing is not None:
-        new_rows = dedup.anti_join_new(unique, existing, keys)
-    out = f"{silver_path}/load={tag}"
+    new_rows = unique if existing is None else dedup.anti_join_new(unique, existing, keys)
+    new_rows = new_rows.drop(RESCUE_COLUMN)
     with _step(f"{pipeline}: write silver"):
-        loaded = _write_counted(new_rows, out, f"silver_{table}_{tag}")
+        loaded = write_observed(new_rows, folder)["rows"]
 
     rejects = quality.quarantine_rows(dups, f"silver.{table}", at=as_of)
     rejects = rejects.unionByName(quality.quarantine_rows(bad_casts, f"silver.{table}", at=as_of))
     if key_nulls is not None:
+        # a malformed record has only its rescued text, so its key is NULL
+        why = F.when(F.col(RESCUE_COLUMN).isNotNull(), "Malformed record").otherwise("NULL key")
         rejects = rejects.unionByName(
-            quality.quarantine_rows(key_nulls.withColumn("reject_reason", F.lit("NULL key")), f"silver.{table}", at=as_of)
+            quality.quarantine_rows(key_nulls.withColumn("reject_reason", why), f"silver.{table}", at=as_of)
         )
+    reason = F.col("reject_reason")
     with _step(f"{pipeline}: write rejects"):
-        n_rejected = _write_counted(
-            rejects, f"{lake.system('rejects')}/table={table}/load={tag}", f"rejects_{table}_{tag}"
-        )
-    checks.append(
-        quality.CheckResult("silver", table, "business_key_check", "PASS" if n_rejected == 0 else "FAIL", n_rejected,
-                            f"{n_rejected} rows quarantined")
-    )
-    with _step(f"{pipeline}: logs and marks"):
-        loads.commit(tag, loaded, _bounds_json(bounds))
-        append_rows(quality.result_rows(spark, checks, as_of), lake.system("quality"))
-        _append_marks(spark, lake, pipeline, "bronze", bounds)
-    return SilverResult(loaded, n_rejected, checks)
+        seen = write_observed(
+            rejects, f"{lake.system('rejects')}/table={table}/load={number}",
+            business_key_check=F.count_if(reason == "Duplicate business key"),
+            cast_check=F.count_if(reason.startswith("Invalid value")),
+            key_null_check=F.count_if(reason == "NULL key"),
+            record_check=F.count_if(reason == "Malformed record"),
+        )
+    checks = [
+        quality.CheckResult("silver", table, name, "PASS" if n == 0 else "FAIL", n, f"{n} rows quarantined")
+        for name, n in seen.items()
+        if name != "rows"
+    ]
+    return SilverResult(loaded, seen["rows"], checks), new_rows.schema
+
+
+def read_rejects(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
+    """The table's quarantine, of committed loads only (a partition filter); ``None`` before the first load."""
+    last = LoadLog(spark, lake.layer("silver", table)).last()
+    if last is None:
+        return None
+    rejects = spark.read.schema(REJECT_SCHEMA).parquet(f"{lake.system('rejects')}/table={table}")
+    return rejects.filter(F.col("load") <= F.lit(last["load"]))
+
+
+#: Stable shape of quarantined rows, with the number of the load that rejected them.
+REJECT_SCHEMA = "source STRING, reject_reason STRING, payload STRING, rejected_at TIMESTAMP, load BIGINT"
 
 
 # ------------------------------------------------------------------ gold
@@ -297,29 +343,37 @@ def dimension_job(
     key_col: str,
     as_of: dt.datetime | None = None,
 ) -> scd2.Scd2Result | None:
-    """Silver → SCD2 dimension (C4/C5); the mark advances even when nothing changed."""
+    """Silver → SCD2 dimension (C4/C5); the mark advances even when nothing changed.
+
+    Returns ``None`` when silver holds no load beyond the last one applied.
+    """
     as_of = as_of or _now()
     pipeline = f"gold.{dim}"
-    silver = LoadLog(spark, lake.layer("silver", silver_table)).read()
-    if silver is None:
+    silver = LoadLog(spark, lake.layer("silver", silver_table))
+    last = silver.last()
+    if last is None:
         return None
-    bounds = _bounds(spark, lake, pipeline, {silver_table: silver}, "silver_ingestion_time")
-    lo, hi = bounds[silver_table]
-    incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
+    end, times = int(last["load"]), {silver_table: last["committed_at"]}
     store = DimensionStore(spark, lake.layer("gold", dim))
+    done = store.committed_position()
+    if done is not None and end <= done:
+        _complete_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: done}, times)
+        return None
     with _step(f"{pipeline}: apply"):
+        incoming = silver.read(after=done, last=last)
         current = store.read() if store.exists() else None
         start = store.committed_max_key() if current is not None else 0
         result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col, start_key=start)
-    # No new or changed key: nothing to rewrite (the change set is already materialised,
-    # so this check is cheap); the mark still advances.
-    if current is None or not result.changes.isEmpty():
-        with _step(f"{pipeline}: write"):
-            new_max = result.changes.agg(F.max(key_col).alias("m")).first()["m"]
-            top = max(v for v in (start, new_max) if v is not None) if (start or new_max) else None
-            store.write_load(result.current, result.expired, max_key=top)
+        # the change set is materialised, so this reads only its keys
+        new_max = result.changes.agg(F.max(key_col).alias("m")).first()["m"]
+    with _step(f"{pipeline}: write"):
+        if current is None or new_max is not None:
+            top = max((v for v in (start, new_max) if v is not None), default=None)
+            store.write_load(result.current, result.expired, max_key=top, position=end)
+        else:  # no new or changed key: nothing to rewrite
+            store.advance(end)
     with _step(f"{pipeline}: marks"):
-        _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
+        _append_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: end}, times)
     return result
 
 
@@ -337,27 +391,32 @@ def fact_job(
     """Silver rows → fact rows keyed to the current dimension version (C6)."""
     as_of = as_of or _now()
     pipeline = f"gold.{fact}"
-    silver = LoadLog(spark, lake.layer("silver", silver_table)).read()
-    if silver is None:
+    silver = LoadLog(spark, lake.layer("silver", silver_table))
+    last = silver.last()
+    if last is None:
         return 0
-    bounds = _bounds(spark, lake, pipeline, {silver_table: silver}, "silver_ingestion_time")
-    lo, hi = bounds[silver_table]
-    tag = _load_tag([lo])
+    end, times = int(last["load"]), {silver_table: last["committed_at"]}
     loads = LoadLog(spark, lake.layer("gold", fact))
-    done = loads.find(tag)
-    if done is not None:  # completed earlier; only the marks were missing
-        _append_marks(spark, lake, pipeline, f"silver.{silver_table}", _bounds_from_json(done["bounds"]))
-        return int(done["rows"])
-    incoming = incremental.bounded(silver, "silver_ingestion_time", lo, hi)
+    before = loads.last()
+    done = (loads.positions(before) if before is not None else {}).get(silver_table)
+    if done is not None and end <= done:
+        _complete_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: done}, times)
+        return 0
+    incoming = silver.read(after=done, last=last)
     dimension = DimensionStore(spark, lake.layer("gold", dim)).current()
     # Several current rows for one key would multiply fact rows: check the keys this load touches.
-    touched = dimension.join(incoming.select(*keys).distinct(), list(keys), "left_semi")
+    touched = dimension
+    if done is not None:
+        wanted = incoming.select(*dedup.prefixed_keys(keys)).distinct()
+        touched = dimension.join(wanted, dedup.same_keys(keys), "left_semi")
     if not quality.unique_current_keys(touched, keys).isEmpty():
         raise quality.QualityError(f"{dim}: business keys with more than one current row")
-    rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of)
-    n = _write_counted(rows, f"{lake.layer('gold', fact)}/load={tag}", f"fact_{fact}")
-    loads.commit(tag, n, _bounds_json(bounds))
-    _append_marks(spark, lake, pipeline, f"silver.{silver_table}", bounds)
+    # the first load touches most of the dimension: cutting it to the increment's keys would only add work
+    rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of, prefilter=done is not None)
+    number = (0 if before is None else before["load"]) + 1
+    n = write_observed(rows, loads.folder(number))["rows"]
+    loads.commit(number, n, {silver_table: end}, rows.schema)
+    _append_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: end}, times)
     return n
 
 
@@ -368,10 +427,9 @@ def metadata_bronze_job(spark: SparkSession, lake: Lake, config: Mapping) -> int
     """Config-driven batch load to a snapshot table + one metric row (failure logged, then raised)."""
     target = VersionedTable(spark, lake.layer("bronze", config["target"]["table"]))
     try:
-        v = target.write(metadata.read_source(spark, config))
-        n = target.read(v).count()
+        _, n = target.write_counted(metadata.read_source(spark, config))
     except Exception as e:
-        append_rows(runlog.metric_row(spark, "bronze_ingestion", runlog.FAILED, 0, str(e)[:2000]), lake.system("metrics"))
+        append_rows(runlog.metric_row(spark, "bronze_ingestion", runlog.FAILED, 0, str(e)), lake.system("metrics"))
         raise
     append_rows(runlog.metric_row(spark, "bronze_ingestion", runlog.SUCCESS, n), lake.system("metrics"))
     return n
@@ -399,22 +457,20 @@ def review_job(
     table_name: str,
     check_name: str,
     columns: Sequence[str],
-    order: Sequence[str],
     template: str,
     scorer: enrich.Scorer,
-    limit_records: int | None = 100,
 ) -> int:
-    """Rows to review → prompt per row → model answer per row, on executors → results log."""
-    picked = enrich.review_candidates(df, columns, order, limit_records)
-    prompts = picked.select(row_text(columns).alias("input_record"), render_template(template).alias("_tl_prompt"))
+    """Rows to review → prompt per row → model answer per row, on executors → results log.
+
+    Every row of ``df`` is reviewed (filter it for candidates); returns how many.
+    """
+    prompts = df.select(row_text(columns).alias("input_record"), render_template(template).alias("_tl_prompt"))
     answered = enrich.enrich_with_model(prompts, "_tl_prompt", scorer, out_col="ai_result")
     out = answered.select(
         F.lit(table_name).alias("table_name"), F.lit(check_name).alias("check_name"), "input_record", "ai_result",
         F.current_timestamp().alias("created_time"),
     )
-    obs_path = lake.system("ai_results")
-    append_rows(out, obs_path)
-    return spark.read.parquet(obs_path).filter(F.col("check_name") == check_name).count()
+    return write_observed(out, f"{lake.system('ai_results')}/run={uuid.uuid4().hex}")["rows"]
 
 
 def enrich_csv_job(

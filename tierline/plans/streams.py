@@ -17,17 +17,24 @@ from pyspark.sql import functions as F
 
 from tierline.functions.casting import conform
 from tierline.functions.text import json_field, xml_field
-from tierline.operators import metadata, runlog
-from tierline.plans.catalog import CUSTOMER_TEXT_SPEC, table
+from tierline.operators import enrich, runlog
+from tierline.plans import jobs
+from tierline.plans.catalog import CUSTOMER_TEXT_SPEC, ORDER_PROMPT, REVIEW_PRICE, table
 from tierline.session import scratch_path
-from tierline.sources.files import write_source_files
-from tierline.sources.tables import VersionedTable
-from tierline.streaming.bronze import ingest_files, read_bronze
+from tierline.sources.files import load_fixture, write_source_files
+from tierline.sources.tables import LoadLog, VersionedTable, append_rows, ensure_log, read_log, write_observed
+from tierline.streaming.bronze import csv_stream, ingest_files, read_bronze
+from tierline.streaming.registry import DatasetRegistry
 
 FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING")
 FIRST_EVENT_TYPES = ("click", "view")
 
 
+def among(column: str, values) -> F.Column:
+    """Whether the value is in the list; false, not NULL, for NULL, so that its complement is everything else."""
+    return F.coalesce(F.col(column).isin(*values), F.lit(False))
+
+
 @dataclass
 class Dirs:
     src: str
@@ -75,11 +82,11 @@ def q_bronze_new_column(spark, sf_dir):
     """First delivery lacks ``c_acctbal``; the second (other segments) has it."""
     d = dirs(spark, "bronze_new_column")
     cust = table(spark, sf_dir, "customer")
-    first = cust.filter(F.col("c_mktsegment").isin(*FIRST_SEGMENTS))
+    first = cust.filter(among("c_mktsegment", FIRST_SEGMENTS))
     write_source_files(customer_text(first, ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")), d.src, "csv",
                        folder_by="seg")
     ingest_files(spark, d.src, d.bronze, d.checkpoint, "csv")
-    write_source_files(customer_text(cust.filter(~F.col("c_mktsegment").isin(*FIRST_SEGMENTS))), d.src, "csv",
+    write_source_files(customer_text(cust.filter(~among("c_mktsegment", FIRST_SEGMENTS))), d.src, "csv",
                        folder_by="seg")
     ingest_files(spark, d.src, d.bronze, d.checkpoint, "csv")
     return _bronze_customers(spark, d)
@@ -89,8 +96,8 @@ def q_bronze_reordered_header(spark, sf_dir):
     """Two deliveries in one run whose files order the columns differently."""
     d = dirs(spark, "bronze_reordered")
     cust = table(spark, sf_dir, "customer")
-    first = cust.filter(F.col("c_mktsegment").isin(*FIRST_SEGMENTS))
-    rest = cust.filter(~F.col("c_mktsegment").isin(*FIRST_SEGMENTS))
+    first = cust.filter(among("c_mktsegment", FIRST_SEGMENTS))
+    rest = cust.filter(~among("c_mktsegment", FIRST_SEGMENTS))
     write_source_files(customer_text(first), d.src, "csv", folder_by="seg")
     write_source_files(
         customer_text(rest, ("c_acctbal", "c_mktsegment", "c_name", "c_custkey", "c_nationkey")), d.src, "csv",
@@ -129,10 +136,10 @@ def q_bronze_json_new_column(spark, sf_dir):
     """JSON schema drift: the first delivery has no ``value``; the stored schema widens on the next run."""
     d = dirs(spark, "bronze_json_new_column")
     events = table(spark, sf_dir, "events")
-    write_source_files(events_json(events.filter(F.col("event_type").isin(*FIRST_EVENT_TYPES)), with_value=False),
+    write_source_files(events_json(events.filter(among("event_type", FIRST_EVENT_TYPES)), with_value=False),
                        d.src, "json", folder_by="kind")
     ingest_files(spark, d.src, d.bronze, d.checkpoint, "json", schema_location=d.schema)
-    write_source_files(events_json(events.filter(~F.col("event_type").isin(*FIRST_EVENT_TYPES))), d.src, "json",
+    write_source_files(events_json(events.filter(~among("event_type", FIRST_EVENT_TYPES))), d.src, "json",
                        folder_by="kind")
     ingest_files(spark, d.src, d.bronze, d.checkpoint, "json", schema_location=d.schema)
     return _bronze_events(spark, d)
@@ -174,31 +181,225 @@ def q_bronze_parquet_stream(spark, sf_dir):
     )
 
 
-BRONZE_CONFIG_OPTIONS = {"header": True, "inferSchema": True}
+def q_bronze_many_batches(spark, sf_dir):
+    """One file per batch while only two progress reports are kept: the counts come from the writes."""
+    d = dirs(spark, "bronze_many")
+    table(spark, sf_dir, "events").repartition(6, "event_id").write.parquet(d.src)
+    setting = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "2")
+    try:
+        result = ingest_files(spark, d.src, d.bronze, d.checkpoint, "parquet", max_files_per_trigger=1, path_glob="*.parquet")
+    finally:
+        spark.conf.set(setting, before)
+    return read_bronze(spark, d.bronze).select("event_id", F.lit(result.rows).cast("long").alias("rows_reported"))
+
+
+def event_line(complete: F.Column) -> F.Column:
+    """An event as a JSON line; without its last character where it is not complete."""
+    return F.concat(
+        F.lit('{"event_id": "'), F.col("event_id").cast("string"), F.lit('", "event_type": "'), F.col("event_type"),
+        F.lit('"'), F.when(complete, "}").otherwise(""),
+    )
+
+
+def q_bronze_rescued_json(spark, sf_dir):
+    """Lines cut off before their end keep their raw text."""
+    d = dirs(spark, "bronze_rescued_json")
+    lines = table(spark, sf_dir, "events").select(event_line(~among("event_type", FIRST_EVENT_TYPES)).alias("value"))
+    lines.write.text(d.src)
+    ingest_files(spark, d.src, d.bronze, d.checkpoint, "json", schema="event_id string, event_type string")
+    return read_bronze(spark, d.bronze).select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", "_rescued_data")
+
+
+def q_bronze_rescued_csv(spark, sf_dir):
+    """Lines with a field beyond the header keep their raw text beside the parsed fields."""
+    d = dirs(spark, "bronze_rescued_csv")
+    cust = table(spark, sf_dir, "customer").withColumn("seg", F.col("c_mktsegment"))
+    extra = F.when(F.col("c_acctbal") <= 0, ",overdrawn").otherwise("")
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(","), F.col("c_name"), extra)
+    lines = cust.select("seg", F.lit(1).alias("place"), line.alias("value"))
+    heads = cust.select("seg", F.lit(0).alias("place"), F.lit("c_custkey,c_name").alias("value")).distinct()
+    files = lines.unionByName(heads).repartition("seg").sortWithinPartitions("seg", "place")
+    files.drop("place").write.partitionBy("seg").text(d.src)
+    ingest_files(spark, d.src, d.bronze, d.checkpoint, "csv")
+    b = read_bronze(spark, d.bronze)
+    return b.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "_rescued_data")
 
 
-def q_metadata_bronze(spark, sf_dir):
-    """Config-driven batch load: CSV with inferred types → snapshot table → metric row."""
-    base = scratch_path(spark, "metadata_bronze")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"),
-        "o_orderpriority",
+def q_bronze_quoted_header(spark, sf_dir):
+    """A quoted column name that holds the separator, in one delivery; the columns in another order in the next."""
+    d = dirs(spark, "bronze_quoted_header")
+    cust = table(spark, sf_dir, "customer")
+    named = cust.select(
+        F.concat(F.col("c_name"), F.lit(", "), F.col("c_mktsegment")).alias("Name, segment"),
+        F.col("c_custkey").cast("string").alias("c_custkey"), F.col("c_mktsegment").alias("seg"),
+    )
+    first = among("seg", FIRST_SEGMENTS)
+    write_source_files(named.filter(first), d.src, "csv", folder_by="seg")
+    write_source_files(named.filter(~first).select("c_custkey", "Name, segment", "seg"), d.src, "csv", folder_by="seg")
+    ingest_files(spark, d.src, d.bronze, d.checkpoint, "csv")
+    b = read_bronze(spark, d.bronze)
+    return b.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), F.col("`Name, segment`").alias("name_segment"))
+
+
+def json_array_lines(rows: DataFrame, folder: str, order: str) -> DataFrame:
+    """Lines of one JSON array per folder, a record a line: bracket, first record, the others behind commas, bracket."""
+    firsts = rows.groupBy(folder).agg(F.min(order).alias("first"))
+    record = F.to_json(F.struct(*[c for c in rows.columns if c != folder]))
+    body = rows.join(firsts, folder).select(
+        folder,
+        F.when(F.col(order) == F.col("first"), 1).otherwise(2).alias("place"),
+        F.when(F.col(order) == F.col("first"), record).otherwise(F.concat(F.lit(","), record)).alias("value"),
     )
-    write_source_files(orders, f"{base}/src", "csv")
-    config = {"source": {"path": f"{base}/src", "format": "csv"}, "options": BRONZE_CONFIG_OPTIONS}
-    snapshot = VersionedTable(spark, f"{base}/bronze")
-    snapshot.write(metadata.read_source(spark, config))
-    return snapshot.read()
+    edges = firsts.select(folder, F.inline(F.array(
+        F.struct(F.lit(0).alias("place"), F.lit("[").alias("value")), F.struct(F.lit(3).alias("place"), F.lit("]").alias("value"))
+    )))
+    return body.unionByName(edges).repartition(folder).sortWithinPartitions(folder, "place").drop("place")
+
+
+def q_bronze_json_multiline(spark, sf_dir):
+    """Files that each hold one JSON array over many lines, read by Spark's multi-line reader."""
+    d = dirs(spark, "bronze_json_multiline")
+    events = events_json(table(spark, sf_dir, "events"))
+    json_array_lines(events.withColumn("ts", F.col("ts").cast("string")), "kind", "event_id").write.partitionBy("kind").text(d.src)
+    ingest_files(spark, d.src, d.bronze, d.checkpoint, "json", options={"multiLine": "true"}, schema_location=d.schema)
+    return _bronze_events(spark, d)
+
+
+ORDER_SNAPSHOT_SCHEMA = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate DATE, o_orderpriority STRING"
+)
+
+
+def _order_snapshot(spark: SparkSession, sf_dir: str, name: str) -> tuple[jobs.Lake, dict]:
+    """Orders as CSV and the configuration that loads them with a given schema (no inference pass)."""
+    base = scratch_path(spark, name)
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    write_source_files(orders.select(*[f.split()[0] for f in ORDER_SNAPSHOT_SCHEMA.split(", ")]), f"{base}/src", "csv")
+    config = {
+        "source": {"path": f"{base}/src", "format": "csv"}, "schema": ORDER_SNAPSHOT_SCHEMA, "options": {"header": True},
+        "target": {"table": "orders"},
+    }
+    return jobs.Lake(f"{base}/lake"), config
+
+
+def q_metadata_bronze(spark, sf_dir):
+    """Config-driven batch load: CSV with a given schema → snapshot table."""
+    lake, config = _order_snapshot(spark, sf_dir, "metadata_bronze")
+    jobs.metadata_bronze_job(spark, lake, config)
+    return VersionedTable(spark, lake.layer("bronze", "orders")).read()
 
 
 def q_metadata_bronze_metric(spark, sf_dir):
-    base = scratch_path(spark, "metadata_bronze_metric")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    write_source_files(orders, f"{base}/src", "csv")
-    config = {"source": {"path": f"{base}/src", "format": "csv"}, "options": BRONZE_CONFIG_OPTIONS}
-    snapshot = VersionedTable(spark, f"{base}/bronze")
-    v = snapshot.write(metadata.read_source(spark, config))
-    return runlog.job_metrics({"bronze_ingestion": snapshot.read(v)}).drop("run_time")
+    """The metric row of the load, its count observed by the write."""
+    lake, config = _order_snapshot(spark, sf_dir, "metadata_bronze_metric")
+    jobs.metadata_bronze_job(spark, lake, config)
+    return read_log(spark, lake.system("metrics")).select("job_name", "status", "records_processed", "error")
+
+
+def q_metadata_layers(spark, sf_dir):
+    """The three configured jobs in a row: snapshot, cleaning rules, metrics per cleaned priority."""
+    lake, config = _order_snapshot(spark, sf_dir, "metadata_layers")
+    jobs.metadata_bronze_job(spark, lake, config)
+    rules = [
+        {"column": "o_orderpriority", "action": "lower"},
+        {"column": "o_totalprice", "action": "band", "target": "price_band", "bands": [[300000, "high"], [100000, "middle"]], "otherwise": "low"},
+    ]
+    jobs.metadata_silver_job(spark, lake, {"source": {"table": "orders"}, "target": {"table": "orders"}, "cleaning_rules": rules})
+    jobs.metadata_gold_job(spark, lake, {
+        "source": {"table": "orders"}, "target": {"table": "priority_prices"},
+        "aggregation": {"group_by": ["o_orderpriority", "price_band"]},
+        "metrics": [
+            {"column": "*", "function": "count", "alias": "n_orders"},
+            {"column": "o_totalprice", "function": "max", "alias": "price_max"},
+        ],
+    })
+    return VersionedTable(spark, lake.layer("gold", "priority_prices")).read()
+
+
+def q_declared_datasets(spark, sf_dir):
+    """Two declared streams over CSV files, run together; the names persist in a schema folder."""
+    base = scratch_path(spark, "declared_datasets")
+    for name in ("supplier", "customer"):
+        df = table(spark, sf_dir, name)
+        write_source_files(df.select(*[F.col(c).cast("string").alias(c[2:]) for c in df.columns[:3]]), f"{base}/src/{name}", "csv")
+    registry = DatasetRegistry()
+    for name in ("supplier", "customer"):
+        registry.table(f"bronze_{name}")(lambda s, n=name: csv_stream(s, f"{base}/src/{n}", f"{base}/schema/{n}"))
+    rows = registry.run(spark, f"{base}/lake")
+    parts = [
+        read_bronze(spark, registry.path(f"{base}/lake", f"bronze_{name}")).select(
+            F.lit(name).alias("dataset"), F.col(key).cast("bigint").alias("key"), "name",
+            F.lit(rows[f"bronze_{name}"]).cast("long").alias("rows_reported"),
+        )
+        for name, key in (("supplier", "suppkey"), ("customer", "custkey"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def q_department_two_runs(spark, sf_dir):
+    """Nations delivered as departments in two files, a silver run after each and one with nothing new."""
+    base = scratch_path(spark, "department")
+    lake = jobs.Lake(f"{base}/lake")
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("Department_id"), F.col("n_name").alias("Name"), "n_regionkey"
+    )
+    first = F.col("n_regionkey") <= 1
+    spec = [("Department_id", "department_id", "int"), ("Name", "department_name", "string")]
+    for part in (nations.filter(first), nations.filter(~first), None):
+        if part is not None:
+            write_source_files(part.drop("n_regionkey"), f"{base}/src", "csv")
+        jobs.bronze_job(spark, lake, "department", f"{base}/src", "csv")
+        jobs.silver_job(spark, lake, "department", {"d": jobs.SilverSource(lake.layer("bronze", "department"))}, spec,
+                        ["department_id"], not_null=["department_id"])
+    return LoadLog(spark, lake.layer("silver", "department")).read().select("department_id", "department_name", "load")
+
+
+def q_load_new_column(spark, sf_dir):
+    """A table whose second load adds a column, read back with both."""
+    loads = LoadLog(spark, scratch_path(spark, "load_new_column"))
+    orders = table(spark, sf_dir, "orders")
+    done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    parts = (orders.filter(done).select("o_orderkey"), orders.filter(~done).select("o_orderkey", "o_orderpriority"))
+    for number, part in enumerate(parts, 1):
+        rows = write_observed(part, loads.folder(number))["rows"]
+        loads.commit(number, rows, {"orders": number}, part.schema)
+    return loads.read()
+
+
+def q_review_orders(spark, sf_dir):
+    """Every order over the threshold is put to the reviewer; the result log has record and answer."""
+    lake = jobs.Lake(scratch_path(spark, "review_orders"))
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > REVIEW_PRICE)
+    n = jobs.review_job(spark, lake, orders, "orders", "price_review", ["o_orderkey", "o_custkey", "o_orderstatus"],
+                        ORDER_PROMPT, enrich.digest_scorer)
+    log = read_log(spark, lake.system("ai_results"))
+    return log.select("table_name", "check_name", "input_record", "ai_result", F.lit(n).cast("long").alias("reviewed"))
+
+
+def q_enrich_csv(spark, sf_dir):
+    """A CSV file with header, one answer per row, written back as CSV with header."""
+    base = scratch_path(spark, "enrich_csv")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    write_source_files(part, f"{base}/src", "csv")
+    prompt = F.concat(F.lit("Describe part "), F.col("p_name"), F.lit("."))
+    jobs.enrich_csv_job(spark, f"{base}/src", f"{base}/out", prompt, enrich.digest_scorer, "answer", ["p_partkey", "answer"])
+    return load_fixture(spark, f"{base}/out", "p_partkey long, answer string", suffix=".csv")
+
+
+def q_run_log_created(spark, sf_dir):
+    """The run log is created empty, then filled: creating it again changes nothing."""
+    path = scratch_path(spark, "run_log")
+    ensure_log(spark, path, runlog.RUN_SCHEMA)
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("run_id"), F.lit("gold").alias("layer"), F.col("o_orderpriority").alias("job_name"),
+        F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("timestamp").alias("event_time"),
+        F.floor("o_totalprice").alias("records"), F.lit(None).cast("string").alias("error"),
+    )
+    append_rows(rows, path)
+    ensure_log(spark, path, runlog.RUN_SCHEMA)
+    return read_log(spark, path, runlog.RUN_SCHEMA).drop("event_time")
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -212,6 +413,18 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_parquet_stream": q_bronze_parquet_stream,
     "metadata_bronze": q_metadata_bronze,
     "metadata_bronze_metric": q_metadata_bronze_metric,
+    "bronze_many_batches": q_bronze_many_batches,
+    "bronze_rescued_json": q_bronze_rescued_json,
+    "bronze_rescued_csv": q_bronze_rescued_csv,
+    "bronze_quoted_header": q_bronze_quoted_header,
+    "bronze_json_multiline": q_bronze_json_multiline,
+    "metadata_layers": q_metadata_layers,
+    "declared_datasets": q_declared_datasets,
+    "department_two_runs": q_department_two_runs,
+    "load_new_column": q_load_new_column,
+    "review_orders": q_review_orders,
+    "enrich_csv": q_enrich_csv,
+    "run_log_created": q_run_log_created,
 }
 
 _CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS source_dir"
@@ -239,10 +452,49 @@ STREAM_ORACLE: dict[str, str] = {
     "bronze_parquet_stream": """
         SELECT event_id, ts, user_id, event_type, value, props, count(*) OVER () AS rows_reported FROM events""",
     "metadata_bronze": """
-        SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
-               o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
         FROM orders""",
     "metadata_bronze_metric": """
         SELECT 'bronze_ingestion' AS job_name, 'SUCCESS' AS status, count(*) AS records_processed,
                CAST(NULL AS VARCHAR) AS error FROM orders""",
+    "bronze_many_batches": "SELECT event_id, count(*) OVER () AS rows_reported FROM events",
+    "bronze_rescued_json": f"""
+        SELECT CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN event_type END AS event_type,
+               CASE WHEN NOT ok THEN '{{"event_id": "' || event_id || '", "event_type": "' || event_type || '"' END AS _rescued_data
+        FROM (SELECT *, event_type NOT IN ({_FIRST_TYPES_SQL}) AS ok FROM events)""",
+    "bronze_rescued_csv": """
+        SELECT c_custkey, c_name, CASE WHEN c_acctbal <= 0 THEN c_custkey || ',' || c_name || ',overdrawn' END AS _rescued_data
+        FROM customer""",
+    "bronze_quoted_header": "SELECT c_custkey, c_name || ', ' || c_mktsegment AS name_segment FROM customer",
+    "bronze_json_multiline": _EVENTS_SQL.format(value="value"),
+    "metadata_layers": """
+        SELECT lower(o_orderpriority) AS o_orderpriority,
+               CASE WHEN o_totalprice >= 300000 THEN 'high' WHEN o_totalprice >= 100000 THEN 'middle' ELSE 'low' END AS price_band,
+               count(*) AS n_orders, max(o_totalprice) AS price_max
+        FROM orders GROUP BY 1, 2""",
+    "declared_datasets": """
+        SELECT 'supplier' AS dataset, s_suppkey AS key, s_name AS name, count(*) OVER () AS rows_reported FROM supplier
+        UNION ALL SELECT 'customer', c_custkey, c_name, count(*) OVER () FROM customer""",
+    "department_two_runs": """
+        SELECT n_nationkey AS department_id, n_name AS department_name,
+               CAST(CASE WHEN n_regionkey <= 1 THEN 1 ELSE 2 END AS BIGINT) AS load
+        FROM nation""",
+    "load_new_column": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
+               CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS BIGINT) AS load
+        FROM orders""",
+    "review_orders": f"""
+        SELECT 'orders' AS table_name, 'price_review' AS check_name,
+               '{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}}'
+                 AS input_record,
+               sha256('Order ' || o_orderkey || ' of customer ' || o_custkey || ' costs ' || CAST(o_totalprice AS VARCHAR) ||
+                      ', has status ' || o_orderstatus || ' and priority ' || o_orderpriority || '.' || chr(10) ||
+                      'Is its price plausible? Answer yes or no with one reason.') AS ai_result,
+               count(*) OVER () AS reviewed
+        FROM orders WHERE o_totalprice > {REVIEW_PRICE}""",
+    "enrich_csv": "SELECT p_partkey, sha256('Describe part ' || p_name || '.') AS answer FROM part",
+    "run_log_created": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'gold' AS layer, o_orderpriority AS job_name, o_orderstatus AS status,
+               CAST(floor(o_totalprice) AS BIGINT) AS records, CAST(NULL AS VARCHAR) AS error
+        FROM orders""",
 }

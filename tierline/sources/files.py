@@ -79,44 +79,56 @@ def infer_names(spark: SparkSession, path: str, fmt: str, options: Mapping[str,
     return as_strings(reader.load(path).schema)
 
 
-def csv_headers(text_lines: DataFrame) -> DataFrame:
-    """First line of each file: ``(file_path, header)``.
+def parse_headers(spark: SparkSession, headers: Iterable[str], options: Mapping[str, str] | None = None) -> dict[str, list[str]]:
+    """Column names of header lines, cut by the CSV parser with the data's own options.
 
-    ``text_lines`` has ``value``, ``file_path`` and ``block`` (the file block
-    start). Only the first block of a file can hold its first line; lines of a
-    block are read in order, so the smallest row id within a file is its first
-    line.
+    A name may be quoted and hold the separator. Names are trimmed; an empty one
+    becomes ``_cN`` and a repeated one gets its position as a suffix.
     """
-    first_block = text_lines.filter(F.col("block") == 0).withColumn("_tl_mid", F.monotonically_increasing_id())
-    return first_block.groupBy("file_path").agg(F.min_by("value", "_tl_mid").alias("header"))
-
-
-def split_header(header: str, sep: str = ",") -> list[str]:
-    """Column names of a simple header line (quotes around names are removed)."""
-    return [h.strip().strip('"') for h in header.split(sep)]
+    opts = {k: v for k, v in (options or {}).items() if k not in ("multiLine", "inferSchema", "header")}
+    sep = opts.get("sep", opts.get("delimiter", ","))
+    lines = sorted(set(headers))
+    width = max(line.count(sep) for line in lines) + 1
+    ddl = ", ".join(f"c{i} STRING" for i in range(width))
+    frame = spark.createDataFrame([(line,) for line in lines], "header STRING")  # one row per distinct header
+    # an unlikely text stands for NULL, so that an empty name differs from a missing one
+    found = frame.select("header", F.from_csv("header", ddl, {**opts, "nullValue": "\u0001", "emptyValue": ""}).alias("n"))
+    out: dict[str, list[str]] = {}
+    for row in found.collect():
+        names = [n for n in row["n"]]
+        while names and names[-1] is None:
+            names.pop()
+        taken: list[str] = []
+        for i, name in enumerate(names):
+            name = (name or "").strip() or f"_c{i}"
+            taken.append(f"{name}_{i}" if name in taken else name)
+        out[row["header"]] = taken
+    return out
 
 
 def read_csv_groups(
-    spark: SparkSession, groups: Mapping[str, Sequence[str]], options: Mapping[str, str] | None = None, sep: str = ","
+    spark: SparkSession,
+    groups: Mapping[Sequence[str], Sequence[str]],
+    options: Mapping[str, str] | None = None,
+    rescue_column: str | None = None,
 ) -> DataFrame | None:
-    """Read CSV files grouped by header, each group with its own header, union by name.
+    """Read CSV files grouped by their column names, each group with its own, union by name.
 
     A plain CSV read with one schema maps columns *by position*, so a file
     with reordered columns would put values in the wrong columns. Reading
     each header group separately and unioning by name lands every value in
-    its own column; a column missing from a group is NULL there.
+    its own column; a column missing from a group is NULL there. Records whose
+    fields do not fit the header keep their text in the rescue column.
     """
     out: DataFrame | None = None
-    for header, files in groups.items():
-        schema = string_schema(split_header(header, sep))
-        part = (
-            spark.read.options(**dict(options or {}))
-            .option("header", "true")
-            .option("sep", sep)
-            .schema(schema)
-            .csv(list(files))
-        )
-        part = part.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], F.col("_metadata.file_path").alias("file_path"))
+    for names, files in groups.items():
+        reader = spark.read.options(**dict(options or {})).option("header", "true")
+        columns = list(names)
+        if rescue_column:
+            columns.append(rescue_column)
+            reader = reader.option("columnNameOfCorruptRecord", rescue_column)
+        part = reader.schema(string_schema(columns)).csv(list(files))
+        part = part.select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_path").alias("file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -143,10 +155,11 @@ def write_source_files(
     writer.save(path)
 
 
-def load_fixture(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A JSON (lines) or CSV (with header) fixture read with an explicit schema, by file suffix."""
-    if path.endswith(".json") or path.endswith(".jsonl"):
+def load_fixture(spark: SparkSession, path: str, schema: T.StructType | str, suffix: str | None = None) -> DataFrame:
+    """A JSON (lines) or CSV (with header) fixture read with an explicit schema, by file suffix (given for a folder)."""
+    kind = suffix or path
+    if kind.endswith(".json") or kind.endswith(".jsonl"):
         return spark.read.schema(schema).json(path)
-    if path.endswith(".csv"):
+    if kind.endswith(".csv"):
         return spark.read.schema(schema).option("header", "true").csv(path)
     raise ValueError(f"unsupported fixture type: {path}")

@@ -6,30 +6,36 @@ an append-only commit log (``_commits``: one row per finished version). A
 writer puts a complete new version in ``v=N`` and then appends ``N`` to the
 log; readers take the largest committed ``N``. A job that dies before the
 commit leaves the previous version in force, and its rerun rewrites the same
-``v=N`` (overwrite), so retries are harmless.
+``v=N`` (overwrite), so retries are harmless. A commit refuses a version that
+another writer has logged meanwhile.
 
 ``DimensionStore`` splits an SCD2 dimension so a load does not rewrite its
 whole history: ``current/v=N`` holds the current rows after load ``N``;
 ``history/b=N`` holds only the rows that load ``N`` expired. The full
 dimension is ``current(N) ∪ history(b <= N)``. ``is_current`` is a constant in
-each branch, so a filter on it removes the other branch from the plan.
+each branch, so a filter on it removes the other branch from the plan. Each
+commit also records how far the load has read its source (``position``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.sources.files import path_exists
+from tierline.sources.files import path_exists, widen
 
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
         T.StructField("committed_at", T.TimestampType(), False),
         T.StructField("max_key", T.LongType(), True),
+        T.StructField("position", T.LongType(), True),
     ]
 )
 
@@ -37,6 +43,18 @@ COMMIT_SCHEMA = T.StructType(
 _exists = path_exists
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer has committed the version or load that this one prepared."""
+
+
+def write_observed(df: DataFrame, path: str, **metrics: Column) -> dict[str, int]:
+    """Overwrite ``path`` with ``df``; its row count (``rows``) and further counts, observed by the write itself."""
+    obs = Observation(f"write_{uuid.uuid4().hex}")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()])
+    counted.write.mode("overwrite").parquet(path)
+    return {name: int(value or 0) for name, value in obs.get.items()}
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to an append-only log folder (marks, run/audit/metric logs, quarantine)."""
     df.write.mode("append").parquet(path)
@@ -60,14 +78,20 @@ class VersionedTable:
     def _log(self) -> str:
         return f"{self.base}/_commits"
 
+    def _last(self) -> Row | None:
+        """(version, max_key, position) so far, from one small aggregate; None before the first commit."""
+        if not _exists(self.spark, self._log):
+            return None
+        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
+        row = log.agg(*[F.max(c).alias(c) for c in ("version", "max_key", "position")]).first()
+        return None if row["version"] is None else row
+
     def exists(self) -> bool:
-        return self.latest_version() is not None
+        return self._last() is not None
 
     def latest_version(self) -> int | None:
-        if not _exists(self.spark, self._log):
-            return None
-        row = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log).agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        last = self._last()
+        return None if last is None else int(last["version"])
 
     def path(self, version: int) -> str:
         return f"{self.base}/v={version}"
@@ -78,27 +102,35 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version in {self.base}")
         return self.spark.read.parquet(self.path(v))
 
-    def _commit(self, version: int, max_key: int | None = None) -> None:
+    def _commit(self, version: int, max_key: int | None = None, position: int | None = None) -> None:
+        if (self.latest_version() or 0) >= version:
+            raise ConcurrentWriteError(f"{self.base}: version {version} is already committed")
+        self._append(version, max_key, position)
+
+    def _append(self, version: int, max_key: int | None, position: int | None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        append_rows(self.spark.createDataFrame([(version, now, max_key)], COMMIT_SCHEMA), self._log)
+        append_rows(self.spark.createDataFrame([(version, now, max_key, position)], COMMIT_SCHEMA).coalesce(1), self._log)
 
     def committed_max_key(self) -> int | None:
-        """The largest surrogate key recorded with the latest commit (None if not recorded)."""
-        if not _exists(self.spark, self._log):
-            return None
-        row = (
-            self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
-            .agg(F.max_by("max_key", "version").alias("k"))
-            .first()
-        )
-        return None if row is None or row["k"] is None else int(row["k"])
+        """The largest surrogate key recorded with any commit (None if not recorded)."""
+        last = self._last()
+        return None if last is None or last["max_key"] is None else int(last["max_key"])
+
+    def committed_position(self) -> int | None:
+        """How far the loads have read their source (None if not recorded)."""
+        last = self._last()
+        return None if last is None or last["position"] is None else int(last["position"])
 
     def write(self, df: DataFrame) -> int:
         """Write ``df`` as the next version and commit it; returns the version."""
+        return self.write_counted(df)[0]
+
+    def write_counted(self, df: DataFrame) -> tuple[int, int]:
+        """``(version, rows)`` of the next version; the rows are counted by the write."""
         v = (self.latest_version() or 0) + 1
-        df.write.mode("overwrite").parquet(self.path(v))
+        rows = write_observed(df, self.path(v))["rows"]
         self._commit(v)
-        return v
+        return v, rows
 
 
 class DimensionStore(VersionedTable):
@@ -118,21 +150,32 @@ class DimensionStore(VersionedTable):
         return self.spark.read.parquet(self.current_path(v)).withColumn("is_current", F.lit(True))
 
     def history(self, version: int | None = None) -> DataFrame | None:
+        """Expired rows, with the current rows' columns (NULL where an older file lacks one)."""
         v = self.latest_version() if version is None else version
         if v is None or not _exists(self.spark, self.history_path):
             return None
-        hist = self.spark.read.parquet(self.history_path)
+        fields = [f for f in self.current(v).schema.fields if f.name != "is_current"]
+        schema = T.StructType([*fields, T.StructField("b", T.LongType())])
+        hist = self.spark.read.schema(schema).parquet(self.history_path)
         # Partition pruning: batches of uncommitted (crashed) loads are ignored.
         return hist.filter(F.col("b") <= F.lit(v)).drop("b").withColumn("is_current", F.lit(False))
 
     def read(self, version: int | None = None) -> DataFrame:
-        cur = self.current(version)
-        hist = self.history(version)
+        v = self.latest_version() if version is None else version
+        cur = self.current(v)
+        hist = self.history(v)
         return cur if hist is None else cur.unionByName(hist.select(*cur.columns))
 
-    def write_load(self, current_rows: DataFrame, expired_rows: DataFrame | None, max_key: int | None = None) -> int:
+    def write_load(
+        self,
+        current_rows: DataFrame,
+        expired_rows: DataFrame | None,
+        max_key: int | None = None,
+        position: int | None = None,
+    ) -> int:
         """Write the current rows and the rows this load expired, then commit (with the
-        largest surrogate key so far, so the next load need not scan for it)."""
+        largest surrogate key so far, so the next load need not scan for it, and the
+        source position it has read to)."""
         v = (self.latest_version() or 0) + 1
         current_rows.drop("is_current").write.mode("overwrite").parquet(self.current_path(v))
         if expired_rows is not None:
@@ -144,9 +187,16 @@ class DimensionStore(VersionedTable):
                 .partitionBy("b")
                 .parquet(self.history_path)
             )
-        self._commit(v, max_key)
+        self._commit(v, max_key, position)
         return v
 
+    def advance(self, position: int) -> None:
+        """Record that the source was read to ``position`` without any change."""
+        version = self.latest_version()
+        if version is None:
+            raise FileNotFoundError(f"no committed version in {self.base}")
+        self._append(version, None, position)
+
 
 def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """``CREATE TABLE IF NOT EXISTS`` for an append-only log folder: an empty parquet file with the schema."""
@@ -156,21 +206,25 @@ def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 LOAD_LOG_SCHEMA = T.StructType(
     [
-        T.StructField("load", T.StringType(), False),
+        T.StructField("load", T.LongType(), False),
         T.StructField("rows", T.LongType(), False),
-        T.StructField("bounds", T.StringType(), True),  # JSON {source: upper bound}, to finish marks on a rerun
+        T.StructField("positions", T.StringType(), False),  # JSON {source: position read to}, of all sources so far
+        T.StructField("schema_json", T.StringType(), False),  # the table's schema after this load
         T.StructField("committed_at", T.TimestampType(), False),
     ]
 )
 
 
 class LoadLog:
-    """Completed loads of an append-only table made of ``load=<tag>`` folders.
-
-    A load folder becomes visible to readers only once its row is in
-    ``<base>/_loads``; a load that is already logged is never rewritten, so
-    rows keep the timestamps downstream jobs have seen (exactly-once across
-    crashes between the data write, the log row and the marks).
+    """Completed loads of an append-only table made of ``load=<number>`` folders.
+
+    Loads are numbered 1, 2, ... in commit order. A folder becomes visible to
+    readers only once its row is in ``<base>/_loads``, and a logged load is never
+    rewritten. The row also says how far the load has read each of its sources, so
+    the data, the log and the progress commit as one: a job that dies before leaves
+    a folder that the next load overwrites, and one that dies after has nothing left
+    to repeat. Readers filter the partition column by number: no list of loads, no
+    join, and a reader that wants the loads after some number opens only those.
     """
 
     def __init__(self, spark: SparkSession, base: str) -> None:
@@ -178,28 +232,43 @@ class LoadLog:
         self.base = base.rstrip("/")
         self.path = f"{self.base}/_loads"
 
-    def _log(self) -> DataFrame | None:
+    def last(self) -> Row | None:
+        """The newest log row (a top-1 of a small table), or None."""
         if not _exists(self.spark, self.path):
             return None
-        return self.spark.read.schema(LOAD_LOG_SCHEMA).parquet(self.path)
-
-    def find(self, tag: str):
-        log = self._log()
-        return None if log is None else log.filter(F.col("load") == tag).first()
-
-    def commit(self, tag: str, rows: int, bounds_json: str | None) -> None:
+        log = self.spark.read.schema(LOAD_LOG_SCHEMA).parquet(self.path)
+        found = log.orderBy(F.col("load").desc()).limit(1).collect()
+        return found[0] if found else None
+
+    def positions(self, last: Row | None = None) -> dict[str, int]:
+        """How far the loads have read each source."""
+        last = last or self.last()
+        return {} if last is None else json.loads(last["positions"])
+
+    def folder(self, number: int) -> str:
+        return f"{self.base}/load={number}"
+
+    def commit(self, number: int, rows: int, positions: Mapping[str, int], schema: T.StructType) -> None:
+        """Log a written load; its positions and columns are added to those before."""
+        before = self.last()
+        if before is not None and before["load"] >= number:
+            raise ConcurrentWriteError(f"{self.base}: load {number} is already committed")
+        known = None if before is None else T.StructType.fromJson(json.loads(before["schema_json"]))
+        merged = {**self.positions(before), **positions} if before is not None else dict(positions)
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        append_rows(self.spark.createDataFrame([(tag, int(rows), bounds_json, now)], LOAD_LOG_SCHEMA), self.path)
+        row = (number, int(rows), json.dumps(merged), widen(known, schema).json(), now)
+        append_rows(self.spark.createDataFrame([row], LOAD_LOG_SCHEMA).coalesce(1), self.path)
 
-    def read(self) -> DataFrame | None:
-        """Rows of logged loads only (``None`` if nothing was loaded yet).
+    def read(self, after: int | None = None, last: Row | None = None) -> DataFrame | None:
+        """Rows of logged loads (with their ``load`` number), of those after ``after`` only if it is given.
 
-        A semi-join with the log (one row per load, so broadcasting it is
-        bounded by the number of loads, not the data); dynamic partition
-        pruning then skips the folders of loads that were never logged.
+        ``None`` if nothing was loaded yet. Columns that a later load added are NULL in earlier ones.
         """
-        log = self._log()
-        if log is None:
+        last = last or self.last()
+        if last is None:
             return None
-        tags = log.select("load").distinct()
-        return self.spark.read.parquet(self.base).join(F.broadcast(tags), "load", "left_semi")
+        schema = T.StructType.fromJson(json.loads(last["schema_json"]))
+        fields = [f for f in schema.fields if f.name != "load"]
+        df = self.spark.read.schema(T.StructType([*fields, T.StructField("load", T.LongType())])).parquet(self.base)
+        df = df.filter(F.col("load") <= F.lit(last["load"]))
+        return df if after is None else df.filter(F.col("load") > F.lit(after))

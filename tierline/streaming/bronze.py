@@ -2,59 +2,61 @@
 
 Every run picks up only files not seen before (the checkpoint records them),
 writes them with lineage columns, and stops (``availableNow``). A rerun with
-no new files adds nothing.
-
-* JSON: new files stream in as text (one row per line, or per file with
-  ``multiLine``); each micro-batch parses its records as
-  ``map<string,string>`` (every top-level field as text, nested objects as
-  their JSON text), takes the batch's distinct field names, widens the stored
-  schema by new names (``addNewColumns``, persisted under
-  ``schema_location``) and projects the fields by name. One read of the new
-  files only; no inference pass over the folder. Malformed records keep their
-  raw text in the rescue column.
-* XML: the same file batches; names are inferred from the batch's own files
-  only (bounded by ``max_files_per_trigger``), widened and persisted, then
-  the files are read with the widened all-text schema.
-* parquet, text: the stream reads with the files' schema and writes through
-  the file sink.
+no new files adds nothing. Each micro-batch goes to its own ``batch_id=N`` folder
+and then to the batch log (``_batches``: rows, time, folder schema); readers take
+logged batches only, and a replayed batch that is already logged is left alone, so
+rows keep the times that downstream jobs have seen.
+
 * CSV: a CSV reader maps columns by position, so files whose headers differ
-  (added, missing or reordered columns) would be misread. The CSV stream
-  therefore discovers new files as text; each micro-batch groups its files by
-  header line and reads each group with its own header, then unions by name
-  (``foreachBatch``). Only one ``(file, header)`` pair per new file reaches the
-  driver, bounded by ``max_files_per_trigger``. Each batch is written to
-  ``batch_id=N`` with overwrite, so a replayed batch replaces itself.
-
-``maxFilesPerTrigger`` bounds every micro-batch, so one huge backlog is
-processed as several batches of bounded size rather than one.
+  (added, missing or reordered columns) would be misread. New files stream in as
+  text; a batch's headers are found and parsed by the CSV parser, every line is
+  parsed once into an array, and each value is placed by its file's header, whatever
+  the number of different headers. Fields beyond the header go to the rescue column
+  as the raw line. With ``multiLine`` the files are read by the CSV reader, one
+  read per distinct header.
+* JSON: new files stream in as text lines, parsed as ``map<string,string>`` (every
+  top-level field as text, nested objects as their JSON text). The batch's distinct
+  field names widen the stored schema (``addNewColumns``, persisted under
+  ``schema_location``). Malformed lines keep their raw text in the rescue column.
+* Multi-line JSON and XML: only the new files' paths stream in; the batch's files
+  are then inferred and read by Spark's own reader, all columns as text, so no file
+  is ever held as one value.
+* parquet, text: the stream reads with the files' schema.
+
+``maxFilesPerTrigger`` always bounds a micro-batch: one huge backlog is processed
+as several batches of bounded size, and the per-file rows that reach the driver
+(paths, headers) are bounded with it.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.sources.files import (
-    csv_headers,
     infer_names,
     load_schema,
+    parse_headers,
     path_exists,
     read_csv_groups,
     save_schema,
-    split_header,
+    string_schema,
     widen,
-    with_lineage,
 )
+from tierline.sources.tables import write_observed
 
 DEFAULT_MAX_FILES = 1000
+RESCUE_COLUMN = "_rescued_data"
+#: Most distinct field names of one JSON batch; wider data needs an explicit schema.
+MAX_JSON_FIELDS = 10_000
+STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup", "maxFileAge", "latestFirst")
 
 
 @dataclass
@@ -63,14 +65,6 @@ class IngestResult:
     batches: int
 
 
-def _progress_rows(query) -> tuple[int, int]:
-    """Sum input rows over all progress reports (the last report alone covers one batch)."""
-    seen: dict[int, int] = {}
-    for p in query.recentProgress:
-        seen[p["batchId"]] = int(p.get("numInputRows", 0))
-    return sum(seen.values()), sum(1 for n in seen.values() if n > 0)
-
-
 def resolve_schema(
     spark: SparkSession,
     source: str,
@@ -101,50 +95,52 @@ def ingest_files(
     schema: T.StructType | str | None = None,
     options: Mapping[str, str] | None = None,
     schema_location: str | None = None,
-    max_files_per_trigger: int | None = DEFAULT_MAX_FILES,
+    max_files_per_trigger: int = DEFAULT_MAX_FILES,
     path_glob: str | None = None,
-    rescue_column: str | None = None,
+    rescue_column: str | None = RESCUE_COLUMN,
 ) -> IngestResult:
-    """Ingest new files of ``source`` into the bronze folder ``target``; returns rows and batches."""
+    """Ingest new files of ``source`` into the bronze folder ``target``; returns rows and batches.
+
+    ``rescue_column`` (``None``: off) keeps the raw text of malformed CSV, JSON and XML records.
+    """
+    if not max_files_per_trigger or max_files_per_trigger < 1:
+        raise ValueError("max_files_per_trigger must be positive: it bounds every micro-batch")
     opts = {k: str(v) for k, v in (options or {}).items()}
     if path_glob:
         opts["pathGlobFilter"] = path_glob
-    if max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    stream_opts = {k: v for k, v in opts.items() if k in STREAM_OPTIONS}
+    read_opts = {k: v for k, v in opts.items() if k not in STREAM_OPTIONS}
+    multi_line = read_opts.get("multiLine", "false").lower() == "true"
+
     if fmt == "csv":
-        return _ingest_csv(spark, source, target, checkpoint, opts, rescue_column)
+        csv_opts = {k: v for k, v in read_opts.items() if k != "header"}
+        make = _csv_files if multi_line else _csv_lines
+        return _ingest(
+            _text_lines(spark, source, stream_opts), target, checkpoint,
+            lambda batch: make(batch, csv_opts, rescue_column), keep=not multi_line,
+        )
     if fmt in ("json", "xml"):
-        return _ingest_records(spark, source, target, checkpoint, fmt, opts, schema, schema_location, rescue_column)
+        evolve = _Evolving(spark, schema, schema_location)
+        if fmt == "json" and not multi_line:
+            return _ingest(
+                _text_lines(spark, source, stream_opts), target, checkpoint,
+                lambda batch: _json_lines(batch, evolve, rescue_column), keep=True,
+            )
+        paths = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).options(**stream_opts).load(source).select("path")
+        return _ingest(paths, target, checkpoint, lambda batch: _whole_files(batch, fmt, read_opts, evolve, rescue_column))
 
-    read_opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger",)}
     resolved = resolve_schema(spark, source, fmt, read_opts, schema, schema_location)
-    if isinstance(resolved, str):
-        resolved = T.StructType.fromDDL(resolved)
-    if rescue_column and fmt in ("json", "xml"):
-        if rescue_column not in resolved.fieldNames():
-            resolved = T.StructType([*resolved.fields, T.StructField(rescue_column, T.StringType(), True)])
-        opts["columnNameOfCorruptRecord"] = rescue_column
     stream = spark.readStream.format(fmt).schema(resolved).options(**opts).load(source)
-    query = (
-        with_lineage(stream)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    query.awaitTermination()
-    rows, batches = _progress_rows(query)
-    return IngestResult(rows, batches)
+    return _ingest(stream.select("*", F.col("_metadata.file_path").alias("file_path")), target, checkpoint, lambda batch: batch)
 
 
-def _ingest_csv(
-    spark: SparkSession, source: str, target: str, checkpoint: str, opts: dict[str, str], rescue_column: str | None
-) -> IngestResult:
-    stream_opts = {k: v for k, v in opts.items() if k in ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup")}
-    csv_opts = {k: v for k, v in opts.items() if k not in stream_opts and k != "header"}
-    if rescue_column:
-        csv_opts["columnNameOfCorruptRecord"] = rescue_column
-    lines = (
+#: Fixed columns of the binary file source; only the path is read.
+_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
+def _text_lines(spark: SparkSession, source: str, stream_opts: Mapping[str, str]) -> DataFrame:
+    return (
         spark.readStream.format("text")
         .options(**stream_opts)
         .load(source)
@@ -154,194 +150,159 @@ def _ingest_csv(
             F.col("_metadata.file_block_start").alias("block"),
         )
     )
-    totals = {"rows": 0, "batches": 0}
-    recorded: dict = {}
-    sep = csv_opts.get("sep", csv_opts.get("delimiter", ","))
 
-    multi_line = csv_opts.get("multiLine", "false").lower() == "true"
+
+def _ingest(
+    stream: DataFrame, target: str, checkpoint: str, make: Callable[[DataFrame], DataFrame | None], keep: bool = False
+) -> IngestResult:
+    """Run the stream to completion; ``make`` turns a micro-batch into bronze rows (``None``: nothing).
+
+    ``keep`` persists the batch while ``make``'s frame is built and written: it is
+    bounded, read twice (names or headers, then data), and a lost executor only
+    recomputes its part from the batch's files.
+    """
+    result, recorded = IngestResult(0, 0), {}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        lines = None
+        if _is_logged(batch.sparkSession, target, batch_id, recorded):
+            return
+        if keep:
+            batch = batch.withColumn("_tl_mid", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if multi_line:  # quoted fields may span lines: re-read the files with the CSV reader
-                pairs = csv_headers(batch).collect()  # one row per new file of this batch
-                if not pairs:
-                    return
-                groups: dict[str, list[str]] = defaultdict(list)
-                for r in pairs:
-                    groups[r["header"]].append(r["file_path"])
-                data = read_csv_groups(batch.sparkSession, groups, csv_opts, sep)
-            else:
-                lines = batch.withColumn("_tl_mid", F.monotonically_increasing_id()).persist(
-                    StorageLevel.MEMORY_AND_DISK
-                )
-                data = _parse_csv_lines(lines, csv_opts, sep, rescue_column)
-            if data is None:
-                return
-            data = data.withColumn("ingestion_time", F.current_timestamp())
-            totals["rows"] += _write_batch(data, target, batch_id, recorded)
-            totals["batches"] += 1
+            data = make(batch)
+            if data is not None:
+                rows = _write_batch(data.withColumn("ingestion_time", F.current_timestamp()), target, batch_id, recorded)
+                result.rows += rows
+                result.batches += 1 if rows else 0
         finally:
-            if lines is not None:
-                lines.unpersist()
+            if keep:
+                batch.unpersist()
 
     query = (
-        lines.writeStream.foreachBatch(process)
+        stream.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return IngestResult(totals["rows"], totals["batches"])
+    return result
+
 
+# ---------------------------------------------------------------- formats
 
-def _parse_csv_lines(lines: DataFrame, csv_opts: Mapping[str, str], sep: str, rescue_column: str | None):
-    """Parse a batch's CSV lines in place, each file with its own header (one read of the files).
 
-    ``lines`` carries ``_tl_mid``, a per-line id (partition index + position,
-    reproducible because a batch's file splits are fixed) and should be
-    persisted by the caller for the duration of the write. A file's header is
-    its smallest-id line of the first block. Data lines are parsed with
-    ``from_csv`` under their header's column names and unioned by name. Only
-    one row per file (its header) reaches the driver and is broadcast back.
+def _headers(lines: DataFrame) -> list[Row]:
+    """``(file_path, header, _tl_hmid)`` of each file: its smallest-id line of the first block.
+
+    Ids ascend within a file's block and are unique in the batch, so the header is
+    found by a hash aggregate over ids and joined back by id.
     """
+    firsts = lines.filter(F.col("block") == 0).groupBy("file_path").agg(F.min("_tl_mid").alias("_tl_hmid"))
+    firsts = firsts.select("_tl_hmid")  # one row per file of this bounded batch
+    found = lines.join(F.broadcast(firsts), F.col("_tl_mid") == F.col("_tl_hmid"))
+    return found.select("file_path", F.col("value").alias("header"), "_tl_hmid").collect()
+
+
+def _csv_lines(lines: DataFrame, csv_opts: Mapping[str, str], rescue_column: str | None) -> DataFrame | None:
+    """Parse a batch's CSV lines in place, each value placed by its own file's header, in one pass."""
     spark = lines.sparkSession
-    heads = (
-        lines.filter(F.col("block") == 0)
-        .groupBy("file_path")
-        .agg(F.min_by(F.struct("value", "_tl_mid"), "_tl_mid").alias("h"))
-        .select("file_path", F.col("h.value").alias("header"), F.col("h._tl_mid").alias("_tl_hmid"))
-        .collect()  # one row per new file of this batch
-    )
+    heads = _headers(lines)
     if not heads:
         return None
+    opts = {k: v for k, v in csv_opts.items() if k not in ("multiLine", "inferSchema")}
+    names_of = parse_headers(spark, {r["header"] for r in heads}, opts)
+    names = list(dict.fromkeys(n for header in sorted(names_of) for n in names_of[header]))
+    width = max(len(n) for n in names_of.values())
     head_df = spark.createDataFrame(
-        [(r["file_path"], r["header"], r["_tl_hmid"]) for r in heads], "file_path string, header string, _tl_hmid long"
+        [
+            (r["file_path"], r["_tl_hmid"], len(own := names_of[r["header"]]), [own.index(n) if n in own else -1 for n in names])
+            for r in heads
+        ],
+        "_tl_file string, _tl_hmid long, _tl_width int, _tl_at array<int>",
     )
-    body = lines.join(F.broadcast(head_df), "file_path").filter(
+    body = lines.join(F.broadcast(head_df), F.col("file_path") == F.col("_tl_file")).filter(
         (F.col("_tl_mid") != F.col("_tl_hmid")) & (F.col("value") != "")
     )
-    opts = {k: v for k, v in csv_opts.items() if k not in ("multiLine", "inferSchema")}
-    out: DataFrame | None = None
-    for header in sorted({r["header"] for r in heads}):
-        fields = [*split_header(header, sep), *([rescue_column] if rescue_column else [])]
-        ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in fields)
-        part = body.filter(F.col("header") == header).select(F.from_csv("value", ddl, opts).alias("_tl_r"), "file_path")
-        part = part.select(*[F.col("_tl_r").getField(n).alias(n) for n in fields], "file_path")
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-STREAM_OPTIONS = ("maxFilesPerTrigger", "pathGlobFilter", "recursiveFileLookup", "maxFileAge", "latestFirst")
-
-
-def _as_struct(spark: SparkSession, schema: T.StructType | str | None) -> T.StructType | None:
-    if schema is None or isinstance(schema, T.StructType):
-        return schema
-    return T.StructType.fromDDL(schema)
-
-
-def _ingest_records(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    checkpoint: str,
-    fmt: str,
-    opts: dict[str, str],
-    schema: T.StructType | str | None,
-    schema_location: str | None,
-    rescue_column: str | None,
-) -> IngestResult:
-    stream_opts = {k: v for k, v in opts.items() if k in STREAM_OPTIONS}
-    read_opts = {k: v for k, v in opts.items() if k not in STREAM_OPTIONS}
-    multi_line = fmt == "xml" or read_opts.get("multiLine", "false").lower() == "true"
-    fixed = _as_struct(spark, schema)
-    lines = (
-        spark.readStream.format("text")
-        .options(**stream_opts)
-        .option("wholetext", str(multi_line).lower())
-        .load(source)
-        .select("value", F.col("_metadata.file_path").alias("file_path"))
+    ddl = ", ".join(f"c{i} STRING" for i in range(width + 1))  # one more than the widest header
+    parsed = body.withColumn("_tl_row", F.from_csv("value", ddl, opts)).withColumn(
+        "_tl_fields", F.array(*[F.col(f"_tl_row.c{i}") for i in range(width + 1)])
     )
-    state = {"schema": fixed or (load_schema(spark, schema_location) if schema_location else None)}
-    totals = {"rows": 0, "batches": 0}
-    recorded: dict = {}
-
-    def evolve(names: list[str]) -> T.StructType:
-        if fixed is not None:
-            return fixed
-        seen = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        widened = widen(state["schema"], seen)
-        if widened != state["schema"]:
-            if schema_location:
-                save_schema(spark, widened, schema_location)
-            state["schema"] = widened
-        return widened
+    at = F.col("_tl_at")
+    cols = [F.when(at[j] >= 0, F.get("_tl_fields", at[j])).alias(n) for j, n in enumerate(names)]
+    if rescue_column:
+        beyond = F.slice("_tl_fields", F.col("_tl_width") + 1, F.lit(width + 1) - F.col("_tl_width"))
+        cols.append(F.when(F.exists(beyond, lambda x: x.isNotNull()), F.col("value")).alias(rescue_column))
+    return parsed.select(*cols, "file_path")
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        # The batch is bounded by max_files_per_trigger; keep it while it is read twice
-        # (names, then data). A lost executor just recomputes it from the batch's files.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if fmt == "json":
-                data = _json_batch(batch, multi_line, evolve, rescue_column)
-            else:
-                data = _xml_batch(batch, read_opts, evolve, rescue_column)
-            if data is None:
-                return
-            data = data.withColumn("ingestion_time", F.current_timestamp())
-            totals["rows"] += _write_batch(data, target, batch_id, recorded)
-            totals["batches"] += 1
-        finally:
-            batch.unpersist()
 
-    query = (
-        lines.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+def _csv_files(batch: DataFrame, csv_opts: Mapping[str, str], rescue_column: str | None) -> DataFrame | None:
+    """Quoted fields may span lines: read the batch's files with the CSV reader, grouped by header."""
+    heads = _headers(batch.withColumn("_tl_mid", F.monotonically_increasing_id()))
+    if not heads:
+        return None
+    names_of = parse_headers(batch.sparkSession, {r["header"] for r in heads}, csv_opts)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for r in heads:
+        groups[tuple(names_of[r["header"]])].append(r["file_path"])
+    return read_csv_groups(batch.sparkSession, groups, csv_opts, rescue_column)
+
+
+class _Evolving:
+    """The columns of a JSON or XML source: fixed, or the stored ones widened by each batch's."""
+
+    def __init__(self, spark: SparkSession, schema: T.StructType | str | None, location: str | None) -> None:
+        self.spark, self.location = spark, location
+        self.fixed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.schema = self.fixed or (load_schema(spark, location) if location else None)
+
+    def widened(self, names: list[str]) -> T.StructType:
+        if self.fixed is None:
+            wider = widen(self.schema, string_schema(names))
+            if wider != self.schema:
+                if self.location:
+                    save_schema(self.spark, wider, self.location)
+                self.schema = wider
+        return self.schema
+
+
+def _json_lines(batch: DataFrame, evolve: _Evolving, rescue_column: str | None) -> DataFrame | None:
+    records = batch.filter(F.trim("value") != "").select(
+        F.from_json("value", "map<string,string>").alias("m"), "value", "file_path"
     )
-    query.awaitTermination()
-    return IngestResult(totals["rows"], totals["batches"])
-
-
-def _json_batch(batch: DataFrame, multi_line: bool, evolve, rescue_column: str | None) -> DataFrame | None:
-    text = F.col("value")
-    if multi_line:
-        as_list = F.when(
-            F.ltrim(text).startswith("["), F.from_json(text, "array<map<string,string>>")
-        ).otherwise(F.array(F.from_json(text, "map<string,string>")))
-        records = batch.select(F.explode(as_list).alias("m"), "value", "file_path")
-    else:
-        records = batch.filter(F.trim(text) != "").select(
-            F.from_json(text, "map<string,string>").alias("m"), "value", "file_path"
-        )
-    names = [r["k"] for r in records.select(F.explode(F.map_keys("m")).alias("k")).distinct().collect()]
-    if not names and records.isEmpty():
+    found = records.select(F.explode(F.map_keys("m")).alias("k")).distinct().limit(MAX_JSON_FIELDS + 1).collect()
+    if len(found) > MAX_JSON_FIELDS:
+        raise ValueError(f"more than {MAX_JSON_FIELDS} distinct JSON fields in one batch: pass a schema")
+    if not found and records.isEmpty():
         return None
-    schema = evolve(sorted(names))
+    schema = evolve.widened(sorted(r["k"] for r in found))
     cols = [F.col("m").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     if rescue_column:
         cols.append(F.when(F.col("m").isNull(), F.col("value")).alias(rescue_column))
     return records.select(*cols, "file_path")
 
 
-def _xml_batch(batch: DataFrame, read_opts: Mapping[str, str], evolve, rescue_column: str | None) -> DataFrame | None:
+def _whole_files(
+    batch: DataFrame, fmt: str, read_opts: Mapping[str, str], evolve: _Evolving, rescue_column: str | None
+) -> DataFrame | None:
+    """Multi-line JSON or XML: the batch's paths, inferred and read by Spark's reader."""
     spark = batch.sparkSession
-    files = [r["file_path"] for r in batch.select("file_path").distinct().collect()]  # bounded per batch
+    files = [r["path"] for r in batch.select("path").collect()]  # bounded per batch
     if not files:
         return None
-    inferred = spark.read.format("xml").options(**read_opts).load(files).schema
-    schema = evolve([f.name for f in inferred.fields if f.name != rescue_column])
-    opts = dict(read_opts)
-    full = schema
-    if rescue_column:
-        opts["columnNameOfCorruptRecord"] = rescue_column
-        full = T.StructType([*schema.fields, T.StructField(rescue_column, T.StringType(), True)])
-    data = spark.read.format("xml").options(**opts).schema(full).load(files)
+    opts = {**read_opts, "columnNameOfCorruptRecord": rescue_column or "_tl_corrupt"}
+    if evolve.fixed is None:
+        seen = spark.read.format(fmt).options(**opts).load(files).schema
+        schema = evolve.widened([f.name for f in seen.fields if f.name != opts["columnNameOfCorruptRecord"]])
+    else:
+        schema = evolve.fixed
+    full = T.StructType([*schema.fields, *([T.StructField(rescue_column, T.StringType())] if rescue_column else [])])
+    data = spark.read.format(fmt).options(**opts).schema(full).load(files)
     return data.select(*[F.col(f"`{c}`") for c in full.fieldNames()], F.col("_metadata.file_path").alias("file_path"))
 
 
+# ---------------------------------------------------------------- batch log
+
+
 BATCH_LOG_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType(), False),
@@ -358,65 +319,81 @@ def bronze_batch_log_path(target: str) -> str:
     return f"{target.rstrip('/')}/_batches"
 
 
-def _latest_batch(spark: SparkSession, target: str) -> tuple[int, T.StructType] | None:
-    """``(last logged batch id, folder schema)`` from one small read of the batch log."""
-    if not path_exists(spark, bronze_batch_log_path(target)):
-        return None
-    row = (
-        spark.read.schema(BATCH_LOG_SCHEMA)
-        .parquet(bronze_batch_log_path(target))
-        .agg(F.max("batch_id").alias("b"), F.max_by("schema_json", "batch_id").alias("s"))
-        .first()
-    )
-    if row is None or row["b"] is None:
-        return None
-    return int(row["b"]), T.StructType.fromJson(json.loads(row["s"]))
+def last_batches(spark: SparkSession, targets: Mapping[str, str]) -> dict[str, Row]:
+    """Newest batch-log row ``(batch_id, ingestion_time, schema_json)`` of each bronze folder that has one; one job."""
+    logs = None
+    for name, target in targets.items():
+        if path_exists(spark, bronze_batch_log_path(target)):
+            log = spark.read.schema(BATCH_LOG_SCHEMA).parquet(bronze_batch_log_path(target))
+            log = log.select(F.lit(name).alias("source"), "batch_id", "ingestion_time", "schema_json")
+            logs = log if logs is None else logs.unionByName(log)
+    if logs is None:
+        return {}
+    newest = F.row_number().over(Window.partitionBy("source").orderBy(F.col("batch_id").desc()))
+    return {r["source"]: r for r in logs.withColumn("_tl_n", newest).filter(F.col("_tl_n") == 1).collect()}
+
+
+def _is_logged(spark: SparkSession, target: str, batch_id: int, recorded: dict) -> bool:
+    """Whether the batch is in the log; ``recorded`` caches the log's end for the run."""
+    if "last" not in recorded:
+        newest = last_batches(spark, {"": target}).get("")
+        recorded["last"] = -1 if newest is None else newest["batch_id"]
+        recorded["schema"] = None if newest is None else T.StructType.fromJson(json.loads(newest["schema_json"]))
+    return batch_id <= recorded["last"]
 
 
 def _write_batch(data: DataFrame, target: str, batch_id: int, recorded: dict) -> int:
-    """Write one micro-batch to ``batch_id=N`` (overwrite: a replay replaces itself), then log
-    it as complete together with the folder's schema widened by any new column; return its rows.
+    """Write one micro-batch to ``batch_id=N`` and log it as complete with the folder's schema
+    widened by any new column; return its rows, counted by the write.
 
-    Readers take only logged batches, so a batch whose files are still being
-    committed (or whose job died) is invisible to them. ``recorded`` caches the
-    folder's schema for the run.
+    A batch that is already logged is not written again. One whose job died before
+    the log row is overwritten by its replay.
     """
     spark = data.sparkSession
-    obs = Observation(f"bronze_rows_{batch_id}_{uuid.uuid4().hex[:8]}")
-    data.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingestion_time").alias("t")).write.mode(
-        "overwrite"
-    ).parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
-    if "schema" not in recorded:
-        latest = _latest_batch(spark, target)
-        recorded["schema"] = None if latest is None else latest[1]
+    if _is_logged(spark, target, batch_id, recorded):
+        return 0
+    seen = write_observed(
+        data, f"{target.rstrip('/')}/batch_id={batch_id}", micros=F.max(F.unix_micros("ingestion_time"))
+    )
     recorded["schema"] = widen(recorded["schema"], data.schema)
-    seen = obs.get
-    spark.createDataFrame(
-        [(int(batch_id), int(seen["n"]), seen["t"], recorded["schema"].json())], BATCH_LOG_SCHEMA
-    ).coalesce(1).write.mode("append").parquet(bronze_batch_log_path(target))
-    return int(seen["n"])
+    recorded["last"] = batch_id
+    row = spark.range(1).select(
+        F.lit(batch_id).cast("long").alias("batch_id"),
+        F.lit(seen["rows"]).cast("long").alias("rows"),
+        F.timestamp_micros(F.lit(seen["micros"] if seen["rows"] else None).cast("long")).alias("ingestion_time"),
+        F.lit(recorded["schema"].json()).alias("schema_json"),
+    )
+    row.coalesce(1).write.mode("append").parquet(bronze_batch_log_path(target))
+    return seen["rows"]
 
 
 def committed_batch(spark: SparkSession, target: str) -> int | None:
     """The last batch id logged as complete (batches run in order), or None."""
-    latest = _latest_batch(spark, target)
-    return None if latest is None else latest[0]
+    newest = last_batches(spark, {"": target}).get("")
+    return None if newest is None else int(newest["batch_id"])
+
+
+def read_batches(spark: SparkSession, target: str, newest: Row, after: int | None = None) -> DataFrame:
+    """Rows of the batches up to ``newest`` (a :func:`last_batches` row), of those after ``after`` if it is given.
+
+    Both bounds are on the partition column, so an increment opens its own folders only.
+    """
+    schema = T.StructType.fromJson(json.loads(newest["schema_json"]))
+    schema = T.StructType([*[f for f in schema.fields if f.name != "batch_id"], T.StructField("batch_id", T.LongType())])
+    df = spark.read.schema(schema).parquet(target).filter(F.col("batch_id") <= F.lit(newest["batch_id"]))
+    return df if after is None else df.filter(F.col("batch_id") > F.lit(after))
 
 
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
-    """The bronze table: all batches by column name (columns a batch lacks are NULL).
+    """The bronze table: all logged batches by column name (columns a batch lacks are NULL).
 
     Batch folders are read with the schema recorded in the batch log, so no
-    footer of any file is opened to plan the read, and only batches logged as
-    complete are read (partition pruning on ``batch_id``). Folders written by
-    the file sink (whose own log gives the same guarantee) fall back to merging
-    the file schemas.
+    footer of any file is opened to plan the read.
     """
-    latest = _latest_batch(spark, target)
-    if latest is None:
-        return spark.read.option("mergeSchema", "true").parquet(target)
-    last, schema = latest
-    return spark.read.schema(schema).parquet(target).filter(F.col("batch_id") <= F.lit(last))
+    newest = last_batches(spark, {"": target}).get("")
+    if newest is None:
+        raise FileNotFoundError(f"no completed batch in {target}")
+    return read_batches(spark, target, newest)
 
 
 def csv_stream(spark: SparkSession, path: str, schema_location: str, options: Mapping[str, str] | None = None) -> DataFrame:

@@ -1,9 +1,11 @@
 """Declared streaming datasets: ``{name: builder}`` started together, each to completion.
 
 A builder is ``(spark) -> streaming DataFrame``; the registry gives each one
-its own output folder and checkpoint under a base folder, starts them all with
-``availableNow`` and waits for all of them. This is the plain-Spark form of a
-declarative bronze pipeline definition (no pipeline server involved).
+its own bronze folder and checkpoint under a base folder, starts them all with
+``availableNow`` and waits for all of them. Rows are counted by the writes
+themselves, and the folders are read with ``read_bronze`` like any bronze table.
+This is the plain-Spark form of a declarative bronze pipeline definition (no
+pipeline server involved).
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.sources.files import with_lineage
+from tierline.streaming.bronze import _write_batch
 
 Builder = Callable[[SparkSession], DataFrame]
 
@@ -38,23 +42,31 @@ class DatasetRegistry:
         return list(self._builders)
 
     def run(self, spark: SparkSession, base: str) -> dict[str, int]:
-        """Start every dataset (``availableNow``), wait for all; rows read per dataset."""
-        base = base.rstrip("/")
-        queries = {}
+        """Start every dataset (``availableNow``), wait for all; rows written per dataset."""
+        rows, queries = {}, []
         for name, build in self._builders.items():
-            queries[name] = (
-                build(spark)
-                .writeStream.format("parquet")
-                .option("checkpointLocation", f"{base}/_checkpoints/{name}")
-                .trigger(availableNow=True)
-                .start(f"{base}/{name}")
-            )
-        rows = {}
-        for name, q in queries.items():
+            rows[name] = 0
+            queries.append(self._start(spark, name, build, base.rstrip("/"), rows))
+        for q in queries:
             q.awaitTermination()
-            rows[name] = sum({p["batchId"]: int(p["numInputRows"]) for p in q.recentProgress}.values())
         return rows
 
+    def _start(self, spark: SparkSession, name: str, build: Builder, base: str, rows: dict[str, int]):
+        recorded: dict = {}
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            if "ingestion_time" not in batch.columns:
+                batch = batch.withColumn("ingestion_time", F.current_timestamp())
+            rows[name] += _write_batch(batch, f"{base}/{name}", batch_id, recorded)
+
+        return (
+            build(spark)
+            .writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{base}/_checkpoints/{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+
     def path(self, base: str, name: str) -> str:
         if name not in self._builders:
             raise KeyError(name)
