@@ -41,13 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import ship_package, slices
+from tierline.llm.common import ship_package, slices, staged
 from tierline.llm.url_reputation import url_host
 
 REPEAT_TOKENS = 6
 REPEAT_PAGES = 2
 COVERED_SHARE = 0.5
 PART_BYTES = 8 << 20
+#: Most hosts of several parts (some 50 bytes each) that are broadcast; beyond it the join shuffles.
+BROADCAST_HOSTS = 500_000
 ARTICLE, OPEN, CHROME = 0, 1, 2
 
 _TOKEN = re.compile(
@@ -308,10 +310,15 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
         F.col(page).alias("__page"), F.col(url).alias("__url"), url_host(F.col(url)).alias("__host"),
         F.col(html_column).alias("__html"),
     )
-    sizes = rows.groupBy("__host").agg(F.sum(F.octet_length(F.coalesce("__html", F.lit(""))).cast("long")).alias("__bytes"))
-    sizes = sizes.select(F.col("__host").alias("__h"), (F.floor(F.col("__bytes") / PART_BYTES) + 1).cast("int").alias("__parts"))
+    # only hosts of several parts, at most one per PART_BYTES of input; the others have one part
+    size = F.sum(F.octet_length(F.coalesce("__html", F.lit(""))).cast("long"))
+    large = rows.groupBy(F.col("__host").alias("__h")).agg((F.floor(size / PART_BYTES) + 1).cast("int").alias("__parts"))
+    large = staged(large.filter(F.col("__parts") > 1), "large-hosts")
+    if large.count() <= BROADCAST_HOSTS:
+        large = F.broadcast(large)
+    rows = rows.join(large, F.col("__host") == F.col("__h"), "left").drop("__h").fillna(1, ["__parts"])
     spread = F.pmod(F.xxhash64("__page", "__url", F.octet_length("__html")), F.col("__parts")).cast("int")
-    rows = rows.join(sizes, F.col("__host") == F.col("__h")).withColumn("__part", spread).drop("__h")
+    rows = rows.withColumn("__part", spread)
 
     head = [T.StructField("__host", T.StringType()), T.StructField("__part", T.IntegerType())]
     tail = [
