@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import regex
 
+from tests.oracle_check import compare, duck
 from tierline.llm import decontam, queries
 
 
@@ -37,6 +38,11 @@ def test_query(spark, sf, documents):
     assert {k: r.n_equal for k, r in got.items()} == want and want
 
 
+def test_query_matches_oracle(spark, sf):
+    name = "op4_decontamination"
+    assert compare(spark, duck(sf), name, queries.QUERIES[name], queries.ORACLE[name], sf)[0] == []
+
+
 def test_substitutions_and_parts(spark, make_docs):
     item = [f"t{i}" for i in range(40)]
     spoiled = [w if i % 6 else "x" for i, w in enumerate(item)]

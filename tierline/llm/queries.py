@@ -68,6 +68,31 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Without seeds: every alignment that enough equal words support, its best stretch of 13 words.
+ORACLE["op4_decontamination"] = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), i AS (
+  SELECT min(item_id) AS item_id, w, len(w) AS n, least(len(w), 13) AS l
+  FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
+  WHERE len(w) >= 5 GROUP BY w
+), dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+iw AS (SELECT item_id, n, l, unnest(w) AS word, unnest(range(n)) AS pos FROM i),
+aligned AS (
+  SELECT dw.doc_id, iw.item_id, iw.n, iw.l, dw.pos - iw.pos AS b, list(iw.pos) AS equal
+  FROM dw JOIN iw USING (word) GROUP BY ALL HAVING count(*) >= ceil(0.8 * iw.l)
+), stretches AS (
+  SELECT *, unnest(range(n - l + 1)) AS s FROM aligned
+), counted AS (
+  SELECT doc_id, item_id, b, s, l, len(list_filter(equal, lambda x: x >= s AND x < s + l)) AS e FROM stretches
+)
+SELECT doc_id, item_id, CAST(b + s AS INTEGER) AS doc_word, CAST(s AS INTEGER) AS item_word, CAST(l AS INTEGER) AS n_words,
+       CAST(e AS INTEGER) AS n_equal
+FROM counted WHERE e >= ceil(0.8 * l)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY e DESC, s, b) = 1
+"""
+
+
 @query
 def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring.shard_texts(table(spark, sf_dir, "documents"), shards=24)
