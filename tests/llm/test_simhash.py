@@ -55,6 +55,20 @@ def test_query(spark, sf, documents, monkeypatch, nodes):
         assert (got[row.doc_id].fingerprint, got[row.doc_id].component_id) == (f"{value:016x}", least)
 
 
+@pytest.mark.parametrize("blocks", [4, 5, 6])
+def test_any_number_of_blocks_finds_every_link(spark, blocks):
+    rng = np.random.default_rng(blocks)
+    points = rng.integers(0, 1 << 63, 60, dtype=np.uint64)[rng.integers(0, 60, 600)]
+    for _ in range(3):
+        points = points ^ (np.uint64(1) << rng.integers(0, 64, 600).astype(np.uint64))
+    points = np.unique(points)
+    frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    found = components.connected_components(simhash.links(frame, 3, blocks)).collect()
+    label = {r.node: r.root for r in found}
+    want = classes(points.tolist(), points.view(np.int64).tolist())
+    assert [label.get(p, p) for p in points.view(np.int64).tolist()] == want
+
+
 def test_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000 + i, 5000) for i in range(50)], "a long, b long")
     found = {r.node: r.root for r in components.connected_components(edges).collect()}
@@ -81,8 +95,9 @@ def test_copies_leave_one(make_docs):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(400)]
     text = " ".join(rng.choice(words) for _ in range(300))
-    near = text.split(" ")
-    near[150] = "changed"
+    copies = (text.split(" ")[:i] + ["changed"] + text.split(" ")[i + 1 :] for i in range(300))
+    linked = lambda t: (plain_fingerprint(t) ^ plain_fingerprint(text)).bit_count() <= 3
+    near = next(c for c in copies if linked(" ".join(c)))
     other = " ".join(rng.choice(words) for _ in range(300))
     docs = make_docs([(5, text), (3, text), (9, " ".join(near)), (4, other)])
     assert sorted(r.doc_id for r in simhash.keep_one_per_group(docs).collect()) == [3, 4]

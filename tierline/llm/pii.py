@@ -322,6 +322,14 @@ def find_spans(text: str, model: SpanModel) -> tuple[list[Span], list[Span]]:
     return base, [s for s in loose_spans(text, base) if model.accepts(pattern(text, s, False))]
 
 
+def redact_all(text: str, spans: list[Span]) -> str:
+    """Redacts the spans, then what only shows once they are gone (a phone number behind which an address stood)."""
+    while spans:
+        text = redact(text, spans)
+        spans = base_spans(text)  # each round leaves fewer digits and at signs
+    return text
+
+
 def redact(text: str, spans: list[Span]) -> str:
     """The text with every span replaced by its kind; overlapping spans become one, named by the first."""
     out, at = [], 0
@@ -370,11 +378,14 @@ def detect(df: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
 
 
 def redacted(df: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
-    """The rows with every span of ``text`` replaced by its kind, as in ``[EMAIL]``; null texts stay null. Map-only."""
+    """The rows with every span of ``text`` replaced by its kind, as in ``[EMAIL]``; no base span is left.
+
+    Null texts stay null. Map-only.
+    """
     order = df.columns
 
     def make(texts: list, found: list) -> list[pa.Array]:
-        return [pa.array([None if t is None else redact(t, b + a) if b or a else t for t, (b, a) in zip(texts, found, strict=True)], pa.string())]
+        return [pa.array([None if t is None else redact_all(t, b + a) for t, (b, a) in zip(texts, found, strict=True)], pa.string())]
 
     return _map(df, model, text, [df.schema[text]], make).select(order)
 

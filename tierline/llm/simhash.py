@@ -3,10 +3,12 @@
 A document's fingerprint has a bit set where more than half of its shingle hashes
 have it set. Two fingerprints link when they differ in at most ``radius`` bits.
 
-Search. Equal fingerprints are one node from the start. Cut into ``radius + 1``
-blocks of bits, two linked fingerprints agree in at least one block, so each node
-goes to one bucket per block, and every link is inside some bucket. A bucket's
-fingerprints form a BK-tree: each child hangs on its parent by their integer
+Search. Equal fingerprints are one node from the start. Cut into B blocks of bits,
+two linked fingerprints agree in at least B - ``radius`` blocks, so each node goes
+to one bucket for every choice of B - ``radius`` blocks, and every link is inside
+some bucket. Four blocks give 4 buckets a node; with more nodes five or six blocks
+give 10 or 20 buckets whose longer keys keep them small. A bucket's fingerprints
+form a BK-tree: each child hangs on its parent by their integer
 Hamming distance, and a search follows only the edges within ``radius`` of the
 query's distance to the node. Trees are never collected: a task receives a bounded
 shard of many buckets and grows all its trees together, level by level, in numpy.
@@ -21,6 +23,7 @@ links themselves, so a dense group of n near copies gives at most n - 1 rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -179,23 +182,26 @@ def search_shard(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
     return pd.DataFrame({"a": points[moved].view(np.int64), "b": points[label[moved]].view(np.int64)})
 
 
-def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def blocks_for(nodes: int, radius: int) -> int:
+    """Blocks that keep an even bucket at some hundred nodes; every choice finds every link."""
+    extra = 1 + (nodes > 1 << 24) + (nodes > 1 << 32)
+    return min(radius + extra, 64)
+
+
+def links(prints: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """(a, b): edges that connect exactly the fingerprints that links connect.
 
     ``prints`` has one distinct long column ``fp`` (a written table: it is read more than once).
     """
     spark = prints.sparkSession
     ship_package(spark)
-    blocks = radius + 1
+    blocks = blocks or blocks_for(prints.count(), radius)
     cuts = [64 * i // blocks for i in range(blocks + 1)]
-    buckets = F.array(
-        *(
-            F.xxhash64(
-                F.lit(i), F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
-            )
-            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))
-        )
-    )
+    parts = [
+        F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(cuts, cuts[1:], strict=False)
+    ]
+    agreeing = itertools.combinations(parts, blocks - radius)
+    buckets = F.array(*(F.xxhash64(F.lit(i), *chosen) for i, chosen in enumerate(agreeing)))
     rows = prints.select("fp", F.explode(buckets).alias("bucket"))
     large = (
         rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
