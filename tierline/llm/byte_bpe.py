@@ -29,7 +29,7 @@ from tierline.llm.common import ship_package, slices, with_fields
 from tierline.llm.words import WordMemo, cut_punctuation, encode_words
 
 #: Entries of each of the memo's two generations, and the longest text it holds.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 120_000
 MEMO_KEY_CHARS = 48
 #: Pieces up to this many bytes are merged many at a time, so many rows at once.
 ROW_TREE_BYTES = 64
@@ -296,7 +296,7 @@ def encode_documents(df: DataFrame, vocabulary: str, pattern: str, text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab.value, pattern)
         for batch in batches:
-            for part in slices(batch, 2048):
+            for part in slices(batch, 1024):
                 ids = bpe.encode_many([t or "" for t in part.column(text).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept]
@@ -334,7 +334,7 @@ def document_digests(df: DataFrame, vocabulary: str, pattern: str, key: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocab.value, pattern)
         for batch in batches:
-            for part in slices(batch, 2048):
+            for part in slices(batch, 1024):
                 counts, digests, back = [], [], []
                 for ids in bpe.encode_many([t or "" for t in part.column(1).to_pylist()]):
                     counts.append(len(ids) // 4)
