@@ -38,6 +38,7 @@ def build_session(
         # Whole documents travel through Arrow in the enrichment operator:
         # bound a batch by rows so one batch of 20k-word texts stays small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
     )
     for key, value in (extra or {}).items():
@@ -77,12 +78,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for tables written by a job."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tierline-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need a plain OS path."""
-    if path.startswith("file:"):
-        path = path[len("file:") :]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
