@@ -33,12 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import ship_package, with_fields
+from tierline.llm.common import ship_package, staged, with_fields
 
 MAX_N = 3
 #: Bounds of the training sample.
 SAMPLE_PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 32
+#: Rows under a label's hash bound, as a multiple of the wanted ones; labels whose counts are broadcast.
+SPARE = 4
+BROADCAST_LABELS = 100_000
 #: Symbols of the alphabet, gap and "other letter" included.
 ALPHABET = 64
 RIDGE = 1e-2
@@ -203,10 +206,18 @@ def training_label(key: str = "doc_id", label: str = "lang") -> Column:
 def training_sample(df: DataFrame, label: Column, key: str, text: str, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """(text, label) of at most ``per_language`` rows with a letter a label: the least by a hash of key and text.
 
-    The limit is taken in each task before the shuffle, so a label with most rows moves a bounded number.
+    The label's count sets a bound on the hash that some ``SPARE`` times the wanted rows
+    stay under, and only those are ranked: what moves is bounded by the number of
+    labels, however many rows or tasks there are.
     """
     rows = df.select(label.alias("__label"), F.col(text).alias("__text"), F.xxhash64(F.col(key), F.col(text)).alias("__h"))
+    counts = df.select(label.alias("__of")).filter(F.col("__of").isNotNull()).groupBy("__of").agg(F.count("*").alias("__n"))
+    counts = staged(counts, "label-counts")
+    if counts.count() <= BROADCAST_LABELS:
+        counts = F.broadcast(counts)
+    place = (F.col("__h").cast("double") + float(1 << 63)) / float(1 << 64)
     rows = rows.filter(F.col("__label").isNotNull() & F.col("__text").rlike("\\p{L}"))
+    rows = rows.join(counts, F.col("__label") == F.col("__of")).filter(place <= F.lit(SPARE * per_language) / F.col("__n"))
     w = Window.partitionBy("__label").orderBy("__h", "__text")
     return rows.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= per_language).select("__label", "__text", "__h")
 
