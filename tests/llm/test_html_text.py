@@ -53,6 +53,13 @@ def test_zones():
     assert "T" not in [t for _, t in found] and "no" not in " ".join(t for _, t in found)
 
 
+def test_layout_names_around_an_article():
+    page = '<body class="home"><div class="content has-sidebar"><article><h1>A</h1><p class="ad">x</p></article><p>side</p></div>'
+    assert html_text.blocks_of(page) == [(html_text.ARTICLE, "A"), (html_text.CHROME, "x"), (html_text.CHROME, "side")]
+    page = '<div id="comments"><article><p>reader</p></article></div><nav><article>n</article></nav><main class="x">m</main>'
+    assert [z for z, _ in html_text.blocks_of(page)] == [html_text.CHROME, html_text.CHROME, html_text.ARTICLE]
+
+
 def test_broken_markup():
     assert html_text.blocks_of(None) == [] and html_text.blocks_of("") == []
     assert html_text.blocks_of("a < b and <b>c") == [(html_text.OPEN, "a < b and c")]

@@ -50,7 +50,7 @@ COVERED_SHARE = 0.5
 PART_BYTES = 8 << 20
 #: Most hosts of several parts (some 50 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 500_000
-ARTICLE, OPEN, CHROME = 0, 1, 2
+ARTICLE, OPEN, CHROME, LAYOUT = 0, 1, 2, 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -73,10 +73,12 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search for
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr"
     " notice notices alert popup modal newsletter subscribe subscription signup login sidebar nav navbar navigation menu"
-    " breadcrumb breadcrumbs footer header masthead topbar comment comments respond reply replies discussion share sharing"
+    " breadcrumb breadcrumbs footer header masthead topbar comment comments disqus respond reply replies discussion share sharing"
     " social related recommended pagination pager widget toolbar copyright disclaimer".split()
 )
 HEADER_NAMES = frozenset(("header",))
+#: Chrome words that also name the layout around an article, as in ``has-sidebar``.
+LAYOUT_WORDS = frozenset("sidebar nav navbar navigation menu header footer widget banner ad ads topbar".split())
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -87,22 +89,21 @@ def _zone_of(tag: str, raw: str, zone: int, in_article: bool) -> tuple[int, bool
     """(zone, in_article) inside an element."""
     if zone == CHROME:
         return zone, in_article
+    if tag in CHROME_TAGS and not (in_article and tag in HEADER_NAMES):
+        return CHROME, in_article
     found = _attributes(raw) if raw and not raw.isspace() else {}
     words = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
     if in_article:  # an article's own header holds its heading
         words -= HEADER_NAMES
+    words &= CHROME_WORDS
     role = found.get("role", "").lower()
-    if (
-        tag in CHROME_TAGS and not (in_article and tag in HEADER_NAMES)
-        or role in CHROME_ROLES
-        or words & CHROME_WORDS and tag not in ("body", "html", "main")
-        or "hidden" in found
-        or found.get("aria-hidden", "").lower() == "true"
-        or re.search(r"display\s*:\s*none", found.get("style", ""), re.I)
-    ):
+    hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+    if role in CHROME_ROLES or hidden or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         return CHROME, in_article
+    if words and tag not in ("body", "html", "main"):
+        return (LAYOUT if words <= LAYOUT_WORDS and not in_article else CHROME), in_article
     if tag in ("article", "main") or role in ("article", "main") or found.get("itemprop") == "articleBody":
-        return ARTICLE, True
+        return ARTICLE, True  # also where only the names of the layout around it are chrome's
     return zone, in_article
 
 
@@ -172,8 +173,8 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
     text.append(page[at:])
     flush()
     if any(z == ARTICLE and article for z, _, article in out):
-        return [(OPEN if z == ARTICLE and not article else z, words) for z, words, article in out]
-    return [(z, words) for z, words, _ in out]
+        out = [(OPEN if z == ARTICLE and not article else z, words, article) for z, words, article in out]
+    return [(CHROME if z == LAYOUT else z, words) for z, words, _ in out]
 
 
 # ---------------------------------------------------------------- suffix arrays
