@@ -53,6 +53,15 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Most key rows (some 30 bytes each) that are broadcast; beyond it the join shuffles.
+BROADCAST_KEYS = 2_000_000
+
+
+def checked_broadcast(keys: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if its row count is under the bound."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

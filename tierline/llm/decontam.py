@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import staged, text_or_empty
+from tierline.llm.common import checked_broadcast, staged, text_or_empty
 
 #: Word positions that each seed looks at.
 MASKS: tuple[tuple[int, ...], ...] = ((0, 1, 3, 6, 7), (0, 2, 3, 5, 8))
@@ -155,5 +155,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     """
     name = F.struct(F.col(key).alias("k"), F.xxhash64(text).alias("h"))
     found = overlaps(docs.select(name.alias("__name"), F.col(text).alias("text")), benchmark, key="__name")
-    bad = found.select(F.col("__name.k").alias("__bad"), F.col("__name.h").alias("__bad_hash")).distinct()
+    bad = staged(found.select(F.col("__name.k").alias("__bad"), F.col("__name.h").alias("__bad_hash")).distinct(), "leaks")
+    bad = checked_broadcast(bad)
     return docs.join(bad, docs[key].eqNullSafe(bad["__bad"]) & (F.xxhash64(docs[text]) == bad["__bad_hash"]), "left_anti")

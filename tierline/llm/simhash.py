@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import ship_package, slices, staged, with_fields
+from tierline.llm.common import checked_broadcast, ship_package, slices, staged, with_fields
 from tierline.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -263,5 +263,15 @@ def keep_one_per_group(
     them stays. Groups whose keys are all null keep one row without a key.
     """
     found = near_duplicates(df, key, text, words, radius)
-    kept = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__kept")).distinct()
-    return df.join(kept, df[key].eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates([key])
+    own = F.col(key).eqNullSafe(F.col("component_id"))
+    keys = found.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n"), F.max(own.cast("int")).alias("__kept"))
+    keys = staged(keys.filter((F.col("__kept") == 0) | (F.col("__n") > 1)), "simhash-keys")
+    gone = checked_broadcast(keys.filter(F.col("__kept") == 0))
+    same = df[key].eqNullSafe(F.col("__key"))
+    left = df.join(gone, same, "left_anti")  # the texts stay where they are unless very many documents go
+    repeated = keys.filter(F.col("__kept") == 1)
+    if repeated.isEmpty():
+        return left
+    repeated = checked_broadcast(repeated)
+    once = left.join(repeated, same, "left_semi").dropDuplicates([key])
+    return left.join(repeated, same, "left_anti").unionByName(once)
