@@ -27,6 +27,7 @@ import logging
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -163,6 +164,18 @@ def bronze_job(
     )
 
 
+def bronze_jobs(
+    spark: SparkSession, lake: Lake, sources: Mapping[str, tuple[str, str, Mapping[str, str] | None]]
+) -> dict[str, IngestResult]:
+    """Independent bronze loads ``{table: (source_dir, format, options)}``, run side by side.
+
+    Each stream has its own folder and checkpoint; a failure of one is raised after the others have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
+        started = {t: pool.submit(bronze_job, spark, lake, t, *source) for t, source in sources.items()}
+    return {t: run.result() for t, run in started.items()}
+
+
 # ------------------------------------------------------------------ silver
 
 

@@ -68,8 +68,8 @@ def deliver_customers(spark: SparkSession, sf_dir: str, src: str, round_no: int)
 
 
 def load_customers(spark: SparkSession, lake: jobs.Lake, src: str, round_no: int) -> jobs.SilverResult:
-    for name, fmt, opts in (("a", "csv", None), ("b", "json", None), ("c", "xml", {"rowTag": "record"})):
-        jobs.bronze_job(spark, lake, f"customer_{name}", f"{src}/{name}", fmt, opts)
+    formats = {"a": ("csv", None), "b": ("json", None), "c": ("xml", {"rowTag": "record"})}
+    jobs.bronze_jobs(spark, lake, {f"customer_{name}": (f"{src}/{name}", *how) for name, how in formats.items()})
     sources = {
         "a": jobs.SilverSource(lake.layer("bronze", "customer_a")),
         "b": jobs.SilverSource(lake.layer("bronze", "customer_b"), json_fields={"c_name": ("customer", "$.Name")}),
