@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import ship_package, staged, with_fields
+from tierline.llm.common import ship_package, slices, staged, with_fields
 
 MAX_N = 3
 #: Bounds of the training sample.
@@ -246,8 +246,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
             _SCORERS[name] = Scorer(shared.value)
         scorer = _SCORERS[name]
         for batch in batches:
-            for lo in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(lo, _ROWS)
+            for part in slices(batch, _ROWS):
                 names, scores = scorer.predict(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())],
