@@ -8,12 +8,21 @@ from pyspark.sql import functions as F
 from tierline.llm.common import staged
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) joins a node to its root: no second edge from a, none from b (one shuffle)."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("root")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("root"))
+    )
+    found = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("root").alias("root"))
+    return found.filter((F.col("below") > 1) | (F.col("below") + F.col("root") > 1)).isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the component's least node.
 
     Alternating large-star and small-star rounds: each round replaces the edges by
-    stars around smaller nodes until nothing changes, in a number of rounds that
-    grows with the logarithm of the longest chain. Minima are aggregated map-side,
+    stars around smaller nodes, until every edge joins a node to its root, in a number
+    of rounds that grows with the logarithm of the longest chain. Minima are aggregated map-side,
     and the joins are plain equi-joins, so a node with very many neighbours is
     pre-aggregated or split by the planner. Every round's edges are written to the
     shared folder, which cuts the lineage.
@@ -38,16 +47,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "components",
     )
-    seen = None
-    while True:
-        after = staged(star(star(current, True), False), "components")
-        mark = after.agg(
-            F.count("*").alias("n"),
-            F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x"),
-            F.coalesce(F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 31) - 1))), F.lit(0)).alias("s"),
-        ).first()
-        if mark == seen:
-            break
-        seen, current = mark, after
+    while not _is_stars(current):
+        current = staged(star(star(current, True), False), "components")
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionAll(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

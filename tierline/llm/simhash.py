@@ -165,6 +165,8 @@ def search_shard(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
     """Spanning forest of the links in one shard.
 
     Rows: fp, bucket (which tree), role 0 (in the tree and searching) or 1 (searching only).
+    Every edge joins a fingerprint to the least of its component here, so shards that
+    hold parts of one group mostly name the same root.
     """
     points = pdf["fp"].to_numpy().view(np.uint64)
     bucket = pd.factorize(pdf["bucket"])[0]
@@ -177,9 +179,10 @@ def search_shard(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
     known = (where < len(kept)) & (kept[np.minimum(where, len(kept) - 1)] == bucket)
     asking = np.flatnonzero(known)
     found = forest.search(points[asking], where[asking], radius)
-    label = forest_edges(len(points), ((asking[q], tree[n]) for q, n in found))
-    moved = np.flatnonzero(label != np.arange(len(points)))
-    return pd.DataFrame({"a": points[moved].view(np.int64), "b": points[label[moved]].view(np.int64)})
+    ordered, place = np.unique(points.view(np.int64), return_inverse=True)  # a node per fingerprint, in signed order
+    label = forest_edges(len(ordered), ((place[asking[q]], place[tree[n]]) for q, n in found))
+    moved = np.flatnonzero(label != np.arange(len(ordered)))
+    return pd.DataFrame({"a": ordered[moved], "b": ordered[label[moved]]})
 
 
 def blocks_for(nodes: int, radius: int) -> int:
