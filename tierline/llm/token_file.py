@@ -36,7 +36,7 @@ from tierline.llm.words import WordMemo, cut_punctuation, encode_words
 #: Ids after which a block ends (with the document that reaches it).
 BLOCK_IDS = 1 << 16
 #: Entries of each of the two generations of a worker's word memo, and its longest word.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 450_000
 MEMO_KEY_CHARS = 48
 #: Words of letters below this are one pre-token each.
 _LATIN_END = "\u0100"
