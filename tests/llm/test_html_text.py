@@ -102,3 +102,10 @@ def test_repeated_and_clashing(spark):
     df = pages_without_article(spark).filter("page_id < 4")
     df = df.unionAll(df).withColumn("text", F.lit("x")).withColumn("__host", F.lit(1))
     assert html_text.extract_text(df).count() == 8
+
+
+def test_unique_runs_of_a_block_stay(spark):
+    many = "Read more of our daily news about the town and"
+    rows = [(i, f"http://h.example.com/{i}", f"<p>{many} fact{i} alone{i}</p><p>own{i} words{i} all rights reserved by the owner</p>") for i in range(10)]
+    found = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: (r.text, r.n_repeated) for r in found} == {i: (f"fact{i} alone{i}\nown{i} words{i}", 2) for i in range(10)}

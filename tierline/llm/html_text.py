@@ -9,14 +9,14 @@ The token streams of a host's pages outside their articles are concatenated and
 their suffixes sorted by prefix doubling; a run of ``REPEAT_TOKENS`` tokens or more
 that stands on ``REPEAT_PAGES`` distinct pages is host boilerplate. Suffixes only
 need sorting by their first ``REPEAT_TOKENS`` tokens: every longer repeat is a chain
-of such windows. Open blocks covered to at least half by boilerplate are removed,
-the unique runs between them stay.
+of such windows. From the open blocks the boilerplate runs are cut, the unique runs
+before, between and after them stay.
 
 Why the zones: an article's sentences may repeat on other pages (quotations,
 licences, copies of the page), and one-page adverts repeat nowhere, so repetition
 alone would cut the first and keep the second. Where a page declares its article,
-its blocks are the text; where it does not, the open blocks that the suffix array
-leaves are.
+its blocks are the text; where it does not, what the suffix array leaves of the
+open blocks is. So the array decides no text of a page that declares its article.
 
 Hot hosts. Pages of a host go to parts of about ``PART_BYTES`` of HTML, each one
 task's suffix array. For hosts of several parts, every part's distinct windows
@@ -46,7 +46,6 @@ from tierline.llm.url_reputation import url_host
 
 REPEAT_TOKENS = 6
 REPEAT_PAGES = 2
-COVERED_SHARE = 0.5
 PART_BYTES = 8 << 20
 #: Most hosts of several parts (some 50 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 500_000
@@ -259,18 +258,37 @@ def _page_windows(tokens: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.
     return hashes[at], at
 
 
-def boilerplate_blocks(pages: list[list[str]], elsewhere: np.ndarray) -> list[list[bool]]:
-    """For each page's blocks, whether boilerplate covers them; ``elsewhere``: window hashes repeated in other parts."""
+def unique_runs(pages: list[list[str]], elsewhere: np.ndarray) -> list[list[tuple[str, bool]]]:
+    """For each page's blocks, the text outside boilerplate and whether any was cut; ``elsewhere``: window hashes repeated in other parts.
+
+    A block whose every token is covered goes; of others the runs that repeat
+    inside the block are cut, so a repeat that reaches in from a neighbour takes nothing.
+    """
     tokens, page, block = _stream(pages)
     starts = repeated_starts(tokens, page)
     if elsewhere.size:
         hashes, at = _page_windows(tokens, page)
         starts[at[np.isin(hashes, elsewhere)]] = True
     total = sum(map(len, pages))
+    last = np.minimum(np.arange(len(tokens)) + REPEAT_TOKENS - 1, len(tokens) - 1)
+    inside = covered(starts & (block == block[last]))
     size = np.bincount(block, minlength=total)
-    inside = np.bincount(block, weights=covered(starts), minlength=total)
-    flags = iter(((size > 0) & (inside >= COVERED_SHARE * size)).tolist())
-    return [[next(flags) for _ in blocks] for blocks in pages]
+    whole = (size > 0) & (np.bincount(block, weights=covered(starts), minlength=total) == size)
+    some = np.bincount(block, weights=inside, minlength=total) > 0
+    first = np.cumsum(size) - size
+    out, number = [], 0
+    for blocks in pages:
+        kept = []
+        for text in blocks:
+            if whole[number]:
+                text = ""
+            elif some[number]:
+                lo = first[number]
+                text = " ".join(w for w, cut in zip(text.split(), inside[lo : lo + size[number]].tolist(), strict=True) if not cut)
+            kept.append((text, bool(whole[number] or some[number])))
+            number += 1
+        out.append(kept)
+    return out
 
 
 # ---------------------------------------------------------------- Spark
@@ -303,7 +321,7 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
     """(page, url, text, n_chars, n_repeated) of every row.
 
     ``text`` joins the kept blocks with newlines; ``n_repeated`` counts the blocks
-    outside the article that the host's suffix array found to be boilerplate.
+    outside the article in which the host's suffix array found boilerplate.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -371,14 +389,14 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
         elsewhere = np.array(lists[0], dtype=np.int64).view(np.uint64) if lists else np.zeros(0, np.uint64)
         table = table.filter(pa.compute.is_null(table.column("__windows")))
         texts, chrome = table.column("__texts").to_pylist(), table.column("__chrome").to_pylist()
-        flags = boilerplate_blocks(texts, elsewhere)
+        runs = unique_runs(texts, elsewhere)
         out = []
-        for article, blocks, marked, repeated in zip(table.column("__article").to_pylist(), texts, chrome, flags, strict=True):
+        for article, left, marked in zip(table.column("__article").to_pylist(), runs, chrome, strict=True):
             if article is None:
-                article = "\n".join(t for t, c, r in zip(blocks, marked, repeated, strict=True) if not c and not r)
+                article = "\n".join(t for (t, _), c in zip(left, marked, strict=True) if t and not c)
             out.append(article)
         return pa.Table.from_arrays(
-            [table.column("__page"), table.column("__url"), pa.array(out, pa.string()), pa.array([sum(f) for f in flags], pa.int64())],
+            [table.column("__page"), table.column("__url"), pa.array(out, pa.string()), pa.array([sum(r for _, r in left) for left in runs], pa.int64())],
             names=schema.names,
         )
 
