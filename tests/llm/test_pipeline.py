@@ -63,3 +63,13 @@ def test_odd_tables(spark, tmp_path, make_docs, odd_rows, empty):
     else:
         # without a letter: 1 to 4; 7 and one row of 6 are copies of 6
         assert sorted((r.doc_id is None, r.doc_id) for r in found) == sorted((k is None, k) for k in (5, 6, 8, 9, 10, 11, None))
+
+
+def test_language_stage_drops_what_no_learned_language_explains(spark, sf, documents):
+    foreign = [
+        "Привет, как дела? Это русский текст про кошек и собак.", "漢字仮名交じり文は日本語の文章です", "asdkj qwlkej zxmcn qpwoei lkjqwe",
+        "Ez egy magyar mondat amely nem tartozik a tanult nyelvekhez", "Καλημέρα σε όλο τον κόσμο", "zxq wvk jjq xkcd bvnm qwrt",
+    ]
+    extra = spark.createDataFrame([(-1 - i, t, None, "test", len(t)) for i, t in enumerate(foreign)], documents.schema)
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, documents.unionByName(extra), sf).collect()}
+    assert kept == {r.doc_id for r in documents.collect() if any(c.isalpha() for c in r.text or "")}

@@ -46,6 +46,11 @@ BROADCAST_LABELS = 100_000
 ALPHABET = 64
 RIDGE = 1e-2
 UNDETERMINED = "und"
+#: Score of a text that shares nothing with any landmark, and the least distance that a bar keeps from it.
+NO_EVIDENCE = 0.5
+LEAST_MARGIN = 0.01
+#: Share of rightly identified held-out texts whose scores are left aside when a bar is set.
+OUTLIERS = 0.002
 _ROWS = 128
 
 
@@ -203,6 +208,11 @@ def training_label(key: str = "doc_id", label: str = "lang") -> Column:
     return F.when(F.col(key).isNotNull() & ~held_out(key), F.col(label))
 
 
+def held_out_label(key: str = "doc_id", label: str = "lang") -> Column:
+    """The label of documents that are held out from training; null for the others."""
+    return F.when(held_out(key), F.col(label))
+
+
 def training_sample(df: DataFrame, label: Column, key: str, text: str, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """(text, label) of at most ``per_language`` rows with a letter a label: the least by a hash of key and text.
 
@@ -228,6 +238,22 @@ def train(df: DataFrame, label: Column, key: str = "doc_id", text: str = "text")
     return fit([r["__text"] for r in rows], [r["__label"] for r in rows])
 
 
+def least_score(df: DataFrame, model: LanguageModel, label: Column, key: str = "doc_id", text: str = "text") -> float:
+    """Score below which a text counts as being in no learned language.
+
+    Half-way from no evidence to the low scores of a bounded sample of the labelled
+    rows, which are to be held out from training, and ``LEAST_MARGIN`` above no
+    evidence at least; that margin where the sample holds no rightly identified row.
+    """
+    least = NO_EVIDENCE + LEAST_MARGIN
+    if not model.languages:
+        return least
+    rows = training_sample(df, label, key, text).collect()
+    names, scores = Scorer(model).predict([r["__text"] for r in rows])
+    right = [s for r, n, s in zip(rows, names, scores.tolist(), strict=True) if r["__label"] == n]
+    return max(least, (NO_EVIDENCE + float(np.quantile(right, OUTLIERS))) / 2) if right else least
+
+
 _SCORERS: dict[str, Scorer] = {}
 
 
