@@ -101,3 +101,15 @@ def test_copies_leave_one(make_docs):
     other = " ".join(rng.choice(words) for _ in range(300))
     docs = make_docs([(5, text), (3, text), (9, " ".join(near)), (4, other)])
     assert sorted(r.doc_id for r in simhash.keep_one_per_group(docs).collect()) == [3, 4]
+
+
+def test_rows_of_one_key_are_judged_by_their_groups(make_docs):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    a, b, c, d, e = (" ".join(rng.choice(words) for _ in range(200)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (None, c), (1, c), (1, d), (2, d), (2, e), (3, e), (4, a)]
+    kept = simhash.keep_one_per_group(make_docs(rows)).collect()
+    # the least key of each group, whatever the key stands for elsewhere
+    assert sorted(((r.doc_id or 0), r.text) for r in kept) == sorted([(4, a), (0, b), (1, c), (1, d), (2, e)])
+    many = make_docs([(None, f"{a} {i}") for i in range(3)] + [(None, " ".join(rng.choice(words) for _ in range(50))) for _ in range(20)])
+    assert simhash.keep_one_per_group(many).count() == 21

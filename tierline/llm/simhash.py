@@ -260,21 +260,33 @@ def near_duplicates(
 def keep_one_per_group(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS
 ) -> DataFrame:
-    """The rows of ``df`` without near copies: each group keeps its least key's document.
+    """The rows of ``df`` without near copies: each group keeps exactly one document.
 
-    A key names a document: rows that repeat a kept key count as one, and one of
-    them stays. Groups whose keys are all null keep one row without a key.
+    It is the least by key (a null key comes last) and then by text hash. Rows are
+    matched by key and text hash together, so different texts under one key, or
+    without any, are judged each in its own group. Of rows that repeat both, the least by a hash
+    of all columns stays.
     """
-    found = near_duplicates(df, key, text, words, radius)
-    own = F.col(key).eqNullSafe(F.col("component_id"))
-    keys = found.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n"), F.max(own.cast("int")).alias("__kept"))
-    keys = staged(keys.filter((F.col("__kept") == 0) | (F.col("__n") > 1)), "simhash-keys")
-    gone = checked_broadcast(keys.filter(F.col("__kept") == 0))
-    same = df[key].eqNullSafe(F.col("__key"))
+    name = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), F.xxhash64(text).alias("h"))
+    found = near_duplicates(df.select(name.alias("__name"), F.col(text).alias("text")), "__name", "text", words, radius)
+    names = found.groupBy("__name", "component_id").agg(F.count("*").alias("__n"))
+    names = names.select(
+        F.col("__name.k").alias("__key"),
+        F.col("__name.h").alias("__hash"),
+        (F.col("__name") == F.col("component_id")).alias("__kept"),
+        "__n",
+    )
+    names = staged(names.filter(~F.col("__kept") | (F.col("__n") > 1)), "simhash-names")
+    gone = checked_broadcast(names.filter(~F.col("__kept")))
+    same = df[key].eqNullSafe(F.col("__key")) & (F.xxhash64(df[text]) == F.col("__hash"))
     left = df.join(gone, same, "left_anti")  # the texts stay where they are unless very many documents go
-    repeated = keys.filter(F.col("__kept") == 1)
+    repeated = names.filter("__kept")
     if repeated.isEmpty():
         return left
     repeated = checked_broadcast(repeated)
-    once = left.join(repeated, same, "left_semi").dropDuplicates([key])
+    rows = left.join(repeated, same, "left_semi").select(
+        F.struct(*(df[c] for c in df.columns)).alias("__row"), df[key].alias("__k"), F.xxhash64(df[text]).alias("__h"),
+        F.xxhash64(*(df[c] for c in df.columns)).alias("__all"),
+    )
+    once = rows.groupBy("__k", "__h").agg(F.min_by("__row", "__all").alias("__row")).select("__row.*")
     return left.join(repeated, same, "left_anti").unionByName(once)
