@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 
+import pytest
 import regex
 
 from tests.oracle_check import compare, duck
@@ -70,3 +72,30 @@ def test_odd_rows(spark, make_docs, odd_rows):
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted((d or 0, t or "") for d, t in odd_rows if d not in (6, 7))
     assert decontam.overlaps(make_docs([]), bench).count() == 0
     assert decontam.overlaps(make_docs(odd_rows), bench.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", range(1, 14))
+def test_masks_leave_no_allowed_substitution_out(length):
+    allowed = length - decontam.least_equal(length)
+    looks = [{at + p for p in m} for m in decontam.MASKS for at in range(length - m[-1])] + [set(m) for m in decontam.masks_for(length)]
+    for wrong in itertools.combinations(range(length), allowed):
+        assert any(look.isdisjoint(wrong) for look in looks), wrong
+
+
+def test_short_items_with_changed_words(spark, make_docs):
+    items = {n: [f"i{n}w{j}" for j in range(n)] for n in range(1, 13)}
+    docs, want = [], set()
+    for n, item in items.items():
+        allowed = n - decontam.least_equal(n)
+        for wrong in itertools.combinations(range(n), allowed):
+            docs.append((len(docs), " ".join("x" if j in wrong else w for j, w in enumerate(item))))
+            want.add((docs[-1][0], n))
+        docs.append((len(docs), "a b " + " ".join(w if j > allowed else "x" for j, w in enumerate(item)) + " c d"))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.overlaps(make_docs(docs), bench).collect()} == want
+
+
+def test_unspaced_scripts(spark, make_docs):
+    bench = spark.createDataFrame([(1, "日本語の文章を読む")], "item_id long, text string")
+    docs = make_docs([(1, "前の文。日本語の文章を読む人"), (2, "日本語の大章を読む"), (3, "日本の文を読まない"), (4, "これは何")])
+    assert {(r.doc_id, r.n_equal) for r in decontam.overlaps(docs, bench).collect()} == {(1, 9), (2, 8)}

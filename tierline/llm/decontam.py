@@ -9,16 +9,23 @@ verified word by word: it counts when some stretch of ``OVERLAP_WORDS`` words (o
 the whole item, if that is shorter) agrees in at least ``SIMILARITY`` of its
 positions. Built from SQL functions only.
 
-Defined results: null, empty and wordless texts have no windows. Items shorter
-than the masks are searched by their whole word sequence; items of fewer than
-``LEAST_WORDS`` words are not searched. Items with equal words count as one, named
+Short items. The masks find every allowed substitution in a stretch of
+``OVERLAP_WORDS`` words, but not in fewer. Items below that have masks of their
+length besides, anchored at the item's first word, until every allowed set of
+substitutions leaves some mask untouched (:func:`masks_for`). Items under
+``1 / (1 - SIMILARITY)`` words allow no substitution and are searched exactly.
+
+Defined results: null, empty and wordless texts have no windows. Each character of
+scripts written without spaces is a word. Items with equal words count as one, named
 by their least id. An empty benchmark or document table gives no rows. Repeated
 documents give one row per distinct key.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import itertools
+import math
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +36,49 @@ from tierline.llm.common import checked_broadcast, staged, text_or_empty
 MASKS: tuple[tuple[int, ...], ...] = ((0, 1, 3, 6, 7), (0, 2, 3, 5, 8))
 SIMILARITY = 0.8
 OVERLAP_WORDS = 13
-LEAST_WORDS = 5
+#: Fewest positions that a mask of a short item looks at, in items that have more.
+LEAST_LOOKS = 4
+#: Scripts written without spaces between words.
+UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}]"
 #: Most benchmark windows that are broadcast (some 60 bytes each); beyond it the join shuffles.
 BROADCAST_WINDOWS = 500_000
 
 
 def word_hashes(text: str | Column) -> Column:
     """Hash of each lower-cased word of letters and digits, in order."""
-    words = F.array_remove(F.split(F.lower(text_or_empty(text)), "[^\\p{L}\\p{N}]+"), "")
+    lowered = F.lower(text_or_empty(text))
+    lowered = F.when(lowered.rlike(UNSPACED), F.regexp_replace(lowered, f"({UNSPACED})", " $1 ")).otherwise(lowered)
+    words = F.array_remove(F.split(lowered, "[^\\p{L}\\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def least_equal(length: int, similarity: float = SIMILARITY) -> int:
+    """Fewest equal words of a stretch that counts."""
+    return math.ceil(length * similarity - 1e-9)
+
+
+@cache
+def masks_for(length: int, masks: tuple[tuple[int, ...], ...] = MASKS, similarity: float = SIMILARITY) -> tuple[tuple[int, ...], ...]:
+    """Positions of an item of ``length`` words to look at besides the windows of ``masks``, for every allowed substitution.
+
+    Each further mask is the one, of those that look at the most positions still
+    leaving out an allowed set, that misses the most sets not covered yet; the
+    fewest looks are ``LEAST_LOOKS``.
+    """
+    wrong = length - least_equal(length, similarity)
+    looks = [{at + p for p in m} for m in masks for at in range(length - m[-1])]
+    open_ = [set(c) for c in itertools.combinations(range(length), wrong)]
+    open_ = [c for c in open_ if not any(look.isdisjoint(c) for look in looks)]
+    size = length - wrong if length <= LEAST_LOOKS else max(LEAST_LOOKS, (length - wrong + 1) // 2)
+    found = []
+    while open_:
+        some = [c for c in itertools.combinations(range(length), size) if any(x.isdisjoint(c) for x in open_)]
+        best = max(some, key=lambda c: sum(x.isdisjoint(c) for x in open_))
+        found.append(best)
+        open_ = [x for x in open_ if not x.isdisjoint(best)]
+    return tuple(found)
+
+
 def _seed(hashes: str, at: Column, mask: tuple[int, ...], number: int) -> Column:
     return F.xxhash64(F.lit(number), *(F.get(F.col(hashes), at + p) for p in mask))
 
@@ -51,19 +90,19 @@ def _positions(hashes: str, span: int) -> Column:
 
 
 def _windows(df: DataFrame, hashes: str, masks: list[tuple[int, ...]]) -> DataFrame:
-    """Add (__at, __seed): one row per window and mask."""
+    """Add (__at, __plan, __seed): one row per window and mask, whose number is ``__plan``."""
     shortest = min(m[-1] + 1 for m in masks)
     seeds = [
         F.when(F.col("__at") + m[-1] < F.size(hashes), _seed(hashes, F.col("__at"), m, k)) for k, m in enumerate(masks)
     ]
     rows = df.select("*", F.explode(_positions(hashes, shortest)).alias("__at"))
-    return rows.select("*", F.explode(F.array(*seeds)).alias("__seed")).filter(F.col("__seed").isNotNull())
+    return rows.select("*", F.posexplode(F.array(*seeds)).alias("__plan", "__seed")).filter(F.col("__seed").isNotNull())
 
 
 def benchmark_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, __words, __n): distinct word sequences of at least ``LEAST_WORDS`` words."""
+    """(item, __words, __n): distinct word sequences of at least one word."""
     items = benchmark.select(F.col(item).alias("__item"), word_hashes(text).alias("__words"))
-    items = items.filter(F.size("__words") >= LEAST_WORDS)
+    items = items.filter(F.size("__words") > 0)
     return items.groupBy("__words").agg(F.min("__item").alias("__item")).select("__item", "__words", F.size("__words").alias("__n"))
 
 
@@ -85,21 +124,18 @@ def overlaps(
     (from 0). Documents are read once and never shuffled, only hits are.
     """
     items = staged(benchmark_items(benchmark, item, item_text), "benchmark-items")
-    span = max(m[-1] + 1 for m in masks)
-    short = [r[0] for r in items.filter(F.col("__n") < span).select("__n").distinct().collect()]  # below the span
-    plans = list(masks) + [tuple(range(n)) for n in sorted(short)]
+    short = [r[0] for r in items.filter(F.col("__n") < overlap_words).select("__n").distinct().collect()]
+    # shapes from their first position on, and for which lengths they start where
+    starts: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+    for n in sorted(short):
+        for m in masks_for(n, tuple(masks), similarity):
+            starts.setdefault(tuple(p - m[0] for p in m), []).append((n, m[0]))
+    plans = list(masks) + [m for m in starts if m not in masks]
     wanted = _windows(items, "__words", plans)
-    if short:  # whole sequences of short items only
-        wanted = wanted.filter(
-            reduce(
-                lambda a, b: a | b,
-                [
-                    (F.col("__seed") == _seed("__words", F.col("__at"), m, k))
-                    & (F.lit(k < len(masks)) | (F.col("__n") == len(m)))
-                    for k, m in enumerate(plans)
-                ],
-            )
-        )
+    extra = [(k, at) for k, m in enumerate(plans) if m not in masks for at in starts[m]]
+    if extra:  # own shapes only where items of their length place them
+        anchored = [(F.col("__plan") == k) & (F.col("__n") == n) & (F.col("__at") == at) for k, (n, at) in extra]
+        wanted = wanted.filter(reduce(lambda a, b: a | b, anchored, F.col("__plan") < len(masks)))
     wanted = staged(wanted.select("__seed", F.col("__at").alias("__item_at"), "__item", "__n").distinct(), "benchmark-windows")
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
