@@ -109,3 +109,27 @@ def test_unique_runs_of_a_block_stay(spark):
     rows = [(i, f"http://h.example.com/{i}", f"<p>{many} fact{i} alone{i}</p><p>own{i} words{i} all rights reserved by the owner</p>") for i in range(10)]
     found = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: (r.text, r.n_repeated) for r in found} == {i: (f"fact{i} alone{i}\nown{i} words{i}", 2) for i in range(10)}
+
+
+def test_skipped_elements_end():
+    def texts(page):
+        return [t for z, t in html_text.blocks_of(page) if z == html_text.ARTICLE]
+
+    for skipped in (
+        '<svg viewBox="0 0 1 1"/>', "<svg/>", "<button-group>", "<title-bar>x</title-bar>", "<select-menu>", "<svg>", "<button>Go",
+        "<title>Never closed", "<svg><path/></svg>", "<select><option>a", "<script>var a = '</article><article>no';</script>",
+    ):
+        assert texts(f"<body><div>{skipped}</div><article><p>Kept</p></article><svg></svg><button>b</button></body>") == ["Kept"], skipped
+        assert texts(f"<article><p>One</p><div>{skipped}</div></article><p>after</p>")[0] == "One"
+    assert texts("<article><p>a<svg/> b</p><p>c <button>Go</p><p>d</p></article>") == ["a b", "c", "d"]
+
+
+def test_sections_named_by_chrome_words_stay(spark):
+    names = ['id="discussion"', 'id="copyright-law"', 'class="market-share"', 'class="table-footer"', 'class="notice"']
+    body = "".join(f"<section {n}><p>own{i} text</p></section>" for i, n in enumerate(names))
+    gone = '<div class="ad-box">Buy</div><div class="x share-buttons">Share</div><div id="comments">c</div>'
+    boiler = '<p class="notice">This notice stands on every page of the whole host</p>'
+    page = "<article><h1>Head {0}</h1>" + body.replace("own", "own{0}x") + gone + boiler + "<p>End {0}</p></article>"
+    rows = [(i, f"http://h.example.com/{i}", page.format(i)) for i in range(8)]
+    for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text.split("\n") == [f"Head {r.page_id}", *(f"own{r.page_id}x{j} text" for j in range(5)), f"End {r.page_id}"]

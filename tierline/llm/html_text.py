@@ -4,6 +4,8 @@ A page is read into blocks (text between block-level tags, character references
 decoded, white space collapsed), each in one of three zones: inside the article,
 in marked chrome (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, hidden parts), or open. Scripts, styles and the head give no blocks.
+Inside an article only names that are chrome as a whole mark chrome; where a name
+merely holds such a word, the block goes only if it is host boilerplate.
 
 The token streams of a host's pages outside their articles are concatenated and
 their suffixes sorted by prefix doubling; a run of ``REPEAT_TOKENS`` tokens or more
@@ -49,12 +51,18 @@ REPEAT_PAGES = 2
 PART_BYTES = 8 << 20
 #: Most hosts of several parts (some 50 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 500_000
-ARTICLE, OPEN, CHROME, LAYOUT = 0, 1, 2, 3
+ARTICLE, OPEN, CHROME, LAYOUT, DOUBT = 0, 1, 2, 3, 4
 
+# Skipped elements end at their end tag; without one, where the page's structure goes on.
+_EDGE = r"</?(?:article|main|head|body|html)(?=[\s/>])"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select|button|title)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>"
+    r"|<svg(?=[\s/])(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+(?<=/)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title)(?=[\s/>])[^>]*+>"
+    rf"(?:.*?</(?P=raw)\s*>|.*?(?={_EDGE}|\Z))"
+    r"|<(?P<box>svg|iframe|object|select|button)(?=[\s/>])[^>]*+>"
+    rf"(?:(?:[^<]++|<(?!{_EDGE[1:]}))*?</(?P=box)\s*>|.*?(?={_EDGE}|</(?:p|div|section|li|td|th|form|nav|header|footer|aside|ul|ol|table)\s*>|\Z))"
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>"
     r"|<[/!?A-Za-z][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
@@ -78,6 +86,28 @@ CHROME_WORDS = frozenset(
 HEADER_NAMES = frozenset(("header",))
 #: Chrome words that also name the layout around an article, as in ``has-sidebar``.
 LAYOUT_WORDS = frozenset("sidebar nav navbar navigation menu header footer widget banner ad ads topbar".split())
+#: Inside an article: names that are chrome by themselves, and what may stand beside a chrome word in one name.
+ARTICLE_CHROME = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored cookies gdpr popup modal newsletter subscribe signup login sidebar"
+    " nav navbar breadcrumb breadcrumbs masthead topbar comments disqus pagination pager".split()
+)
+BESIDE_CHROME = frozenset(
+    "area bar block box button buttons container content form icons inner item items link links list module outer panel posts"
+    " section slot unit wrap wrapper".split()
+)
+
+
+def _article_zone(names: str) -> int:
+    """Zone of an element inside an article by its class and id: each name counts as a whole."""
+    zone = ARTICLE
+    for name in names.split():
+        parts = set(re.split(r"[^a-z0-9]+", name)) - {""}
+        words = parts & CHROME_WORDS
+        if name in ARTICLE_CHROME or len(parts) > 1 and words - HEADER_NAMES and parts <= CHROME_WORDS | BESIDE_CHROME:
+            return CHROME
+        if words - HEADER_NAMES:
+            zone = DOUBT
+    return zone
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -91,16 +121,17 @@ def _zone_of(tag: str, raw: str, zone: int, in_article: bool) -> tuple[int, bool
     if tag in CHROME_TAGS and not (in_article and tag in HEADER_NAMES):
         return CHROME, in_article
     found = _attributes(raw) if raw and not raw.isspace() else {}
-    words = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    if in_article:  # an article's own header holds its heading
-        words -= HEADER_NAMES
-    words &= CHROME_WORDS
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    words = set(re.split(r"[^a-z0-9]+", names)) & CHROME_WORDS
     role = found.get("role", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
     if role in CHROME_ROLES or hidden or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         return CHROME, in_article
+    if in_article:  # an article's own header holds its heading
+        named = _article_zone(names) if words else ARTICLE
+        return (zone if named == ARTICLE else named), True
     if words and tag not in ("body", "html", "main"):
-        return (LAYOUT if words <= LAYOUT_WORDS and not in_article else CHROME), in_article
+        return (LAYOUT if words <= LAYOUT_WORDS else CHROME), in_article
     if tag in ("article", "main") or role in ("article", "main") or found.get("itemprop") == "articleBody":
         return ARTICLE, True  # also where only the names of the layout around it are chrome's
     return zone, in_article
@@ -132,7 +163,7 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
         if m.start() > at:
             text.append(page[at : m.start()])
         at = m.end()
-        tag = m.group(3)
+        tag = m.group("tag")
         if tag is None:
             continue
         tag = tag.lower()
@@ -142,7 +173,7 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
             continue
         if block:
             flush()
-        if m.group(2):
+        if m.group("end"):
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
                     if zone != stack[depth][1]:
@@ -152,7 +183,7 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
                 if tag in INLINE and stack[depth][0] not in INLINE:
                     break
             continue
-        if tag in VOID or m.group(4).endswith("/") and tag in ("svg", "path"):
+        if tag in VOID or m.group("attrs").endswith("/") and tag in ("svg", "path"):
             continue
         if block and tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option") or block and any(s[0] == "p" for s in stack[-3:]):
             # a block ends an open paragraph, an item ends the item before it
@@ -163,7 +194,7 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
                     break
                 if name not in INLINE:
                     break
-        inner, inside = _zone_of(tag, m.group(4), zone, in_article)
+        inner, inside = _zone_of(tag, m.group("attrs"), zone, in_article)
         if inner != zone:
             flush()
         stack.append((tag, zone, in_article, real))
@@ -171,8 +202,8 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
         zone, in_article = inner, inside
     text.append(page[at:])
     flush()
-    if any(z == ARTICLE and article for z, _, article in out):
-        out = [(OPEN if z == ARTICLE and not article else z, words, article) for z, words, article in out]
+    if any(z in (ARTICLE, DOUBT) and article for z, _, article in out):
+        out = [(OPEN if z in (ARTICLE, DOUBT) and not article else z, words, article) for z, words, article in out]
     return [(CHROME if z == LAYOUT else z, words) for z, words, _ in out]
 
 
@@ -294,8 +325,23 @@ def unique_runs(pages: list[list[str]], elsewhere: np.ndarray) -> list[list[tupl
 # ---------------------------------------------------------------- Spark
 
 
+def article_parts(found: list[tuple[int, str]]) -> list[str | None] | None:
+    """The declared article's text, with None in the place of each doubtful block; None where none is declared."""
+    if not any(z in (ARTICLE, DOUBT) for z, _ in found):
+        return None
+    parts: list[str | None] = []
+    for zone, text in found:
+        if zone == DOUBT:
+            parts.append(None)
+        elif zone == ARTICLE and parts and parts[-1] is not None:
+            parts[-1] += "\n" + text
+        elif zone == ARTICLE:
+            parts.append(text)
+    return parts
+
+
 def _parsed(pages: DataFrame, schema: T.StructType, outside_only: bool) -> DataFrame:
-    """Blocks of each page: (..., article text or null, outside blocks, their zones)."""
+    """Blocks of each page: (..., article parts or null, other blocks, their zones)."""
     kept = schema.names[:-3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,13 +350,12 @@ def _parsed(pages: DataFrame, schema: T.StructType, outside_only: bool) -> DataF
                 articles, texts, zones = [], [], []
                 for page in part.column("__html").to_pylist():
                     found = blocks_of(page)
-                    declared = [t for z, t in found if z == ARTICLE]
-                    articles.append(None if not declared else "" if outside_only else "\n".join(declared))
+                    articles.append(None if outside_only else article_parts(found))
                     texts.append([t for z, t in found if z != ARTICLE])
-                    zones.append([z == CHROME for z, _ in found if z != ARTICLE])
+                    zones.append([z for z, _ in found if z != ARTICLE])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept]
-                    + [pa.array(articles, pa.string()), pa.array(texts, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.bool_()))],
+                    + [pa.array(articles, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.int8()))],
                     names=schema.names,
                 )
 
@@ -341,9 +386,9 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
 
     head = [T.StructField("__host", T.StringType()), T.StructField("__part", T.IntegerType())]
     tail = [
-        T.StructField("__article", T.StringType()),
+        T.StructField("__article", T.ArrayType(T.StringType())),
         T.StructField("__texts", T.ArrayType(T.StringType())),
-        T.StructField("__chrome", T.ArrayType(T.BooleanType())),
+        T.StructField("__zones", T.ArrayType(T.ByteType())),
     ]
     page_fields = [T.StructField("__page", df.schema[page].dataType), T.StructField("__url", df.schema[url].dataType)]
 
@@ -388,13 +433,16 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
         lists = [w for w in table.column("__windows").to_pylist() if w is not None]
         elsewhere = np.array(lists[0], dtype=np.int64).view(np.uint64) if lists else np.zeros(0, np.uint64)
         table = table.filter(pa.compute.is_null(table.column("__windows")))
-        texts, chrome = table.column("__texts").to_pylist(), table.column("__chrome").to_pylist()
+        texts, zones = table.column("__texts").to_pylist(), table.column("__zones").to_pylist()
         runs = unique_runs(texts, elsewhere)
         out = []
-        for article, left, marked in zip(table.column("__article").to_pylist(), runs, chrome, strict=True):
+        for article, left, zone, blocks in zip(table.column("__article").to_pylist(), runs, zones, texts, strict=True):
             if article is None:
-                article = "\n".join(t for (t, _), c in zip(left, marked, strict=True) if t and not c)
-            out.append(article)
+                article = [t for (t, _), z in zip(left, zone, strict=True) if z != CHROME]
+            elif None in article:  # a doubtful block stays whole unless boilerplate covers all of it
+                doubtful = iter([b if t else "" for (t, _), z, b in zip(left, zone, blocks, strict=True) if z == DOUBT])
+                article = [next(doubtful) if t is None else t for t in article]
+            out.append("\n".join(t for t in article if t))
         return pa.Table.from_arrays(
             [table.column("__page"), table.column("__url"), pa.array(out, pa.string()), pa.array([sum(r for _, r in left) for left in runs], pa.int64())],
             names=schema.names,
