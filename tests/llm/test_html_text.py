@@ -133,3 +133,23 @@ def test_sections_named_by_chrome_words_stay(spark):
     rows = [(i, f"http://h.example.com/{i}", page.format(i)) for i in range(8)]
     for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
         assert r.text.split("\n") == [f"Head {r.page_id}", *(f"own{r.page_id}x{j} text" for j in range(5)), f"End {r.page_id}"]
+
+
+def test_copies_and_shared_passages_stay(spark, monkeypatch):
+    body = "<p>Story {0} tells about topic{0} and no other story ever does</p><p>Its second part{0} has facts{0} of its own to tell</p>"
+    footer = "<div>All rights reserved by the owner of this place</div>"
+    quote = "<p>A passage that two documents of the host quote word by word</p>"
+    rows = [(i, "http://twice.example.com/1", body.format("x") + footer) for i in range(2)]  # one page, delivered twice
+    rows += [(10 + i, f"http://c.example.com/{i}", body.format("copied") + footer) for i in range(50)]
+    rows += [(100 + i, f"http://c.example.com/own{i}", body.format(i).replace("and no other story ever does", f"and{i}").replace("of its own to tell", f"own{i}") + (quote if i < 2 else "") + footer) for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    story = "Story {0} tells about topic{0} and no other story ever does\nIts second part{0} has facts{0} of its own to tell"
+    for size in (8 << 20, 900):
+        monkeypatch.setattr(html_text, "PART_BYTES", size)
+        got = {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+        assert len(got) == len(rows)
+        assert got[0] == got[1] == story.format("x") + "\nAll rights reserved by the owner of this place"
+        assert {got[10 + i] for i in range(50)} == {story.format("copied")}
+        for i in range(9):
+            kept = f"Story {i} tells about topic{i} and{i}\nIts second part{i} has facts{i} own{i}"
+            assert got[100 + i] == kept + ("\nA passage that two documents of the host quote word by word" if i < 2 else "")

@@ -9,7 +9,9 @@ merely holds such a word, the block goes only if it is host boilerplate.
 
 The token streams of a host's pages outside their articles are concatenated and
 their suffixes sorted by prefix doubling; a run of ``REPEAT_TOKENS`` tokens or more
-that stands on ``REPEAT_PAGES`` distinct pages is host boilerplate. Suffixes only
+is host boilerplate when it stands on ``REPEAT_SHARE`` of the host's distinct pages, and
+on ``REPEAT_PAGES`` at least. Pages of one token stream, article included, are one page
+here, so copies never make each other boilerplate. Suffixes only
 need sorting by their first ``REPEAT_TOKENS`` tokens: every longer repeat is a chain
 of such windows. From the open blocks the boilerplate runs are cut, the unique runs
 before, between and after them stay.
@@ -21,17 +23,18 @@ its blocks are the text; where it does not, what the suffix array leaves of the
 open blocks is. So the array decides no text of a page that declares its article.
 
 Hot hosts. Pages of a host go to parts of about ``PART_BYTES`` of HTML, each one
-task's suffix array. For hosts of several parts, every part's distinct windows
-(hashes) are first aggregated over the parts, and a window that stands in two parts
-counts as repeated in both, so the outcome does not depend on the cut.
+task's suffix array. For hosts of several parts, the windows (hashes) are counted over
+all parts first, by distinct page, and each part gets those that count as boilerplate,
+so the outcome does not depend on the cut.
 
 Defined results: null or empty pages have empty text; pages without a host form one
-host; rows that repeat a page count as further pages.
+host; rows that repeat a page count as that page once, and all get its text.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 
@@ -47,7 +50,8 @@ from tierline.llm.common import ship_package, slices, staged
 from tierline.llm.url_reputation import url_host
 
 REPEAT_TOKENS = 6
-REPEAT_PAGES = 2
+REPEAT_PAGES = 3
+REPEAT_SHARE = 0.5
 PART_BYTES = 8 << 20
 #: Most hosts of several parts (some 50 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 500_000
@@ -289,17 +293,38 @@ def _page_windows(tokens: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.
     return hashes[at], at
 
 
-def unique_runs(pages: list[list[str]], elsewhere: np.ndarray) -> list[list[tuple[str, bool]]]:
-    """For each page's blocks, the text outside boilerplate and whether any was cut; ``elsewhere``: window hashes repeated in other parts.
+def page_vote(found: list[tuple[int, str]]) -> int | None:
+    """Hash (signed) of a page's tokens, those of the article apart; None without any."""
+    if not found:
+        return None
+    inside, outside = (" ".join(t for z, t in found if (z == ARTICLE) == of) for of in (True, False))
+    return xxhash.xxh64_intdigest(f"{inside}\0{outside}") - (1 << 63)
+
+
+def pages_needed(distinct: int) -> int:
+    """Distinct pages of a host on which a run must stand to be boilerplate."""
+    return max(REPEAT_PAGES, math.ceil(distinct * REPEAT_SHARE))
+
+
+def repeated_windows(pages: list[list[str]], votes: list[int | None]) -> np.ndarray:
+    """Hashes of the windows that are boilerplate by the suffix array of the pages, one page a vote."""
+    once = {v: blocks for v, blocks in zip(votes, pages, strict=True) if v is not None}
+    tokens, page, _ = _stream(list(once.values()))
+    starts = repeated_starts(tokens, page, pages=pages_needed(len(once)))
+    return np.unique(window_hashes(tokens, REPEAT_TOKENS)[np.flatnonzero(starts)])
+
+
+def unique_runs(pages: list[list[str]], repeated: np.ndarray) -> list[list[tuple[str, bool]]]:
+    """For each page's blocks, the text outside boilerplate and whether any was cut; ``repeated``: its window hashes.
 
     A block whose every token is covered goes; of others the runs that repeat
     inside the block are cut, so a repeat that reaches in from a neighbour takes nothing.
     """
     tokens, page, block = _stream(pages)
-    starts = repeated_starts(tokens, page)
-    if elsewhere.size:
+    starts = np.zeros(len(tokens), dtype=bool)
+    if repeated.size:
         hashes, at = _page_windows(tokens, page)
-        starts[at[np.isin(hashes, elsewhere)]] = True
+        starts[at[np.isin(hashes, repeated)]] = True
     total = sum(map(len, pages))
     last = np.minimum(np.arange(len(tokens)) + REPEAT_TOKENS - 1, len(tokens) - 1)
     inside = covered(starts & (block == block[last]))
@@ -341,21 +366,22 @@ def article_parts(found: list[tuple[int, str]]) -> list[str | None] | None:
 
 
 def _parsed(pages: DataFrame, schema: T.StructType, outside_only: bool) -> DataFrame:
-    """Blocks of each page: (..., article parts or null, other blocks, their zones)."""
-    kept = schema.names[:-3]
+    """Blocks of each page: (..., article parts or null, other blocks, their zones, the page's vote)."""
+    kept = schema.names[:-4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                articles, texts, zones = [], [], []
+                articles, texts, zones, votes = [], [], [], []
                 for page in part.column("__html").to_pylist():
                     found = blocks_of(page)
                     articles.append(None if outside_only else article_parts(found))
                     texts.append([t for z, t in found if z != ARTICLE])
                     zones.append([z for z, _ in found if z != ARTICLE])
+                    votes.append(page_vote(found))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept]
-                    + [pa.array(articles, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.int8()))],
+                    + [pa.array(articles, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.int8())), pa.array(votes, pa.int64())],
                     names=schema.names,
                 )
 
@@ -389,31 +415,40 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
         T.StructField("__article", T.ArrayType(T.StringType())),
         T.StructField("__texts", T.ArrayType(T.StringType())),
         T.StructField("__zones", T.ArrayType(T.ByteType())),
+        T.StructField("__vote", T.LongType()),
     ]
     page_fields = [T.StructField("__page", df.schema[page].dataType), T.StructField("__url", df.schema[url].dataType)]
 
-    # hosts of several parts: windows that stand in more than one part
-    several = rows.filter(F.col("__parts") > 1).select("__host", "__part", "__html")
-    streams = _parsed(several, T.StructType(head + tail), outside_only=True).select("__host", "__part", "__texts")
+    # hosts of several parts: windows by the distinct pages they stand on; a null window counts the host's pages
+    several = rows.filter(F.col("__parts") > 1).select("__host", "__html")
+    streams = _parsed(several, T.StructType(head[:1] + tail), outside_only=True).select("__host", "__texts", "__vote")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, number, _ = _stream(batch.column(2).to_pylist())
-            hashes, at = _page_windows(tokens, number)
-            for host_part in sorted({(h, p) for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)}):
-                own = [(h, p) == host_part for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-                some = np.unique(hashes[np.array(own)[number[at]]]) if len(at) else hashes
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([host_part[0]] * len(some), pa.string()), pa.array([host_part[1]] * len(some), pa.int32()), pa.array(some.view(np.int64), pa.int64())],
-                    names=["__host", "__part", "__window"],
-                )
-
-    found = streams.mapInArrow(windows, "__host string, __part int, __window long")
+            for part in slices(batch):
+                for host, texts, vote in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if vote is None:
+                        continue
+                    tokens, number, _ = _stream([texts])
+                    some = [None, *np.unique(_page_windows(tokens, number)[0]).view(np.int64).tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([host] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array([vote] * len(some), pa.int64())],
+                        names=["__host", "__window", "__vote"],
+                    )
+
+    found = streams.mapInArrow(windows, "__host string, __window long, __vote long")
+    found = found.groupBy("__host", "__window").agg(F.countDistinct("__vote").alias("__on"))
+    found = staged(found.filter(F.col("__window").isNull() | (F.col("__on") >= REPEAT_PAGES)), "windows")
+    hosts = found.filter(F.col("__window").isNull()).select("__host", F.col("__on").alias("__pages"))
+    needed = F.greatest(F.lit(REPEAT_PAGES), F.ceil(F.col("__pages") * REPEAT_SHARE))
     shared = (
-        found.groupBy("__host", "__window").agg(F.collect_set("__part").alias("__in"))
-        .filter(F.size("__in") > 1)
-        .select("__host", F.explode("__in").alias("__part"), "__window")
-        .groupBy("__host", "__part").agg(F.collect_list("__window").alias("__windows"))
+        found.filter(F.col("__window").isNotNull()).join(hosts, "__host").filter(F.col("__on") >= needed)
+        .groupBy("__host").agg(F.collect_list("__window").alias("__windows"))
+        .join(large, F.col("__host") == F.col("__h"), "right")
+        .select(
+            F.col("__h").alias("__host"), F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"),
+            F.coalesce("__windows", F.array().cast("array<long>")).alias("__windows"),
+        )
     )
 
     body = _parsed(
@@ -431,10 +466,13 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
 
     def clean(table: pa.Table) -> pa.Table:
         lists = [w for w in table.column("__windows").to_pylist() if w is not None]
-        elsewhere = np.array(lists[0], dtype=np.int64).view(np.uint64) if lists else np.zeros(0, np.uint64)
         table = table.filter(pa.compute.is_null(table.column("__windows")))
         texts, zones = table.column("__texts").to_pylist(), table.column("__zones").to_pylist()
-        runs = unique_runs(texts, elsewhere)
+        if lists:  # a host of several parts
+            repeated = np.array(lists[0], dtype=np.int64).view(np.uint64)
+        else:
+            repeated = repeated_windows(texts, table.column("__vote").to_pylist())
+        runs = unique_runs(texts, repeated)
         out = []
         for article, left, zone, blocks in zip(table.column("__article").to_pylist(), runs, zones, texts, strict=True):
             if article is None:
