@@ -54,3 +54,26 @@ def test_strength_bounds(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert url_reputation.judge_urls(pages, spark.createDataFrame([], "url string, bad boolean"), {}).count() == 0
+
+
+CUTS = [
+    ("a.b.bad.co.uk", "bad.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"), ("uk", "uk", "uk"), ("x.uk", "x.uk", "uk"), ("", "", ""),
+    ("www.x.blogspot.co.uk", "x.blogspot.co.uk", "blogspot.co.uk"), ("blogspot.co.uk", "blogspot.co.uk", "blogspot.co.uk"),
+    ("me.github.io", "me.github.io", "github.io"), ("notco.uk", "notco.uk", "uk"), ("a.example.com", "example.com", "com"),
+]
+
+
+def test_longest_public_suffix(spark):
+    host = F.col("host")
+    cut = spark.createDataFrame([(c[0],) for c in CUTS], "host string").select(
+        host, url_reputation.registered_domain(host, url_reputation.PUBLIC_SUFFIXES), url_reputation.suffix(host, url_reputation.PUBLIC_SUFFIXES)
+    )
+    assert [tuple(r) for r in cut.collect()] == CUTS
+
+
+def test_sites_under_a_public_suffix_are_apart(spark):
+    hosts = [(f"h{i}.bad.co.uk", 40, 36) for i in range(10)] + [(f"h{i}.good.co.uk", 40, 2) for i in range(10)]
+    hosts += [("new.bad.co.uk", 0, 0), ("new.good.co.uk", 0, 0)]
+    df = spark.createDataFrame(hosts, "host string, n long, bad long")
+    found = {r.host: r.mean for r in url_reputation.reputations(df, url_reputation.PUBLIC_SUFFIXES).collect()}
+    assert found["new.bad.co.uk"] > 0.7 > 0.3 > found["new.good.co.uk"]

@@ -138,7 +138,9 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.regexp_extract(url_reputation.url_path(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1).try_cast("long")
     outcomes = pages.select("url", shown.alias("shown")).join(labels, F.col("shown") == labels["doc_id"])
     bad = url_reputation.any_bad(F.col("quality") == 0, F.col("toxic") == 1)
-    judged = url_reputation.judge_urls(pages, outcomes.select("url", bad.alias("bad")), URL_RULES)
+    judged = url_reputation.judge_urls(
+        pages, outcomes.select("url", bad.alias("bad")), URL_RULES, suffixes=url_reputation.PUBLIC_SUFFIXES
+    )
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

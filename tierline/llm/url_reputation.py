@@ -9,8 +9,9 @@ its posterior, mean less ``Z`` standard deviations, lies above ``MOST_BAD``. Exp
 rules go before the estimate. Built from SQL functions only: every level is one
 aggregation of counts, so a host with a third of all pages is summed map-side.
 
-The registered domain is a host's last two labels and the suffix its last label;
-a list of longer public suffixes is a parameter of :func:`reputations`.
+The suffix is the longest of a list of public suffixes that the host ends with, else
+its last label; the registered domain is the suffix with one more label. The list is
+a parameter of :func:`reputations`, as literals of a SQL expression.
 
 Defined results: urls that are null or without ``://`` have an empty host and path
 and the reputation of unlabelled hosts; without any label nothing is blocked.
@@ -18,6 +19,7 @@ and the reputation of unlabelled hosts; without any label nothing is blocked.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +33,15 @@ STRENGTH = (1.0, 1000.0)
 #: Mean of the top prior in labels of weight one each.
 TOP_PRIOR = (1.0, 1.0)
 
+#: Public suffixes of more than one label under which unrelated sites register: the common ones.
+PUBLIC_SUFFIXES: tuple[str, ...] = tuple(
+    "co.uk org.uk me.uk ac.uk gov.uk com.au net.au org.au edu.au gov.au co.nz org.nz co.jp ne.jp or.jp ac.jp co.kr or.kr com.br"
+    " net.br org.br com.cn net.cn org.cn com.hk com.tw com.sg com.my com.mx com.ar com.co com.pe com.tr com.ua com.pl co.in co.id"
+    " co.il co.th co.za com.vn com.eg com.sa github.io gitlab.io blogspot.com wordpress.com herokuapp.com netlify.app vercel.app"
+    " web.app firebaseapp.com pages.dev workers.dev appspot.com azurewebsites.net cloudfront.net s3.amazonaws.com"
+    " blogspot.co.uk blogspot.com.au".split()
+)
+
 
 def _after_scheme(url: Column) -> Column:
     at = F.instr(url, "://")
@@ -90,21 +101,37 @@ def _posterior(rows: DataFrame, prior: Column) -> DataFrame:
     return joined.withColumn("mean", (F.col("bad") + F.col("strength") * prior) / weight).withColumn("weight", weight)
 
 
-def registered_domain(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def _suffix_labels(host: Column, suffixes: Sequence[str]) -> Column:
+    """Number of labels of the host's longest suffix in the list; one where none fits."""
+    by_labels: dict[int, list[str]] = {}
+    for name in sorted({s.lower().strip(".") for s in suffixes} - {""}):
+        by_labels.setdefault(name.count(".") + 1, []).append(name)
+    fits = [F.when(F.substring_index(host, ".", -k).isin(by_labels[k]), k) for k in sorted(by_labels, reverse=True)]
+    return F.coalesce(*fits, F.lit(1))
+
+
+def _last_labels(host: Column, count: Column) -> Column:
+    labels = F.split(host, "[.]")
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - count, F.lit(0)) + 1, count), ".")
+
+
+def registered_domain(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    return _last_labels(host, _suffix_labels(host, suffixes) + 1) if suffixes else F.substring_index(host, ".", -2)
 
 
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    return _last_labels(host, _suffix_labels(host, suffixes)) if suffixes else F.substring_index(host, ".", -1)
 
 
-def reputations(hosts: DataFrame) -> DataFrame:
+def reputations(hosts: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     """(host, mean, bound) of every host in ``hosts`` (host, n labels, bad labels; any number of rows a host).
 
-    ``mean`` is the posterior mean of the bad rate, ``bound`` its lower bound.
+    ``mean`` is the posterior mean of the bad rate, ``bound`` its lower bound; ``suffixes``
+    are public suffixes of more than one label.
     """
     counts = hosts.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    counts = counts.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
+    host = F.col("host")
+    counts = counts.withColumn("domain", registered_domain(host, suffixes)).withColumn("suffix", suffix(host, suffixes))
     a, b = TOP_PRIOR
     top = counts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + a) / (F.coalesce(F.sum("n"), F.lit(0)) + a + b)).alias("top"))
     suffixes = _posterior(_level(counts, "suffix", None).join(F.broadcast(top)), F.col("top"))
@@ -118,7 +145,13 @@ def reputations(hosts: DataFrame) -> DataFrame:
 
 
 def judge_urls(
-    pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], page: str = "page_id", url: str = "url", most_bad: float = MOST_BAD
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules: dict[str, str],
+    page: str = "page_id",
+    url: str = "url",
+    most_bad: float = MOST_BAD,
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """(page, host, path, rule, verdict, bad_rate) of every row of ``pages``.
 
@@ -129,7 +162,7 @@ def judge_urls(
         url_host(F.col("url")).alias("host"), F.lit(1).cast("long").alias("n"), F.col("bad").cast("long").alias("bad")
     )
     everyone = rows.groupBy("host").agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad"))
-    known = reputations(labelled.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).unionByName(everyone))
+    known = reputations(labelled.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).unionByName(everyone), suffixes)
     known = known.withColumnRenamed("host", "__host")
     found = rows.join(known, rows["host"] == F.col("__host"), "left")
     rule = matching_rule(F.col("host"), F.col("path"), rules)
