@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import byte_bpe, decontam, html_text, language, pii, ring, simhash, sketch, token_file, url_reputation
+from tierline.llm import (
+    byte_bpe,
+    decontam,
+    html_text,
+    language,
+    pii,
+    quality_rules,
+    ring,
+    simhash,
+    sketch,
+    token_file,
+    url_reputation,
+)
 from tierline.llm.common import table
 from tierline.session import scratch_path
 
@@ -202,3 +214,62 @@ FROM r
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_repeated")
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.measured(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = quality_rules.verdicts(rows)
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        quality_rules.base_failed().alias("base_failed"), "kept", F.array_join("failed_rules", ",").alias("failed_rules"),
+    )
+
+
+def _quality_sql() -> str:
+    stop = ", ".join(f"'{w}'" for w in sorted({w for words in quality_rules.STOP_WORDS.values() for w in words.split()}))
+    tests = []
+    for r in quality_rules.RULES:
+        value, scale = (f"1000 * {r.measure}", r.of) if r.of else (r.measure, "1")
+        sides = [f"{value} {sign} {bound} * {scale}" for sign, bound in (("<", r.at_least), (">", r.at_most)) if bound is not None]
+        tests.append(f"CASE WHEN ({' OR '.join(sides)})" + (f" AND {r.of} > 0" if r.of else "") + f" THEN '{r.name}' END")
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM d
+), places AS (
+  SELECT r, w, unnest(range(len(w) - 2)) AS i FROM w WHERE len(w) > 2
+), spread AS (
+  SELECT r, i, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM places
+), again AS (
+  SELECT r, i FROM spread QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r
+), m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         len(l) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(length(list_aggregate(list_concat([''], l), 'string_agg', '')) AS BIGINT) AS line_chars,
+         CAST(length(list_aggregate(list_concat([''], l), 'string_agg', ''))
+              - length(list_aggregate(list_concat([''], list_distinct(l)), 'string_agg', '')) AS BIGINT) AS dup_line_chars,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         len(list_filter(w, lambda x: lower(x) IN ({stop}))) AS n_stop_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_lettered_words,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\t]*[-*•‣·]'))) AS n_bullet_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '([.][.][.]|…)[\x20\t\r]*$'))) AS n_open_lines
+  FROM w LEFT JOIN covered USING (r)
+), judged AS (
+  SELECT *, list_filter([{", ".join(tests)}], lambda x: x IS NOT NULL) AS failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, len(failed) = 0 AS kept,
+       array_to_string(failed, ',') AS failed_rules
+FROM judged
+"""
+
+
+ORACLE["op13_quality_rules"] = _quality_sql()
