@@ -13,6 +13,7 @@ from tierline.llm import (
     decontam,
     html_text,
     language,
+    orchard,
     pii,
     quality_rules,
     ring,
@@ -273,3 +274,48 @@ FROM judged
 
 
 ORACLE["op13_quality_rules"] = _quality_sql()
+
+
+@query
+def op11_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _cluster_sql() -> str:
+    """Every round as its own pair of tables: all distances, then floors of exact means."""
+    steps = []
+    for r in range(orchard.ROUNDS + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT r, vec_id, x, c, d FROM (
+    SELECT v.r, v.vec_id, v.x, c.c,
+           CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+    FROM v, c{r} c
+  ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)""")
+        if r < orchard.ROUNDS:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT c, list(f ORDER BY i) AS x FROM (
+      SELECT c, i, CAST(floor(sum(e) / count(*)) AS BIGINT) AS f
+      FROM (SELECT c, unnest(x) AS e, unnest(range({orchard.SIZE})) AS i FROM a{r}) GROUP BY c, i
+    ) GROUP BY c
+  ) m USING (c)
+)""")
+    last = orchard.ROUNDS
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({orchard.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {orchard.SIZE} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {orchard.SIZE}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{orchard.SEED}:' || vec_id), x) - 1 AS c, x FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('{orchard.SEED}:' || vec_id), x) <= {orchard.CLUSTERS}
+), {", ".join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM (SELECT a.vec_id, a.c, a.d, c.x FROM a{last} a JOIN c{last} c USING (c))
+"""
+
+
+ORACLE["op11_orchard_clusters"] = _cluster_sql()
