@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierline.llm import (
     byte_bpe,
     decontam,
+    divergence,
     html_text,
     language,
     orchard,
@@ -319,3 +320,46 @@ FROM (SELECT a.vec_id, a.c, a.d, c.x FROM a{last} a JOIN c{last} c USING (c))
 
 
 ORACLE["op11_orchard_clusters"] = _cluster_sql()
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n) AS n FROM t GROUP BY lang, term HAVING count(*) >= 30
+), v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, k.term, k.n AS ln, coalesce(x.n, 0) AS n
+  FROM g JOIN kept k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term
+), p AS (
+  SELECT c.lang, source, term, n, CAST(1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY c.lang, source) + 5 * v.v) AS BIGINT) AS p,
+         CAST(1 + (1000000000 * (ln + 5)) // (v.total + 5 * v.v) AS BIGINT) AS q
+  FROM c JOIN v USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM pairs
+UNION ALL
+SELECT lang, source, 'term', term, p - q,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS INTEGER) AS rank
+FROM p WHERE n > 0 AND p > q QUALIFY rank <= 50
+"""
