@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -86,9 +87,19 @@ def test_top_terms_and_empty(spark):
     assert divergence.audit(df.limit(0)).count() == 0
 
 
+def table_of(total):
+    keys = sorted(total)
+    term, lang, source = zip(*keys, strict=True)
+    columns = [term, lang, source, [total[k] for k in keys], [1] * len(keys)]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, divergence._POSTING.types, strict=True)], names=divergence._POSTING.names)
+
+
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.lists(st.tuples(st.sampled_from([b"a", b"b", b"c", b"d", b"\xc3\xa9"]), st.sampled_from("xy"), st.integers(1, 3)), max_size=9), max_size=6))
-def test_merging_runs(runs):
+@given(
+    st.lists(st.lists(st.tuples(st.sampled_from([b"a", b"b", b"c", b"d", b"\xc3\xa9"]), st.sampled_from("xy"), st.integers(1, 3)), max_size=9), max_size=6),
+    st.sampled_from([1, 4, 1000]), st.sampled_from([1, 5, 1000]),
+)
+def test_merging_runs(runs, cut, open_):
     made, want = [], Counter()
     for postings in runs:
         total = Counter()
@@ -96,11 +107,15 @@ def test_merging_runs(runs):
             total[term, lang, "s"] += n
         want.update(total)
         if total:
-            keys = sorted(total)
-            term, lang, source = zip(*keys, strict=True)
-            made.append({"first": term[0], "term": term, "lang": lang, "source": source, "n": [total[k] for k in keys], "documents": [1] * len(keys)})
-    found = list(divergence.merged(sorted(made, key=lambda r: r["first"])))
-    assert [f[:4] for f in found] == [(*k, want[k]) for k in sorted(want)]
+            made.append(table_of(total))
+    found, seen = Counter(), []
+    for part in divergence.merged(sorted(made, key=lambda t: t["term"][0].as_py()), cut, open_):
+        rows = part.to_pylist()
+        found.update({(r["term"], r["lang"], r["source"]): r["n"] for r in rows})
+        assert len({tuple(r[c] for c in ("term", "lang", "source")) for r in rows}) == len(rows)
+        assert not seen or max(seen) < min(r["term"] for r in rows)  # no term is split
+        seen = [r["term"] for r in rows]
+    assert found == want
 
 
 def test_heap_holds_only_runs_that_have_begun():
@@ -109,7 +124,12 @@ def test_heap_holds_only_runs_that_have_begun():
     def runs():
         for i in range(100):
             opened.append(i)
-            yield {"first": b"%03d" % i, "term": [b"%03d" % i], "lang": ["x"], "source": ["s"], "n": [1], "documents": [1]}
+            yield table_of({(b"%03d" % i, "x", "s"): 1})
+
+    for k, part in enumerate(divergence.merged(runs(), cut_postings=1)):
+        assert part["term"][0].as_py() == b"%03d" % k and len(opened) <= k + 3
+
 
-    for k, posting in enumerate(divergence.merged(runs())):
-        assert posting[0] == b"%03d" % k and len(opened) <= k + 4
+def test_one_term_in_all_runs_is_added_up():
+    found = list(divergence.merged((table_of({(b"t", "x", "s"): 2}) for _ in range(5000)), cut_postings=10, open_postings=100))
+    assert [t.to_pylist() for t in found] == [[{"term": b"t", "lang": "x", "source": "s", "n": 10000, "documents": 5000}]]

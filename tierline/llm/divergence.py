@@ -9,9 +9,9 @@ beyond ASCII, with A-Z lower-cased. A language keeps the terms that at least
 Index. A task reads its documents once and builds block postings in memory: term,
 group, occurrences, documents. When ``BLOCK_POSTINGS`` are held, the block is spilled as
 runs: one row a hash shard with its terms in byte order. Runs go to their shards in
-the order of their first terms; a shard's task merges them by a heap that holds only
-the runs whose first term has been reached, and adds equal postings up, so no task
-holds more than the runs that overlap one term. The document frequency then decides
+the order of their first terms; a shard's task merges them by a heap, cuts off the
+terms that no later run can hold, and adds equal postings up, so it holds the runs
+that overlap and no more. The document frequency then decides
 which terms a language keeps. No term's rows are gathered: what moves are the blocks'
 sums, so a frequent term sends one posting a block and group.
 
@@ -34,11 +34,13 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +52,12 @@ SCALE = 1_000_000_000
 SMOOTHING = 5
 #: Postings that a block holds before it is spilled (some 200 bytes each).
 BLOCK_POSTINGS = 400_000
-#: Most postings of one run row.
-RUN_POSTINGS = 50_000
+#: Most postings of one run row, and run rows of one Arrow batch.
+RUN_POSTINGS = 1024
+_RUN_ROWS = 256
+#: Postings that a merge reads before it cuts off complete terms, and that it holds before it adds up open ones.
+CUT_POSTINGS = 200_000
+OPEN_POSTINGS = 1_000_000
 #: Sources along one side of a tile, and tiles held before they leave the task.
 TILE = 128
 TILES = 256
@@ -68,48 +74,65 @@ def terms_of(text: str) -> list[bytes]:
 # ---------------------------------------------------------------- blocks and runs
 
 
+_POSTING = pa.schema(
+    [("term", pa.binary()), ("lang", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("documents", pa.int64())]
+)
+_KEYS = ["term", "lang", "source"]
+_RUN = (
+    "shard int, first binary, term array<binary>, lang array<string>, source array<string>, n array<long>, documents array<long>"
+)
+
+
 class Block:
     """Postings in memory: per (lang, source) the occurrences and documents of each term."""
 
     def __init__(self) -> None:
-        self.counts: dict[tuple[str, str], Counter[bytes]] = {}
-        self.documents: dict[tuple[str, str], Counter[bytes]] = {}
+        self.groups: dict[tuple[str, str], tuple[Counter[bytes], Counter[bytes]]] = {}
         self.postings = 0
 
     def add(self, lang: str, source: str, text: str) -> None:
-        group = (lang, source)
-        if group not in self.counts:
-            self.counts[group], self.documents[group] = Counter(), Counter()
-        counts = self.counts[group]
+        found = terms_of(text)
+        if not found:
+            return
+        counts, documents = self.groups.setdefault((lang, source), (Counter(), Counter()))
         before = len(counts)
-        found = Counter(terms_of(text))
         counts.update(found)
-        self.documents[group].update(found.keys())
+        documents.update(set(found))
         self.postings += len(counts) - before
 
-    def runs(self, shards: int) -> Iterator[dict]:
-        """One row a shard (more where it is long), its postings by term, lang and source."""
-        dealt: dict[int, list] = {}
-        for (lang, source), counts in self.counts.items():
-            documents = self.documents[lang, source]
-            for term, n in counts.items():
-                dealt.setdefault(zlib.crc32(term) % shards, []).append((term, lang, source, n, documents[term]))
-        for shard, postings in dealt.items():
-            postings.sort()
-            for lo in range(0, len(postings), RUN_POSTINGS):
-                term, lang, source, n, documents = zip(*postings[lo : lo + RUN_POSTINGS], strict=True)
-                yield {"shard": shard, "first": term[0], "term": term, "lang": lang, "source": source, "n": n, "documents": documents}
-
-
-_RUN = (
-    "shard int, first binary, term array<binary>, lang array<string>, source array<string>, n array<long>, documents array<long>"
-)
-_RUN_ARROW = pa.schema(
-    [
-        ("shard", pa.int32()), ("first", pa.binary()), ("term", pa.list_(pa.binary())), ("lang", pa.list_(pa.string())),
-        ("source", pa.list_(pa.string())), ("n", pa.list_(pa.int64())), ("documents", pa.list_(pa.int64())),
-    ]
-)
+    def runs(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """Rows (shard, first term, postings by term, lang and source), at most ``RUN_POSTINGS`` postings each."""
+        parts = []
+        for (lang, source), (counts, documents) in self.groups.items():
+            n = len(counts)
+            parts.append(
+                pa.table(
+                    [
+                        pa.array([zlib.crc32(t) % shards for t in counts], pa.int32()), pa.array(counts.keys(), pa.binary()),
+                        pa.repeat(pa.scalar(lang), n), pa.repeat(pa.scalar(source), n),
+                        pa.array(counts.values(), pa.int64()), pa.array([documents[t] for t in counts], pa.int64()),
+                    ],
+                    names=["shard", *_POSTING.names],
+                )
+            )
+        if not parts:
+            return
+        held = pa.concat_tables(parts)
+        held = held.sort_by([(c, "ascending") for c in ("shard", *_KEYS)]).combine_chunks()
+        shard = held.column("shard").to_numpy()
+        starts = np.flatnonzero(np.diff(shard, prepend=-1))
+        sizes = np.diff(np.append(starts, len(shard)))
+        # cut long rows
+        pieces = -(-sizes // RUN_POSTINGS)
+        inside = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        cuts = np.append(np.repeat(starts, pieces) + inside * RUN_POSTINGS, len(shard))
+        for lo in range(0, len(cuts) - 1, _RUN_ROWS):
+            at = cuts[lo : lo + _RUN_ROWS + 1]
+            part = held.slice(at[0], at[-1] - at[0])
+            offsets = pa.array(at - at[0], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, part.column(c).combine_chunks()) for c in _POSTING.names]
+            firsts = held.column("term").take(pa.array(at[:-1])).combine_chunks()
+            yield pa.RecordBatch.from_arrays([pa.array(shard[at[:-1]]), firsts, *lists], names=["shard", "first", *_POSTING.names])
 
 
 def indexed(docs: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
@@ -122,74 +145,66 @@ def indexed(docs: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS)
                 for lang, source, text in zip(*(part.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
                     block.add(lang, source, text)
                     if block.postings >= block_postings:
-                        yield from spilled(block)
+                        yield from block.runs(shards)
                         block = Block()
-        yield from spilled(block)
-
-    def spilled(block: Block) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for row in block.runs(shards):
-            rows.append(row)
-            held += len(row["term"])
-            if held >= RUN_POSTINGS:
-                yield pa.RecordBatch.from_pylist(rows, _RUN_ARROW)
-                rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, _RUN_ARROW)
+        yield from block.runs(shards)
 
     return docs.select("lang", "source", "text").mapInArrow(run, _RUN)
 
 
-def merged(runs: Iterable[dict]) -> Iterator[tuple]:
-    """Postings of runs that come in the order of their first terms, in term order, equal ones added up.
+def _added_up(pieces: list[pa.Table]) -> pa.Table:
+    """The pieces' postings, equal ones added up."""
+    found = pa.concat_tables(pieces).group_by(_KEYS, use_threads=False).aggregate([("n", "sum"), ("documents", "sum")])
+    return found.select([*_KEYS, "n_sum", "documents_sum"]).rename_columns(_POSTING.names)
+
+
+def merged(runs: Iterable[pa.Table], cut_postings: int = CUT_POSTINGS, open_postings: int = OPEN_POSTINGS) -> Iterator[pa.Table]:
+    """Postings of runs that come in the order of their first terms, equal ones added up, in tables that split no term.
 
-    A run enters the heap once its first term has been reached, so only runs that
-    overlap the current term are held.
+    A heap holds what is left of the runs read so far by the first term left. Terms
+    before the next run's first one are complete: they are cut off the heap's runs
+    and added up together. Where many runs share a term, what is left of them is
+    added up into one.
     """
-    heap: list[tuple] = []
+    heap: list[tuple[bytes, int, pa.Table]] = []
     waiting = iter(runs)
     after = next(waiting, None)
-    opened = 0
-    held: tuple | None = None
+    number = 0
     while heap or after is not None:
-        while after is not None and (not heap or after["first"] <= heap[0][0][0]):
-            postings = zip(after["term"], after["lang"], after["source"], after["n"], after["documents"], strict=True)
-            head = next(postings)
-            heapq.heappush(heap, (head[:3], opened, head, postings))
-            opened += 1
+        read = 0
+        while after is not None and read < cut_postings:
+            heapq.heappush(heap, (after["term"][0].as_py(), number, after))
+            number += 1
+            read += after.num_rows
             after = next(waiting, None)
-        key, number, posting, rest = heap[0]
-        head = next(rest, None)
-        if head is None:
-            heapq.heappop(heap)
-        else:
-            heapq.heapreplace(heap, (head[:3], number, head, rest))
-        if held is not None and held[:3] == key:
-            held = (*key, held[3] + posting[3], held[4] + posting[4])
-        else:
-            if held is not None:
-                yield held
-            held = posting
-    if held is not None:
-        yield held
-
-
-def kept_terms(postings: Iterable[tuple], least: int) -> Iterator[tuple[str, bytes, list[str], list[int]]]:
+        bound = None if after is None else after["term"][0].as_py()
+        done = []
+        while heap and (bound is None or heap[0][0] < bound):
+            _, _, piece = heapq.heappop(heap)
+            terms = piece["term"]
+            cut = len(terms) if bound is None else bisect_left(range(len(terms)), bound, key=lambda i: terms[i].as_py())
+            done.append(piece.slice(0, cut))
+            if cut < len(terms):
+                heapq.heappush(heap, (terms[cut].as_py(), number, piece.slice(cut)))
+                number += 1
+        if done:
+            yield _added_up(done)
+        if sum(piece.num_rows for _, _, piece in heap) > open_postings:
+            rest = _added_up([piece for _, _, piece in heap]).sort_by([(c, "ascending") for c in _KEYS]).combine_chunks()
+            heap = [(rest["term"][0].as_py(), number, rest)]
+            number += 1
+            open_postings = max(open_postings, 2 * rest.num_rows)  # different ones all: no use in trying again soon
+
+
+def kept_terms(postings: pa.Table, least: int) -> pa.RecordBatch | None:
     """(lang, term, its sources, their counts) of terms that enough of the lang's documents hold."""
-    at: tuple | None = None
-    sources: list[str] = []
-    counts: list[int] = []
-    documents = 0
-    for term, lang, source, n, held in postings:
-        if (term, lang) != at:
-            if at is not None and documents >= least:
-                yield at[1], at[0], sources, counts
-            at, sources, counts, documents = (term, lang), [], [], 0
-        sources.append(source)
-        counts.append(n)
-        documents += held
-    if at is not None and documents >= least:
-        yield at[1], at[0], sources, counts
+    found = postings.group_by(["term", "lang"], use_threads=False)
+    found = found.aggregate([("documents", "sum"), ("source", "list"), ("n", "list")])
+    found = found.filter(pc.greater_equal(found["documents_sum"], least)).combine_chunks()
+    if not found.num_rows:
+        return None
+    columns = [found["lang"], found["term"].cast(pa.string()), found["source_list"], found["n_list"]]
+    return pa.table(columns, names=["lang", "term", "source", "n"]).combine_chunks().to_batches()[0]
 
 
 _TERMS = "lang string, term string, source array<string>, n array<long>"
@@ -198,30 +213,19 @@ _TERMS = "lang string, term string, source array<string>, n array<long>"
 def frequencies(runs: DataFrame, shards: int, least: int = MIN_DOCUMENTS) -> DataFrame:
     """(lang, term, source, n): the kept terms, one row a language and term, merged per shard."""
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                yield {c: batch.column(c)[i].as_py() for c in _RUN_ARROW.names if c != "shard"}
+            lists = [batch.column(c) for c in _POSTING.names]
+            ends = lists[0].offsets.to_numpy()
+            whole = pa.table([x.values for x in lists], names=_POSTING.names).cast(_POSTING)
+            for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                yield whole.slice(lo, hi - lo)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for row in kept_terms(merged(rows_of(batches)), least):
-            out.append(row)
-            if len(out) == 4096:
-                yield packed(out)
-                out = []
-        if out:
-            yield packed(out)
-
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        lang, term, source, n = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(lang, pa.string()), pa.array([t.decode() for t in term], pa.string()),
-                pa.array(source, pa.list_(pa.string())), pa.array(n, pa.list_(pa.int64())),
-            ],
-            names=["lang", "term", "source", "n"],
-        )
+        for postings in merged(tables(batches)):
+            found = kept_terms(postings, least)
+            if found is not None:
+                yield found
 
     dealt = runs.repartitionById(shards, F.col("shard")).sortWithinPartitions("first")
     return dealt.mapInArrow(run, _TERMS)
