@@ -99,3 +99,22 @@ def test_unspaced_scripts(spark, make_docs):
     bench = spark.createDataFrame([(1, "日本語の文章を読む")], "item_id long, text string")
     docs = make_docs([(1, "前の文。日本語の文章を読む人"), (2, "日本語の大章を読む"), (3, "日本の文を読まない"), (4, "これは何")])
     assert {(r.doc_id, r.n_equal) for r in decontam.overlaps(docs, bench).collect()} == {(1, 9), (2, 8)}
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 40])
+def test_passes_of_a_large_benchmark(spark, make_docs, bound):
+    """Several broadcasts find what one finds, a very long document included; no join shuffles windows or word hashes."""
+    item = [f"t{i}" for i in range(30)]
+    other = [f"u{i}" for i in range(30)]
+    filler = [f"w{i}" for i in range(20_000)]
+    docs = make_docs([
+        (1, " ".join(filler[:9000] + item[3:25] + filler[9000:])), (2, " ".join(filler)), (3, " ".join(other)),
+        (4, " ".join("x" if i % 6 == 5 else w for i, w in enumerate(item)) + " and " + " ".join(other[:20])), (5, "five short words in here"),
+    ])
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other)), (3, "five short words in here")], "item_id long, text string")
+    got = decontam.overlaps(docs, bench, broadcast_windows=bound)
+    assert {(r.doc_id, r.item_id, r.n_equal) for r in got.collect()} == {(1, 1, 13), (3, 2, 13), (4, 1, 11), (4, 2, 13), (5, 3, 5)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") >= (1 if bound > 40 else 2)
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__seed" not in physical

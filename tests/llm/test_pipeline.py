@@ -12,7 +12,7 @@ from tierline.llm import byte_bpe, decontam, language, pii, simhash
 
 def test_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
 
 

@@ -40,8 +40,8 @@ OVERLAP_WORDS = 13
 LEAST_LOOKS = 4
 #: Scripts written without spaces between words.
 UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}]"
-#: Most benchmark windows that are broadcast (some 60 bytes each); beyond it the join shuffles.
-BROADCAST_WINDOWS = 500_000
+#: Most benchmark windows of one broadcast (some 60 bytes each); a larger benchmark takes several passes.
+BROADCAST_WINDOWS = 1_000_000
 
 
 def word_hashes(text: str | Column) -> Column:
@@ -116,12 +116,15 @@ def overlaps(
     masks: tuple[tuple[int, ...], ...] = MASKS,
     similarity: float = SIMILARITY,
     overlap_words: int = OVERLAP_WORDS,
+    broadcast_windows: int = BROADCAST_WINDOWS,
 ) -> DataFrame:
     """Verified overlaps, one row per document and item: (key, item, doc_word, item_word, n_words, n_equal).
 
     The row is the best stretch found: ``n_equal`` of ``n_words`` words agree,
     starting at word ``doc_word`` of the document and ``item_word`` of the item
-    (from 0). Documents are read once and never shuffled, only hits are.
+    (from 0). Documents are never shuffled, only hits are, whatever the benchmark's
+    size: its windows are dealt by seed to as many passes over the documents as
+    keep each pass's broadcast under ``broadcast_windows`` rows.
     """
     items = staged(benchmark_items(benchmark, item, item_text), "benchmark-items")
     short = [r[0] for r in items.filter(F.col("__n") < overlap_words).select("__n").distinct().collect()]
@@ -137,22 +140,24 @@ def overlaps(
         anchored = [(F.col("__plan") == k) & (F.col("__n") == n) & (F.col("__at") == at) for k, (n, at) in extra]
         wanted = wanted.filter(reduce(lambda a, b: a | b, anchored, F.col("__plan") < len(masks)))
     wanted = staged(wanted.select("__seed", F.col("__at").alias("__item_at"), "__item", "__n").distinct(), "benchmark-windows")
-    if wanted.count() <= BROADCAST_WINDOWS:
-        wanted = F.broadcast(wanted)
+    passes = max(1, -(-wanted.count() // broadcast_windows))
 
     hashed = docs.select(F.col(key).alias("__key"), word_hashes(text).alias("__hashes"))
     begin = F.col("__at") - F.col("__item_at")  # document word under the item's first word, may be below 0
     shift = F.greatest(-begin, F.lit(0))
-    hits = (
-        _windows(hashed, "__hashes", plans)
-        .join(wanted, "__seed")
-        .select(
+    def found_in(some: DataFrame, windows: DataFrame) -> DataFrame:
+        return windows.join(F.broadcast(some), "__seed").select(
             "__key", "__item", begin.alias("__begin"), shift.alias("__shift"),
             F.slice("__hashes", F.greatest(begin, F.lit(0)) + 1, F.col("__n")).alias("__part"),
-        )
-        .groupBy("__key", "__item", "__begin")
-        .agg(F.first("__part").alias("__part"), F.first("__shift").alias("__shift"))
-    )
+        )
+
+    windows = _windows(hashed, "__hashes", plans)
+    if passes == 1:
+        hits = found_in(wanted, windows)
+    else:  # equal seeds are in the same pass, on both sides
+        share = [F.pmod("__seed", F.lit(passes)) == k for k in range(passes)]
+        hits = reduce(DataFrame.unionByName, [found_in(wanted.filter(p), windows.filter(p)) for p in share])
+    hits = hits.groupBy("__key", "__item", "__begin").agg(F.first("__part").alias("__part"), F.first("__shift").alias("__shift"))
     hits = hits.join(items, "__item").withColumn(
         "__equal",
         F.transform(
