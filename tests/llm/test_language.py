@@ -7,11 +7,11 @@ import numpy as np
 from tierline.llm import language, queries
 
 
-def grams(text, alphabet, n_max=3):
-    """Distinct n-grams by strings: gaps as spaces, unknown letters as one symbol."""
+def grams(text, n_max=3):
+    """Distinct n-grams by strings: gaps as spaces."""
     symbols = " "
     for c in text.lower():
-        symbol = c if c in alphabet else "?" if c.isalpha() else " "
+        symbol = c if c.isalpha() else " "
         if not (symbol == " " and symbols[-1] == " "):
             symbols += symbol
     symbols = symbols.rstrip(" ") + " "
@@ -19,16 +19,16 @@ def grams(text, alphabet, n_max=3):
 
 
 def test_kernel_is_blended_presence_spectrum():
-    texts = ["the cat sat", "der Hund und die Katze", "un chat, un chien; l'été", "A1b2c3", "zzz ω"]
+    texts = ["the cat sat", "der Hund und die Katze", "un chat, un chien; l'été", "A1b2c3", "zzz ω", "漢字 и \U00010400"]
     model = language.fit(texts[:3], ["en", "de", "fr"])
     scorer = language.Scorer(model)
     values, lettered = scorer.kernel(texts)
     assert lettered.all()
     for i, a in enumerate(texts):
-        ga = grams(a, model.alphabet)
-        assert len(scorer.symbols.distinct(a)) == len(ga)
+        ga = grams(a)
+        assert len(language.distinct_grams(a)) == len(ga)
         for j, b in enumerate(texts[:3]):
-            gb = grams(b, model.alphabet)
+            gb = grams(b)
             assert np.isclose(values[i, j], len(ga & gb) / np.sqrt(len(ga) * len(gb)), atol=1e-6)
 
 
@@ -61,3 +61,35 @@ def test_odd_rows(make_docs, odd_rows):
     assert {r.lang_pred for r in language.identify(unlabelled, language.train(unlabelled, language.training_label())).collect()} == {"und"}
     empty = make_docs([])
     assert language.identify(empty, language.train(empty, language.training_label())).count() == 0
+
+
+#: Short sentences of languages in several scripts; no letter stands for another.
+SCRIPTS = {
+    "ru": "собака бежит по улице|кошка спит на окне|мы идём домой вечером|он читает книгу о море|погода сегодня хорошая",
+    "uk": "собака біжить по вулиці|кішка спить на вікні|ми йдемо додому ввечері|він читає книжку про море|погода сьогодні гарна",
+    "el": "ο σκύλος τρέχει στο δρόμο|η γάτα κοιμάται στο παράθυρο|πάμε σπίτι το βράδυ|διαβάζει ένα βιβλίο|ο καιρός είναι καλός",
+    "he": "הכלב רץ ברחוב|החתול ישן על החלון|אנחנו הולכים הביתה בערב|הוא קורא ספר על הים|מזג האוויר טוב היום",
+    "ja": "犬が道を走っている|猫が窓で寝ている|私たちは夜に家へ帰る|彼は海の本を読む|今日は天気がいい",
+    "zh": "狗在街上跑步|猫在窗台上睡觉|我们晚上回家吃饭|他读一本关于大海的书|今天的天气很好",
+    "ko": "개가 길에서 달린다|고양이가 창문에서 잔다|우리는 저녁에 집에 간다|그는 바다에 관한 책을 읽는다|오늘은 날씨가 좋다",
+    "en": "the dog runs in the street|the cat sleeps at the window|we go home in the evening|he reads a book of the sea|the weather is good today",
+}
+
+
+def test_short_texts_in_many_scripts():
+    rows = [(t, name) for name, texts in SCRIPTS.items() for t in texts.split("|")]
+    model = language.fit([t for t, _ in rows], [name for _, name in rows])
+    letters = {c for t, _ in rows for c in t.lower() if c.isalpha()}
+    assert len(letters) > 150 and len({g for g in model.grams.tolist() if g < 1 << 21}) == len(letters) + 1
+    short = {
+        "ru": "кошка и собака", "uk": "кішка і вікно", "el": "ο καλός σκύλος", "he": "הספר על החלון", "ja": "猫は本を読む", "zh": "我们在家睡觉",
+        "ko": "고양이가 책을 읽는다", "en": "the good book",
+    }
+    assert language.Scorer(model).predict(list(short.values()))[0] == list(short)
+
+
+def test_one_sample_trains_and_calibrates(spark, documents):
+    model, bar = language.train_with_bar(documents)
+    plain = language.train(documents, language.training_label())
+    assert model.languages == plain.languages and np.array_equal(model.grams, plain.grams) and np.allclose(model.weights, plain.weights)
+    assert language.NO_EVIDENCE + language.LEAST_MARGIN <= bar < 0.8

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from tierline.llm import pii, queries
 
@@ -96,3 +97,38 @@ def test_nothing_shows_after_redaction():
     assert 3 not in [k for k, _, _ in spans]
     assert pii.redact_all(text, spans) == "call [PHONE] [IP] or [CARD].2.3.4" or pii.base_spans(pii.redact_all(text, spans)) == []
     assert "555-4081" not in pii.redact_all(text, spans)
+
+
+def plain_loose(text, base):
+    """Every candidate against every span taken before it."""
+    found = [(0, *m.span()) for m in pii._LOOSE_EMAIL.finditer(text)] + [(1, *m.span()) for m in pii._LOOSE_IP.finditer(text)]
+    found += [(2, *m.span()) for m in pii._CARD.finditer(text) if 13 <= len(pii.digits_of(m.group())) <= 19]
+    found += [(3, *m.span()) for m in pii._LOOSE_PHONE.finditer(text)]
+    taken, out = [(s, e) for _, s, e in base], []
+    for kind, start, end in sorted(found, key=lambda f: (f[1], f[0])):
+        if all(end <= s or start >= e for s, e in taken):
+            taken.append((start, end))
+            out.append((kind, start, end))
+    return sorted(out)
+
+
+def test_added_spans_equal_brute_force(documents):
+    rng = random.Random(2)
+    parts = ["a@b.cd", " (at) ", "(dot)", "com", "1:2:3:4:5:6:7:8", "415 555 2671", "(415) 555-2671", "+1 415 555 2671", "1234 5678 9012 3456",
+             "4111111111111111", "371234567890123", " ", ".", "-", "1.2.3.4", "x", "9"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(20000)] + [r.text for r in documents.collect()]
+    some = 0
+    for text in texts:
+        base = pii.base_spans(text)
+        found = pii.loose_spans(text, base)
+        assert found == plain_loose(text, base), text
+        some += len(found)
+    assert some > 1000
+
+
+def test_many_candidates_in_one_text_stay_linear():
+    text = "\n".join(f"{4000000000000000 + 7919 * i}" for i in range(16000))
+    started = time.perf_counter()
+    base = pii.base_spans(text)
+    assert len(base) + len(pii.loose_spans(text, base)) == 16000
+    assert time.perf_counter() - started < 1.0

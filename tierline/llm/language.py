@@ -1,8 +1,7 @@
 """Language identification with a blended-spectrum string kernel.
 
-A text is lower-cased; its letters become symbols of a learned alphabet (all other
-letters share one symbol), and every run of other characters one gap. Its features
-are the distinct n-grams of 1 to ``MAX_N`` symbols: presence, not counts. The
+A text is lower-cased; its letters are symbols, and every run of other characters is
+one gap. Its features are the distinct n-grams of 1 to ``MAX_N`` symbols: presence, not counts. The
 kernel of two texts is the number of n-grams that both hold, divided by the root
 of the product of their numbers. The Nystroem method represents a text by its
 kernel values with a bounded set of landmark texts, and one-versus-rest kernel
@@ -42,8 +41,9 @@ LANDMARKS_PER_LANGUAGE = 32
 #: Rows under a label's hash bound, as a multiple of the wanted ones; labels whose counts are broadcast.
 SPARE = 4
 BROADCAST_LABELS = 100_000
-#: Symbols of the alphabet, gap and "other letter" included.
-ALPHABET = 64
+#: Bits of a symbol in an n-gram's code, and the symbol of a gap, beyond all code points.
+_BITS = 21
+_GAP = 0x110000
 RIDGE = 1e-2
 UNDETERMINED = "und"
 #: Score of a text that shares nothing with any landmark, and the least distance that a bar keeps from it.
@@ -54,62 +54,58 @@ OUTLIERS = 0.002
 _ROWS = 128
 
 
-class Symbols:
-    """Text to its distinct n-grams, as codes over a fixed alphabet: 0 gap, 1 other letter, 2.. the alphabet."""
-
-    def __init__(self, alphabet: str):
-        self.alphabet = alphabet
-        self.size = len(alphabet) + 2
-        table = np.zeros(0x110000, dtype=np.int32)
-        letters = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == "L"]
-        table[letters] = 1
-        for i, letter in enumerate(alphabet):
-            table[ord(letter)] = i + 2
-        self.table = table
-        self.offsets = [0]
-        for n in range(1, MAX_N + 1):
-            self.offsets.append(self.offsets[-1] + self.size**n)
-        self.seen = np.zeros(self.size**MAX_N, dtype=bool)
-
-    def distinct(self, text: str) -> np.ndarray | None:
-        """Sorted codes of the distinct n-grams, with one gap before and after the text; None without a letter.
-
-        Only the longest n-grams are gathered from the whole text; every shorter one
-        is the beginning of a longer one or lies at the very end.
-        """
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        symbols = np.zeros(len(points) + 2, dtype=np.int32)
-        np.take(self.table, points, out=symbols[1:-1])
-        gap = symbols == 0
-        gap[1:] &= gap[:-1]
-        gap[0] = False
-        symbols = symbols[~gap]
-        if len(symbols) < 2:
-            return None
-        n = min(MAX_N, len(symbols))
-        code = symbols[: len(symbols) - n + 1]
-        for i in range(1, n):
-            code = code * self.size + symbols[i : len(symbols) - n + 1 + i]
-        seen = self.seen[: self.size**n]
-        seen[code] = True
-        found = np.flatnonzero(seen)
-        seen[code] = False
-        out = [found + self.offsets[n - 1]]
-        tail = symbols[len(symbols) - n + 1 :].tolist()
-        for k in range(n - 1, 0, -1):
-            last = 0
-            for symbol in tail[len(tail) - k :]:
-                last = last * self.size + symbol
-            found = np.unique(np.append(found // self.size, last))
-            out.append(found + self.offsets[k - 1])
-        return np.concatenate(out[::-1])
+def _letters() -> np.ndarray:
+    table = np.zeros(0x110000, dtype=bool)
+    table[[c for c in range(0x110000) if unicodedata.category(chr(c))[0] == "L"]] = True
+    return table
+
+
+_LETTERS: list[np.ndarray] = []  # made once per process
+
+
+def distinct_grams(text: str) -> np.ndarray | None:
+    """Sorted codes of the distinct n-grams, with one gap before and after the text; None without a letter.
+
+    A code holds the code points of its symbols, ``_BITS`` each, so no two n-grams share
+    one, and shorter n-grams have smaller codes. Only the longest n-grams are gathered
+    from the whole text; every shorter one is the beginning of a longer one or lies at
+    the very end.
+    """
+    if not _LETTERS:
+        _LETTERS.append(_letters())
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    symbols = np.full(len(points) + 2, _GAP, dtype=np.int64)
+    inner = symbols[1:-1]
+    np.copyto(inner, points, where=_LETTERS[0][points])
+    gap = symbols == _GAP
+    gap[1:] &= gap[:-1]
+    gap[0] = False
+    symbols = symbols[~gap]
+    if len(symbols) < 2:
+        return None
+    n = min(MAX_N, len(symbols))
+    code = symbols[: len(symbols) - n + 1]
+    for i in range(1, n):
+        code = (code << _BITS) | symbols[i : len(symbols) - n + 1 + i]
+    found = np.unique(code)
+    out = [found]
+    for k in range(n - 1, 0, -1):
+        last = 0
+        for symbol in symbols[len(symbols) - k :].tolist():
+            last = (last << _BITS) | symbol
+        found = found >> _BITS
+        found = found[np.append(True, found[1:] != found[:-1])]
+        at = int(np.searchsorted(found, last))
+        if at == len(found) or found[at] != last:
+            found = np.insert(found, at, last)
+        out.append(found)
+    return np.concatenate(out[::-1])
 
 
 @dataclass
 class LanguageModel:
     """Landmark n-grams, kernel scale and weights; a few MB at most."""
 
-    alphabet: str
     languages: list[str]
     grams: np.ndarray  # sorted codes that some landmark holds
     landmarks: np.ndarray  # grams x landmarks, presence over the root of the landmark's n-gram number
@@ -121,20 +117,17 @@ class Scorer:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.symbols = Symbols(model.alphabet)
-        self.column = np.full(self.symbols.offsets[-1], -1, dtype=np.int32)
-        self.column[model.grams] = np.arange(len(model.grams))
 
     def kernel(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(texts x landmarks kernel values, which texts have a letter)."""
         rows = np.zeros((len(texts), len(self.model.grams)), dtype=np.float32)
         counts = np.zeros(len(texts))
         for i, text in enumerate(texts):
-            codes = self.symbols.distinct(text)
+            codes = distinct_grams(text)
             if codes is not None:
                 counts[i] = len(codes)
-                at = self.column[codes]
-                rows[i, at[at >= 0]] = 1
+                at = np.minimum(np.searchsorted(self.model.grams, codes), len(self.model.grams) - 1)
+                rows[i, at[self.model.grams[at] == codes]] = 1
         return (rows @ self.model.landmarks) / np.sqrt(np.maximum(counts, 1))[:, None], counts > 0
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -155,16 +148,11 @@ class Scorer:
 
 def fit(texts: list[str], labels: list[str], max_landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> LanguageModel:
     """Kernel ridge regression on Nystroem features of the sample (in the given order)."""
-    letters: Counter[str] = Counter()
-    for text in texts:
-        letters.update({c: n for c, n in Counter(text.lower()).items() if unicodedata.category(c)[0] == "L"})
-    alphabet = "".join(sorted(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: ALPHABET - 2]))
-    symbols = Symbols(alphabet)
-    cut = [symbols.distinct(t) for t in texts]
+    cut = [distinct_grams(t) for t in texts]
     usable = [i for i, c in enumerate(cut) if c is not None]
     languages = sorted({labels[i] for i in usable})
     if not languages:
-        return LanguageModel(alphabet, [], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros((0, 0)))
+        return LanguageModel([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros((0, 0)))
     taken: Counter[str] = Counter()
     chosen = []
     for i in usable:
@@ -176,7 +164,7 @@ def fit(texts: list[str], labels: list[str], max_landmarks: int = LANDMARKS_PER_
     landmarks = np.zeros((len(grams), len(chosen)), dtype=np.float32)
     for j, held in enumerate(sets):
         landmarks[np.searchsorted(grams, held), j] = 1 / np.sqrt(len(held))
-    model = LanguageModel(alphabet, languages, grams, landmarks, np.zeros((len(chosen), len(languages))))
+    model = LanguageModel(languages, grams, landmarks, np.zeros((len(chosen), len(languages))))
     scorer = Scorer(model)
     inner = scorer.kernel([texts[i] for i in chosen])[0].astype(np.float64)
     value, vector = np.linalg.eigh((inner + inner.T) / 2)
@@ -208,11 +196,6 @@ def training_label(key: str = "doc_id", label: str = "lang") -> Column:
     return F.when(F.col(key).isNotNull() & ~held_out(key), F.col(label))
 
 
-def held_out_label(key: str = "doc_id", label: str = "lang") -> Column:
-    """The label of documents that are held out from training; null for the others."""
-    return F.when(held_out(key), F.col(label))
-
-
 def training_sample(df: DataFrame, label: Column, key: str, text: str, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """(text, label) of at most ``per_language`` rows with a letter a label: the least by a hash of key and text.
 
@@ -232,23 +215,37 @@ def training_sample(df: DataFrame, label: Column, key: str, text: str, per_langu
     return rows.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= per_language).select("__label", "__text", "__h")
 
 
+def _fitted(rows: list) -> LanguageModel:
+    rows = sorted(rows, key=lambda r: (r["__h"], r["__text"]))
+    return fit([r["__text"] for r in rows], [r["__label"] for r in rows])
+
+
 def train(df: DataFrame, label: Column, key: str = "doc_id", text: str = "text") -> LanguageModel:
     """Fit on the bounded sample of rows whose ``label`` is not null."""
-    rows = sorted(training_sample(df, label, key, text).collect(), key=lambda r: (r["__h"], r["__text"]))
-    return fit([r["__text"] for r in rows], [r["__label"] for r in rows])
+    return _fitted(training_sample(df, label, key, text).collect())
+
+
+def train_with_bar(df: DataFrame, key: str = "doc_id", label: str = "lang", text: str = "text") -> tuple[LanguageModel, float]:
+    """(model, score bar): learned from the rows that are not held out, calibrated on those that are; one sample holds both."""
+    part = F.struct(held_out(key).alias("held"), F.col(label).alias("name"))
+    part = F.when(F.col(key).isNotNull() & F.col(label).isNotNull(), part)
+    rows = training_sample(df, part, key, text)
+    rows = rows.select(F.col("__label.held").alias("__held"), F.col("__label.name").alias("__label"), "__text", "__h").collect()
+    model = _fitted([r for r in rows if not r["__held"]])
+    return model, least_score(model, [r for r in rows if r["__held"]])
 
 
-def least_score(df: DataFrame, model: LanguageModel, label: Column, key: str = "doc_id", text: str = "text") -> float:
+def least_score(model: LanguageModel, rows: list) -> float:
     """Score below which a text counts as being in no learned language.
 
-    Half-way from no evidence to the low scores of a bounded sample of the labelled
-    rows, which are to be held out from training, and ``LEAST_MARGIN`` above no
-    evidence at least; that margin where the sample holds no rightly identified row.
+    Half-way from no evidence to the low scores of a sample of labelled rows
+    (``__text``, ``__label``) that the model has not learned from, and ``LEAST_MARGIN``
+    above no evidence at least; that margin where the sample holds no rightly
+    identified row.
     """
     least = NO_EVIDENCE + LEAST_MARGIN
     if not model.languages:
         return least
-    rows = training_sample(df, label, key, text).collect()
     names, scores = Scorer(model).predict([r["__text"] for r in rows])
     right = [s for r, n, s in zip(rows, names, scores.tolist(), strict=True) if r["__label"] == n]
     return max(least, (NO_EVIDENCE + float(np.quantile(right, OUTLIERS))) / 2) if right else least

@@ -20,7 +20,9 @@ base span or an added span before it. Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+import itertools
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -139,11 +141,14 @@ def loose_spans(text: str, base: list[Span]) -> list[Span]:
         found += [(3, *m.span()) for m in _LOOSE_PHONE.finditer(text)]
     if not found:
         return []
-    taken = sorted((s, e) for _, s, e in base)
-    out = []
+    # base spans by start, with the farthest end of those up to each: one search a candidate
+    starts = sorted(s for _, s, _ in base)
+    reach = list(itertools.accumulate((e for _, _, e in sorted(base, key=lambda b: b[1])), max))
+    out, free = [], 0  # candidates come by start, so the last one taken reaches farthest
     for kind, start, end in sorted(found, key=lambda f: (f[1], f[0])):
-        if all(end <= s or start >= e for s, e in taken):
-            taken.append((start, end))
+        before = bisect_left(starts, end)
+        if start >= free and (before == 0 or reach[before - 1] <= start):
+            free = end
             out.append((kind, start, end))
     return sorted(out)
 
