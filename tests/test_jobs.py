@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierline.plans import jobs
-from tierline.operators import quality
-from tierline.sources.tables import ConcurrentWriteError, DimensionStore, LoadLog, VersionedTable, append_rows, read_log
-from tierline.streaming.bronze import ingest_files, read_bronze
+from tierline.operators import keybuckets, quality
+from tierline.sources.files import list_names, publish, read_text
+from tierline.sources.tables import ConcurrentWriteError, DimensionStore, LoadLog, VersionedTable, append_rows, read_log, write_observed
+from tierline.streaming.bronze import BronzeTable, commit_log, ingest_files, read_bronze
 from tierline.streaming.registry import DatasetRegistry
 
 HEADER = [
@@ -131,7 +132,7 @@ def test_layers_end_to_end(spark, workdir):
     version_before = store.latest_version()
     silver3, fact3 = run_all_layers(spark, lake, src, dt.datetime(2024, 3, 1))
     assert silver3.loaded == 0 and fact3 == 0
-    assert LoadLog(spark, lake.layer("silver", "employee")).last()["load"] == 2
+    assert LoadLog(spark, lake.layer("silver", "employee")).last()["number"] == 2
     assert store.latest_version() == version_before
     assert store.current().count() == 4
 
@@ -213,12 +214,11 @@ def test_versioned_table_ignores_uncommitted(spark, workdir):
 
 
 def test_current_filter_prunes_history(spark, workdir):
-    store = DimensionStore(spark, f"{workdir}/dim")
-    cur = spark.createDataFrame([(1, True)], "id int, is_current boolean")
-    exp = spark.createDataFrame([(0, False)], "id int, is_current boolean")
-    store.write_load(cur, exp)
+    store = DimensionStore(spark, f"{workdir}/dim", ["id"], buckets=1)
+    rows = spark.createDataFrame([(1, True), (0, False)], "id int, is_current boolean")
+    store.write_load(rows, [0])
     plan = store.read().filter("is_current")._jdf.queryExecution().optimizedPlan().toString()
-    assert "history" not in plan
+    assert "expired" not in plan
     assert store.read().count() == 2
 
 
@@ -227,8 +227,9 @@ def test_bronze_reads_only_logged_batches(spark, workdir):
     write_csv(src, "f1.csv", ["id", "name"], [["1", "a"]])
     ingest_files(spark, src, bronze, ckpt, "csv")
     # A batch whose files exist but which never logged completion (crashed or still committing).
+    lost = commit_log(spark, bronze).claim(commit_log(spark, bronze).last())
     spark.createDataFrame([("9", "z", None, None)], "id string, name string, file_path string, ingestion_time timestamp") \
-        .write.parquet(f"{bronze}/batch_id=7")
+        .write.parquet(f"{bronze}/batch_id={lost}")
     assert [r.id for r in read_bronze(spark, bronze).collect()] == ["1"]
     write_csv(src, "f2.csv", ["id", "name"], [["2", "b"]])
     ingest_files(spark, src, bronze, ckpt, "csv")
@@ -259,7 +260,7 @@ def test_silver_and_fact_loads_are_exactly_once_across_crashes(spark, workdir, m
     monkeypatch.setattr(jobs, "_append_marks", real_marks)
     assert jobs.marks(spark, lake).count() == 0
     assert silver(dt.datetime(2024, 1, 2)).loaded == 0  # the load is committed: completes the marks, rewrites nothing
-    assert [(m.pipeline_destination, m.position) for m in jobs.marks(spark, lake).collect()] == [("a", 0)]
+    assert [(m.pipeline_destination, m.position) for m in jobs.marks(spark, lake).collect()] == [("a", 1)]
     rows = LoadLog(spark, lake.layer("silver", "employee")).read().collect()
     assert sorted(r.employee_id for r in rows) == [1, 2]
     assert {str(r.silver_ingestion_time) for r in rows} == {"2024-01-01 00:00:00"}  # first attempt's rows kept
@@ -293,8 +294,6 @@ def test_silver_and_fact_loads_are_exactly_once_across_crashes(spark, workdir, m
 
 def test_late_source_with_older_times_is_not_skipped(spark, workdir):
     """One mark per source: a source that commits late with older ingestion times still loads."""
-    from tierline.streaming.bronze import _write_batch
-
     src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
     sources = {"a": jobs.SilverSource(lake.layer("bronze", "emp_a")),
                "b": jobs.SilverSource(lake.layer("bronze", "emp_b"))}
@@ -306,7 +305,7 @@ def test_late_source_with_older_times_is_not_skipped(spark, workdir):
     late = spark.createDataFrame([dict(zip(HEADER, emp(2, "Bob", "Ray", "60000", 20)))])
     late = late.select(*HEADER, F.lit("late.csv").alias("file_path"),
                        F.lit(dt.datetime(2000, 1, 1)).cast("timestamp").alias("ingestion_time"))
-    _write_batch(late, lake.layer("bronze", "emp_b"), 0, {})
+    table_of(spark, lake.layer("bronze", "emp_b"), f"{workdir}/late").write(late, 0)
     assert jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, as_of=dt.datetime(2024, 1, 2)).loaded == 1
 
 
@@ -373,7 +372,7 @@ def test_gates_log_then_raise(spark, workdir):
     sources = employee_sources(spark, lake, src)
     with pytest.raises(quality.QualityError, match="Department_id"):
         jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS)
-    rows = read_log(spark, lake.system("quality")).collect()
+    rows = jobs.quality_log(spark, lake).collect()
     assert {(r.table_name, r.check_name, r.status) for r in rows} == {
         ("employee.a", "schema_check", "FAIL"), ("employee", "schema_check", "FAIL")
     }
@@ -383,7 +382,7 @@ def test_gates_log_then_raise(spark, workdir):
     write_csv(f"{src2}/emp_a", "a1.csv", HEADER, [emp(1, "", "Lee", "50000", 10), emp(2, "Bob", "Ray", "1", 10)])
     with pytest.raises(quality.QualityError, match="First_Name_null_check"):
         jobs.silver_job(spark, lake2, "employee", employee_sources(spark, lake2, src2), SPEC, KEYS, null_gates=["First_Name"])
-    failed = read_log(spark, lake2.system("quality")).filter("status = 'FAIL'").collect()
+    failed = jobs.quality_log(spark, lake2).filter("status = 'FAIL'").collect()
     assert [(r.check_name, r.failed_records) for r in failed] == [("First_Name_null_check", 1)]
 
 
@@ -403,15 +402,23 @@ def test_malformed_records_keep_their_text_in_quarantine(spark, workdir):
     assert "_rescued_data" not in LoadLog(spark, lake.layer("silver", "employee")).read().columns
 
 
-def test_replayed_batch_is_left_alone(spark, workdir):
-    from tierline.streaming.bronze import _write_batch
+def table_of(spark, target, checkpoint, stream="s1"):
+    """A bronze table as a stream of that id writes it."""
+    os.makedirs(checkpoint, exist_ok=True)
+    with open(f"{checkpoint}/metadata", "w") as f:
+        f.write(json.dumps({"id": stream}))
+    return BronzeTable(spark, target, checkpoint)
 
+
+def test_replayed_batch_is_left_alone(spark, workdir):
+    """A batch whose stream died before it noted the batch comes again: its commit says so."""
     rows = spark.createDataFrame([("1",)], "id string").withColumn("ingestion_time", F.current_timestamp())
-    assert _write_batch(rows, f"{workdir}/b", 0, {}) == 1
-    before = read_bronze(spark, f"{workdir}/b").first().ingestion_time
-    assert _write_batch(rows, f"{workdir}/b", 0, {}) == 0
-    assert read_bronze(spark, f"{workdir}/b").first().ingestion_time == before
-    assert spark.read.parquet(f"{workdir}/b/_batches").count() == 1
+    first = table_of(spark, f"{workdir}/b", f"{workdir}/c")
+    assert not first.is_replay(0) and first.write(rows, 0, ["f"]) == 1
+    assert table_of(spark, f"{workdir}/b", f"{workdir}/c").is_replay(0)
+    other = table_of(spark, f"{workdir}/b", f"{workdir}/c2", stream="s2")
+    assert not other.is_replay(0) and other.known(["f", "g"]) == {"f"}
+    assert read_bronze(spark, f"{workdir}/b").count() == 1
 
 
 def test_increments_are_partition_filters(spark, workdir):
@@ -429,17 +436,198 @@ def test_increments_are_partition_filters(spark, workdir):
     assert re.search(r"PartitionFilters: \[[^]]*batch_id#\d+L > 0", plan)
 
 
-def test_commit_refuses_a_taken_version(spark, workdir):
-    t = VersionedTable(spark, f"{workdir}/t")
-    t.write(spark.range(3))
+def test_second_of_two_writers_is_refused_and_replaces_nothing(spark, workdir):
+    """Two writers begin from the same state; the one that commits later raises, and the first one's rows stay."""
+    mine, theirs = VersionedTable(spark, f"{workdir}/t"), VersionedTable(spark, f"{workdir}/t")
+    mine.write(spark.range(1))
+    base = theirs.log.last()
+    slow = theirs.log.claim(base)
+    assert mine.write(spark.range(3)) == 3
+    spark.range(5).write.parquet(theirs.path(slow))
     with pytest.raises(ConcurrentWriteError):
-        t._commit(1)
+        theirs.log.commit(base, slow, {})
+    assert mine.read().count() == 3 and theirs.write(spark.range(7)) == 4 and mine.read().count() == 7
+
     loads = LoadLog(spark, f"{workdir}/l")
-    spark.range(2).write.parquet(loads.folder(1))
-    loads.commit(1, 2, {"x": 1}, spark.range(1).schema)
+    a, b = loads.begin(), loads.begin()
+    assert a.folder != b.folder
+    for load, n in ((b, 2), (a, 3)):
+        spark.range(n).write.parquet(load.folder)
+    loads.commit(b, 2, {"x": 1}, spark.range(1).schema)
     with pytest.raises(ConcurrentWriteError):
-        loads.commit(1, 2, {"x": 2}, spark.range(1).schema)
-    assert loads.positions() == {"x": 1} and loads.read().count() == 2
+        loads.commit(a, 3, {"x": 2}, spark.range(1).schema)
+    assert loads.positions() == {"x": 1} and loads.read().count() == 2 and loads.last()["dropped"] == [1]
+    late = loads.begin()
+    spark.range(4).write.parquet(late.folder)
+    loads.commit(late, 4, {"x": 3}, spark.range(1).schema)
+    assert loads.read().count() == 6 and loads.read(after=b.number).count() == 4
+
+    rows = spark.createDataFrame([(i, True) for i in range(20)], "id int, is_current boolean")
+    one, two = (DimensionStore(spark, f"{workdir}/d", ["id"], buckets=4) for _ in range(2))
+    one.write_load(rows, range(4), max_key=20)
+    with pytest.raises(ConcurrentWriteError):
+        two.write_load(rows.limit(5), range(4), max_key=5)
+    after = DimensionStore(spark, f"{workdir}/d")
+    assert after.current().count() == 20 and after.committed_max_key() == 20 and after.history() is None
+
+
+def test_publish_never_overwrites(spark, workdir):
+    assert publish(spark, f"{workdir}/x/a.json", "{}") and not publish(spark, f"{workdir}/x/a.json", "[]")
+    assert read_text(spark, f"{workdir}/x/a.json") == "{}" and list_names(spark, f"{workdir}/x") == ["a.json"]
+
+
+def test_dimension_rewrites_touched_buckets_only(spark, workdir):
+    store = DimensionStore(spark, f"{workdir}/d", ["id"], buckets=16)
+    rows = spark.range(1000).select(F.col("id"), F.lit(0).alias("x"), F.lit(True).alias("is_current"))
+    store.write_load(rows, range(16), max_key=1000)
+    before = dict(store.last["versions"])
+    assert len(before) == 16
+    touched = keybuckets.touched(spark.range(7, 8), ["id"], 16)[1]
+    current = store.current(touched)
+    assert len(touched) == 1 and 0 < current.count() < 200
+    assert len(current.inputFiles()) == 1  # other buckets' folders are not even listed
+    expired = current.withColumn("is_current", F.col("id") != 7)
+    new = spark.createDataFrame([(7, 1, True)], current.select("id", "x", "is_current").schema)
+    store.write_load(expired.unionByName(new), touched, max_key=1001)
+    after = store.last["versions"]
+    assert {b for b in before if before[b] != after[b]} == {str(touched[0])}
+    assert store.current().count() == 1000 and store.current().filter("id = 7").first().x == 1
+    assert [(r.id, r.x) for r in store.history().collect()] == [(7, 0)] and store.read().count() == 1001
+    again = DimensionStore(spark, f"{workdir}/d", ["other"], buckets=99)
+    assert (again.keys, again.buckets, again.read().count()) == (["id"], 16, 1001)
+
+
+def test_look_up_opens_only_folders_that_can_hold_the_keys(spark, workdir):
+    keys = ["a", "b"]
+    loads = LoadLog(spark, f"{workdir}/l")
+    layouts = []
+    for lo, buckets in ((0, 64), (1000, 1), (2000, 8)):
+        part = spark.range(lo, lo + 1000).select("id", F.col("id").alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"))
+        load = loads.begin()
+        layouts.append(buckets)
+        n = write_observed(keybuckets.with_layout(part, keys, buckets), load.folder, keybuckets.LAYOUT)["rows"]
+        loads.commit(load, n, {}, part.schema, keybuckets.LAYOUT, {"layouts": layouts})
+    wanted = spark.createDataFrame([(3, None), (1004, 1004), (2001, None), (9999, 1)], "a long, b long")
+    n, buckets = keybuckets.touched(wanted, keys)
+    assert n == 4 and 0 < len(buckets) <= 4
+    existing = jobs.loaded_keys(loads, loads.last(), keys, buckets)
+    plan = existing._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*key_buckets#", plan)
+    assert 1000 < existing.count() < 2000 and loads.read().count() == 3000 and loads.read().columns == ["id", "a", "b", "load"]
+    new = jobs.dedup.anti_join_new(wanted, existing, keys).collect()
+    assert sorted((r.a, r.b) for r in new) == [(9999, 1)]
+    assert keybuckets.can_hold([4, 1], range(1024)) is None and keybuckets.buckets_for(1) == 1
+    assert keybuckets.buckets_for(2_500_000) == 4 and keybuckets.buckets_for(10**12) == keybuckets.FINEST
+
+
+def test_any_checkpoint_brings_each_file_once(spark, workdir):
+    """A new checkpoint, a copied one and none of the old files' loss: files are known to the table."""
+    src, bronze = f"{workdir}/src", f"{workdir}/b"
+    for fmt, opts in (("csv", {}), ("json", {}), ("json", {"multiLine": "true"}), ("xml", {"rowTag": "r"}), ("parquet", {})):
+        at, target = f"{src}_{fmt}{len(opts)}", f"{bronze}_{fmt}{len(opts)}"
+        os.makedirs(at)
+
+        def deliver(i, at=at, fmt=fmt):
+            if fmt == "parquet":
+                return spark.createDataFrame([(str(i),)], "id string").coalesce(1).write.mode("append").parquet(at)
+            with open(f"{at}/f{i}.{fmt}", "w") as f:
+                f.write({"csv": f"id\n{i}\n", "json": json.dumps({"id": str(i)}) + "\n", "xml": f"<rs><r><id>{i}</id></r></rs>"}[fmt])
+
+        def run(name, at=at, target=target, fmt=fmt, opts=opts):
+            glob = "*.parquet" if fmt == "parquet" else None
+            return ingest_files(spark, at, target, f"{target}_{name}", fmt, options=opts, path_glob=glob).rows
+
+        deliver(1)
+        assert run("c1") == 1
+        deliver(2)
+        assert run("c2") == 1
+        deliver(3)
+        assert (run("c1"), run("c2"), run("c1")) == (1, 0, 0)
+        assert sorted(r.id for r in read_bronze(spark, target).collect()) == ["1", "2", "3"]
+
+
+def test_column_names_of_any_spelling(spark, workdir):
+    """The case changes, two spellings stand in one record, names are the table's own: nothing stops, no value is lost."""
+    src, bronze, ckpt = f"{workdir}/src", f"{workdir}/b", f"{workdir}/c"
+    own = ["file_path", "batch_id", "ingestion_time", "_rescued_data", "_tl_mid"]
+    write_json(src, "a.json", [{"id": "1", "name": "a"}])
+    assert ingest_files(spark, src, bronze, ckpt, "json", schema_location=f"{workdir}/s").rows == 1
+    write_json(src, "b.json", [{"ID": "2", "Name": "b"}, {"Id": "3", "id": "4", "name": "c"}, {"Id": "5", "ID": "6", "id": "7"}])
+    write_json(src, "c.json", [{"id": "8", **{n: f"own {n}" for n in own}, "source_batch_id": "theirs"}])
+    assert ingest_files(spark, src, bronze, ckpt, "json", schema_location=f"{workdir}/s").rows == 4
+    rows = read_bronze(spark, bronze).collect()
+    assert sorted(tuple(r[c] or "" for c in ("id", "id_2", "id_3", "name")) for r in rows) == sorted([
+        ("1", "", "", "a"), ("2", "", "", "b"), ("4", "3", "", "c"), ("7", "6", "5", ""), ("8", "", "", ""),
+    ])
+    last = next(r for r in rows if r.id == "8")
+    columns = ["source_file_path", "source_batch_id", "source_ingestion_time", "source__rescued_data", "source__tl_mid"]
+    assert [last[c] for c in columns] == [f"own {n}" for n in own] and last["source_source_batch_id"] == "theirs"
+    assert last.file_path.endswith("c.json") and last._rescued_data is None
+
+    write_csv(f"{src}2", "a.csv", ["id", "Name"], [["1", "a"]])
+    write_csv(f"{src}2", "b.csv", ["ID", "name", "batch_id"], [["2", "b", "x"]])
+    write_csv(f"{src}2", "c.csv", ["Id", "id"], [["3", "4"]])
+    for _ in range(2):
+        ingest_files(spark, f"{src}2", f"{bronze}2", f"{ckpt}2", "csv", max_files_per_trigger=1)
+    got = read_bronze(spark, f"{bronze}2")
+    assert sorted(tuple(r[c] or "" for c in ("id", "id_2", "Name", "source_batch_id")) for r in got.collect()) == [
+        ("1", "", "a", ""), ("2", "", "b", "x"), ("4", "3", "", "")
+    ]
+
+
+def test_whole_files_with_names_that_differ_in_case(spark, workdir):
+    os.makedirs(f"{workdir}/j")
+    with open(f"{workdir}/j/a.json", "w") as f:
+        f.write('[{"id": 1,\n "Id": 2, "file_path": "x"},\n {"Id": 3}]')
+    ingest_files(spark, f"{workdir}/j", f"{workdir}/bj", f"{workdir}/cj", "json", options={"multiLine": "true"})
+    with open(f"{workdir}/j/b.json", "w") as f:
+        f.write('[{"ID": 4,\n "FILE_PATH": "y"}]')
+    ingest_files(spark, f"{workdir}/j", f"{workdir}/bj", f"{workdir}/cj", "json", options={"multiLine": "true"})
+    rows = read_bronze(spark, f"{workdir}/bj").collect()
+    assert sorted(sorted(v for v in (r["Id"], r["Id_2"]) if v) for r in rows) == [["1", "2"], ["3"], ["4"]]
+    assert sorted(r.source_file_path or "" for r in rows) == ["", "x", "y"] and all("/j/" in r.file_path for r in rows)
+
+
+def test_header_after_blank_lines_and_over_several(spark, workdir):
+    os.makedirs(f"{workdir}/s")
+    with open(f"{workdir}/s/a.csv", "w") as f:
+        f.write("\n  \nid,name\n1,a\n\n2,b\n")
+    ingest_files(spark, f"{workdir}/s", f"{workdir}/b", f"{workdir}/c", "csv")
+    got = read_bronze(spark, f"{workdir}/b")
+    assert sorted((r.id, r.name, r._rescued_data) for r in got.collect()) == [("1", "a", None), ("2", "b", None)]
+    os.makedirs(f"{workdir}/m")
+    with open(f"{workdir}/m/a.csv", "w") as f:
+        f.write('id,"full\nname",last\n1,"x\ny",z\n')
+    ingest_files(spark, f"{workdir}/m", f"{workdir}/bm", f"{workdir}/cm", "csv", options={"multiLine": "true"})
+    row = read_bronze(spark, f"{workdir}/bm").first()
+    assert (row["id"], row["full\nname"], row["last"], row["_rescued_data"]) == ("1", "x\ny", "z", None)
+
+
+def test_check_results_survive_a_death_around_the_commit(spark, workdir, monkeypatch):
+    src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
+    lake.create_logs(spark)
+    write_csv(f"{src}/emp_a", "a1.csv", HEADER, [emp(1, "Ann", "Lee", "50000", 10), emp(2, "Bob", "Ray", "x", 20)])
+    sources = employee_sources(spark, lake, src)
+
+    def silver():
+        return jobs.silver_job(spark, lake, "employee", sources, SPEC, KEYS, as_of=dt.datetime(2024, 1, 1))
+
+    def die(*a, **k):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(LoadLog, "commit", die)  # before the commit: the load did not happen, nor did its results
+        with pytest.raises(RuntimeError):
+            silver()
+    assert jobs.quality_log(spark, lake).count() == 0
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_append_marks", die)  # after it: the results are there
+        with pytest.raises(RuntimeError):
+            silver()
+    assert silver().loaded == 0
+    failed = jobs.quality_log(spark, lake).filter("status = 'FAIL'").collect()
+    assert [(r.check_name, r.failed_records) for r in failed] == [("cast_check", 1)]
+    assert jobs.read_rejects(spark, lake, "employee").count() == 1
 
 
 def test_xml_and_multiline_json_are_never_one_value(spark, workdir, monkeypatch):

@@ -56,26 +56,25 @@ def dimension_columns(keys: Sequence[str], attrs: Sequence[str], key_col: str) -
     return [*keys, *attrs, "hash_value", key_col, "start_date", "end_date", "is_current", "created_at", "updated_at"]
 
 
-def scd2_apply(
+def scd2_changes(
     current: DataFrame | None,
     incoming: DataFrame,
     keys: Sequence[str],
     attrs: Sequence[str],
     tracked: Sequence[str],
     order: Sequence[Column],
-    as_of,  # None = now
     key_col: str,
     double_scale: int = 6,
-    start_key: int | None = None,
-) -> Scd2Result:
-    as_of_ts = _ts(as_of)
-    as_of_date = F.to_date(as_of_ts)
+    start_key: int = 0,
+) -> DataFrame:
+    """New and changed keys of a batch: their row, ``hash_value``, ``change_type`` and new surrogate key (materialised).
+
+    ``current`` holds the dimension's current rows, at least those whose key may be in the batch.
+    """
     latest = latest_per_key(incoming, keys, order).select(*keys, *attrs)
     staged = latest.withColumn("hash_value", row_hash(latest, tracked, double_scale))
-
     if current is None:
         changes = staged.withColumn("change_type", F.lit("new"))
-        start = 0
     else:
         # Only current rows whose key is in the batch matter; the semi-join against the
         # batch's keys is a broadcast when the batch is small, so the dimension is not shuffled.
@@ -91,12 +90,17 @@ def scd2_apply(
             *staged.columns,
             F.when(F.col("_tl_cur_hash").isNull(), F.lit("new")).otherwise(F.lit("changed")).alias("change_type"),
         )
-        # The largest key handed out so far: given by the caller (a store keeps it with
-        # each commit), else one scan of the key column.
-        start = max_key(current, key_col) if start_key is None else start_key
+    return assign_keys(changes, list(keys), key_col, start=start_key)
+
 
-    keyed = assign_keys(changes, list(keys), key_col, start=start)
-    new_versions = keyed.select(
+def scd2_rows(
+    current: DataFrame | None, changes: DataFrame, keys: Sequence[str], attrs: Sequence[str], as_of, key_col: str
+) -> DataFrame:
+    """``current`` rows after the changes, in one pass: unchanged ones, new versions, and (``is_current`` false) expired ones."""
+    as_of_ts = _ts(as_of)
+    as_of_date = F.to_date(as_of_ts)
+    out_cols = dimension_columns(keys, attrs, key_col)
+    new_versions = changes.select(
         *keys,
         *attrs,
         "hash_value",
@@ -106,25 +110,47 @@ def scd2_apply(
         F.lit(True).alias("is_current"),
         as_of_ts.alias("created_at"),
         as_of_ts.alias("updated_at"),
-    )
-    change_set = keyed.select(*keys, "change_type", key_col)
-    out_cols = dimension_columns(keys, attrs, key_col)
+    ).select(*out_cols)
     if current is None:
-        first = new_versions.select(*out_cols)
-        return Scd2Result(first, change_set, first, None)
-
-    changed_keys = keyed.filter(F.col("change_type") == "changed").select(
+        return new_versions
+    changed_keys = changes.filter(F.col("change_type") == "changed").select(
         *prefixed_keys(keys), F.lit(True).alias("_tl_changed")
     )
     cur_rows = current.filter(F.col("is_current")).join(changed_keys, same_keys(keys), "left")
     expired = F.col("_tl_changed").isNotNull()
-    current_part = cur_rows.select(
+    kept = cur_rows.select(
         *[F.col(c) for c in out_cols if c not in ("end_date", "is_current", "updated_at")],
         F.when(expired, as_of_date).otherwise(F.col("end_date")).alias("end_date"),
         F.when(expired, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
         F.when(expired, as_of_ts).otherwise(F.col("updated_at")).alias("updated_at"),
     ).select(*out_cols)
-    history = current.filter(~F.col("is_current")).select(*out_cols)
-    state = history.unionByName(current_part).unionByName(new_versions.select(*out_cols))
-    still_current = current_part.filter(F.col("is_current")).unionByName(new_versions.select(*out_cols))
-    return Scd2Result(state, change_set, still_current, current_part.filter(~F.col("is_current")))
+    return kept.unionByName(new_versions)
+
+
+def scd2_apply(
+    current: DataFrame | None,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    attrs: Sequence[str],
+    tracked: Sequence[str],
+    order: Sequence[Column],
+    as_of,  # None = now
+    key_col: str,
+    double_scale: int = 6,
+    start_key: int | None = None,
+) -> Scd2Result:
+    if current is None:
+        start = 0
+    else:
+        # The largest key handed out so far: given by the caller (a store keeps it with
+        # each commit), else one scan of the key column.
+        start = max_key(current, key_col) if start_key is None else start_key
+    keyed = scd2_changes(current, incoming, keys, attrs, tracked, order, key_col, double_scale, start)
+    change_set = keyed.select(*keys, "change_type", key_col)
+    rows = scd2_rows(current, keyed, keys, attrs, as_of, key_col)
+    if current is None:
+        return Scd2Result(rows, change_set, rows, None)
+    history = current.filter(~F.col("is_current")).select(*rows.columns)
+    return Scd2Result(
+        history.unionByName(rows), change_set, rows.filter(F.col("is_current")), rows.filter(~F.col("is_current"))
+    )

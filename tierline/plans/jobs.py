@@ -12,9 +12,9 @@ Incremental contract of every silver/gold job:
 2. the end of each source is fixed from the source's log *before* writing;
 3. no source has anything beyond: the job returns without writing a load;
 4. the increment is read by a filter on the source's partition column;
-5. output goes to the next numbered folder, and one log row commits the data and
-   the new read positions together. A job that died before it leaves a folder that
-   the rerun overwrites; one that died after it has nothing to repeat;
+5. output goes to a folder whose number no other writer can have, and one commit makes
+   the data and the new read positions visible together. A job that died before it
+   leaves a folder that nobody reads; one that died after it has nothing to repeat;
 6. new marks (position and time) are appended; a rerun completes missing ones.
 """
 
@@ -33,18 +33,21 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions.casting import ConformSpec
 from tierline.functions.text import render_template, row_text
 from tierline.operators import conform as conform_ops
-from tierline.operators import dedup, enrich, facts, incremental, metadata, quality, runlog, scd2
+from tierline.operators import dedup, enrich, facts, incremental, keybuckets, metadata, quality, runlog, scd2
 from tierline.sources.tables import (
+    DIMENSION_BUCKETS,
     DimensionStore,
     LoadLog,
     VersionedTable,
     append_rows,
     ensure_log,
     read_log,
+    visible,
     write_observed,
 )
 from tierline.streaming.bronze import RESCUE_COLUMN, IngestResult, ingest_files, last_batches, read_batches
@@ -81,12 +84,15 @@ class Lake:
             ensure_log(spark, self.system(name), schema)
 
 
+#: Check results with the number of the load that they belong to (none where a gate stopped the job).
+QUALITY_SCHEMA = T.StructType([*quality.RESULT_SCHEMA.fields, T.StructField("load", T.LongType())])
+
 SYSTEM_LOGS = {
     "marks": incremental.MARK_SCHEMA,
     "runs": runlog.RUN_SCHEMA,
     "audit": runlog.AUDIT_SCHEMA,
     "metrics": runlog.METRIC_SCHEMA,
-    "quality": quality.RESULT_SCHEMA,
+    "quality": QUALITY_SCHEMA,
 }
 
 
@@ -220,7 +226,7 @@ def _gate(
         union = conform_ops.union_sources({n: df.select(*null_gates) for n, df in parts.items()}, None)
         checks += quality.check_nulls(union, "silver", table, null_gates)
     if any(c.status == "FAIL" for c in checks):
-        append_rows(quality.result_rows(spark, checks, at), lake.system("quality"))
+        _log_checks(spark, lake, table, None, checks, at)
         quality.raise_on_failure(checks)
     return checks
 
@@ -236,9 +242,13 @@ def silver_job(
     as_of: dt.datetime | None = None,
     required: Sequence[str] | None = None,
     null_gates: Sequence[str] = (),
+    rows_per_bucket: int = keybuckets.ROWS_PER_BUCKET,
 ) -> SilverResult:
     """Bronze sources → typed, de-duplicated silver rows (C2/C3).
 
+    A load's rows lie in buckets of their key, of about ``rows_per_bucket`` rows, so
+    the next load's look-up of loaded keys opens only what can hold one of its keys.
+
     ``required`` raw columns (default: those behind the keys) must be in every source, and
     ``null_gates`` raw columns without NULL, or the job logs the result and fails. Rows with
     values that do not convert, NULL in ``not_null`` or a repeated key go to quarantine.
@@ -252,7 +262,7 @@ def silver_job(
         last = loads.last()
         done = loads.positions(last) if last is not None else {}
     times = {name: row["ingestion_time"] for name, row in newest.items()}
-    pending = {name: row["batch_id"] for name, row in newest.items() if row["batch_id"] > done.get(name, -1)}
+    pending = {name: row["number"] for name, row in newest.items() if row["number"] > done.get(name, 0)}
     if not pending:
         _complete_marks(spark, lake, pipeline, "bronze", done, times)
         return SilverResult(0, 0, [])
@@ -272,22 +282,51 @@ def silver_job(
     # duration. A lost executor recomputes its part from the bounded bronze read.
     union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        number = (0 if last is None else last["load"]) + 1
-        existing = None if last is None else loads.read(last=last)
-        result, schema = _silver_load(
-            spark, lake, table, pipeline, union, existing, spec, keys, not_null, as_of, number, loads.folder(number)
+        load = loads.begin(last)
+        result, schema, layouts = _silver_load(
+            spark, lake, table, pipeline, union, loads, load, spec, keys, not_null, as_of, rows_per_bucket
         )
     finally:
         union.unpersist()
     with _step(f"{pipeline}: logs and marks"):
-        loads.commit(number, result.loaded, pending, schema)
         result.checks[:0] = checks
-        append_rows(quality.result_rows(spark, result.checks, as_of), lake.system("quality"))
+        # The results stand before the commit, under the load's number: a job that dies in
+        # between repeats its load under another one, and only committed loads' results count.
+        _log_checks(spark, lake, table, load.number, result.checks, as_of)
+        loads.commit(load, result.loaded, pending, schema, keybuckets.LAYOUT, {"layouts": layouts, "keys": list(keys)})
         _append_marks(spark, lake, pipeline, "bronze", pending, times)
     return result
 
 
-def _silver_load(spark, lake, table, pipeline, union, existing, spec, keys, not_null, as_of, number, folder):
+def _log_checks(
+    spark: SparkSession, lake: Lake, table: str, load: int | None, checks: Sequence[quality.CheckResult], at: dt.datetime
+) -> None:
+    rows = quality.result_rows(spark, checks, at).withColumn("load", F.lit(load).cast("long"))
+    append_rows(rows, lake.system("quality"))
+
+
+def quality_log(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Check results, of loads that were refused by a gate (no load number) or committed; not of loads that died."""
+    log = read_log(spark, lake.system("quality"), QUALITY_SCHEMA)
+    tables = [r["table_name"] for r in log.filter(F.col("load").isNotNull()).select("table_name").distinct().collect()]
+    lost = F.lit(False)
+    for name in tables:  # one small file a table
+        last = LoadLog(spark, lake.layer("silver", name.partition(".")[0])).last()
+        gone = F.lit(True) if last is None else ~visible("load", last)
+        lost = lost | ((F.col("table_name") == name) & F.col("load").isNotNull() & gone)
+    return log.filter(~lost)
+
+
+def loaded_keys(loads: LoadLog, last: Mapping | None, keys: Sequence[str], wanted: Sequence[int]) -> DataFrame | None:
+    """Loaded rows' keys, from the folders that can hold keys of the ``wanted`` buckets; ``None`` before the first load."""
+    if last is None:
+        return None
+    rows = loads.read(last=last, where=keybuckets.can_hold(last["state"]["layouts"], wanted))
+    return rows.select(*[F.col(f"`{k}`") for k in keys])
+
+
+def _silver_load(spark, lake, table, pipeline, union, loads, load, spec, keys, not_null, as_of, rows_per_bucket):
+    number = load.number
     kept = ["file_path", "bronze_ingestion_time", "source", RESCUE_COLUMN]
     valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=kept)
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
@@ -298,10 +337,16 @@ def _silver_load(spark, lake, table, pipeline, union, existing, spec, keys, not_
         any_null = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
         key_nulls, valid_nn = valid.filter(any_null), valid.filter(~any_null)
     unique, dups = quality.split_duplicate_keys(valid_nn, keys, "Duplicate business key")
+    with _step(f"{pipeline}: key buckets"):
+        n, wanted = keybuckets.touched(valid_nn, keys)
+    layouts = [] if load.base is None else load.base["state"]["layouts"]
+    existing = loaded_keys(loads, load.base, keys, wanted)
     new_rows = unique if existing is None else dedup.anti_join_new(unique, existing, keys)
     new_rows = new_rows.drop(RESCUE_COLUMN)
+    buckets = keybuckets.buckets_for(n, rows_per_bucket)
     with _step(f"{pipeline}: write silver"):
-        loaded = write_observed(new_rows, folder)["rows"]
+        laid_out = keybuckets.with_layout(new_rows, keys, buckets)
+        loaded = write_observed(laid_out, load.folder, keybuckets.LAYOUT)["rows"]
 
     rejects = quality.quarantine_rows(dups, f"silver.{table}", at=as_of)
     rejects = rejects.unionByName(quality.quarantine_rows(bad_casts, f"silver.{table}", at=as_of))
@@ -325,7 +370,7 @@ def _silver_load(spark, lake, table, pipeline, union, existing, spec, keys, not_
         for name, n in seen.items()
         if name != "rows"
     ]
-    return SilverResult(loaded, seen["rows"], checks), new_rows.schema
+    return SilverResult(loaded, seen["rows"], checks), new_rows.schema, sorted({*layouts, buckets})
 
 
 def read_rejects(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
@@ -334,7 +379,7 @@ def read_rejects(spark: SparkSession, lake: Lake, table: str) -> DataFrame | Non
     if last is None:
         return None
     rejects = spark.read.schema(REJECT_SCHEMA).parquet(f"{lake.system('rejects')}/table={table}")
-    return rejects.filter(F.col("load") <= F.lit(last["load"]))
+    return rejects.filter(visible("load", last))
 
 
 #: Stable shape of quarantined rows, with the number of the load that rejected them.
@@ -344,6 +389,13 @@ REJECT_SCHEMA = "source STRING, reject_reason STRING, payload STRING, rejected_a
 # ------------------------------------------------------------------ gold
 
 
+@dataclass
+class DimensionResult:
+    changes: int  # new and changed keys
+    rewritten: int  # buckets
+    buckets: int  # of the dimension
+
+
 def dimension_job(
     spark: SparkSession,
     lake: Lake,
@@ -355,9 +407,12 @@ def dimension_job(
     order: Sequence[Column],
     key_col: str,
     as_of: dt.datetime | None = None,
-) -> scd2.Scd2Result | None:
+    buckets: int = DIMENSION_BUCKETS,
+) -> DimensionResult | None:
     """Silver → SCD2 dimension (C4/C5); the mark advances even when nothing changed.
 
+    ``buckets``: of a new dimension's current rows. A load compares with the buckets that
+    its keys are in and rewrites those that a change is in.
     Returns ``None`` when silver holds no load beyond the last one applied.
     """
     as_of = as_of or _now()
@@ -366,28 +421,33 @@ def dimension_job(
     last = silver.last()
     if last is None:
         return None
-    end, times = int(last["load"]), {silver_table: last["committed_at"]}
-    store = DimensionStore(spark, lake.layer("gold", dim))
+    end, times = int(last["number"]), {silver_table: last["committed_at"]}
+    store = DimensionStore(spark, lake.layer("gold", dim), keys, buckets)
     done = store.committed_position()
     if done is not None and end <= done:
         _complete_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: done}, times)
         return None
-    with _step(f"{pipeline}: apply"):
+    if store.keys != list(keys):
+        raise ValueError(f"{dim}: its keys are {store.keys}")
+    with _step(f"{pipeline}: changes"):
         incoming = silver.read(after=done, last=last)
-        current = store.read() if store.exists() else None
-        start = store.committed_max_key() if current is not None else 0
-        result = scd2.scd2_apply(current, incoming, keys, attrs, tracked, order, as_of, key_col, start_key=start)
+        start = store.committed_max_key() or 0
+        current = store.current(keybuckets.touched(incoming, keys, store.buckets)[1]) if store.exists() else None
+        changes = scd2.scd2_changes(current, incoming, keys, attrs, tracked, order, key_col, start_key=start)
         # the change set is materialised, so this reads only its keys
-        new_max = result.changes.agg(F.max(key_col).alias("m")).first()["m"]
+        seen = changes.agg(
+            F.count(F.lit(1)).alias("n"), F.max(key_col).alias("top"), F.collect_set(store.bucket()).alias("touched")
+        ).first()
     with _step(f"{pipeline}: write"):
-        if current is None or new_max is not None:
-            top = max((v for v in (start, new_max) if v is not None), default=None)
-            store.write_load(result.current, result.expired, max_key=top, position=end)
+        if current is None or seen["n"]:
+            some = None if current is None else store.current(seen["touched"])
+            rows = scd2.scd2_rows(some, changes, keys, attrs, as_of, key_col)
+            store.write_load(rows, seen["touched"], max_key=seen["top"] or start, position=end)
         else:  # no new or changed key: nothing to rewrite
             store.advance(end)
     with _step(f"{pipeline}: marks"):
         _append_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: end}, times)
-    return result
+    return DimensionResult(seen["n"], len(seen["touched"]), store.buckets)
 
 
 def fact_job(
@@ -408,27 +468,33 @@ def fact_job(
     last = silver.last()
     if last is None:
         return 0
-    end, times = int(last["load"]), {silver_table: last["committed_at"]}
+    end, times = int(last["number"]), {silver_table: last["committed_at"]}
     loads = LoadLog(spark, lake.layer("gold", fact))
     before = loads.last()
-    done = (loads.positions(before) if before is not None else {}).get(silver_table)
+    done = loads.positions(before).get(silver_table) if before is not None else None
     if done is not None and end <= done:
         _complete_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: done}, times)
         return 0
-    incoming = silver.read(after=done, last=last)
-    dimension = DimensionStore(spark, lake.layer("gold", dim)).current()
-    # Several current rows for one key would multiply fact rows: check the keys this load touches.
-    touched = dimension
-    if done is not None:
-        wanted = incoming.select(*dedup.prefixed_keys(keys)).distinct()
-        touched = dimension.join(wanted, dedup.same_keys(keys), "left_semi")
-    if not quality.unique_current_keys(touched, keys).isEmpty():
-        raise quality.QualityError(f"{dim}: business keys with more than one current row")
-    # the first load touches most of the dimension: cutting it to the increment's keys would only add work
-    rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of, prefilter=done is not None)
-    number = (0 if before is None else before["load"]) + 1
-    n = write_observed(rows, loads.folder(number))["rows"]
-    loads.commit(number, n, {silver_table: end}, rows.schema)
+    # read three times (keys, check, join): kept for the job; a lost executor reads its part again
+    incoming = silver.read(after=done, last=last).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        store = DimensionStore(spark, lake.layer("gold", dim))
+        wanted = keybuckets.touched(incoming, keys, store.buckets)[1] if store.keys == list(keys) else None
+        dimension = store.current(wanted)
+        # Several current rows for one key would multiply fact rows: check the keys this load touches.
+        touched = dimension
+        if done is not None:
+            some = incoming.select(*dedup.prefixed_keys(keys)).distinct()
+            touched = dimension.join(some, dedup.same_keys(keys), "left_semi")
+        if not quality.unique_current_keys(touched, keys).isEmpty():
+            raise quality.QualityError(f"{dim}: business keys with more than one current row")
+        # the first load touches most of the dimension: cutting it to the increment's keys would only add work
+        rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of, prefilter=done is not None)
+        load = loads.begin(before)
+        n = write_observed(rows, load.folder)["rows"]
+    finally:
+        incoming.unpersist()
+    loads.commit(load, n, {silver_table: end}, rows.schema)
     _append_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: end}, times)
     return n
 

@@ -21,7 +21,7 @@ from tierline.plans import jobs
 from tierline.plans.catalog import CUSTOMER_ATTRS, CUSTOMER_TEXT_SPEC, table
 from tierline.session import scratch_path
 from tierline.sources.files import write_source_files
-from tierline.sources.tables import DimensionStore, LoadLog, read_log
+from tierline.sources.tables import DimensionStore, LoadLog
 
 AS_OF = (dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1))
 LAKE_TRACKED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -201,8 +201,7 @@ def q_quality_results_log(spark, sf_dir):
         jobs.silver_job(spark, lake, "gated", {"o": jobs.SilverSource(lake.layer("bronze", "gated"))},
                         [("o_orderkey", "o_orderkey", "bigint"), ("o_totalprice", "o_totalprice", "double")],
                         ["o_orderkey"], as_of=AS_OF[0], required=["o_orderkey", "o_totalprice"], null_gates=["o_totalprice"])
-    log = read_log(spark, lake.system("quality"))
-    return log.select("layer", "table_name", "check_name", "status", "failed_records", "message", "created_time")
+    return jobs.quality_log(spark, lake).select("layer", "table_name", "check_name", "status", "failed_records", "message", "created_time")
 
 
 LAKE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -9,6 +9,7 @@ data: the folder named in ``file_path`` must be the row's own segment.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from tierline.functions.casting import conform
 from tierline.functions.text import json_field, xml_field
-from tierline.operators import enrich, runlog
+from tierline.operators import dedup, enrich, keybuckets, runlog
 from tierline.plans import jobs
 from tierline.plans.catalog import CUSTOMER_TEXT_SPEC, ORDER_PROMPT, REVIEW_PRICE, table
 from tierline.session import scratch_path
 from tierline.sources.files import load_fixture, write_source_files
-from tierline.sources.tables import LoadLog, VersionedTable, append_rows, ensure_log, read_log, write_observed
+from tierline.sources.tables import DimensionStore, LoadLog, VersionedTable, append_rows, ensure_log, read_log, write_observed
 from tierline.streaming.bronze import csv_stream, ingest_files, read_bronze
 from tierline.streaming.registry import DatasetRegistry
 
@@ -267,6 +268,126 @@ def q_bronze_json_multiline(spark, sf_dir):
     return _bronze_events(spark, d)
 
 
+def q_bronze_new_checkpoint(spark, sf_dir):
+    """A table goes on with another checkpoint, then with the first again: every file counts once."""
+    d = dirs(spark, "bronze_new_checkpoint")
+    cust = table(spark, sf_dir, "customer")
+    first = among("c_mktsegment", FIRST_SEGMENTS)
+    rows = []
+    for part, checkpoint in ((cust.filter(first), d.checkpoint), (cust.filter(~first), f"{d.checkpoint}_2"), (None, d.checkpoint)):
+        if part is not None:
+            write_source_files(customer_text(part), d.src, "csv", folder_by="seg")
+        rows.append(ingest_files(spark, d.src, d.bronze, checkpoint, "csv").rows)
+    return _bronze_customers(spark, d).withColumn("second_rows", F.lit(rows[1]).cast("long")).withColumn(
+        "third_rows", F.lit(rows[2]).cast("long")
+    )
+
+
+def q_bronze_case_change(spark, sf_dir):
+    """A second delivery spells its fields in another case (CSV headers, JSON keys): no new column, no lost value."""
+    cust = table(spark, sf_dir, "customer")
+    first = among("c_mktsegment", FIRST_SEGMENTS)
+    parts = []
+    for fmt in ("csv", "json"):
+        d = dirs(spark, f"bronze_case_{fmt}")
+        text = customer_text(cust).drop("seg")
+        write_source_files(text.filter(first), d.src, fmt)
+        ingest_files(spark, d.src, d.bronze, d.checkpoint, fmt, schema_location=d.schema)
+        write_source_files(text.filter(~first).select(*[F.col(c).alias(c.upper()) for c in text.columns]), d.src, fmt)
+        ingest_files(spark, d.src, d.bronze, d.checkpoint, fmt, schema_location=d.schema)
+        b = read_bronze(spark, d.bronze)
+        typed = conform(b, CUSTOMER_TEXT_SPEC).withColumn("format", F.lit(fmt))
+        parts.append(typed.withColumn("n_columns", F.lit(len(b.columns)).cast("long")))
+    return parts[0].unionByName(parts[1])
+
+
+#: Source fields that the table's own columns are named like, and two that differ in case only.
+CLASHING = ("id", "Id", "file_path", "batch_id", "ingestion_time", "_rescued_data")
+
+
+def q_bronze_reserved_names(spark, sf_dir):
+    """Fields named like the table's own columns, and one name in two spellings, in CSV and JSON: every value is there."""
+    cust = table(spark, sf_dir, "customer")
+    values = [F.concat(F.lit(f"{i}:"), F.col("c_custkey").cast("string")) for i in range(len(CLASHING))]
+    pairs = [F.concat(F.lit(f'"{n}": "'), v, F.lit('"')) for n, v in zip(CLASHING, values, strict=True)]
+    lines = {
+        "csv": (cust.select(F.concat_ws(",", *values).alias("value")), ",".join(CLASHING)),
+        "json": (cust.select(F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}")).alias("value")), None),
+    }
+    parts = []
+    for fmt, (rows, header) in lines.items():
+        d = dirs(spark, f"bronze_reserved_{fmt}")
+        if header is not None:
+            heads = spark.createDataFrame([(0, header)], "place int, value string")
+            rows = heads.unionByName(rows.withColumn("place", F.lit(1))).repartition(1).sortWithinPartitions("place").select("value")
+        rows.write.text(d.src)
+        ingest_files(spark, d.src, d.bronze, d.checkpoint, fmt, schema_location=d.schema)
+        b = read_bronze(spark, d.bronze)
+        both = F.sort_array(F.array(*[F.col(c) for c in b.columns if c.lower() in ("id", "id_2")]))
+        own = F.col("file_path").isNotNull() & F.col("ingestion_time").isNotNull() & F.col("_rescued_data").isNull()
+        parts.append(b.select(
+            F.lit(fmt).alias("format"), F.array_join(both, ",").alias("ids"), *[f"source_{c}" for c in CLASHING[2:]], own.alias("own_columns")
+        ))
+    return parts[0].unionByName(parts[1])
+
+
+def q_bronze_blank_first_line(spark, sf_dir):
+    """CSV files whose header stands after blank lines."""
+    d = dirs(spark, "bronze_blank_first_line")
+    cust = table(spark, sf_dir, "customer").withColumn("seg", F.col("c_mktsegment"))
+    lines = cust.select("seg", F.lit(2).alias("place"), F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value"))
+    heads = cust.select("seg").distinct().select("seg", F.inline(F.array(
+        F.struct(F.lit(0).alias("place"), F.lit("").alias("value")), F.struct(F.lit(0).alias("place"), F.lit("  ").alias("value")),
+        F.struct(F.lit(1).alias("place"), F.lit("c_custkey,c_name").alias("value")),
+    )))
+    files = lines.unionByName(heads).repartition("seg").sortWithinPartitions("seg", "place")
+    files.drop("place").write.partitionBy("seg").text(d.src)
+    ingest_files(spark, d.src, d.bronze, d.checkpoint, "csv")
+    b = read_bronze(spark, d.bronze)
+    return b.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", F.col("_rescued_data").isNull().alias("whole"))
+
+
+def q_anti_join_pruned(spark, sf_dir):
+    """New orders of three customers against bucketed loads: only the folders that can hold their keys are read."""
+    keys = ["o_orderkey", "o_custkey"]
+    loads = LoadLog(spark, scratch_path(spark, "anti_join_pruned"))
+    orders = table(spark, sf_dir, "orders").select(*keys, "o_orderstatus")
+    done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    for part in (orders.filter(done & (F.col("o_custkey") % 2 == 0)), orders.filter(done & (F.col("o_custkey") % 2 != 0))):
+        load = loads.begin()
+        buckets = keybuckets.buckets_for(part.count(), rows_per_bucket=20)
+        rows = write_observed(keybuckets.with_layout(part, keys, buckets), load.folder, keybuckets.LAYOUT)["rows"]
+        layouts = [*(load.base["state"]["layouts"] if load.base else []), buckets]
+        loads.commit(load, rows, {}, part.schema, keybuckets.LAYOUT, {"layouts": layouts})
+    few = [r[0] for r in orders.select("o_custkey").distinct().orderBy("o_custkey").limit(3).collect()]
+    incoming = orders.filter(F.col("o_custkey").isin(few))
+    last = loads.last()
+    existing = jobs.loaded_keys(loads, last, keys, keybuckets.touched(incoming, keys)[1])
+    pruned = existing.count() < loads.read(last=last).count()
+    return dedup.anti_join_new(incoming, existing, keys).withColumn("pruned", F.lit(pruned))
+
+
+def q_scd2_touched_buckets(spark, sf_dir):
+    """One customer moves: one of eight buckets of the dimension is rewritten, and all rows are there."""
+    lake = jobs.Lake(scratch_path(spark, "scd2_touched_buckets"))
+    loads = LoadLog(spark, lake.layer("silver", "customer"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    least = cust.agg(F.min("c_custkey")).first()[0]
+    moved = cust.filter(F.col("c_custkey") == least).withColumn("c_nationkey", F.col("c_nationkey") + 100)
+    for part, day in ((cust, 1), (moved.unionByName(cust.filter(F.col("c_custkey") <= least + 50)), 2)):
+        load = loads.begin()
+        loads.commit(load, write_observed(part, load.folder)["rows"], {}, part.schema)
+        result = jobs.dimension_job(
+            spark, lake, "dim_customer", "customer", ["c_custkey"], ["c_name", "c_nationkey"], ["c_name", "c_nationkey"],
+            [F.col("c_nationkey").desc()], "customer_key", as_of=dt.datetime(2024, day, 1), buckets=8,
+        )
+    dim = DimensionStore(spark, lake.layer("gold", "dim_customer")).read()
+    return dim.select(
+        "c_custkey", "c_nationkey", "customer_key", "is_current", "start_date", "end_date",
+        F.lit(result.rewritten).cast("long").alias("rewritten"), F.lit(result.buckets).cast("long").alias("buckets"),
+    )
+
+
 ORDER_SNAPSHOT_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate DATE, o_orderpriority STRING"
 )
@@ -362,9 +483,10 @@ def q_load_new_column(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     parts = (orders.filter(done).select("o_orderkey"), orders.filter(~done).select("o_orderkey", "o_orderpriority"))
-    for number, part in enumerate(parts, 1):
-        rows = write_observed(part, loads.folder(number))["rows"]
-        loads.commit(number, rows, {"orders": number}, part.schema)
+    for part in parts:
+        load = loads.begin()
+        rows = write_observed(part, load.folder)["rows"]
+        loads.commit(load, rows, {"orders": load.number}, part.schema)
     return loads.read()
 
 
@@ -425,6 +547,12 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_orders": q_review_orders,
     "enrich_csv": q_enrich_csv,
     "run_log_created": q_run_log_created,
+    "bronze_new_checkpoint": q_bronze_new_checkpoint,
+    "bronze_case_change": q_bronze_case_change,
+    "bronze_reserved_names": q_bronze_reserved_names,
+    "bronze_blank_first_line": q_bronze_blank_first_line,
+    "anti_join_pruned": q_anti_join_pruned,
+    "scd2_touched_buckets": q_scd2_touched_buckets,
 }
 
 _CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS source_dir"
@@ -497,4 +625,28 @@ STREAM_ORACLE: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'gold' AS layer, o_orderpriority AS job_name, o_orderstatus AS status,
                CAST(floor(o_totalprice) AS BIGINT) AS records, CAST(NULL AS VARCHAR) AS error
         FROM orders""",
+    "bronze_new_checkpoint": f"""
+        {_CUSTOMER_SQL}, (SELECT count(*) FROM customer WHERE c_mktsegment NOT IN ({_FIRST_SEG_SQL})) AS second_rows,
+               CAST(0 AS BIGINT) AS third_rows
+        FROM customer""",
+    "bronze_case_change": """
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, f AS format, CAST(9 AS BIGINT) AS n_columns
+        FROM customer, (VALUES ('csv'), ('json')) AS v(f)""",
+    "bronze_reserved_names": """
+        SELECT f AS format, '0:' || c_custkey || ',1:' || c_custkey AS ids, '2:' || c_custkey AS source_file_path,
+               '3:' || c_custkey AS source_batch_id, '4:' || c_custkey AS source_ingestion_time,
+               '5:' || c_custkey AS source__rescued_data, TRUE AS own_columns
+        FROM customer, (VALUES ('csv'), ('json')) AS v(f)""",
+    "bronze_blank_first_line": "SELECT c_custkey, c_name, TRUE AS whole FROM customer",
+    "anti_join_pruned": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, TRUE AS pruned FROM orders
+        WHERE o_orderstatus <> 'F' AND o_custkey IN (SELECT DISTINCT o_custkey FROM orders ORDER BY 1 LIMIT 3)""",
+    "scd2_touched_buckets": """
+        WITH d AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS k, c_custkey = min(c_custkey) OVER () AS moved FROM customer),
+        n AS (SELECT count(*) AS n FROM customer)
+        SELECT c_custkey, c_nationkey, k AS customer_key, NOT moved AS is_current, DATE '2024-01-01' AS start_date,
+               CASE WHEN moved THEN DATE '2024-02-01' END AS end_date, CAST(1 AS BIGINT) AS rewritten, CAST(8 AS BIGINT) AS buckets
+        FROM d
+        UNION ALL
+        SELECT c_custkey, c_nationkey + 100, n.n + 1, TRUE, DATE '2024-02-01', CAST(NULL AS DATE), 1, 8 FROM d, n WHERE moved""",
 }

@@ -7,8 +7,10 @@ Bronze keeps every source column as text; types are applied in silver.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,8 +47,8 @@ def widen(stored: T.StructType | None, seen: T.StructType) -> T.StructType:
     """Stored schema plus any new columns of ``seen`` appended at the end (never drops)."""
     if stored is None:
         return seen
-    have = {f.name for f in stored.fields}
-    return T.StructType([*stored.fields, *[f for f in seen.fields if f.name not in have]])
+    have = {f.name.lower() for f in stored.fields}  # Spark's tables match names without case
+    return T.StructType([*stored.fields, *[f for f in seen.fields if f.name.lower() not in have]])
 
 
 def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
@@ -62,6 +64,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, qualified path)."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(conf)
+    return fs, fs.makeQualified(hpath)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder (none if there is no folder), through the session's Hadoop file system."""
+    fs, hpath = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isFile()] if fs.exists(hpath) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    fs, hpath = _file_system(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear with all its content, unless there is one of that name: then False.
+
+    Written beside and renamed without overwriting, which the file system does as
+    one step (HDFS and its like; object stores by their committer's conditional put).
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, target = _file_system(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(beside, target, no_options)
+    except Py4JJavaError as e:
+        fs.delete(beside, False)
+        if "FileAlreadyExistsException" not in e.java_exception.toString():
+            raise
+        return False
+    return True
+
+
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
     if not path_exists(spark, location):
         return None

@@ -1,20 +1,15 @@
 """Tables on plain parquet folders, updated without MERGE.
 
 Parquet cannot update rows in place, and a table cannot be overwritten while
-the same job reads it. So a table here is a folder of immutable versions plus
-an append-only commit log (``_commits``: one row per finished version). A
-writer puts a complete new version in ``v=N`` and then appends ``N`` to the
-log; readers take the largest committed ``N``. A job that dies before the
-commit leaves the previous version in force, and its rerun rewrites the same
-``v=N`` (overwrite), so retries are harmless. A commit refuses a version that
-another writer has logged meanwhile.
-
-``DimensionStore`` splits an SCD2 dimension so a load does not rewrite its
-whole history: ``current/v=N`` holds the current rows after load ``N``;
-``history/b=N`` holds only the rows that load ``N`` expired. The full
-dimension is ``current(N) ∪ history(b <= N)``. ``is_current`` is a constant in
-each branch, so a filter on it removes the other branch from the plan. Each
-commit also records how far the load has read its source (``position``).
+the same job reads it. So a table here is a folder of immutable numbered parts plus
+a commit log (:class:`CommitLog`). A writer first claims a number, which no other
+writer can have, and writes its data under that number; one new file of the log then
+makes it visible. Readers open committed numbers only, so a job that dies leaves
+data that nobody reads, and a writer that is refused has replaced nothing.
+
+``VersionedTable``: each version is the whole table. ``LoadLog``: an append-only table of
+loads. ``DimensionStore``: an SCD2 dimension whose current rows lie in buckets of
+their key's hash; a load rewrites only the buckets that its changes touch.
 """
 
 from __future__ import annotations
@@ -22,36 +17,26 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.sources.files import path_exists, widen
-
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("committed_at", T.TimestampType(), False),
-        T.StructField("max_key", T.LongType(), True),
-        T.StructField("position", T.LongType(), True),
-    ]
-)
-
-
-_exists = path_exists
+from tierline.operators.keybuckets import bucket_of
+from tierline.sources.files import list_names, path_exists, publish, read_text, widen
 
 
 class ConcurrentWriteError(RuntimeError):
-    """Another writer has committed the version or load that this one prepared."""
+    """Another writer has committed since this one began."""
 
 
-def write_observed(df: DataFrame, path: str, **metrics: Column) -> dict[str, int]:
+def write_observed(df: DataFrame, path: str, partition_by: Sequence[str] = (), **metrics: Column) -> dict[str, int]:
     """Overwrite ``path`` with ``df``; its row count (``rows``) and further counts, observed by the write itself."""
     obs = Observation(f"write_{uuid.uuid4().hex}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()])
-    counted.write.mode("overwrite").parquet(path)
+    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return {name: int(value or 0) for name, value in obs.get.items()}
 
 
@@ -62,36 +47,87 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """An append-only log folder; an empty frame of ``schema`` if nothing was written yet."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
     return spark.read.parquet(path)
 
 
+def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for an append-only log folder: an empty parquet file with the schema."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+class CommitLog:
+    """Commits of a table: ``commit-<sequence>.json``, each created once and never changed.
+
+    An entry holds the whole state that a reader needs (its ``number``: the newest part;
+    ``dropped``: numbers up to it that are not to be read), so reading a table takes one
+    listing and one small file, no job. The commit after entry ``k`` is file ``k + 1``:
+    of two writers that began from the same entry only one can create it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _numbers(self, kind: str) -> list[int]:
+        return [int(n[len(kind) + 1 : -5]) for n in list_names(self.spark, self.path) if n.startswith(f"{kind}-")]
+
+    def file(self, sequence: int) -> str:
+        return f"{self.path}/commit-{sequence:012}.json"
+
+    def last(self) -> dict | None:
+        """The newest entry with its ``sequence``, or None."""
+        sequence = max(self._numbers("commit"), default=None)
+        if sequence is None:
+            return None
+        return {**json.loads(read_text(self.spark, self.file(sequence))), "sequence": sequence}
+
+    def claim(self, base: dict | None) -> int:
+        """A number for new data that no other writer has or will get."""
+        number = max([*self._numbers("claim"), 0 if base is None else base["number"]], default=0) + 1
+        while not publish(self.spark, f"{self.path}/claim-{number:012}.json", "{}"):
+            number += 1
+        return number
+
+    def commit(self, base: dict | None, number: int, entry: Mapping, drop: Iterable[int] = ()) -> None:
+        """Add an entry after ``base``; numbers passed over (claimed, but never committed) and those in ``drop`` are dropped."""
+        before = 0 if base is None else base["number"]
+        if number < before:
+            raise ConcurrentWriteError(f"{self.path}: {before} was committed after {number} was claimed")
+        dropped = {*(() if base is None else base["dropped"]), *range(before + 1, number), *drop}
+        row = {
+            **entry, "number": number, "dropped": sorted(dropped),
+            "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
+        }
+        if not publish(self.spark, self.file(1 + (0 if base is None else base["sequence"])), json.dumps(row)):
+            raise ConcurrentWriteError(f"{self.path}: another writer has committed meanwhile")
+
+
+def visible(column: str, entry: Mapping, after: int | None = None) -> Column:
+    """Filter on a partition column: committed numbers, of those after ``after`` only if it is given."""
+    found = F.col(column) <= F.lit(entry["number"])
+    if entry["dropped"]:
+        found = found & ~F.col(column).isin([n for n in entry["dropped"] if after is None or n > after])
+    return found if after is None else found & (F.col(column) > F.lit(after))
+
+
 class VersionedTable:
+    """``v=N``: each version is the whole table; the newest committed one is read."""
+
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark = spark
         self.base = base.rstrip("/")
-
-    @property
-    def _log(self) -> str:
-        return f"{self.base}/_commits"
-
-    def _last(self) -> Row | None:
-        """(version, max_key, position) so far, from one small aggregate; None before the first commit."""
-        if not _exists(self.spark, self._log):
-            return None
-        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
-        row = log.agg(*[F.max(c).alias(c) for c in ("version", "max_key", "position")]).first()
-        return None if row["version"] is None else row
+        self.log = CommitLog(spark, f"{self.base}/_commits")
 
     def exists(self) -> bool:
-        return self._last() is not None
+        return self.log.last() is not None
 
     def latest_version(self) -> int | None:
-        last = self._last()
-        return None if last is None else int(last["version"])
+        last = self.log.last()
+        return None if last is None else last["number"]
 
     def path(self, version: int) -> str:
         return f"{self.base}/v={version}"
@@ -102,173 +138,213 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version in {self.base}")
         return self.spark.read.parquet(self.path(v))
 
-    def _commit(self, version: int, max_key: int | None = None, position: int | None = None) -> None:
-        if (self.latest_version() or 0) >= version:
-            raise ConcurrentWriteError(f"{self.base}: version {version} is already committed")
-        self._append(version, max_key, position)
-
-    def _append(self, version: int, max_key: int | None, position: int | None) -> None:
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        append_rows(self.spark.createDataFrame([(version, now, max_key, position)], COMMIT_SCHEMA).coalesce(1), self._log)
-
-    def committed_max_key(self) -> int | None:
-        """The largest surrogate key recorded with any commit (None if not recorded)."""
-        last = self._last()
-        return None if last is None or last["max_key"] is None else int(last["max_key"])
-
-    def committed_position(self) -> int | None:
-        """How far the loads have read their source (None if not recorded)."""
-        last = self._last()
-        return None if last is None or last["position"] is None else int(last["position"])
-
     def write(self, df: DataFrame) -> int:
         """Write ``df`` as the next version and commit it; returns the version."""
         return self.write_counted(df)[0]
 
     def write_counted(self, df: DataFrame) -> tuple[int, int]:
         """``(version, rows)`` of the next version; the rows are counted by the write."""
-        v = (self.latest_version() or 0) + 1
+        base = self.log.last()
+        v = self.log.claim(base)
         rows = write_observed(df, self.path(v))["rows"]
-        self._commit(v)
+        self.log.commit(base, v, {"rows": rows})
         return v, rows
 
 
-class DimensionStore(VersionedTable):
-    """SCD2 dimension as ``current/v=N`` + ``history/b=1..N`` (see module docstring)."""
+#: Buckets of a new dimension: about a hundred files for one of a billion rows and more with ``buckets``.
+DIMENSION_BUCKETS = 16
 
-    def current_path(self, version: int) -> str:
-        return f"{self.base}/current/v={version}"
 
-    @property
-    def history_path(self) -> str:
-        return f"{self.base}/history"
+class DimensionStore:
+    """SCD2 dimension: ``rows/state=current/v=N/bucket=K`` and ``rows/state=expired/v=N``.
 
-    def current(self, version: int | None = None) -> DataFrame:
-        v = self.latest_version() if version is None else version
-        if v is None:
+    The commit names the version of each bucket of current rows. A load writes the
+    buckets that its changes touch, and the rows that it expires, in one pass; all
+    other buckets stay where they are. Reading the current rows opens one folder a
+    bucket; reading some keys' current rows opens their buckets only. Expired rows are
+    never rewritten. ``is_current`` is a constant in each branch, so a filter on it
+    removes the other branch from the plan.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, keys: Sequence[str] = (), buckets: int = DIMENSION_BUCKETS) -> None:
+        """``keys`` and ``buckets`` are those of a new dimension; later they come from its log."""
+        self.spark = spark
+        self.base = base.rstrip("/")
+        self.log = CommitLog(spark, f"{self.base}/_commits")
+        self.last = self.log.last()
+        self.keys = list(keys) if self.last is None else self.last["keys"]
+        self.buckets = buckets if self.last is None else self.last["buckets"]
+
+    def exists(self) -> bool:
+        return self.last is not None
+
+    def latest_version(self) -> int | None:
+        return None if self.last is None else self.last["number"]
+
+    def _needed(self) -> dict:
+        if self.last is None:
             raise FileNotFoundError(f"no committed version in {self.base}")
-        return self.spark.read.parquet(self.current_path(v)).withColumn("is_current", F.lit(True))
+        return self.last
 
-    def history(self, version: int | None = None) -> DataFrame | None:
+    def committed_max_key(self) -> int | None:
+        """The largest surrogate key recorded with any commit (None if not recorded)."""
+        return None if self.last is None else self.last["max_key"]
+
+    def committed_position(self) -> int | None:
+        """How far the loads have read their source (None if not recorded)."""
+        return None if self.last is None else self.last["position"]
+
+    def _schema(self, *partitions: str) -> T.StructType:
+        fields = T.StructType.fromJson(json.loads(self._needed()["schema"])).fields
+        return T.StructType([*fields, *(T.StructField(p, T.LongType()) for p in partitions)])
+
+    def current(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Current rows, of some buckets only if they are given."""
+        versions = self._needed()["versions"]
+        wanted = versions if buckets is None else [str(b) for b in buckets if str(b) in versions]
+        folder = f"{self.base}/rows/state=current"
+        paths = [f"{folder}/v={versions[b]}/bucket={b}" for b in wanted]
+        schema = self._schema()
+        rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return rows.withColumn("is_current", F.lit(True))
+
+    def history(self) -> DataFrame | None:
         """Expired rows, with the current rows' columns (NULL where an older file lacks one)."""
-        v = self.latest_version() if version is None else version
-        if v is None or not _exists(self.spark, self.history_path):
+        if not self._needed()["expired"]:
             return None
-        fields = [f for f in self.current(v).schema.fields if f.name != "is_current"]
-        schema = T.StructType([*fields, T.StructField("b", T.LongType())])
-        hist = self.spark.read.schema(schema).parquet(self.history_path)
-        # Partition pruning: batches of uncommitted (crashed) loads are ignored.
-        return hist.filter(F.col("b") <= F.lit(v)).drop("b").withColumn("is_current", F.lit(False))
+        rows = self.spark.read.schema(self._schema("v", "bucket")).parquet(f"{self.base}/rows/state=expired")
+        return rows.filter(visible("v", self.last)).drop("v", "bucket").withColumn("is_current", F.lit(False))
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest_version() if version is None else version
-        cur = self.current(v)
-        hist = self.history(v)
+    def read(self) -> DataFrame:
+        cur, hist = self.current(), self.history()
         return cur if hist is None else cur.unionByName(hist.select(*cur.columns))
 
+    def bucket(self) -> Column:
+        return bucket_of(self.keys, self.buckets)
+
     def write_load(
-        self,
-        current_rows: DataFrame,
-        expired_rows: DataFrame | None,
-        max_key: int | None = None,
-        position: int | None = None,
+        self, rows: DataFrame, touched: Iterable[int], max_key: int | None = None, position: int | None = None
     ) -> int:
-        """Write the current rows and the rows this load expired, then commit (with the
-        largest surrogate key so far, so the next load need not scan for it, and the
-        source position it has read to)."""
-        v = (self.latest_version() or 0) + 1
-        current_rows.drop("is_current").write.mode("overwrite").parquet(self.current_path(v))
-        if expired_rows is not None:
-            (
-                expired_rows.drop("is_current")
-                .withColumn("b", F.lit(v).cast("long"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("b")
-                .parquet(self.history_path)
-            )
-        self._commit(v, max_key, position)
-        return v
+        """Write a load and commit it; returns the version.
+
+        ``rows`` are all rows of the ``touched`` buckets after the load: the current ones,
+        and with ``is_current`` false those that it expires.
+        """
+        version = self.log.claim(self.last)
+        touched = list(touched)
+        schema = T.StructType([f for f in rows.schema.fields if f.name != "is_current"])
+        if touched:
+            placed = rows.withColumn("bucket", F.when(F.col("is_current"), self.bucket()).otherwise(F.lit(-1)))
+            placed = placed.withColumn("state", F.when(F.col("is_current"), "current").otherwise("expired"))
+            placed = placed.withColumn("v", F.lit(version)).drop("is_current").hint("rebalance", "state", "bucket")
+            placed.write.mode("append").partitionBy("state", "v", "bucket").parquet(f"{self.base}/rows")
+        known = None if self.last is None else self._schema()
+        versions = {} if self.last is None else dict(self.last["versions"])
+        present = set(self._written(version))
+        for b in touched:
+            versions.pop(str(b), None)
+            if b in present:
+                versions[str(b)] = version
+        entry = {
+            "keys": self.keys, "buckets": self.buckets, "versions": versions, "schema": widen(known, schema).json(),
+            "max_key": max_key, "position": position,
+            "expired": path_exists(self.spark, f"{self.base}/rows/state=expired"),
+        }
+        self._commit(version, entry)
+        return version
+
+    def _written(self, version: int) -> list[int]:
+        """Buckets of current rows that the version has written (a bucket may have lost its last row)."""
+        folder = f"{self.base}/rows/state=current/v={version}"
+        if not path_exists(self.spark, folder):
+            return []
+        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = fs_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(fs_path) if s.isDirectory()]
+        return [int(n.removeprefix("bucket=")) for n in names if n.startswith("bucket=")]
 
     def advance(self, position: int) -> None:
         """Record that the source was read to ``position`` without any change."""
-        version = self.latest_version()
-        if version is None:
-            raise FileNotFoundError(f"no committed version in {self.base}")
-        self._append(version, None, position)
+        last = self._needed()
+        self._commit(last["number"], {**last, "position": position})
 
+    def _commit(self, version: int, entry: Mapping) -> None:
+        entry = {k: v for k, v in entry.items() if k != "sequence"}
+        self.log.commit(self.last, version, entry)
+        self.last = self.log.last()
 
-def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` for an append-only log folder: an empty parquet file with the schema."""
-    if not _exists(spark, path):
-        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
 
+@dataclass(frozen=True)
+class Load:
+    """A load being written: its number, its folder, and the log entry that it follows."""
 
-LOAD_LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("load", T.LongType(), False),
-        T.StructField("rows", T.LongType(), False),
-        T.StructField("positions", T.StringType(), False),  # JSON {source: position read to}, of all sources so far
-        T.StructField("schema_json", T.StringType(), False),  # the table's schema after this load
-        T.StructField("committed_at", T.TimestampType(), False),
-    ]
-)
+    number: int
+    folder: str
+    base: dict | None
 
 
 class LoadLog:
-    """Completed loads of an append-only table made of ``load=<number>`` folders.
-
-    Loads are numbered 1, 2, ... in commit order. A folder becomes visible to
-    readers only once its row is in ``<base>/_loads``, and a logged load is never
-    rewritten. The row also says how far the load has read each of its sources, so
-    the data, the log and the progress commit as one: a job that dies before leaves
-    a folder that the next load overwrites, and one that dies after has nothing left
-    to repeat. Readers filter the partition column by number: no list of loads, no
-    join, and a reader that wants the loads after some number opens only those.
+    """An append-only table made of ``load=<number>`` folders, and its commits.
+
+    A load becomes visible to readers only once its commit is there, and a committed load
+    is never rewritten. The entry also says how far the loads have read each of their
+    sources, so the data, the log and the progress commit as one. Readers filter the
+    partition column by number: no list of loads, no join, and a reader that wants the
+    loads after some number opens only those. Loads may be laid out in further
+    partition columns, which readers can filter and do not see. ``state`` holds what the
+    table's jobs carry from load to load.
     """
 
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark = spark
         self.base = base.rstrip("/")
-        self.path = f"{self.base}/_loads"
+        self.log = CommitLog(spark, f"{self.base}/_loads")
 
-    def last(self) -> Row | None:
-        """The newest log row (a top-1 of a small table), or None."""
-        if not _exists(self.spark, self.path):
-            return None
-        log = self.spark.read.schema(LOAD_LOG_SCHEMA).parquet(self.path)
-        found = log.orderBy(F.col("load").desc()).limit(1).collect()
-        return found[0] if found else None
+    def last(self) -> dict | None:
+        """The newest entry, or None: number, rows, positions, schema, partitions, state, committed_at."""
+        found = self.log.last()
+        return None if found is None else {**found, "committed_at": dt.datetime.fromisoformat(found["committed_at"]).replace(tzinfo=dt.timezone.utc)}
 
-    def positions(self, last: Row | None = None) -> dict[str, int]:
+    def positions(self, last: dict | None = None) -> dict[str, int]:
         """How far the loads have read each source."""
         last = last or self.last()
-        return {} if last is None else json.loads(last["positions"])
-
-    def folder(self, number: int) -> str:
-        return f"{self.base}/load={number}"
-
-    def commit(self, number: int, rows: int, positions: Mapping[str, int], schema: T.StructType) -> None:
-        """Log a written load; its positions and columns are added to those before."""
-        before = self.last()
-        if before is not None and before["load"] >= number:
-            raise ConcurrentWriteError(f"{self.base}: load {number} is already committed")
-        known = None if before is None else T.StructType.fromJson(json.loads(before["schema_json"]))
-        merged = {**self.positions(before), **positions} if before is not None else dict(positions)
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (number, int(rows), json.dumps(merged), widen(known, schema).json(), now)
-        append_rows(self.spark.createDataFrame([row], LOAD_LOG_SCHEMA).coalesce(1), self.path)
-
-    def read(self, after: int | None = None, last: Row | None = None) -> DataFrame | None:
-        """Rows of logged loads (with their ``load`` number), of those after ``after`` only if it is given.
-
-        ``None`` if nothing was loaded yet. Columns that a later load added are NULL in earlier ones.
+        return {} if last is None else last["positions"]
+
+    def begin(self, last: dict | None = None) -> Load:
+        """A new load after ``last`` (default: the newest entry), with a folder that is nobody else's."""
+        base = last or self.last()
+        number = self.log.claim(base)
+        return Load(number, f"{self.base}/load={number}", base)
+
+    def commit(
+        self, load: Load, rows: int, positions: Mapping[str, int], schema: T.StructType,
+        partitions: Sequence[str] = (), state: Mapping | None = None, drop: Iterable[int] = (),
+    ) -> None:
+        """Make a written load visible; its positions and columns are added to those before.
+
+        ``drop``: earlier loads that this one replaces.
+        """
+        base = load.base or {"positions": {}, "schema": None, "partitions": [], "state": {}}
+        known = None if base["schema"] is None else T.StructType.fromJson(json.loads(base["schema"]))
+        fields = T.StructType([f for f in schema.fields if f.name not in partitions])
+        entry = {
+            "rows": int(rows), "positions": {**base["positions"], **positions}, "schema": widen(known, fields).json(),
+            "partitions": list(dict.fromkeys([*base["partitions"], *partitions])), "state": {**base["state"], **(state or {})},
+        }
+        self.log.commit(load.base, load.number, entry, drop)
+
+    def read(self, after: int | None = None, last: dict | None = None, where: Column | None = None) -> DataFrame | None:
+        """Rows of committed loads (with their ``load`` number), of those after ``after`` only if it is given.
+
+        ``where`` may filter the partition columns. ``None`` if nothing was loaded yet.
+        Columns that a later load added are NULL in earlier ones.
         """
         last = last or self.last()
         if last is None:
             return None
-        schema = T.StructType.fromJson(json.loads(last["schema_json"]))
-        fields = [f for f in schema.fields if f.name != "load"]
-        df = self.spark.read.schema(T.StructType([*fields, T.StructField("load", T.LongType())])).parquet(self.base)
-        df = df.filter(F.col("load") <= F.lit(last["load"]))
-        return df if after is None else df.filter(F.col("load") > F.lit(after))
+        hidden = last["partitions"]
+        fields = [f for f in T.StructType.fromJson(json.loads(last["schema"])).fields if f.name != "load"]
+        parts = [T.StructField(c, T.LongType()) for c in ("load", *hidden)]
+        df = self.spark.read.schema(T.StructType([*fields, *parts])).parquet(self.base)
+        df = df.filter(visible("load", last, after))
+        return (df if where is None else df.filter(where)).drop(*hidden)

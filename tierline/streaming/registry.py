@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.sources.files import with_lineage
-from tierline.streaming.bronze import _write_batch
+from tierline.streaming.bronze import BronzeTable, _rows_of_files
 
 Builder = Callable[[SparkSession], DataFrame]
 
@@ -52,17 +52,23 @@ class DatasetRegistry:
         return rows
 
     def _start(self, spark: SparkSession, name: str, build: Builder, base: str, rows: dict[str, int]):
-        recorded: dict = {}
+        checkpoint = f"{base}/_checkpoints/{name}"
+        bronze = BronzeTable(spark, f"{base}/{name}", checkpoint, rescue_column=None)
 
         def write(batch: DataFrame, batch_id: int) -> None:
+            if bronze.is_replay(batch_id):
+                return
             if "ingestion_time" not in batch.columns:
                 batch = batch.withColumn("ingestion_time", F.current_timestamp())
-            rows[name] += _write_batch(batch, f"{base}/{name}", batch_id, recorded)
+            # with a file column, files that another checkpoint has brought are left out
+            data, files = _rows_of_files(batch, bronze) if "file_path" in batch.columns else (batch, ())
+            if data is not None:
+                rows[name] += bronze.write(data, batch_id, files)
 
         return (
             build(spark)
             .writeStream.foreachBatch(write)
-            .option("checkpointLocation", f"{base}/_checkpoints/{name}")
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
         )
