@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Scorer = Callable[[list[str]], list[str]]
+#: Begins the answer of a call that failed.
+ERROR_PREFIX = "AI call failed: "
 
 
 def _answer_batch(prompts: list[str], scorer: Scorer, error_prefix: str) -> list[str]:
@@ -48,7 +50,7 @@ def enrich_with_model(
     scorer: Scorer,
     out_col: str = "ai_result",
     batch_size: int = 64,
-    error_prefix: str = "AI call failed: ",
+    error_prefix: str = ERROR_PREFIX,
 ) -> DataFrame:
     """Append ``out_col`` = scorer(prompt) for every row (NULL prompt → NULL)."""
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType(), True)])

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.casting import literal_like
+from tierline.functions.rows import literal_rows
 from tierline.operators.dedup import latest_per_key
 
 MARK_SCHEMA = T.StructType(
@@ -92,4 +93,4 @@ def mark_rows(
 ) -> DataFrame:
     """One new mark row (append it to the log); ``position`` is the batch or load number behind the mark."""
     now = updated_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return spark.createDataFrame([(name, src, destination, mark, now, position)], MARK_SCHEMA)
+    return literal_rows(spark, [(name, src, destination, mark, now, position)], MARK_SCHEMA)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.functions.rows import literal_rows
 from tierline.operators.dedup import prefixed_keys, same_keys
 
 RESULT_SCHEMA = T.StructType(
@@ -148,7 +149,7 @@ def result_rows(spark: SparkSession, results: Sequence[CheckResult], created=Non
     data = [
         (r.layer, r.table_name, r.check_name, r.status, int(r.failed_records), r.message, now) for r in results
     ]
-    return spark.createDataFrame(data, RESULT_SCHEMA)
+    return literal_rows(spark, data, RESULT_SCHEMA)
 
 
 def expectations_report(tables: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.functions.rows import literal_rows
 from tierline.operators.dedup import latest_per_key
 
 RUN_SCHEMA = T.StructType(
@@ -64,7 +65,7 @@ def new_run_id() -> str:
 
 def run_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """Rows ``(run_id, layer, job_name, status, event_time, records, error)``."""
-    return spark.createDataFrame(list(rows), RUN_SCHEMA)
+    return literal_rows(spark, rows, RUN_SCHEMA)
 
 
 def start_row(spark: SparkSession, run_id: str, layer: str, job: str, at=None) -> DataFrame:
@@ -76,13 +77,11 @@ def end_row(spark: SparkSession, run_id: str, status: str, records=0, error=None
 
 
 def audit_row(spark: SparkSession, run_id: str, event: str, message: str | None, at=None) -> DataFrame:
-    return spark.createDataFrame([(str(uuid.uuid4()), run_id, event, message, at or _now())], AUDIT_SCHEMA)
+    return literal_rows(spark, [(str(uuid.uuid4()), run_id, event, message, at or _now())], AUDIT_SCHEMA)
 
 
 def metric_row(spark: SparkSession, job: str, status: str, records, error=None, at=None) -> DataFrame:
-    return spark.createDataFrame(
-        [(job, at or _now(), status, None if records is None else int(records), error)], METRIC_SCHEMA
-    )
+    return literal_rows(spark, [(job, at or _now(), status, None if records is None else int(records), error)], METRIC_SCHEMA)
 
 
 def state_rank(status: Column) -> Column:

@@ -23,6 +23,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import functools
+import json
 import logging
 import time
 import uuid
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from tierline.functions.casting import ConformSpec
 from tierline.functions.text import render_template, row_text
 from tierline.operators import conform as conform_ops
-from tierline.operators import dedup, enrich, facts, incremental, keybuckets, metadata, quality, runlog, scd2
+from tierline.operators import dedup, enrich, facts, incremental, keybuckets, metadata, profile, quality, runlog, scd2
 from tierline.sources.tables import (
     DIMENSION_BUCKETS,
     DimensionStore,
@@ -283,9 +284,8 @@ def silver_job(
     union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         load = loads.begin(last)
-        result, schema, layouts = _silver_load(
-            spark, lake, table, pipeline, union, loads, load, spec, keys, not_null, as_of, rows_per_bucket
-        )
+        valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=KEPT)
+        result, schema, state = _judged(spark, lake, table, valid, bad_casts, loads, load, keys, not_null, as_of, rows_per_bucket)
     finally:
         union.unpersist()
     with _step(f"{pipeline}: logs and marks"):
@@ -293,7 +293,7 @@ def silver_job(
         # The results stand before the commit, under the load's number: a job that dies in
         # between repeats its load under another one, and only committed loads' results count.
         _log_checks(spark, lake, table, load.number, result.checks, as_of)
-        loads.commit(load, result.loaded, pending, schema, keybuckets.LAYOUT, {"layouts": layouts, "keys": list(keys)})
+        loads.commit(load, result.loaded, pending, schema, keybuckets.LAYOUT, state)
         _append_marks(spark, lake, pipeline, "bronze", pending, times)
     return result
 
@@ -317,6 +317,10 @@ def quality_log(spark: SparkSession, lake: Lake) -> DataFrame:
     return log.filter(~lost)
 
 
+#: Lineage that silver rows carry beside their typed columns.
+KEPT = ["file_path", "bronze_ingestion_time", "source", RESCUE_COLUMN]
+
+
 def loaded_keys(loads: LoadLog, last: Mapping | None, keys: Sequence[str], wanted: Sequence[int]) -> DataFrame | None:
     """Loaded rows' keys, from the folders that can hold keys of the ``wanted`` buckets; ``None`` before the first load."""
     if last is None:
@@ -325,12 +329,10 @@ def loaded_keys(loads: LoadLog, last: Mapping | None, keys: Sequence[str], wante
     return rows.select(*[F.col(f"`{k}`") for k in keys])
 
 
-def _silver_load(spark, lake, table, pipeline, union, loads, load, spec, keys, not_null, as_of, rows_per_bucket):
-    number = load.number
-    kept = ["file_path", "bronze_ingestion_time", "source", RESCUE_COLUMN]
-    valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=kept)
+def _judged(spark, lake, table, valid, bad_casts, loads, load, keys, not_null, as_of, rows_per_bucket):
+    """Gates on typed rows: new ones to the load's folder, all others to quarantine under its number."""
+    pipeline, number = f"silver.{table}", load.number
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
-
     key_nulls = None
     valid_nn = valid
     if not_null:
@@ -346,7 +348,9 @@ def _silver_load(spark, lake, table, pipeline, union, loads, load, spec, keys, n
     buckets = keybuckets.buckets_for(n, rows_per_bucket)
     with _step(f"{pipeline}: write silver"):
         laid_out = keybuckets.with_layout(new_rows, keys, buckets)
-        loaded = write_observed(laid_out, load.folder, keybuckets.LAYOUT)["rows"]
+        profiled = [c for c in new_rows.columns if c not in ("file_path", "bronze_ingestion_time", "silver_ingestion_time")]
+        loaded, found = profile.write_profiled(laid_out, load.folder, profiled, keybuckets.LAYOUT)
+        profile.append_profile(spark, loads.base, number, found)
 
     rejects = quality.quarantine_rows(dups, f"silver.{table}", at=as_of)
     rejects = rejects.unionByName(quality.quarantine_rows(bad_casts, f"silver.{table}", at=as_of))
@@ -370,16 +374,82 @@ def _silver_load(spark, lake, table, pipeline, union, loads, load, spec, keys, n
         for name, n in seen.items()
         if name != "rows"
     ]
-    return SilverResult(loaded, seen["rows"], checks), new_rows.schema, sorted({*layouts, buckets})
+    state = {
+        "layouts": sorted({*layouts, buckets}), "keys": list(keys),
+        "reject_schemas": {"typed": valid.schema.json(), "raw": bad_casts.drop("reject_reason").schema.json()},
+    }
+    return SilverResult(loaded, seen["rows"], checks), new_rows.schema, state
+
+
+def table_profile(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
+    """The silver table's profile, merged from its committed loads' (no data is read); ``None`` before the first load."""
+    loads = LoadLog(spark, lake.layer("silver", table))
+    last = loads.last()
+    if last is None:
+        return None
+    profiles = spark.read.schema(profile.PROFILE_SCHEMA).parquet(f"{loads.base}/_profiles")
+    return profile.merged_profile(profiles.filter(visible("load", last)))
+
+
+def replay_job(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    spec: ConformSpec,
+    keys: Sequence[str],
+    not_null: Sequence[str] = (),
+    as_of: dt.datetime | None = None,
+    fix: Callable[[DataFrame], DataFrame] | None = None,
+    rows_per_bucket: int = keybuckets.ROWS_PER_BUCKET,
+) -> SilverResult:
+    """Judge the table's quarantine again, and re-admit what passes as a load of its own (a way back for rejected rows).
+
+    Payloads are read back by the schemas that the loads have stored. Values that did not
+    convert are conformed again by ``spec`` (a corrected one), rows that a gate rejected are
+    taken as they are; ``fix`` may correct or drop typed rows before the gates. A row whose
+    key has been loaded meanwhile (a corrected delivery) is settled. What fails again is
+    quarantined under the new load's number. Records that could not be read stay.
+    """
+    as_of = as_of or _now()
+    loads = LoadLog(spark, lake.layer("silver", table))
+    last = loads.last()
+    rejects = read_rejects(spark, lake, table)
+    if last is None or rejects is None or rejects.isEmpty():
+        return SilverResult(0, 0, [])
+    schemas = {k: T.StructType.fromJson(json.loads(v)) for k, v in last["state"]["reject_schemas"].items()}
+
+    def rows_of(which: Column, kind: str) -> DataFrame:
+        return rejects.filter(which).select(F.from_json("payload", schemas[kind]).alias("r")).select("r.*")
+
+    reason = F.col("reject_reason")
+    unread, uncast = reason == "Malformed record", reason.startswith("Invalid value")
+    valid, bad_casts = conform_ops.conform_with_rejects(rows_of(uncast, "raw"), spec, keep=KEPT)
+    typed = rows_of(~uncast & ~unread, "typed").drop("silver_ingestion_time").unionByName(valid)
+    if fix is not None:
+        typed = fix(typed)
+    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        load = loads.begin(last)
+        result, schema, state = _judged(spark, lake, table, typed, bad_casts, loads, load, keys, not_null, as_of, rows_per_bucket)
+    finally:
+        typed.unpersist()
+    numbers = [r["load"] for r in rejects.filter(~unread).select("load").distinct().collect()]  # load numbers
+    state["replayed"] = sorted({*last["state"].get("replayed", ()), *numbers})
+    state["replays"] = {**last["state"].get("replays", {}), str(load.number): sorted(numbers)}
+    _log_checks(spark, lake, table, load.number, result.checks, as_of)
+    loads.commit(load, result.loaded, {}, schema, keybuckets.LAYOUT, state)
+    return result
 
 
 def read_rejects(spark: SparkSession, lake: Lake, table: str) -> DataFrame | None:
-    """The table's quarantine, of committed loads only (a partition filter); ``None`` before the first load."""
+    """The table's quarantine: of committed loads only (a partition filter), without what a replay has judged again."""
     last = LoadLog(spark, lake.layer("silver", table)).last()
     if last is None:
         return None
     rejects = spark.read.schema(REJECT_SCHEMA).parquet(f"{lake.system('rejects')}/table={table}")
-    return rejects.filter(visible("load", last))
+    rejects = rejects.filter(visible("load", last))
+    settled = last["state"].get("replayed", [])
+    return rejects.filter(~F.col("load").isin(settled) | (F.col("reject_reason") == "Malformed record")) if settled else rejects
 
 
 #: Stable shape of quarantined rows, with the number of the load that rejected them.
@@ -450,6 +520,10 @@ def dimension_job(
     return DimensionResult(seen["n"], len(seen["touched"]), store.buckets)
 
 
+#: Partition column of fact loads: 1 for rows whose dimension key is not known yet.
+KEY_OPEN = "key_open"
+
+
 def fact_job(
     spark: SparkSession,
     lake: Lake,
@@ -461,7 +535,13 @@ def fact_job(
     columns: Sequence[str],
     as_of: dt.datetime | None = None,
 ) -> int:
-    """Silver rows → fact rows keyed to the current dimension version (C6)."""
+    """Silver rows → fact rows keyed to the current dimension version (C6); returns the silver rows loaded.
+
+    Rows without a dimension row get a NULL key and lie apart in their load. Once the
+    dimension has changed, the next run looks them up again: they are written anew, with
+    their keys where these have arrived, and replace their old copies; other rows are
+    not touched. That needs the business keys among ``columns``.
+    """
     as_of = as_of or _now()
     pipeline = f"gold.{fact}"
     silver = LoadLog(spark, lake.layer("silver", silver_table))
@@ -471,32 +551,47 @@ def fact_job(
     end, times = int(last["number"]), {silver_table: last["committed_at"]}
     loads = LoadLog(spark, lake.layer("gold", fact))
     before = loads.last()
+    state = {"open": {}, "dimension": 0} if before is None else before["state"]
     done = loads.positions(before).get(silver_table) if before is not None else None
-    if done is not None and end <= done:
+    store = DimensionStore(spark, lake.layer("gold", dim))
+    version = store.latest_version() or 0
+    late = bool(state["open"]) and version > state["dimension"] and set(keys) <= set(columns)
+    if done is not None and end <= done and not late:
         _complete_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: done}, times)
         return 0
     # read three times (keys, check, join): kept for the job; a lost executor reads its part again
     incoming = silver.read(after=done, last=last).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        store = DimensionStore(spark, lake.layer("gold", dim))
-        wanted = keybuckets.touched(incoming, keys, store.buckets)[1] if store.keys == list(keys) else None
+        waiting = loads.read(last=before, where=F.col(KEY_OPEN) == 1).drop("load") if late else None
+        asked = incoming.select(*keys) if waiting is None else incoming.select(*keys).unionByName(waiting.select(*keys))
+        wanted = keybuckets.touched(asked, keys, store.buckets)[1] if store.keys == list(keys) else None
         dimension = store.current(wanted)
         # Several current rows for one key would multiply fact rows: check the keys this load touches.
         touched = dimension
         if done is not None:
-            some = incoming.select(*dedup.prefixed_keys(keys)).distinct()
-            touched = dimension.join(some, dedup.same_keys(keys), "left_semi")
+            touched = dimension.join(asked.select(*dedup.prefixed_keys(keys)).distinct(), dedup.same_keys(keys), "left_semi")
         if not quality.unique_current_keys(touched, keys).isEmpty():
             raise quality.QualityError(f"{dim}: business keys with more than one current row")
         # the first load touches most of the dimension: cutting it to the increment's keys would only add work
         rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of, prefilter=done is not None)
+        if waiting is not None:
+            again = waiting.drop(key_col).withColumnRenamed("created_at", "_tl_created_at")
+            again = facts.fact_rows(again, dimension, keys, key_col, [*columns, "_tl_created_at"], created_at=as_of)
+            rows = rows.unionByName(again.withColumn("created_at", F.col("_tl_created_at")).select(*rows.columns))
         load = loads.begin(before)
-        n = write_observed(rows, load.folder)["rows"]
+        missing = F.col(key_col).isNull()
+        placed = rows.withColumn(KEY_OPEN, missing.cast("int"))
+        seen = write_observed(placed, load.folder, [KEY_OPEN], open=F.count_if(missing))
     finally:
         incoming.unpersist()
-    loads.commit(load, n, {silver_table: end}, rows.schema)
+    still = {} if late else dict(state["open"])
+    loads.commit(
+        load, seen["rows"], {silver_table: end}, rows.schema, [KEY_OPEN],
+        {"open": {**still, **({str(load.number): seen["open"]} if seen["open"] else {})}, "dimension": version},
+        replaced={KEY_OPEN: map(int, state["open"])} if late else None,
+    )
     _append_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: end}, times)
-    return n
+    return seen["rows"] - (sum(state["open"].values()) if late else 0)
 
 
 # ------------------------------------------------------------------ metadata-driven (C7–C9)
@@ -529,6 +624,41 @@ def metadata_gold_job(spark: SparkSession, lake: Lake, config: Mapping, source:
 # ------------------------------------------------------------------ model review / enrichment (C10, C11)
 
 
+@dataclass
+class ReviewResult:
+    reviewed: int
+    calls: int  # prompts that the model was asked
+
+
+def ask(
+    spark: SparkSession, answers: LoadLog, prompts: DataFrame, prompt_col: str, scorer: enrich.Scorer, out_col: str
+) -> tuple[DataFrame, int]:
+    """(``prompts`` with an answer each, how many the model was asked).
+
+    Answers are a table of their own, by the prompt's hash: each distinct prompt is asked
+    once, and only if no run before has got an answer to it. A failed call's message is the
+    answer of this run; the next run asks again.
+    """
+    hashed = prompts.withColumn("_tl_hash", F.sha2(F.col(f"`{prompt_col}`"), 256))
+    last = answers.last()
+    todo = hashed.filter(F.col("_tl_hash").isNotNull()).groupBy("_tl_hash").agg(F.first(prompt_col).alias("_tl_ask"))
+    if last is not None:
+        got = answers.read(last=last).filter("ok").select("_tl_hash")
+        todo = todo.join(got, "_tl_hash", "left_anti")
+    found = enrich.enrich_with_model(todo, "_tl_ask", scorer, out_col="answer").select(
+        "_tl_hash", "answer", (~F.col("answer").startswith(enrich.ERROR_PREFIX)).alias("ok")
+    )
+    load = answers.begin(last)
+    calls = write_observed(found, load.folder)["rows"]
+    if calls:
+        answers.commit(load, calls, {}, found.schema)
+    known = answers.read()
+    if known is None:
+        return prompts.withColumn(out_col, F.lit(None).cast("string")), calls
+    known = known.filter(F.col("ok") | (F.col("load") == load.number)).select("_tl_hash", F.col("answer").alias(out_col))
+    return hashed.join(known, "_tl_hash", "left").drop("_tl_hash"), calls
+
+
 def review_job(
     spark: SparkSession,
     lake: Lake,
@@ -538,18 +668,19 @@ def review_job(
     columns: Sequence[str],
     template: str,
     scorer: enrich.Scorer,
-) -> int:
-    """Rows to review → prompt per row → model answer per row, on executors → results log.
+) -> ReviewResult:
+    """Rows to review → prompt per row → answer per row → results log; the model is asked once a distinct prompt.
 
-    Every row of ``df`` is reviewed (filter it for candidates); returns how many.
+    Every row of ``df`` is reviewed (filter it for candidates). Answers of earlier runs are used again.
     """
     prompts = df.select(row_text(columns).alias("input_record"), render_template(template).alias("_tl_prompt"))
-    answered = enrich.enrich_with_model(prompts, "_tl_prompt", scorer, out_col="ai_result")
+    answers = LoadLog(spark, lake.system("ai_answers"))
+    answered, calls = ask(spark, answers, prompts, "_tl_prompt", scorer, "ai_result")
     out = answered.select(
         F.lit(table_name).alias("table_name"), F.lit(check_name).alias("check_name"), "input_record", "ai_result",
         F.current_timestamp().alias("created_time"),
     )
-    return write_observed(out, f"{lake.system('ai_results')}/run={uuid.uuid4().hex}")["rows"]
+    return ReviewResult(write_observed(out, f"{lake.system('ai_results')}/run={uuid.uuid4().hex}")["rows"], calls)
 
 
 def enrich_csv_job(
@@ -560,8 +691,16 @@ def enrich_csv_job(
     scorer: enrich.Scorer,
     out_col: str,
     keep: Sequence[str],
-) -> None:
-    """CSV (header, all text) → prompt column → one model call per row → CSV with header (C11)."""
+    answers: str | None = None,
+) -> int:
+    """CSV (header, all text) → prompt column → an answer per row → CSV with header (C11); returns the model's calls.
+
+    ``answers``: folder of the answers that runs share; without it every row is asked.
+    """
     df = spark.read.option("header", "true").csv(source_csv).withColumn("query", prompt)
-    out = enrich.enrich_with_model(df, "query", scorer, out_col=out_col).select(*keep)
-    out.write.mode("overwrite").option("header", "true").csv(target_csv)
+    if answers is None:
+        out, calls = enrich.enrich_with_model(df, "query", scorer, out_col=out_col), df.count()
+    else:
+        out, calls = ask(spark, LoadLog(spark, answers), df, "query", scorer, out_col)
+    out.select(*keep).write.mode("overwrite").option("header", "true").csv(target_csv)
+    return calls

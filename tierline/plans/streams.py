@@ -9,16 +9,17 @@ data: the folder named in ``file_path`` must be the row's own segment.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.casting import conform
 from tierline.functions.text import json_field, xml_field
-from tierline.operators import dedup, enrich, keybuckets, runlog
+from tierline.operators import dedup, enrich, keybuckets, profile, quality, runlog, similar
 from tierline.plans import jobs
 from tierline.plans.catalog import CUSTOMER_TEXT_SPEC, ORDER_PROMPT, REVIEW_PRICE, table
 from tierline.session import scratch_path
@@ -388,6 +389,133 @@ def q_scd2_touched_buckets(spark, sf_dir):
     )
 
 
+def _loaded(spark: SparkSession, loads: LoadLog, part: DataFrame) -> None:
+    load = loads.begin()
+    loads.commit(load, write_observed(part, load.folder)["rows"], {}, part.schema)
+
+
+def q_fact_late_dimension(spark, sf_dir):
+    """Facts load before half of their customers: the keys are filled in once the dimension has them."""
+    lake = jobs.Lake(scratch_path(spark, "fact_late_dimension"))
+    customers, sold = (LoadLog(spark, lake.layer("silver", name)) for name in ("customer", "orders"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    even = F.col("c_custkey") % 2 == 0
+    _loaded(spark, sold, table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice"))
+    loaded = []
+    for part, day in ((cust.filter(even), 1), (cust.filter(~even), 2)):
+        _loaded(spark, customers, part)
+        jobs.dimension_job(spark, lake, "dim_customer", "customer", ["c_custkey"], ["c_name"], ["c_name"], [F.col("c_name")],
+                           "customer_key", as_of=dt.datetime(2024, day, 1))
+        loaded.append(jobs.fact_job(spark, lake, "fact_orders", "orders", "dim_customer", ["c_custkey"], "customer_key",
+                                    ["o_orderkey", "c_custkey", "o_totalprice"], as_of=dt.datetime(2024, day, 1)))
+    facts = LoadLog(spark, lake.layer("gold", "fact_orders")).read()
+    return facts.drop("load").withColumn("second_run_rows", F.lit(loaded[1]).cast("long"))
+
+
+REPLAY_SPEC = [("o_orderkey", "o_orderkey", "bigint"), ("o_custkey", "o_custkey", "bigint"), ("o_orderdate", "o_orderdate", "date:dd/MM/yyyy")]
+
+
+def q_quarantine_replay(spark, sf_dir):
+    """Dates of one priority came in another format and were rejected. A corrected delivery brings some of those rows;
+    the replay, with the other format, re-admits the rest from quarantine, and nothing is left there."""
+    base = scratch_path(spark, "quarantine_replay")
+    lake = jobs.Lake(f"{base}/lake")
+    lake.create_logs(spark)
+    orders = table(spark, sf_dir, "orders")
+    late = F.coalesce(F.col("o_orderpriority") == "5-LOW", F.lit(False))
+    done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+
+    def deliver(rows: DataFrame, pattern: Column) -> None:
+        text = rows.select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), pattern.alias("o_orderdate"))
+        write_source_files(text, f"{base}/src", "csv")
+        jobs.bronze_job(spark, lake, "orders", f"{base}/src", "csv")
+        jobs.silver_job(spark, lake, "orders", {"o": jobs.SilverSource(lake.layer("bronze", "orders"))}, REPLAY_SPEC,
+                        ["o_orderkey"], not_null=["o_orderkey"], as_of=dt.datetime(2024, 1, 1))
+
+    right, other = F.date_format("o_orderdate", "dd/MM/yyyy"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    deliver(orders, F.when(late, other).otherwise(right))
+    deliver(orders.filter(late & done), right)
+    spec = [*REPLAY_SPEC[:2], ("o_orderdate", "o_orderdate", "date:yyyy-MM-dd")]
+    result = jobs.replay_job(spark, lake, "orders", spec, ["o_orderkey"], not_null=["o_orderkey"], as_of=dt.datetime(2024, 2, 1))
+    left = jobs.read_rejects(spark, lake, "orders").count()
+    silver = LoadLog(spark, lake.layer("silver", "orders")).read()
+    return silver.select(
+        "o_orderkey", "o_custkey", "o_orderdate", "load", F.lit(result.loaded).cast("long").alias("readmitted"),
+        F.lit(left).cast("long").alias("left_in_quarantine"),
+    )
+
+
+def q_profile_merged(spark, sf_dir):
+    """Three loads' profiles, taken by their writes, merged: exact counts and bounds, distinct values within 4 %."""
+    lake = jobs.Lake(scratch_path(spark, "profile_merged"))
+    loads = LoadLog(spark, lake.layer("silver", "orders"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", F.when(F.col("o_orderstatus") != "O", F.to_date("o_orderdate")).alias("closed")
+    )
+    for k in range(3):
+        part = orders.filter(F.pmod("o_orderkey", F.lit(3)) == k)
+        load = loads.begin()
+        n, found = profile.write_profiled(part, load.folder, part.columns)
+        profile.append_profile(spark, loads.base, load.number, found)
+        loads.commit(load, n, {}, part.schema)
+    merged = jobs.table_profile(spark, lake, "orders")
+    exact = orders.agg(*[F.count_distinct(F.col(c)).alias(c) for c in orders.columns])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in orders.columns])))
+    return merged.join(exact, "column").select(
+        "column", "rows", "nulls", F.coalesce(F.col("low_exact").cast("double"), "low_double").alias("low_number"),
+        F.coalesce(F.col("high_exact").cast("double"), "high_double").alias("high_number"), "low_text", "high_text",
+        (F.abs(F.col("distinct_estimate") - F.col("exact")) <= 0.04 * F.col("exact")).alias("estimate_holds"),
+    )
+
+
+def q_near_equal_names(spark, sf_dir):
+    """Parts whose names are near: each part with its name's representative, and the pairs of near representatives."""
+    part = table(spark, sf_dir, "part")
+    pairs = similar.near_pairs(part, "p_partkey", "p_name", similarity=0.5)
+    of = similar.members(part, "p_partkey", "p_name")
+    return of.select(F.lit("member").alias("kind"), F.col("p_partkey").alias("key"), F.col("node").alias("other"), F.lit(None).cast("int").alias("common"),
+                     F.lit(None).cast("int").alias("together")).unionByName(
+        pairs.select(F.lit("pair").alias("kind"), F.col("node").alias("key"), "other", "common", "together")
+    )
+
+
+def q_review_rerun(spark, sf_dir):
+    """Reviews of finished orders, then of all, then of all again: each distinct question is put to the model once."""
+    lake = jobs.Lake(scratch_path(spark, "review_rerun"))
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > REVIEW_PRICE)
+    runs = [orders.filter(F.col("o_orderstatus") == "F"), orders, orders]
+    question = "Is priority {o_orderpriority} usual for an order of status {o_orderstatus}?"
+    results = []
+    for rows in runs:
+        results.append(jobs.review_job(spark, lake, rows, "orders", "priority_review", ["o_orderkey"], question, enrich.digest_scorer))
+    log = read_log(spark, lake.system("ai_results"))
+    counted = log.groupBy("input_record", "ai_result").agg(F.count(F.lit(1)).alias("times"))
+    return counted.select("*", *[F.lit(r.calls).cast("long").alias(f"calls_{i}") for i, r in enumerate(results, 1)])
+
+
+def q_run_states_logged(spark, sf_dir):
+    """Jobs run through the run log: three that end well, and a gate that stops the fourth; state, rows and audit events of each."""
+    base = scratch_path(spark, "run_states")
+    lake = jobs.Lake(f"{base}/lake")
+    lake.create_logs(spark)
+    orders = table(spark, sf_dir, "orders")
+    write_source_files(orders.select(F.col("o_orderkey").cast("string"), F.col("o_orderstatus")), f"{base}/src", "csv")
+    spec = [("o_orderkey", "o_orderkey", "bigint"), ("o_orderstatus", "o_orderstatus", "string")]
+    source = {"o": jobs.SilverSource(lake.layer("bronze", "orders"))}
+
+    def silver(**gate):
+        return jobs.silver_job(spark, lake, "orders", source, spec, ["o_orderkey"], **gate).loaded
+
+    jobs.run_job(spark, lake, "bronze", "orders", lambda: jobs.bronze_job(spark, lake, "orders", f"{base}/src", "csv").rows)
+    with contextlib.suppress(quality.QualityError):
+        jobs.run_job(spark, lake, "silver", "gated", lambda: silver(required=["o_totalprice"]))
+    jobs.run_job(spark, lake, "silver", "orders", silver)
+    jobs.run_job(spark, lake, "silver", "idle", silver)
+    events = read_log(spark, lake.system("audit")).groupBy("run_id").agg(F.array_join(F.sort_array(F.collect_set("event")), ",").alias("events"))
+    states = jobs.run_states(spark, lake).join(events, "run_id")
+    return states.select("layer", "job_name", "status", "records", F.col("error").isNotNull().alias("has_error"), "events")
+
+
 ORDER_SNAPSHOT_SCHEMA = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate DATE, o_orderpriority STRING"
 )
@@ -497,7 +625,7 @@ def q_review_orders(spark, sf_dir):
     n = jobs.review_job(spark, lake, orders, "orders", "price_review", ["o_orderkey", "o_custkey", "o_orderstatus"],
                         ORDER_PROMPT, enrich.digest_scorer)
     log = read_log(spark, lake.system("ai_results"))
-    return log.select("table_name", "check_name", "input_record", "ai_result", F.lit(n).cast("long").alias("reviewed"))
+    return log.select("table_name", "check_name", "input_record", "ai_result", F.lit(n.reviewed).cast("long").alias("reviewed"))
 
 
 def q_enrich_csv(spark, sf_dir):
@@ -553,6 +681,12 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_blank_first_line": q_bronze_blank_first_line,
     "anti_join_pruned": q_anti_join_pruned,
     "scd2_touched_buckets": q_scd2_touched_buckets,
+    "fact_late_dimension": q_fact_late_dimension,
+    "quarantine_replay": q_quarantine_replay,
+    "profile_merged": q_profile_merged,
+    "near_equal_names": q_near_equal_names,
+    "review_rerun": q_review_rerun,
+    "run_states_logged": q_run_states_logged,
 }
 
 _CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS source_dir"
@@ -649,4 +783,47 @@ STREAM_ORACLE: dict[str, str] = {
         FROM d
         UNION ALL
         SELECT c_custkey, c_nationkey + 100, n.n + 1, TRUE, DATE '2024-02-01', CAST(NULL AS DATE), 1, 8 FROM d, n WHERE moved""",
+    "fact_late_dimension": """
+        WITH d AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey % 2 <> 0, c_custkey) AS customer_key FROM customer)
+        SELECT customer_key, o_orderkey, o_custkey AS c_custkey, o_totalprice, TIMESTAMP '2024-01-01 00:00:00' AS created_at,
+               CAST(0 AS BIGINT) AS second_run_rows
+        FROM orders LEFT JOIN d ON o_custkey = c_custkey""",
+    "quarantine_replay": """
+        WITH o AS (SELECT *, o_orderpriority = '5-LOW' AS late, o_orderstatus = 'F' AS done FROM orders)
+        SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+               CAST(CASE WHEN NOT late THEN 1 WHEN done THEN 2 ELSE 3 END AS BIGINT) AS load,
+               (SELECT count(*) FROM o WHERE late AND NOT done) AS readmitted, CAST(0 AS BIGINT) AS left_in_quarantine
+        FROM o""",
+    "profile_merged": """
+        WITH o AS (SELECT *, CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) END AS closed FROM orders)
+        SELECT 'o_orderkey' AS column, count(*) AS rows, count(*) - count(o_orderkey) AS nulls, min(o_orderkey)::DOUBLE AS low_number,
+               max(o_orderkey)::DOUBLE AS high_number, CAST(NULL AS VARCHAR) AS low_text, CAST(NULL AS VARCHAR) AS high_text,
+               TRUE AS estimate_holds FROM o
+        UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), min(o_custkey), max(o_custkey), NULL, NULL, TRUE FROM o
+        UNION ALL SELECT 'o_totalprice', count(*), count(*) - count(o_totalprice), min(o_totalprice), max(o_totalprice), NULL, NULL, TRUE FROM o
+        UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority), NULL, NULL, min(o_orderpriority), max(o_orderpriority), TRUE FROM o
+        UNION ALL SELECT 'closed', count(*), count(*) - count(closed), NULL, NULL, min(closed)::VARCHAR, max(closed)::VARCHAR, TRUE FROM o""",
+    "near_equal_names": """
+        WITH n AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) AS t FROM part),
+        r AS (SELECT t, min(p_partkey) AS node FROM n GROUP BY t),
+        g AS (SELECT node, list_distinct(list_transform(range(length(t) + 2), lambda i: substr(repeat(chr(1), 2) || t || repeat(chr(1), 2), CAST(i + 1 AS BIGINT), 3))) AS g FROM r),
+        p AS (SELECT a.node AS a, b.node AS b, len(list_intersect(a.g, b.g)) AS common, len(list_distinct(list_concat(a.g, b.g))) AS together
+              FROM g a JOIN g b ON a.node < b.node)
+        SELECT 'member' AS kind, p_partkey AS key, node AS other, CAST(NULL AS INTEGER) AS common, CAST(NULL AS INTEGER) AS together
+        FROM n JOIN r USING (t)
+        UNION ALL SELECT 'pair', a, b, CAST(common AS INTEGER), CAST(together AS INTEGER) FROM p WHERE common >= 0.5 * together""",
+    "review_rerun": f"""
+        WITH o AS (SELECT * FROM orders WHERE o_totalprice > {REVIEW_PRICE}),
+        q AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM o)
+        SELECT '{{"o_orderkey":' || o_orderkey || '}}' AS input_record,
+               sha256('Is priority ' || o_orderpriority || ' usual for an order of status ' || o_orderstatus || '?') AS ai_result,
+               CAST(CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 2 END AS BIGINT) AS times,
+               (SELECT count(*) FROM q WHERE o_orderstatus = 'F') AS calls_1,
+               (SELECT count(*) FROM q WHERE o_orderstatus <> 'F') AS calls_2, CAST(0 AS BIGINT) AS calls_3
+        FROM o""",
+    "run_states_logged": """
+        SELECT 'bronze' AS layer, 'orders' AS job_name, 'SUCCESS' AS status, count(*) AS records, FALSE AS has_error, 'END,START' AS events FROM orders
+        UNION ALL SELECT 'silver', 'gated', 'FAILED', 0, TRUE, 'ERROR,START'
+        UNION ALL SELECT 'silver', 'orders', 'SUCCESS', count(*), FALSE, 'END,START' FROM orders
+        UNION ALL SELECT 'silver', 'idle', 'SUCCESS', 0, FALSE, 'END,START'""",
 }

@@ -92,12 +92,12 @@ class CommitLog:
             number += 1
         return number
 
-    def commit(self, base: dict | None, number: int, entry: Mapping, drop: Iterable[int] = ()) -> None:
-        """Add an entry after ``base``; numbers passed over (claimed, but never committed) and those in ``drop`` are dropped."""
+    def commit(self, base: dict | None, number: int, entry: Mapping) -> None:
+        """Add an entry after ``base``; numbers passed over (claimed, but never committed) are dropped."""
         before = 0 if base is None else base["number"]
         if number < before:
             raise ConcurrentWriteError(f"{self.path}: {before} was committed after {number} was claimed")
-        dropped = {*(() if base is None else base["dropped"]), *range(before + 1, number), *drop}
+        dropped = {*(() if base is None else base["dropped"]), *range(before + 1, number)}
         row = {
             **entry, "number": number, "dropped": sorted(dropped),
             "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
@@ -291,7 +291,8 @@ class LoadLog:
     sources, so the data, the log and the progress commit as one. Readers filter the
     partition column by number: no list of loads, no join, and a reader that wants the
     loads after some number opens only those. Loads may be laid out in further
-    partition columns, which readers can filter and do not see. ``state`` holds what the
+    partition columns, which readers can filter and do not see; a later load may
+    replace the rows of earlier ones whose such column is 1. ``state`` holds what the
     table's jobs carry from load to load.
     """
 
@@ -318,20 +319,22 @@ class LoadLog:
 
     def commit(
         self, load: Load, rows: int, positions: Mapping[str, int], schema: T.StructType,
-        partitions: Sequence[str] = (), state: Mapping | None = None, drop: Iterable[int] = (),
+        partitions: Sequence[str] = (), state: Mapping | None = None, replaced: Mapping[str, Iterable[int]] | None = None,
     ) -> None:
         """Make a written load visible; its positions and columns are added to those before.
 
-        ``drop``: earlier loads that this one replaces.
+        ``replaced``: by partition column, earlier loads whose rows with 1 there are in this one.
         """
-        base = load.base or {"positions": {}, "schema": None, "partitions": [], "state": {}}
+        base = load.base or {"positions": {}, "schema": None, "partitions": [], "state": {}, "replaced": {}}
+        gone = {c: sorted({*base["replaced"].get(c, ()), *n}) for c, n in {**base["replaced"], **(replaced or {})}.items()}
         known = None if base["schema"] is None else T.StructType.fromJson(json.loads(base["schema"]))
         fields = T.StructType([f for f in schema.fields if f.name not in partitions])
         entry = {
             "rows": int(rows), "positions": {**base["positions"], **positions}, "schema": widen(known, fields).json(),
             "partitions": list(dict.fromkeys([*base["partitions"], *partitions])), "state": {**base["state"], **(state or {})},
+            "replaced": gone,
         }
-        self.log.commit(load.base, load.number, entry, drop)
+        self.log.commit(load.base, load.number, entry)
 
     def read(self, after: int | None = None, last: dict | None = None, where: Column | None = None) -> DataFrame | None:
         """Rows of committed loads (with their ``load`` number), of those after ``after`` only if it is given.
@@ -347,4 +350,7 @@ class LoadLog:
         parts = [T.StructField(c, T.LongType()) for c in ("load", *hidden)]
         df = self.spark.read.schema(T.StructType([*fields, *parts])).parquet(self.base)
         df = df.filter(visible("load", last, after))
+        for column, numbers in last["replaced"].items():
+            if numbers:
+                df = df.filter(~(F.col("load").isin(numbers) & (F.col(column) == 1)))
         return (df if where is None else df.filter(where)).drop(*hidden)
