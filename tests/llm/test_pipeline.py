@@ -39,7 +39,7 @@ def test_stages_against_their_parts(spark, sf, documents):
     for k, r in kept["byte_bpe"].items():
         text = kept["pii"][k].text
         ids = coder.encode(text)
-        assert (r.n_tokens, r.ids_sha256) == (len(ids) // 4, hashlib.sha256(ids).hexdigest())
+        assert (r.n_tokens, r.ids_sha256) == (len(ids) // 4, hashlib.sha256(ids).hexdigest()) and bytes(r.ids) == ids
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert set(kept["byte_bpe"]) == set(kept["decontam"])
 

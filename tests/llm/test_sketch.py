@@ -88,3 +88,40 @@ def test_estimates_and_merging(spark):
     merged = sketch.merge_parts(parts.select("g", sketch.sketch("text").alias("sketch")), ["g"]).first()
     whole = sorted(set().union(*(shingles(" ".join(words[i : i + 404])) for i in range(0, 2600, 400))))[: sketch.K]
     assert [(v ^ (1 << 63)) & ((1 << 64) - 1) if v >= 0 else v + (1 << 63) for v in merged.sketch] == whole
+
+
+def followers(rows):
+    """(key, text) -> texts that may follow, brute force over the whole order (null keys last, equal keys by hash)."""
+    flip = lambda t: int.from_bytes(xxhash.xxh64(t.encode(), 42).digest(), "big", signed=True)
+    order = sorted(((k is not None, k or type(k)() if k is not None else 0, flip(t or ""), t or "", k) for k, t in rows), key=lambda r: r[:3], reverse=True)
+    return sorted((r[4] is None, r[4], r[3], order[(i + 1) % len(order)][3]) for i, r in enumerate(order))
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "date"])
+@pytest.mark.parametrize("rows_per_group", [2000, 3])
+def test_any_key_repeated_and_null(spark, monkeypatch, kind, rows_per_group):
+    """A third of the rows without a key, a third with one key: their texts part them; keys of any type."""
+    import datetime as dt
+
+    monkeypatch.setattr(sketch, "GROUP_ROWS", rows_per_group)
+    make = {"string": lambda i: f"k{i}", "long": lambda i: i - 50, "date": lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)}[kind]
+    rows = [(None, f"null {i}") for i in range(40)] + [(make(7), f"same {i}") for i in range(40)] + [(make(i), f"own {i}") for i in range(40)]
+    rows += [(make(7), "same 3"), (make(3), None)]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(5)
+    got = sketch.with_next_sketch(df)
+    found = sorted((r.doc_id is None, r.doc_id, r.text, r.next_text) for r in got.collect() if r.doc_id is not None)
+    assert found == [f for f in followers(rows) if not f[0]]
+    assert sorted(r.next_text for r in got.filter("doc_id IS NULL").collect()) == sorted(f[3] for f in followers(rows) if f[0])
+
+
+def test_hot_keys_are_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(sketch, "GROUP_ROWS", 10)
+    docs = spark.range(400).select(F.when(F.col("id") % 2 == 0, 7).alias("__k"), F.concat(F.lit("t"), "id").alias("__t"))
+    placed, groups = sketch._grouped(docs.withColumn("__h", F.xxhash64("__t")))
+    sizes = [r["count"] for r in placed.groupBy("__g").count().collect()]
+    assert groups == len(sizes) == 40 and max(sizes) == 10 and placed.filter("__last").count() == 40
+
+
+def test_no_step_sees_all_rows(spark, sf):
+    plan = queries.QUERIES["op8_bottom_k"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "windowspecdefinition(" in plan

@@ -311,11 +311,14 @@ def encode_documents(df: DataFrame, vocabulary: str, pattern: str, text: str = "
     return df.mapInArrow(run, schema)
 
 
-def document_digests(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def document_digests(
+    df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
     """Key, token count, and digests of the ids and of the bytes decoded from them.
 
     The digests are taken in the task that encodes, so neither ids nor decoded
-    bytes leave the worker. Same defined results as :func:`encode_documents`.
+    bytes leave the worker, but for the ids (binary, little-endian u32) if they are
+    asked for. Same defined results as :func:`encode_documents`.
     """
     check_pattern_context(pattern)
     spark = df.sparkSession
@@ -328,6 +331,7 @@ def document_digests(df: DataFrame, vocabulary: str, pattern: str, key: str = "d
             T.StructField("n_tokens", T.LongType()),
             T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()),
+            *([T.StructField("ids", T.BinaryType())] if with_ids else []),
         ]
     )
 
@@ -336,12 +340,14 @@ def document_digests(df: DataFrame, vocabulary: str, pattern: str, key: str = "d
         for batch in batches:
             for part in slices(batch, 1024):
                 counts, digests, back = [], [], []
-                for ids in bpe.encode_many([t or "" for t in part.column(1).to_pylist()]):
+                encoded = bpe.encode_many([t or "" for t in part.column(1).to_pylist()])
+                for ids in encoded:
                     counts.append(len(ids) // 4)
                     digests.append(hashlib.sha256(ids).hexdigest())
                     back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())],
+                    [part.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())]
+                    + ([pa.array(encoded, pa.binary())] if with_ids else []),
                     names=schema.names,
                 )
 

@@ -13,18 +13,20 @@ unsigned numbers by flipping the sign bit.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import text_or_empty
+from tierline.llm.common import staged, text_or_empty
+from tierline.operators.keys import assign_keys
 
 SHINGLE_WORDS = 5
 K = 128
-#: Documents that one neighbour group holds, about.
+#: Documents that one neighbour group holds, until there would be more than so many groups.
 GROUP_ROWS = 2000
-#: Quantiles of the key that bound the coarse ranges.
-RANGES = 256
-#: Most groups whose first keys (a few dozen bytes each) are broadcast.
+MOST_GROUPS = 1 << 20
+#: Most groups whose last keys (a few dozen bytes each) are broadcast; beyond it that join shuffles.
 BROADCAST_GROUPS = 200_000
 
 
@@ -117,53 +119,71 @@ def merge_parts(df: DataFrame, keys: list[str], column: str = "sketch", k: int =
 # ---------------------------------------------------------------- neighbours
 
 
-def _descending_groups(docs: DataFrame) -> tuple[Column, int]:
-    """(group number of a row, most groups): contiguous key ranges, largest keys first, nulls last."""
-    number = F.col("__k").cast("double")
-    share = [i / RANGES for i in range(RANGES + 1)]
-    found = docs.agg(F.percentile_approx(number, share, 10 * RANGES).alias("q"), F.count("*").alias("n")).first()
-    bounds = [float(b) for b in sorted(set(found["q"] or []))]
-    ranges = len(bounds) - 1
-    if ranges < 1:
-        return F.when(F.col("__k").isNull(), 1).otherwise(0).cast("long"), 2
-    cuts = max(1, -(-found["n"] // (GROUP_ROWS * ranges)))  # even cuts of one range
-    low, high = (F.array(*map(F.lit, side)) for side in (bounds[:-1], bounds[1:]))
-    at = F.greatest(F.size(F.filter(low, lambda b: b <= number)), F.lit(1))
-    width = F.element_at(high, at) - F.element_at(low, at)
-    inside = F.least(F.floor((number - F.element_at(low, at)) / width * cuts), F.lit(cuts - 1).cast("long"))
-    upward = F.greatest((at - 1) * cuts + inside, F.lit(0).cast("long"))
-    return F.when(F.col("__k").isNull(), ranges * cuts).otherwise(ranges * cuts - 1 - upward).cast("long"), ranges * cuts + 1
+def _order() -> Column:
+    """What rows are ordered by: the key (of any type that has an order; null first), then the text's hash."""
+    return F.struct("__k", "__h")
+
+
+def _cuts(docs: DataFrame) -> tuple[DataFrame, int]:
+    """((number, cut) of every group's last row in ascending order, how many), from the narrow rows alone.
+
+    The rows are numbered in order without any step that sees them all; every
+    ``GROUP_ROWS``-th row and the last one are cuts.
+    """
+    numbered = assign_keys(docs.select("__k", "__h"), ["__k", "__h"], "__n")
+    rows = numbered.agg(F.max("__n")).first()[0] or 0
+    size = max(GROUP_ROWS, -(-rows // MOST_GROUPS))
+    last = (F.col("__n") % size == 0) | (F.col("__n") == rows)
+    cuts = numbered.filter(last).select(F.ceil(F.col("__n") / size).cast("long").alias("__j"), _order().alias("__cut"))
+    return staged(cuts.select((F.col("__j") - 1).alias("__j"), "__cut"), "group-cuts"), -(-rows // size)
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The rows with their group's number ``__g`` and whether they are its last row, and how many groups there are.
+
+    A group's number is how many cuts lie before the row, found in two steps: among
+    the last cuts of blocks of cuts (literals), then among the block's own cuts.
+    """
+    cuts, groups = _cuts(docs)
+    fan = max(1, math.isqrt(max(groups, 1) - 1) + 1)
+    blocks = cuts.groupBy(F.floor(F.col("__j") / fan).cast("int").alias("__block")).agg(
+        F.sort_array(F.collect_list("__cut")).alias("__own")
+    )  # at most the root of the number of groups in a row
+    blocks = staged(blocks, "cut-blocks")
+    ends = blocks.select("__block", F.element_at("__own", -1).alias("__end")).orderBy("__block").collect()
+    kind = docs.schema["__k"].dataType
+    known = F.array(*(F.struct(F.lit(r["__end"]["__k"]).cast(kind).alias("__k"), F.lit(r["__end"]["__h"]).alias("__h")) for r in ends))
+    rows = docs.withColumn("__o", _order())
+    rows = rows.withColumn("__b", F.size(F.filter(known, lambda c: c < F.col("__o"))) if ends else F.lit(0))
+    rows = rows.join(F.broadcast(blocks) if groups <= BROADCAST_GROUPS else blocks, F.col("__b") == F.col("__block"))
+    rows = rows.withColumn("__in", F.size(F.filter("__own", lambda c: c < F.col("__o"))))
+    return rows.select(
+        "__k", "__t", "__h", (F.col("__b") * fan + F.col("__in")).alias("__g"),
+        (F.element_at("__own", F.col("__in") + 1) == F.col("__o")).alias("__last"),
+    ), groups
 
 
 def with_next_sketch(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
     """(key, text, next_text, sketch, next_sketch) of each row and its follower in descending key order.
 
-    The last row is followed by the first. Rows go to contiguous key ranges of
-    about ``GROUP_ROWS`` rows, and a range's first row also to the range before
-    it, so one shuffle of the texts and one sort give every follower; no step sees
-    the whole order. Ranges come from quantiles of the key, each cut evenly.
-    Defined results: a null text counts as empty; equal keys follow one another by
-    their texts' hash; null keys come last; a single row follows itself; an empty
-    table gives no rows.
+    The last row is followed by the first. Rows go to contiguous ranges of
+    about ``GROUP_ROWS`` rows, and a range's last row in ascending order also to the range
+    after it, so one shuffle of the texts and one sort give every follower; no step sees
+    the whole order. Ranges are cut by key and text together, so many rows of one key, or
+    without key, are many ranges; only rows equal in both share one.
+    Defined results: keys are of any type with an order; a null text counts as empty;
+    equal keys follow one another by their texts' hash; null keys come last; a single
+    row follows itself; an empty table gives no rows.
     """
-    docs = df.select(F.col(key).alias("__k"), text_or_empty(text).alias("__t"))
-    group, most = _descending_groups(docs)
-    firsts = docs.groupBy(group.alias("__g")).agg(F.max("__k").alias("__first"))  # one row a range
-    whole = Window.orderBy("__g")
-    firsts = firsts.select(
-        F.col("__g").alias("__fg"),
-        "__first",
-        F.coalesce(F.lag("__g").over(whole), F.max("__g").over(Window.partitionBy())).alias("__before"),
-    )
-    docs = docs.withColumn("__g", group)
-    docs = docs.join(F.broadcast(firsts) if most <= BROADCAST_GROUPS else firsts, F.col("__g") == F.col("__fg"))
+    docs = df.select(F.col(f"`{key}`").alias("__k"), text_or_empty(F.col(f"`{text}`")).alias("__t")).withColumn("__h", F.xxhash64("__t"))
+    docs, groups = _grouped(docs)
     own = F.struct(F.col("__g").alias("g"), F.lit(False).alias("copy"))
-    ahead = F.struct(F.col("__before").alias("g"), F.lit(True).alias("copy"))
-    places = F.when(F.col("__k").eqNullSafe(F.col("__first")), F.array(own, ahead)).otherwise(F.array(own))
-    rows = docs.select("__k", "__t", F.xxhash64("__t").alias("__h"), F.inline(places).alias("__at", "__copy"))
-    order = Window.partitionBy("__at").orderBy("__copy", F.col("__k").desc_nulls_last(), F.col("__h").desc())
-    rows = rows.withColumn("__next", F.lead("__t").over(order)).withColumn("__s", sketch("__t", k))
-    rows = rows.withColumn("__next_s", F.lead("__s").over(order)).filter(~F.col("__copy"))
+    ahead = F.struct(F.pmod(F.col("__g") + 1, F.lit(max(groups, 1))).alias("g"), F.lit(True).alias("copy"))
+    places = F.when(F.col("__last"), F.array(own, ahead)).otherwise(F.array(own))
+    rows = docs.select("__k", "__t", "__h", F.inline(places).alias("__at", "__copy"))
+    order = Window.partitionBy("__at").orderBy(F.col("__copy").desc(), F.col("__k").asc_nulls_first(), "__h")
+    rows = rows.withColumn("__next", F.lag("__t").over(order)).withColumn("__s", sketch("__t", k))
+    rows = rows.withColumn("__next_s", F.lag("__s").over(order)).filter(~F.col("__copy"))
     return rows.select(
         F.col("__k").alias(key),
         F.col("__t").alias(text),
