@@ -153,3 +153,36 @@ def test_copies_and_shared_passages_stay(spark, monkeypatch):
         for i in range(9):
             kept = f"Story {i} tells about topic{i} and{i}\nIts second part{i} has facts{i} own{i}"
             assert got[100 + i] == kept + ("\nA passage that two documents of the host quote word by word" if i < 2 else "")
+
+
+def texts_of(page):
+    return [t for z, t in html_text.blocks_of(page) if z in (html_text.ARTICLE, html_text.DOUBT)]
+
+
+PROSE = "This part of the story is long enough to be read as prose by anyone who opens the page and it goes on for many more words than any box of links or any notice would ever have, which is what tells the two apart in the end."
+
+
+def test_boxes_named_by_one_chrome_word_inside_the_article():
+    names = ['class="comment"', 'class="menu"', 'class="notice"', 'class="footer"', 'class="share"', 'class="promo"', 'class="related"',
+             'id="comment-12"', 'class="reply depth-2"']
+    for name in names:
+        page = f"<article><h1>Head</h1><p>{PROSE}</p><div {name}><p>Not the article</p></div><p>End</p></article>"
+        assert texts_of(page) == ["Head", PROSE, "End"], name
+        assert texts_of(page.replace("div", "ul")) == ["Head", PROSE, "End"], name
+    links = " ".join(f'<a href="/{i}">A story of more than a few words here</a>' for i in range(9))
+    assert texts_of(f'<article><p>One</p><div class="related">{links}</div></article>') == ["One"]
+    # prose in a box of that name is the article's, what readers wrote never is
+    assert texts_of(f'<article><h1>Head</h1><div class="menu"><p>{PROSE}</p></div></article>') == ["Head", PROSE]
+    assert texts_of(f'<article><h1>Head</h1><div class="comment"><p>{PROSE}</p></div></article>') == ["Head"]
+    # inline elements, headings and sections of such a name stay
+    assert texts_of('<article><p>a <span class="comment"># b</span></p><h2 id="discussion">Discussion</h2></article>') == ["a # b", "Discussion"]
+
+
+def test_nested_and_sibling_articles():
+    main = f"<article><h1>Head</h1><p>{PROSE}</p>%s</article>"
+    assert texts_of(main % '<article class="comment"><p>Nice post</p></article>') == ["Head", PROSE]
+    assert texts_of(main % "<article><p>Nested part</p></article>") == ["Head", PROSE, "Nested part"]
+    teaser = '<article class="teaser"><h2>Other</h2><p>Read more</p></article>'
+    assert texts_of(f"<main>{teaser}{main % ''}{teaser}</main>") == ["Head", PROSE]
+    both = "<article><p>First post of the day</p></article><article><p>Second post of it</p></article>"
+    assert texts_of(both) == ["First post of the day", "Second post of it"]

@@ -77,3 +77,26 @@ def test_sites_under_a_public_suffix_are_apart(spark):
     df = spark.createDataFrame(hosts, "host string, n long, bad long")
     found = {r.host: r.mean for r in url_reputation.reputations(df, url_reputation.PUBLIC_SUFFIXES).collect()}
     assert found["new.bad.co.uk"] > 0.7 > 0.3 > found["new.good.co.uk"]
+
+
+def test_query_on_public_suffixes_and_odd_pages(spark, tmp_path):
+    """Repeated rows, very long urls, clashing names, sites under public suffixes: as the SQL says."""
+    path = f"file://{tmp_path}"
+    urls = [f"https://h{i % 3}.{'bad' if i % 2 else 'good'}.co.uk/en/{i}" for i in range(60)] + [f"http://x{i}.github.io/fr/{i}" for i in range(60, 70)]
+    urls += ["http://long.example.net/" + "a/" * 50000, "http://" + "l." * 500 + "example.com/de/1", None, "", "no scheme", "http://co.uk/en/3"]
+    rows = [(i, u, "<p>", "h", "p", "r") for i, u in enumerate(urls)]
+    schema = "page_id long, url string, html string, host string, path string, bad string"
+    spark.createDataFrame(rows + rows[:30], schema).write.parquet(f"{path}/pages.parquet")
+    labels = [(i, 0 if i % 2 else 1, 0) for i in range(70)] + [(1, None, None), (3, 0, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    name = "op1_url_reputation"
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert compare(spark, con, name, queries.QUERIES[name], queries.ORACLE[name], path)[0] == []
+    got = queries.QUERIES[name](spark, path)
+    assert got.count() == len(rows) + 30 and got.columns == ["page_id", "host", "path", "rule", "verdict"]
+    verdicts = {r.host: r.verdict for r in got.collect()}
+    assert verdicts["h1.bad.co.uk"] == "block" and verdicts["h0.good.co.uk"] == "allow"

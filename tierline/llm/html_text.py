@@ -4,8 +4,11 @@ A page is read into blocks (text between block-level tags, character references
 decoded, white space collapsed), each in one of three zones: inside the article,
 in marked chrome (menus, headers, footers, sidebars, notices, adverts, forms,
 comments, hidden parts), or open. Scripts, styles and the head give no blocks.
-Inside an article only names that are chrome as a whole mark chrome; where a name
-merely holds such a word, the block goes only if it is host boilerplate.
+Inside an article, what readers wrote and names that are chrome as a whole are chrome; a
+box (no section, heading or paragraph) named by one chrome word is, unless it holds prose (a block of ``PROSE_WORDS``
+words, few of them links); where a name merely holds such a word, the block goes only
+if it is host boilerplate. Of several articles, those under ``SIBLING_SHARE`` of the
+longest one's text are teasers.
 
 The token streams of a host's pages outside their articles are concatenated and
 their suffixes sorted by prefix doubling; a run of ``REPEAT_TOKENS`` tokens or more
@@ -38,6 +41,8 @@ import math
 import re
 from collections.abc import Iterator
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -55,7 +60,12 @@ REPEAT_SHARE = 0.5
 PART_BYTES = 8 << 20
 #: Most hosts of several parts (some 50 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 500_000
-ARTICLE, OPEN, CHROME, LAYOUT, DOUBT = 0, 1, 2, 3, 4
+ARTICLE, OPEN, CHROME, LAYOUT, DOUBT, NAMED = 0, 1, 2, 3, 4, 5
+#: A block that is prose: words, and the share of its characters that may be in links.
+PROSE_WORDS = 40
+PROSE_LINKS = 1 / 3
+#: Articles beside the longest one that have less than this share of its text are teasers.
+SIBLING_SHARE = 0.5
 
 # Skipped elements end at their end tag; without one, where the page's structure goes on.
 _EDGE = r"</?(?:article|main|head|body|html)(?=[\s/>])"
@@ -88,6 +98,8 @@ CHROME_WORDS = frozenset(
     " social related recommended pagination pager widget toolbar copyright disclaimer".split()
 )
 HEADER_NAMES = frozenset(("header",))
+ARTICLE_PARTS = frozenset("section h1 h2 h3 h4 h5 h6 p figure blockquote".split())
+READER_WORDS = frozenset("comment comments reply replies respond disqus".split())
 #: Chrome words that also name the layout around an article, as in ``has-sidebar``.
 LAYOUT_WORDS = frozenset("sidebar nav navbar navigation menu header footer widget banner ad ads topbar".split())
 #: Inside an article: names that are chrome by themselves, and what may stand beside a chrome word in one name.
@@ -101,15 +113,27 @@ BESIDE_CHROME = frozenset(
 )
 
 
-def _article_zone(names: str) -> int:
-    """Zone of an element inside an article by its class and id: each name counts as a whole."""
+def _article_zone(names: str, tag: str) -> int:
+    """Zone of an element inside an article by its class and id: each name counts as a whole.
+
+    What readers wrote is chrome, and so are names of chrome alone. A block element named by
+    one chrome word is judged by its text (``NAMED``); names that merely hold such a
+    word stay in doubt, as do the article's own parts (sections, headings, paragraphs).
+    """
     zone = ARTICLE
+    box = tag not in INLINE and tag not in ARTICLE_PARTS
     for name in names.split():
         parts = set(re.split(r"[^a-z0-9]+", name)) - {""}
         words = parts & CHROME_WORDS
+        core = {p for p in parts if not p.isdigit()}
+        if box and core & READER_WORDS and core <= READER_WORDS | BESIDE_CHROME:
+            return CHROME
+        if box and len(core) == 1 and words - HEADER_NAMES:
+            zone = NAMED
+            continue
         if name in ARTICLE_CHROME or len(parts) > 1 and words - HEADER_NAMES and parts <= CHROME_WORDS | BESIDE_CHROME:
             return CHROME
-        if words - HEADER_NAMES:
+        if words - HEADER_NAMES and zone != NAMED and tag not in INLINE:  # words inside a paragraph are the paragraph's
             zone = DOUBT
     return zone
 
@@ -132,7 +156,7 @@ def _zone_of(tag: str, raw: str, zone: int, in_article: bool) -> tuple[int, bool
     if role in CHROME_ROLES or hidden or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         return CHROME, in_article
     if in_article:  # an article's own header holds its heading
-        named = _article_zone(names) if words else ARTICLE
+        named = _article_zone(names, tag) if words else ARTICLE
         return (zone if named == ARTICLE else named), True
     if words and tag not in ("body", "html", "main"):
         return (LAYOUT if words <= LAYOUT_WORDS else CHROME), in_article
@@ -145,27 +169,32 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
     """(zone, text) of the page's blocks in order; an article inside ``main`` makes the rest of ``main`` open."""
     if not page:
         return []
-    out: list[tuple[int, str, bool]] = []
+    out: list[_Block] = []
     text: list[str] = []
-    stack: list[tuple[str, int, bool, bool]] = []  # tag and what holds outside it
-    zone, in_article, real = OPEN, False, False
+    stack: list[tuple[str, int, bool, int, int]] = []  # tag and what holds outside it
+    zone, in_article, real, mark = OPEN, False, 0, 0
+    anchors, linked, marks, articles = 0, 0, 0, 0
     at = 0
 
     def flush() -> None:
+        nonlocal linked
         if text:
             words = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if words:
-                out.append((zone, words, real))
+                out.append(_Block(zone, words, real, mark, linked))
             text.clear()
+        linked = 0
 
     def close(depth: int) -> None:
-        nonlocal zone, in_article, real
-        _, zone, in_article, real = stack[depth]
+        nonlocal zone, in_article, real, mark, anchors
+        _, zone, in_article, real, mark = stack[depth]
+        anchors -= sum(s[0] == "a" for s in stack[depth:])
         del stack[depth:]
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             text.append(page[at : m.start()])
+            linked += (m.start() - at) * (anchors > 0)
         at = m.end()
         tag = m.group("tag")
         if tag is None:
@@ -201,14 +230,48 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
         inner, inside = _zone_of(tag, m.group("attrs"), zone, in_article)
         if inner != zone:
             flush()
-        stack.append((tag, zone, in_article, real))
-        real = real or tag == "article"
+        stack.append((tag, zone, in_article, real, mark))
+        anchors += tag == "a"
+        if tag == "article" and not real:
+            articles += 1
+            real = articles
+        if inner == NAMED and zone != NAMED:
+            marks += 1
+            mark = marks
         zone, in_article = inner, inside
     text.append(page[at:])
     flush()
-    if any(z in (ARTICLE, DOUBT) and article for z, _, article in out):
-        out = [(OPEN if z in (ARTICLE, DOUBT) and not article else z, words, article) for z, words, article in out]
-    return [(CHROME if z == LAYOUT else z, words) for z, words, _ in out]
+    return _judged(out)
+
+
+class _Block(NamedTuple):
+    zone: int
+    text: str
+    article: int  # number of the outermost article element around it, or 0
+    mark: int  # number of the element in NAMED zone around it, or 0
+    linked: int  # characters in links
+
+    def is_prose(self) -> bool:
+        return len(self.text.split()) >= PROSE_WORDS and self.linked < PROSE_LINKS * len(self.text)
+
+
+def _judged(blocks: list[_Block]) -> list[tuple[int, str]]:
+    """(zone, text): elements named by one chrome word are the article's where they hold prose; of several articles
+    the short ones are teasers; an article inside ``main`` makes the rest of ``main`` open."""
+    prose = {b.mark for b in blocks if b.zone == NAMED and b.is_prose()}
+    blocks = [b._replace(zone=ARTICLE if b.mark in prose else CHROME) if b.zone == NAMED else b for b in blocks]
+    sizes: dict[int, int] = {}
+    for b in blocks:
+        if b.article and b.zone in (ARTICLE, DOUBT):
+            sizes[b.article] = sizes.get(b.article, 0) + len(b.text)
+    least = SIBLING_SHARE * max(sizes.values(), default=0)
+    out = []
+    for b in blocks:
+        zone = CHROME if b.zone == LAYOUT else b.zone
+        if zone in (ARTICLE, DOUBT) and sizes:
+            zone = OPEN if not b.article else CHROME if sizes[b.article] < least else zone
+        out.append((zone, b.text))
+    return out
 
 
 # ---------------------------------------------------------------- suffix arrays

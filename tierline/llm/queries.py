@@ -158,6 +158,15 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _suffix_labels_sql() -> str:
+    """Number of labels of the host's longest public suffix; one where none of the list fits."""
+    cases = []
+    for k in sorted({s.count(".") + 1 for s in url_reputation.PUBLIC_SUFFIXES}, reverse=True):
+        names = ", ".join(f"'{s}'" for s in sorted(url_reputation.PUBLIC_SUFFIXES) if s.count(".") + 1 == k)
+        cases.append(f"WHEN array_to_string(list_slice(l, -{k}, -1), '.') IN ({names}) THEN {k}")
+    return f"CASE {' '.join(cases)} ELSE 1 END"
+
+
 ORACLE["op1_url_reputation"] = """
 WITH cut AS (
   SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
@@ -174,11 +183,11 @@ WITH cut AS (
 ), hosts AS (
   SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad
   FROM (SELECT host, bad FROM outcome UNION ALL SELECT host, NULL FROM p) GROUP BY host
+), cut_hosts AS (
+  SELECT *, string_split(host, '.') AS l FROM hosts
 ), h AS (
-  SELECT host, n, bad, CASE WHEN length(host) - length(replace(host, '.', '')) >= 2
-                            THEN regexp_extract(host, '[^.]*[.][^.]*$', 0) ELSE host END AS domain,
-         regexp_extract(host, '[^.]*$', 0) AS suffix
-  FROM hosts
+  SELECT host, n, bad, array_to_string(list_slice(l, -(k + 1), -1), '.') AS domain, array_to_string(list_slice(l, -k, -1), '.') AS suffix
+  FROM (SELECT *, @labels@ AS k FROM cut_hosts)
 ), top AS (SELECT (coalesce(sum(bad), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS m FROM h),
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(top.m) AS prior FROM h, top GROUP BY suffix),
 s1 AS (SELECT coalesce(sum(CASE WHEN n > 1 THEN n * pow(bad / n - prior, 2) - prior * (1 - prior) END)
@@ -210,7 +219,7 @@ SELECT page_id, host, path, rule,
                  WHEN 'com/fr/' THEN 'allow' WHEN 'com/de/' THEN 'block'
                  ELSE CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END END AS verdict
 FROM r
-"""
+""".replace("@labels@", _suffix_labels_sql())
 
 
 @query

@@ -13,7 +13,9 @@ The suffix is the longest of a list of public suffixes that the host ends with,
 its last label; the registered domain is the suffix with one more label. The list is
 a parameter of :func:`reputations`, as literals of a SQL expression.
 
-Defined results: urls that are null or without ``://`` have an empty host and path
+Defined results: repeated rows are judged one by one, and a label counts as often as its row
+is there; columns of the pages beside key and url are left out, whatever their names;
+long urls are cut like any other. Urls that are null or without ``://`` have an empty host and path
 and the reputation of unlabelled hosts; without any label nothing is blocked.
 """
 
@@ -25,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.llm.common import staged
+
 #: One-sided posterior bound in standard deviations (about 95 %), and the rate above which a host is blocked.
 Z = 1.645
 MOST_BAD = 0.5
@@ -132,11 +136,13 @@ def reputations(hosts: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     counts = hosts.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     host = F.col("host")
     counts = counts.withColumn("domain", registered_domain(host, suffixes)).withColumn("suffix", suffix(host, suffixes))
+    counts = staged(counts, "host-counts")  # one row a host; every level and strength comes from it
     a, b = TOP_PRIOR
     top = counts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + a) / (F.coalesce(F.sum("n"), F.lit(0)) + a + b)).alias("top"))
     suffixes = _posterior(_level(counts, "suffix", None).join(F.broadcast(top)), F.col("top"))
     suffixes = suffixes.select(F.col("suffix").alias("s"), F.col("mean").alias("suffix_mean"))
     domains = _level(counts, "domain", "suffix").join(suffixes, F.col("suffix") == F.col("s"))
+    domains = staged(domains, "domain-counts")
     domains = _posterior(domains, F.col("suffix_mean")).select(F.col("domain").alias("d"), F.col("mean").alias("domain_mean"))
     members = counts.join(domains, F.col("domain") == F.col("d"))
     members = _posterior(members, F.col("domain_mean"))
