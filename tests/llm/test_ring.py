@@ -72,4 +72,4 @@ def test_few_keys_move_when_a_shard_is_added():
     before = ring.walk(positions, ring.ring_points(24), 24)
     after = ring.walk(positions, ring.ring_points(25), 25)
     moved = sum(a[0] != b[0] for a, b in zip(before, after, strict=True))
-    assert moved < 0.5 * len(positions)  # a modulus would move 96 %
+    assert moved < 0.1 * len(positions)  # 6.3 %; a modulus would move 96 %
