@@ -593,7 +593,7 @@ def q_department_two_runs(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("Department_id"), F.col("n_name").alias("Name"), "n_regionkey"
     )
-    first = F.col("n_regionkey") <= 1
+    first = F.coalesce(F.col("n_regionkey") <= 1, F.lit(False))
     spec = [("Department_id", "department_id", "int"), ("Name", "department_name", "string")]
     for part in (nations.filter(first), nations.filter(~first), None):
         if part is not None:
