@@ -47,14 +47,15 @@ def conform_with_rejects(
     names the columns. Both outputs come from one projection that keeps the raw
     values alongside, so the source is scanned once per consumer.
     """
-    raw_cols = [F.col(f"`{src}`").alias(f"_tl_raw_{src}") for src, _, _ in spec]
+    raw = list(dict.fromkeys(src for src, _, _ in spec))  # a raw column may feed several targets
+    raw_cols = [F.col(f"`{src}`").alias(f"_tl_raw_{src}") for src in raw]
     staged = df.select(*[F.col(f"`{c}`") for c in df.columns], *raw_cols)
-    conformed = conform(staged, spec, keep=[*keep, *[f"_tl_raw_{src}" for src, _, _ in spec]])
+    conformed = conform(staged, spec, keep=[*keep, *[f"_tl_raw_{src}" for src in raw]])
     flagged = conformed.withColumn("_tl_failed", cast_failures(spec, raw_prefix="_tl_raw_"))
     out_cols = [dst for _, dst, _ in spec] + list(keep)
     valid = flagged.filter(F.size("_tl_failed") == 0).select(*out_cols)
     rejected = flagged.filter(F.size("_tl_failed") > 0).select(
-        *[F.col(f"_tl_raw_{src}").alias(src) for src, _, _ in spec],
+        *[F.col(f"_tl_raw_{src}").alias(src) for src in raw],
         *keep,
         F.concat(F.lit("Invalid value: "), F.array_join("_tl_failed", ", ")).alias("reject_reason"),
     )
