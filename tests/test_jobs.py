@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tierline.plans import jobs
 from tierline.operators import keybuckets, quality
-from tierline.sources.files import list_names, publish, read_text
-from tierline.sources.tables import ConcurrentWriteError, DimensionStore, LoadLog, VersionedTable, append_rows, read_log, write_observed
+from tierline.session import ensure_checkpoint_dir
+from tierline.sources.files import list_folders, list_names, publish, read_text
+from tierline.sources.tables import CommitLog, ConcurrentWriteError, DimensionStore, LoadLog, VersionedTable, append_rows, compact_log, ensure_log, read_log, write_observed
 from tierline.streaming.bronze import BronzeTable, commit_log, ingest_files, read_bronze
 from tierline.streaming.registry import DatasetRegistry
 
@@ -744,3 +745,95 @@ def test_replay_of_quarantine(spark, workdir):
     assert jobs.replay_job(spark, lake, "employee", SPEC, KEYS).loaded == 0
     report = {r["column"]: r for r in jobs.table_profile(spark, lake, "employee").collect()}
     assert report["employee_id"]["rows"] == 5 and report["end_date"]["nulls"] == 5 and report["employee_id"]["distinct_estimate"] == 5
+
+
+def test_log_compaction_loses_and_repeats_nothing(spark, workdir, monkeypatch):
+    path = f"{workdir}/log"
+
+    def add(*values):
+        append_rows(spark.createDataFrame([(v,) for v in values], "x long").coalesce(1), path)
+
+    def rows():
+        return sorted(r.x for r in read_log(spark, path).collect())
+
+    assert compact_log(spark, path) == 0  # no log yet
+    ensure_log(spark, path, spark.range(0).selectExpr("id AS x").schema)
+    add(1), add(2, 2), add(3)
+    assert compact_log(spark, path) == 4 and rows() == [1, 2, 2, 3]
+    assert compact_log(spark, path) == 0
+    add(4)
+    assert rows() == [1, 2, 2, 3, 4]
+    # a compaction that dies before its commit has changed nothing
+    with monkeypatch.context() as m:
+        m.setattr("tierline.sources.tables.CommitLog.commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact_log(spark, path)
+    assert rows() == [1, 2, 2, 3, 4]
+    # one that dies after it, before the old files go: they stay covered
+    add(5)
+    with monkeypatch.context() as m:
+        m.setattr("tierline.sources.tables.remove", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact_log(spark, path)
+    assert rows() == [1, 2, 2, 3, 4, 5]
+    add(6)
+    early = read_log(spark, path)  # a reader that began before the next compaction
+    assert compact_log(spark, path) == 1 and rows() == [1, 2, 2, 3, 4, 5, 6]
+    assert early.count() == 7
+    assert len([n for n in list_names(spark, path) if n.endswith(".parquet")]) == 1
+    # a row appended while a compaction runs is in no compacted folder, and is read
+    commit = CommitLog.commit
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "commit", lambda *a: (add(8), commit(*a))[1])
+        add(7)
+        assert compact_log(spark, path) == 1
+    assert rows() == [1, 2, 2, 3, 4, 5, 6, 7, 8]
+
+
+def test_second_of_two_compactions_is_refused(spark, workdir, monkeypatch):
+    path = f"{workdir}/log"
+    append_rows(spark.range(5).coalesce(1), path)
+    commit = CommitLog.commit
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "commit", lambda *a: (m.undo(), compact_log(spark, path), commit(*a)))
+        with pytest.raises(ConcurrentWriteError):
+            compact_log(spark, path)
+    assert read_log(spark, path).count() == 5
+
+
+def test_vacuum_keeps_what_is_read(spark, workdir):
+    versions = VersionedTable(spark, f"{workdir}/v")
+    assert versions.vacuum() == []
+    for n in (1, 2, 3):
+        versions.write(spark.range(n))
+    versions.log.claim(versions.log.last())  # a writer that is still at work on version 4
+    spark.range(9).write.parquet(versions.path(4))
+    assert versions.vacuum(keep=2) == [1] and versions.read(2).count() == 2
+    assert versions.vacuum() == [2] and versions.read().count() == 3
+    assert os.path.isdir(versions.path(4))
+
+    store = DimensionStore(spark, f"{workdir}/d", ["id"], buckets=4)
+    assert store.vacuum() == 0
+    rows = spark.range(100).select(F.col("id"), F.lit(0).alias("x"), F.lit(True).alias("is_current"))
+    store.write_load(rows, range(4), max_key=100)
+    touched = keybuckets.touched(spark.range(7, 8), ["id"], 4)[1]
+    before = store.current()
+    for n in (1, 2):  # the first touches a bucket, the second the same one
+        old = store.current(touched)
+        new = old.filter("id = 7").withColumn("x", F.lit(n))
+        store.write_load(old.withColumn("is_current", F.col("id") != 7).unionByName(new), touched, max_key=100)
+    assert store.vacuum(keep=3) == 0 and before.count() == 100
+    assert store.vacuum() == 2 and store.vacuum() == 0
+    assert store.read().count() == 102 and store.current().filter("id = 7").first().x == 2
+
+
+def test_dimension_load_removes_its_change_set(spark, workdir):
+    left = list_folders(spark, f"{ensure_checkpoint_dir(spark)}/tierline-scratch")
+    lake = jobs.Lake(f"{workdir}/lake")
+    write_csv(f"{workdir}/src", "a.csv", ["id", "name"], [["2", "b"], ["1", "a"]])
+    jobs.bronze_job(spark, lake, "t", f"{workdir}/src", "csv")
+    jobs.silver_job(spark, lake, "t", {"t": jobs.SilverSource(lake.layer("bronze", "t"))}, [("id", "id", "int"), ("name", "name", "string")], ["id"])
+    jobs.dimension_job(spark, lake, "d", "t", ["id"], ["name"], ["name"], [F.col("silver_ingestion_time").desc()], "k")
+    got = DimensionStore(spark, lake.layer("gold", "d")).read().select("id", "k").collect()
+    assert sorted((r.id, r.k) for r in got) == [(1, 1), (2, 2)]
+    assert [f for f in list_folders(spark, f"{ensure_checkpoint_dir(spark)}/tierline-scratch") if f not in left and f.startswith("d-changes")] == []

@@ -5,9 +5,10 @@ single task. Here the rows are range-partitioned on the order columns and
 sorted inside each partition; each row gets its position inside its partition;
 the per-partition counts (one row per partition, so their size is bounded by
 the partition count, not the data) are turned into prefix offsets and
-broadcast back. The partitioned frame is checkpointed to the shared folder
-first, because the count pass and the numbering pass must see the same
-partitioning (range bounds come from sampling and would differ on recompute).
+broadcast back. The partitioned frame is checkpointed to the shared folder, or
+written as a table that the caller removes, first, because the count pass and the
+numbering pass must see the same partitioning (range bounds come from sampling and
+would differ on recompute).
 """
 
 from __future__ import annotations
@@ -30,12 +31,17 @@ def assign_keys(
     key_col: str,
     start: int = 0,
     num_partitions: int | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """Add ``key_col`` = ``start + 1, start + 2, …`` in ``order_cols`` order.
 
     Keys are dense and unique; ``order_cols`` should be a total order (ties get
     distinct keys in an unspecified order). ``start`` is usually the current
     maximum key of the target, so keys continue across loads.
+
+    ``staging``: a new folder in shared storage. The numbered rows are then a Parquet table
+    there instead of a checkpoint: later reads of the result open the columns they need only,
+    and the caller removes the folder once the result is no longer used.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -47,8 +53,12 @@ def assign_keys(
         ranged.sortWithinPartitions(*order)
         .withColumn("_tl_pid", F.spark_partition_id())
         .withColumn("_tl_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
+    if staging is None:
+        positioned = positioned.checkpoint(eager=True)
+    else:
+        positioned.write.parquet(staging)
+        positioned = spark.read.schema(positioned.schema).parquet(staging)
     counts = positioned.groupBy("_tl_pid").agg(F.count(F.lit(1)).alias("_tl_n"))
     before = Window.orderBy("_tl_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -66,10 +66,12 @@ def scd2_changes(
     key_col: str,
     double_scale: int = 6,
     start_key: int = 0,
+    staging: str | None = None,
 ) -> DataFrame:
     """New and changed keys of a batch: their row, ``hash_value``, ``change_type`` and new surrogate key (materialised).
 
     ``current`` holds the dimension's current rows, at least those whose key may be in the batch.
+    ``staging``: folder for the change set (see :func:`assign_keys`), the caller's to remove.
     """
     latest = latest_per_key(incoming, keys, order).select(*keys, *attrs)
     staged = latest.withColumn("hash_value", row_hash(latest, tracked, double_scale))
@@ -90,7 +92,7 @@ def scd2_changes(
             *staged.columns,
             F.when(F.col("_tl_cur_hash").isNull(), F.lit("new")).otherwise(F.lit("changed")).alias("change_type"),
         )
-    return assign_keys(changes, list(keys), key_col, start=start_key)
+    return assign_keys(changes, list(keys), key_col, start=start_key, staging=staging)
 
 
 def scd2_rows(

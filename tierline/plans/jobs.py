@@ -40,12 +40,15 @@ from tierline.functions.casting import ConformSpec
 from tierline.functions.text import render_template, row_text
 from tierline.operators import conform as conform_ops
 from tierline.operators import dedup, enrich, facts, incremental, keybuckets, metadata, profile, quality, runlog, scd2
+from tierline.session import scratch_path
+from tierline.sources.files import remove
 from tierline.sources.tables import (
     DIMENSION_BUCKETS,
     DimensionStore,
     LoadLog,
     VersionedTable,
     append_rows,
+    compact_log,
     ensure_log,
     read_log,
     visible,
@@ -84,6 +87,10 @@ class Lake:
         for name, schema in SYSTEM_LOGS.items():
             ensure_log(spark, self.system(name), schema)
 
+    def compact_logs(self, spark: SparkSession) -> dict[str, int]:
+        """Put each system table's small files together, also while jobs run; the files taken in, by table."""
+        return {name: compact_log(spark, self.system(name)) for name in SYSTEM_LOGS}
+
 
 #: Check results with the number of the load that they belong to (none where a gate stopped the job).
 QUALITY_SCHEMA = T.StructType([*quality.RESULT_SCHEMA.fields, T.StructField("load", T.LongType())])
@@ -499,22 +506,26 @@ def dimension_job(
         return None
     if store.keys != list(keys):
         raise ValueError(f"{dim}: its keys are {store.keys}")
-    with _step(f"{pipeline}: changes"):
-        incoming = silver.read(after=done, last=last)
-        start = store.committed_max_key() or 0
-        current = store.current(keybuckets.touched(incoming, keys, store.buckets)[1]) if store.exists() else None
-        changes = scd2.scd2_changes(current, incoming, keys, attrs, tracked, order, key_col, start_key=start)
-        # the change set is materialised, so this reads only its keys
-        seen = changes.agg(
-            F.count(F.lit(1)).alias("n"), F.max(key_col).alias("top"), F.collect_set(store.bucket()).alias("touched")
-        ).first()
-    with _step(f"{pipeline}: write"):
-        if current is None or seen["n"]:
-            some = None if current is None else store.current(seen["touched"])
-            rows = scd2.scd2_rows(some, changes, keys, attrs, as_of, key_col)
-            store.write_load(rows, seen["touched"], max_key=seen["top"] or start, position=end)
-        else:  # no new or changed key: nothing to rewrite
-            store.advance(end)
+    staging = scratch_path(spark, f"{dim}-changes")
+    try:
+        with _step(f"{pipeline}: changes"):
+            incoming = silver.read(after=done, last=last)
+            start = store.committed_max_key() or 0
+            current = store.current(keybuckets.touched(incoming, keys, store.buckets)[1]) if store.exists() else None
+            changes = scd2.scd2_changes(current, incoming, keys, attrs, tracked, order, key_col, start_key=start, staging=staging)
+            # the change set is a written table, so this reads only its key columns
+            seen = changes.agg(
+                F.count(F.lit(1)).alias("n"), F.max(key_col).alias("top"), F.collect_set(store.bucket()).alias("touched")
+            ).first()
+        with _step(f"{pipeline}: write"):
+            if current is None or seen["n"]:
+                some = None if current is None else store.current(seen["touched"])
+                rows = scd2.scd2_rows(some, changes, keys, attrs, as_of, key_col)
+                store.write_load(rows, seen["touched"], max_key=seen["top"] or start, position=end)
+            else:  # no new or changed key: nothing to rewrite
+                store.advance(end)
+    finally:
+        remove(spark, staging)
     with _step(f"{pipeline}: marks"):
         _append_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: end}, times)
     return DimensionResult(seen["n"], len(seen["touched"]), store.buckets)

@@ -24,7 +24,7 @@ from tierline.plans import jobs
 from tierline.plans.catalog import CUSTOMER_TEXT_SPEC, ORDER_PROMPT, REVIEW_PRICE, table
 from tierline.session import scratch_path
 from tierline.sources.files import load_fixture, write_source_files
-from tierline.sources.tables import DimensionStore, LoadLog, VersionedTable, append_rows, ensure_log, read_log, write_observed
+from tierline.sources.tables import DimensionStore, LoadLog, VersionedTable, append_rows, compact_log, ensure_log, read_log, write_observed
 from tierline.streaming.bronze import csv_stream, ingest_files, read_bronze
 from tierline.streaming.registry import DatasetRegistry
 
@@ -651,6 +651,47 @@ def q_run_log_created(spark, sf_dir):
     return read_log(spark, path, runlog.RUN_SCHEMA).drop("event_time")
 
 
+def q_log_compacted(spark, sf_dir):
+    """Customers appended to a log by segment, the log compacted between appends: each row once, two files beside the compacted ones."""
+    path = scratch_path(spark, "log_compacted")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    ensure_log(spark, path, customers.schema)
+    seg = F.col("c_mktsegment")
+    named = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")
+    parts = [seg == s for s in named] + [~F.coalesce(seg.isin(*named), F.lit(False)) & (F.col("c_acctbal") > 0),
+                                         ~F.coalesce(seg.isin(*named), F.lit(False)) & ~F.coalesce(F.col("c_acctbal") > 0, F.lit(False))]
+    taken = []
+    for n, part in enumerate(parts):
+        append_rows(customers.filter(part).coalesce(1), path)
+        if n in (1, 3):
+            taken.append(compact_log(spark, path))
+    rows = read_log(spark, path)
+    return rows.select("*", F.lit(taken[0]).alias("first_taken"), F.lit(taken[1]).alias("then_taken"))
+
+
+def q_versions_vacuumed(spark, sf_dir):
+    """Three snapshots of the orders and three loads of a customer dimension, old versions removed: the newest rows, the history, what went."""
+    base = scratch_path(spark, "versions_vacuumed")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    snapshots = VersionedTable(spark, f"{base}/orders")
+    for states in (("F",), ("F", "O"), None):
+        snapshots.write(orders if states is None else orders.filter(F.col("o_orderstatus").isin(*states)))
+    gone = snapshots.vacuum(keep=2)
+    store = DimensionStore(spark, f"{base}/dim", ["c_custkey"], buckets=4)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.lit(1).alias("round"))
+    top = customers.agg(F.max("c_custkey")).first()[0]
+    for n in (1, 2, 3):  # every load after the first gives all customers a new version
+        now = customers.withColumn("round", F.lit(n)).withColumn("is_current", F.lit(True))
+        old = store.current().withColumn("is_current", F.lit(False)) if store.exists() else None
+        store.write_load(now if old is None else now.unionByName(old), range(4), max_key=top)
+    folders = store.vacuum()
+    found = store.read().groupBy("round", "is_current").agg(F.count(F.lit(1)).alias("n_rows"))
+    kept = snapshots.read().groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.select(F.lit("dimension").alias("kind"), "round", "is_current", "n_rows", F.lit(folders).alias("removed")).unionByName(
+        kept.select(F.lit("snapshot").alias("kind"), F.lit(3).alias("round"), F.lit(True).alias("is_current"), "n_rows", F.lit(len(gone)).alias("removed"))
+    )
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_csv": q_bronze_csv,
     "bronze_rerun": q_bronze_rerun,
@@ -686,6 +727,8 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "near_equal_names": q_near_equal_names,
     "review_rerun": q_review_rerun,
     "run_states_logged": q_run_states_logged,
+    "log_compacted": q_log_compacted,
+    "versions_vacuumed": q_versions_vacuumed,
 }
 
 _CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS source_dir"
@@ -820,6 +863,12 @@ STREAM_ORACLE: dict[str, str] = {
                (SELECT count(*) FROM q WHERE o_orderstatus = 'F') AS calls_1,
                (SELECT count(*) FROM q WHERE o_orderstatus <> 'F') AS calls_2, CAST(0 AS BIGINT) AS calls_3
         FROM o""",
+    "log_compacted": """
+        SELECT c_custkey, c_mktsegment, c_acctbal, CAST(3 AS INTEGER) AS first_taken, CAST(2 AS INTEGER) AS then_taken FROM customer""",
+    "versions_vacuumed": """
+        SELECT 'dimension' AS kind, r.round, r.round = 3 AS is_current, count(*) AS n_rows, CAST(2 AS INTEGER) AS removed
+        FROM customer, (VALUES (1), (2), (3)) AS r(round) GROUP BY r.round
+        UNION ALL SELECT 'snapshot', 3, TRUE, count(*), 1 FROM orders""",
     "run_states_logged": """
         SELECT 'bronze' AS layer, 'orders' AS job_name, 'SUCCESS' AS status, count(*) AS records, FALSE AS has_error, 'END,START' AS events FROM orders
         UNION ALL SELECT 'silver', 'gated', 'FAILED', 0, TRUE, 'ERROR,START'

@@ -78,6 +78,18 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isFile()] if fs.exists(hpath) else []
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if there is no folder)."""
+    fs, hpath = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()] if fs.exists(hpath) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all it holds; one that is not there is no error."""
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file's content."""
     fs, hpath = _file_system(spark, path)

@@ -10,6 +10,9 @@ data that nobody reads, and a writer that is refused has replaced nothing.
 ``VersionedTable``: each version is the whole table. ``LoadLog``: an append-only table of
 loads. ``DimensionStore``: an SCD2 dimension whose current rows lie in buckets of
 their key's hash; a load rewrites only the buckets that its changes touch.
+
+Housekeeping: ``vacuum`` removes superseded versions, ``compact_log`` puts the many
+small files of an append-only log together.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators.keybuckets import bucket_of
-from tierline.sources.files import list_names, path_exists, publish, read_text, widen
+from tierline.sources.files import list_folders, list_names, path_exists, publish, read_text, remove, widen
 
 
 class ConcurrentWriteError(RuntimeError):
@@ -51,7 +54,58 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path)
+    last = CommitLog(spark, f"{path}/{_COMPACTIONS}").last()
+    if last is None:
+        return spark.read.parquet(path)
+    late = [f"{path}/{n}" for n in _log_files(spark, path) if n not in set(last["covered"])]
+    return spark.read.schema(_stored_schema(last)).parquet(_compacted(path, last["number"]), *late)
+
+
+#: Folder of a log's compactions; Spark's readers of the log's own folder pass it over.
+_COMPACTIONS = "_compactions"
+
+
+def _compacted(path: str, number: int) -> str:
+    return f"{path}/{_COMPACTIONS}/rows-{number:012}"
+
+
+def _log_files(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in list_names(spark, path) if not n.startswith(("_", "."))]
+
+
+def _stored_schema(entry: Mapping) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry["schema"]))
+
+
+def compact_log(spark: SparkSession, path: str) -> int:
+    """Put an append-only log's rows together in one folder, also while jobs append to it; returns the files it took in.
+
+    The commit names the files whose rows the folder holds: readers take the folder and the
+    files that are not named. These stay until the next compaction, for readers that began
+    before this one; of two at once the second to commit is refused
+    (``ConcurrentWriteError``) and has changed nothing. Nothing new, or no log: 0.
+    """
+    log = CommitLog(spark, f"{path}/{_COMPACTIONS}")
+    last = log.last()
+    names = _log_files(spark, path)  # after the entry, so that each file is in it or in the listing
+    covered = set() if last is None else set(last["covered"])
+    new = [n for n in names if n not in covered]
+    if not new:
+        return 0
+    rows = spark.read.option("mergeSchema", "true").parquet(*[f"{path}/{n}" for n in new])
+    if last is not None:
+        before = spark.read.schema(_stored_schema(last)).parquet(_compacted(path, last["number"]))
+        rows = before.unionByName(rows, allowMissingColumns=True)
+    number = log.claim(last)
+    rows.hint("rebalance").write.parquet(_compacted(path, number))
+    old = covered & set(names)
+    log.commit(last, number, {"covered": sorted(old | set(new)), "schema": rows.schema.json()})
+    for name in sorted(old):
+        remove(spark, f"{path}/{name}")
+    for folder in list_folders(spark, f"{path}/{_COMPACTIONS}"):
+        if last is not None and folder < f"rows-{last['number']:012}":
+            remove(spark, f"{path}/{_COMPACTIONS}/{folder}")
+    return len(new)
 
 
 def ensure_log(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -85,6 +139,11 @@ class CommitLog:
             return None
         return {**json.loads(read_text(self.spark, self.file(sequence))), "sequence": sequence}
 
+    def entry(self, sequence: int) -> dict | None:
+        """The entry of that sequence, or None."""
+        file = self.file(sequence)
+        return {**json.loads(read_text(self.spark, file)), "sequence": sequence} if path_exists(self.spark, file) else None
+
     def claim(self, base: dict | None) -> int:
         """A number for new data that no other writer has or will get."""
         number = max([*self._numbers("claim"), 0 if base is None else base["number"]], default=0) + 1
@@ -150,6 +209,26 @@ class VersionedTable:
         self.log.commit(base, v, {"rows": rows})
         return v, rows
 
+    def vacuum(self, keep: int = 1) -> list[int]:
+        """Remove all but the newest ``keep`` committed versions, and what dead writers left before them; the removed numbers.
+
+        Versions after the newest committed one may be a running writer's, so they stay.
+        """
+        last = self.log.last()
+        if last is None:
+            return []
+        there = sorted(_numbered(list_folders(self.spark, self.base), "v"))
+        kept = [v for v in there if v <= last["number"] and v not in last["dropped"]][-max(1, keep) :]
+        gone = [v for v in there if v < last["number"] and v not in kept]
+        for v in gone:
+            remove(self.spark, self.path(v))
+        return gone
+
+
+def _numbered(folders: Iterable[str], column: str) -> list[int]:
+    """Values of a partition column that folders are named by."""
+    return [int(f.removeprefix(f"{column}=")) for f in folders if f.startswith(f"{column}=")]
+
 
 #: Buckets of a new dimension: about a hundred files for one of a billion rows and more with ``buckets``.
 DIMENSION_BUCKETS = 16
@@ -255,13 +334,29 @@ class DimensionStore:
 
     def _written(self, version: int) -> list[int]:
         """Buckets of current rows that the version has written (a bucket may have lost its last row)."""
-        folder = f"{self.base}/rows/state=current/v={version}"
-        if not path_exists(self.spark, folder):
-            return []
-        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = fs_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(fs_path) if s.isDirectory()]
-        return [int(n.removeprefix("bucket=")) for n in names if n.startswith("bucket=")]
+        return _numbered(list_folders(self.spark, f"{self.base}/rows/state=current/v={version}"), "bucket")
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Remove the folders of current rows that none of the newest ``keep`` commits names, and dead writers' expired rows.
+
+        Returns how many folders went. ``keep`` must cover the readers that are still at work
+        on an earlier commit. Numbers after the newest commit may be a running writer's, so they stay.
+        """
+        last = self.log.last()
+        if last is None:
+            return 0
+        entries = [e for e in (self.log.entry(last["sequence"] - k) for k in range(max(1, keep))) if e is not None]
+        named = {(int(v), int(b)) for e in entries for b, v in e["versions"].items()}
+        current, expired = (f"{self.base}/rows/state={s}" for s in ("current", "expired"))
+        gone = []
+        for v in _numbered(list_folders(self.spark, current), "v"):
+            buckets = _numbered(list_folders(self.spark, f"{current}/v={v}"), "bucket")
+            old = [b for b in buckets if (v, b) not in named] if v <= last["number"] else []
+            gone += [f"{current}/v={v}"] if old and len(old) == len(buckets) else [f"{current}/v={v}/bucket={b}" for b in old]
+        gone += [f"{expired}/v={v}" for v in _numbered(list_folders(self.spark, expired), "v") if v in last["dropped"]]
+        for folder in gone:
+            remove(self.spark, folder)
+        return len(gone)
 
     def advance(self, position: int) -> None:
         """Record that the source was read to ``position`` without any change."""
