@@ -186,3 +186,20 @@ def test_nested_and_sibling_articles():
     assert texts_of(f"<main>{teaser}{main % ''}{teaser}</main>") == ["Head", PROSE]
     both = "<article><p>First post of the day</p></article><article><p>Second post of it</p></article>"
     assert texts_of(both) == ["First post of the day", "Second post of it"]
+
+
+def test_one_page_with_ever_other_content_is_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "http://hot.example.com/1", f"<p>Edition {i:04} tells of nothing but topic{i:04}</p>") for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(html_text, "PART_BYTES", 900)
+    monkeypatch.setattr(html_text, "REPEAT_SHARE", 1.1)  # nothing counts as boilerplate here
+    found = html_text.extract_text(df)
+    assert sorted(r.text for r in found.collect()) == [f"Edition {i:04} tells of nothing but topic{i:04}" for i in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = html_text.extract_text(df).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 150

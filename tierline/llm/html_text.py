@@ -470,7 +470,8 @@ def extract_text(df: DataFrame, page: str = "page_id", url: str = "url", html_co
     if large.count() <= BROADCAST_HOSTS:
         large = F.broadcast(large)
     rows = rows.join(large, F.col("__host") == F.col("__h"), "left").drop("__h").fillna(1, ["__parts"])
-    spread = F.pmod(F.xxhash64("__page", "__url", F.octet_length("__html")), F.col("__parts")).cast("int")
+    # by content too: a page delivered often with other content each time is spread like other pages
+    spread = F.pmod(F.xxhash64("__page", "__url", "__html"), F.col("__parts")).cast("int")
     rows = rows.withColumn("__part", spread)
 
     head = [T.StructField("__host", T.StringType()), T.StructField("__part", T.IntegerType())]
