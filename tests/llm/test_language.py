@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tierline.llm import language, queries
 
@@ -93,3 +94,31 @@ def test_one_sample_trains_and_calibrates(spark, documents):
     plain = language.train(documents, language.training_label())
     assert model.languages == plain.languages and np.array_equal(model.grams, plain.grams) and np.allclose(model.weights, plain.weights)
     assert language.NO_EVIDENCE + language.LEAST_MARGIN <= bar < 0.8
+
+
+def test_predictions_equal_plain_kernel_ridge(spark, sf, documents):
+    """The query's predictions against the same regression on sets of strings, solved in the landmarks' own coordinates."""
+    rows = documents.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("h")).collect()
+    usable = [r for r in rows if r.text and r.lang and any(c.isalpha() for c in r.text) and zlib.crc32(str(r.doc_id).encode()) % 5]
+    usable.sort(key=lambda r: (r.h, r.text))
+    names = sorted({r.lang for r in usable})
+    assert max(sum(r.lang == n for r in usable) for n in names) <= language.SAMPLE_PER_LANGUAGE  # so all of them are the sample
+    marks = [r for n in names for r in [r for r in usable if r.lang == n][: language.LANDMARKS_PER_LANGUAGE]]
+    sets = {r.text: grams(r.text) for r in rows if r.text}
+
+    def kernel(some):
+        return np.array([[len(sets[a.text] & sets[b.text]) / np.sqrt(len(sets[a.text]) * len(sets[b.text])) for b in marks] for a in some])
+
+    weight = np.array([[1 / sum(q.lang == r.lang for q in usable)] for r in usable])
+    target = np.array([[1.0 if r.lang == n else -1.0 for n in names] for r in usable])
+    inner, outer = kernel(marks), kernel(usable)
+    system = outer.T @ (weight * outer) + language.RIDGE / len(names) * inner
+    solved = np.linalg.lstsq(system, outer.T @ (weight * target), rcond=1e-9)[0]
+    got = {r.doc_id: r for r in queries.QUERIES["op5_language"](spark, sf).collect()}
+    some = [r for r in rows if r.text and any(c.isalpha() for c in r.text)]
+    values = kernel(some) @ solved
+    for r, row in zip(some, values, strict=True):
+        top, second = sorted(row.tolist(), reverse=True)[:2]
+        assert abs(got[r.doc_id].score - min(1.0, max(0.0, (top + 1) / 2))) < 5e-3
+        if top - second > 1e-2:
+            assert got[r.doc_id].lang_pred == names[int(row.argmax())]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -132,3 +133,51 @@ def test_many_candidates_in_one_text_stay_linear():
     base = pii.base_spans(text)
     assert len(base) + len(pii.loose_spans(text, base)) == 16000
     assert time.perf_counter() - started < 1.0
+
+
+def plain_em(counts, rounds):
+    """The two-class vote model, one sum at a time."""
+    sign = {"-": -1, "0": 0, "+": 1}
+    post = {p: min(max(0.5 + 0.15 * sum(sign[v] for v in p[2:7]), 0.05), 0.95) for p in counts}
+    for _ in range(rounds):
+        share = {}
+        for c in (0, 1):
+            for j in range(5):
+                mass = {v: 1.0 for v in "-0+"}
+                for p, n in counts.items():
+                    mass[p[2 + j]] += n * (post[p] if c else 1 - post[p])
+                for v, m in mass.items():
+                    share[c, j, v] = m / sum(mass.values())
+        prior = {}
+        for k in "0123":
+            of = [p for p in counts if p[0] == k]
+            prior[k] = (1 + sum(counts[p] * post[p] for p in of)) / (2 + sum(counts[p] for p in of))
+        for p in counts:
+            yes, no = prior[p[0]], 1 - prior[p[0]]
+            for j in range(5):
+                yes *= share[1, j, p[2 + j]]
+                no *= share[0, j, p[2 + j]]
+            post[p] = yes / (yes + no)
+    return post
+
+
+def test_reliabilities_and_classifier_equal_brute_force(documents):
+    rng = random.Random(5)
+    counts = {r["pattern"]: r["n"] for r in pii.pattern_counts(documents).collect()}
+    for _ in range(60):
+        counts[f"{rng.randrange(4)}{rng.choice('bc')}{''.join(rng.choice('-0+') for _ in range(5))}{rng.randrange(10)}"] = rng.randint(1, 500)
+    posterior, _, names = pii.estimate(counts, rounds=40)
+    plain = plain_em(counts, 40)
+    assert max(abs(plain[p] - q) for p, q in zip(names, posterior.tolist(), strict=True)) < 1e-6
+    # the classifier's loss is strictly convex: its weights are right where the gradient is zero
+    model = pii.fit(counts)
+    posterior, _, names = pii.estimate(counts)
+    total = sum(counts.values())
+    gradient = -model.weights
+    for p, q in zip(names, posterior.tolist(), strict=True):
+        x = pii.features(p)
+        gradient = gradient + counts[p] / total * min(total, 1e4) * (q - 1 / (1 + math.exp(-float(x @ model.weights)))) * x
+    assert abs(gradient).max() < 1e-3
+    # and its verdict on each pattern of the corpus is what a span with that pattern gets
+    for p in names:
+        assert model.accepts(p) == (1 / (1 + math.exp(-float(pii.features(p) @ model.weights))) >= model.accept)
