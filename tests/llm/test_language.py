@@ -122,3 +122,33 @@ def test_predictions_equal_plain_kernel_ridge(spark, sf, documents):
         assert abs(got[r.doc_id].score - min(1.0, max(0.0, (top + 1) / 2))) < 5e-3
         if top - second > 1e-2:
             assert got[r.doc_id].lang_pred == names[int(row.argmax())]
+
+
+def test_every_labelled_text_trains_and_calibrates(spark):
+    """Far more texts a language than landmarks: weights and bar equal those of a fit to all of them in memory."""
+    rng = np.random.default_rng(5)
+    words = {"en": "the cat sat on a mat and dog ate it all day".split(), "de": "der Hund und die Katze sind nicht im Haus".split()}
+    rows = [(k, " ".join(rng.choice(words[name], 6)), name) for k, name in enumerate(["en"] * 900 + ["de"] * 500)]
+    rows += [(2000, "...", "en"), (2001, None, "de"), (None, "kein Schlüssel", "fr"), (2002, "no label", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    hashed = df.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("h")).collect()
+    usable = sorted((r for r in hashed if r.doc_id is not None and r.lang and any(c.isalpha() for c in r.text or "")), key=lambda r: (r.h, r.text))
+    held = [r for r in usable if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    learned = [r for r in usable if r not in held]
+    assert min(sum(r.lang == name for r in learned) for name in words) > 300
+    wanted = language.fit([r.text for r in learned], [r.lang for r in learned])
+    model, bar = language.train_with_bar(df)
+    assert model.languages == ["de", "en"] and np.array_equal(model.grams, wanted.grams)
+    assert np.allclose(model.weights, wanted.weights, rtol=1e-6, atol=1e-8)
+    names, scores = language.Scorer(wanted).predict([r.text for r in held])
+    right = [s for r, n, s in zip(held, names, scores.tolist(), strict=True) if n == r.lang]
+    assert np.isclose(bar, max(language.NO_EVIDENCE + language.LEAST_MARGIN, (language.NO_EVIDENCE + np.quantile(right, language.OUTLIERS)) / 2))
+
+
+def test_exact_quantile(spark):
+    rng = np.random.default_rng(3)
+    for values in ([0.25], [0.5, 0.75], [0.1] * 500 + [0.9], rng.random(3000).tolist(), [0.5 + i * 1e-13 for i in range(2500)] + [1.0]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        for share in (0.0, 0.002, 0.5, 0.998, 1.0):
+            assert language.exact_quantile(df, "v", share) == np.quantile(values, share)
+    assert language.exact_quantile(spark.createDataFrame([], "v double"), "v", 0.5) is None

@@ -7,11 +7,13 @@ of the product of their numbers. The Nystroem method represents a text by its
 kernel values with a bounded set of landmark texts, and one-versus-rest kernel
 ridge regression on these gives a score per language.
 
-Training uses at most ``SAMPLE_PER_LANGUAGE`` labelled texts a language (the least
-by a hash of their key), ``LANDMARKS_PER_LANGUAGE`` of them as landmarks; this
-bounded sample is the only data that reaches the driver. Scoring runs on every
-whole text, in batches: presence matrix times landmark matrix gives the kernel
-values, times the regression weights the scores.
+The landmarks, ``LANDMARKS_PER_LANGUAGE`` labelled texts a language (the least by a hash
+of key and text), are the method's basis and the only texts that reach the driver. The
+regression learns from every labelled text: its normal equations are sums over all of
+them, which the tasks add up, one matrix of landmarks by landmarks each. A score bar is
+an exact quantile over all held-out texts. Scoring runs on every whole text, in batches:
+presence matrix times landmark matrix gives the kernel values, times the regression
+weights the scores.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
 without any labelled text everything is ``und``; ties between languages go to the
@@ -20,14 +22,16 @@ first by name. Keys, labels and sources are never features.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,12 +39,10 @@ from pyspark.sql import types as T
 from tierline.llm.common import ship_package, slices, staged, with_fields
 
 MAX_N = 3
-#: Bounds of the training sample.
-SAMPLE_PER_LANGUAGE = 300
+#: Labelled texts a language that the regression learns from: all, however many there are.
+SAMPLE_PER_LANGUAGE = math.inf
+#: Basis texts a language.
 LANDMARKS_PER_LANGUAGE = 32
-#: Rows under a label's hash bound, as a multiple of the wanted ones; labels whose counts are broadcast.
-SPARE = 4
-BROADCAST_LABELS = 100_000
 #: Bits of a symbol in an n-gram's code, and the symbol of a gap, beyond all code points.
 _BITS = 21
 _GAP = 0x110000
@@ -146,40 +148,76 @@ class Scorer:
         return names, scores
 
 
-def fit(texts: list[str], labels: list[str], max_landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> LanguageModel:
-    """Kernel ridge regression on Nystroem features of the sample (in the given order)."""
-    cut = [distinct_grams(t) for t in texts]
-    usable = [i for i, c in enumerate(cut) if c is not None]
-    languages = sorted({labels[i] for i in usable})
+def landmark_texts(texts: list[str], labels: list[str], max_landmarks: int = LANDMARKS_PER_LANGUAGE) -> tuple[list[str], list[str]]:
+    """(texts, labels) of the first ``max_landmarks`` texts with a letter of each label, in the given order."""
+    taken: Counter[str] = Counter()
+    found = []
+    for text, label in zip(texts, labels, strict=True):
+        if taken[label] < max_landmarks and distinct_grams(text) is not None:
+            taken[label] += 1
+            found.append((text, label))
+    return [t for t, _ in found], [name for _, name in found]
+
+
+def basis(texts: list[str], labels: list[str]) -> LanguageModel:
+    """A model on these landmarks, without weights yet."""
+    languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros((0, 0)))
-    taken: Counter[str] = Counter()
-    chosen = []
-    for i in usable:
-        if taken[labels[i]] < max_landmarks:
-            taken[labels[i]] += 1
-            chosen.append(i)
-    sets = [cut[i] for i in chosen]
+    sets = [distinct_grams(t) for t in texts]
     grams = np.unique(np.concatenate(sets))
-    landmarks = np.zeros((len(grams), len(chosen)), dtype=np.float32)
+    landmarks = np.zeros((len(grams), len(sets)), dtype=np.float32)
     for j, held in enumerate(sets):
         landmarks[np.searchsorted(grams, held), j] = 1 / np.sqrt(len(held))
-    model = LanguageModel(languages, grams, landmarks, np.zeros((len(chosen), len(languages))))
-    scorer = Scorer(model)
-    inner = scorer.kernel([texts[i] for i in chosen])[0].astype(np.float64)
+    return LanguageModel(languages, grams, landmarks, np.zeros((len(sets), len(languages))))
+
+
+class Sums:
+    """The normal equations of the texts added: classes weigh alike, however many texts of each there are."""
+
+    def __init__(self, model: LanguageModel, counts: Mapping[str, int]):
+        """``counts``: texts with a letter of each label, over all data."""
+        m = model.landmarks.shape[1]
+        self.scorer, self.n = Scorer(model), 0
+        self.of = {name: (i, 1 / counts[name]) for i, name in enumerate(model.languages)}
+        self.squares, self.means = np.zeros((m, m)), np.zeros((m, len(model.languages)))
+
+    def add(self, texts: list[str], labels: list[str]) -> None:
+        known = [i for i, name in enumerate(labels) if name in self.of]
+        for lo in range(0, len(known), _ROWS):
+            some = known[lo : lo + _ROWS]
+            values, lettered = self.scorer.kernel([texts[i] for i in some])
+            values = values[lettered].astype(np.float64)
+            at = [self.of[labels[i]] for i, there in zip(some, lettered, strict=True) if there]
+            own = np.zeros((len(at), self.means.shape[1]))
+            own[np.arange(len(at)), [i for i, _ in at]] = [w for _, w in at]
+            self.squares += values.T @ (own.sum(axis=1)[:, None] * values)
+            self.means += values.T @ own
+            self.n += len(at)
+
+
+def solved(model: LanguageModel, landmark_texts: list[str], squares: np.ndarray, means: np.ndarray, ridge: float = RIDGE) -> LanguageModel:
+    """The model with the weights of kernel ridge regression on its Nystroem features, from the sums over all texts."""
+    inner = Scorer(model).kernel(landmark_texts)[0].astype(np.float64)
     value, vector = np.linalg.eigh((inner + inner.T) / 2)
     good = value > 1e-6 * value.max()
     root = vector[:, good] / np.sqrt(value[good])  # K_mm to the power -1/2, without its null space
-    features = np.concatenate(
-        [scorer.kernel([texts[i] for i in usable[lo : lo + _ROWS]])[0] for lo in range(0, len(usable), _ROWS)]
-    ).astype(np.float64) @ root
-    target = np.where(np.array([labels[i] for i in usable])[:, None] == np.array(languages), 1.0, -1.0)
-    # classes weigh alike, however many texts of each were found
-    share = Counter(labels[i] for i in usable)
-    weight = np.array([1 / share[labels[i]] for i in usable])[:, None]
-    gram = features.T @ (weight * features) + ridge * np.eye(features.shape[1]) / len(languages)
-    model.weights = root @ np.linalg.solve(gram, features.T @ (weight * target))
-    return model
+    gram = root.T @ squares @ root + ridge * np.eye(root.shape[1]) / len(model.languages)
+    # targets are 1 for a text's own language and -1 for the others
+    aims = 2 * means - means.sum(axis=1, keepdims=True)
+    weights = root @ np.linalg.solve(gram, root.T @ aims)
+    return LanguageModel(model.languages, model.grams, model.landmarks, weights)
+
+
+def fit(texts: list[str], labels: list[str], max_landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> LanguageModel:
+    """Kernel ridge regression on Nystroem features of texts in memory (landmarks in the given order)."""
+    chosen, names = landmark_texts(texts, labels, max_landmarks)
+    model = basis(chosen, names)
+    if not model.languages:
+        return model
+    sums = Sums(model, Counter(name for t, name in zip(texts, labels, strict=True) if distinct_grams(t) is not None))
+    sums.add(texts, labels)
+    return solved(model, chosen, sums.squares, sums.means, ridge)
 
 
 #: One document in so many is held out from training.
@@ -196,59 +234,127 @@ def training_label(key: str = "doc_id", label: str = "lang") -> Column:
     return F.when(F.col(key).isNotNull() & ~held_out(key), F.col(label))
 
 
-def training_sample(df: DataFrame, label: Column, key: str, text: str, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """(text, label) of at most ``per_language`` rows with a letter a label: the least by a hash of key and text.
-
-    The label's count sets a bound on the hash that some ``SPARE`` times the wanted rows
-    stay under, and only those are ranked: what moves is bounded by the number of
-    labels, however many rows or tasks there are.
-    """
+def _labelled(df: DataFrame, label: Column, key: str, text: str) -> DataFrame:
+    """(label, text, hash of key and text) of the rows with a label and a letter."""
     rows = df.select(label.alias("__label"), F.col(text).alias("__text"), F.xxhash64(F.col(key), F.col(text)).alias("__h"))
-    counts = df.select(label.alias("__of")).filter(F.col("__of").isNotNull()).groupBy("__of").agg(F.count("*").alias("__n"))
-    counts = staged(counts, "label-counts")
-    if counts.count() <= BROADCAST_LABELS:
-        counts = F.broadcast(counts)
-    place = (F.col("__h").cast("double") + float(1 << 63)) / float(1 << 64)
-    rows = rows.filter(F.col("__label").isNotNull() & F.col("__text").rlike("\\p{L}"))
-    rows = rows.join(counts, F.col("__label") == F.col("__of")).filter(place <= F.lit(SPARE * per_language) / F.col("__n"))
-    w = Window.partitionBy("__label").orderBy("__h", "__text")
-    return rows.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= per_language).select("__label", "__text", "__h")
+    return rows.filter(F.col("__label").isNotNull() & F.col("__text").rlike("\\p{L}"))
 
 
-def _fitted(rows: list) -> LanguageModel:
-    rows = sorted(rows, key=lambda r: (r["__h"], r["__text"]))
-    return fit([r["__text"] for r in rows], [r["__label"] for r in rows])
+def _least(rows: DataFrame, *order: str) -> DataFrame:
+    w = Window.partitionBy("__label").orderBy(*order)
+    return rows.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= LANDMARKS_PER_LANGUAGE).drop("__r")
 
 
 def train(df: DataFrame, label: Column, key: str = "doc_id", text: str = "text") -> LanguageModel:
-    """Fit on the bounded sample of rows whose ``label`` is not null."""
-    return _fitted(training_sample(df, label, key, text).collect())
+    """Fit on every row whose ``label`` is not null.
+
+    Labels are counted and landmarks found on a written table without texts; only the
+    landmarks' texts are fetched. Then one pass over the labelled texts adds up the normal
+    equations: a task gives one row a landmark, and a landmark's rows are summed in the
+    tasks' order.
+    """
+    rows = _labelled(df, label, key, text)
+    narrow = staged(rows.select("__label", "__h"), "language-labels")
+    counts = {r["__label"]: r["n"] for r in narrow.groupBy("__label").agg(F.count("*").alias("n")).collect()}
+    least = _least(narrow, "__h").distinct().select(F.col("__label").alias("__of"), F.col("__h").alias("__at"))
+    found = rows.join(F.broadcast(least), (F.col("__label") == F.col("__of")) & (F.col("__h") == F.col("__at"))).drop("__of", "__at")
+    found = sorted(_least(found, "__h", "__text").collect(), key=lambda r: (r["__h"], r["__text"]))
+    texts, labels = landmark_texts([r["__text"] for r in found], [r["__label"] for r in found])
+    model = basis(texts, labels)
+    if not model.languages:
+        return model
+    return solved(model, texts, *_summed(rows.select("__text", "__label"), model, counts))
+
+
+def _summed(rows: DataFrame, model: LanguageModel, counts: Mapping[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The normal equations of all (text, label) rows."""
+    spark = rows.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast((model, {name: counts[name] for name in model.languages}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums(*shared.value)
+        for batch in batches:
+            for part in slices(batch, _ROWS):
+                sums.add(part.column(0).to_pylist(), part.column(1).to_pylist())
+        if sums.n:
+            values = np.hstack([sums.squares, sums.means])
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(values)), pa.int32()), pa.array([task] * len(values), pa.int32()), pa.array(list(values), pa.list_(pa.float64()))],
+                names=["mark", "task", "sums"],
+            )
+
+    def add(part: pa.Table) -> pa.Table:
+        total = np.sum([row.as_py() for row in part.sort_by("task").column("sums")], axis=0)
+        return pa.table({"mark": part.column("mark").slice(0, 1), "sums": pa.array([total], pa.list_(pa.float64()))})
+
+    parts = rows.mapInArrow(run, "mark int, task int, sums array<double>")
+    found = parts.groupBy("mark").applyInArrow(add, "mark int, sums array<double>").collect()  # one row a landmark
+    m = model.landmarks.shape[1]
+    values = np.zeros((m, m + len(model.languages)))
+    for r in found:
+        values[r["mark"]] = r["sums"]
+    return values[:, :m], values[:, m:]
 
 
 def train_with_bar(df: DataFrame, key: str = "doc_id", label: str = "lang", text: str = "text") -> tuple[LanguageModel, float]:
-    """(model, score bar): learned from the rows that are not held out, calibrated on those that are; one sample holds both."""
-    part = F.struct(held_out(key).alias("held"), F.col(label).alias("name"))
-    part = F.when(F.col(key).isNotNull() & F.col(label).isNotNull(), part)
-    rows = training_sample(df, part, key, text)
-    rows = rows.select(F.col("__label.held").alias("__held"), F.col("__label.name").alias("__label"), "__text", "__h").collect()
-    model = _fitted([r for r in rows if not r["__held"]])
-    return model, least_score(model, [r for r in rows if r["__held"]])
+    """(model, score bar): learned from all labelled rows that are not held out, calibrated on all that are."""
+    model = train(df, training_label(key, label), key, text)
+    name = F.when(F.col(key).isNotNull() & held_out(key), F.col(label))
+    return model, least_score(model, _labelled(df, name, key, text))
 
 
-def least_score(model: LanguageModel, rows: list) -> float:
+def least_score(model: LanguageModel, rows: DataFrame) -> float:
     """Score below which a text counts as being in no learned language.
 
-    Half-way from no evidence to the low scores of a sample of labelled rows
-    (``__text``, ``__label``) that the model has not learned from, and ``LEAST_MARGIN``
-    above no evidence at least; that margin where the sample holds no rightly
-    identified row.
+    Half-way from no evidence to the low scores of the labelled rows (``__text``,
+    ``__label``) that the model has not learned from, and ``LEAST_MARGIN``
+    above no evidence at least; that margin where there is no rightly identified row.
     """
     least = NO_EVIDENCE + LEAST_MARGIN
     if not model.languages:
         return least
-    names, scores = Scorer(model).predict([r["__text"] for r in rows])
-    right = [s for r, n, s in zip(rows, names, scores.tolist(), strict=True) if r["__label"] == n]
-    return max(least, (NO_EVIDENCE + float(np.quantile(right, OUTLIERS))) / 2) if right else least
+    found = identify(rows.select("__text", "__label"), model, "__text")
+    right = staged(found.filter(F.col("lang_pred") == F.col("__label")).select("score"), "language-scores")
+    low = exact_quantile(right, "score", OUTLIERS)
+    return least if low is None else max(least, (NO_EVIDENCE + low) / 2)
+
+
+#: Ranges that the values are counted in by each pass of an exact quantile.
+_RANGES = 1000
+
+
+def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """The quantile of all values (between two, in proportion), ``None`` without any.
+
+    Each pass counts the values in so many equal ranges and goes on with the range that holds
+    both neighbours of the quantile, until that is one value, or two ranges share them.
+    """
+    value = F.col(column)
+    whole = df.agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).first()
+    if not whole["n"]:
+        return None
+    place = share * (whole["n"] - 1)
+    first = math.floor(place)
+    second = min(first + 1, whole["n"] - 1)
+    low, high, below = whole["low"], whole["high"], 0
+    while low < high:
+        # the range's values lie between two of them
+        spot = F.floor((value - F.lit(low)) / F.lit(high - low) * _RANGES)
+        df = df.filter(value.between(low, high))
+        bins = df.groupBy(spot.alias("spot")).agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        for r in sorted(bins.collect(), key=lambda r: r["spot"]):
+            if first < below:  # a range has ended between the neighbours: the second is the least of the next
+                return float(np.quantile([low, r["low"]], place - first))
+            end = below + r["n"]
+            if first < end:
+                low, high = r["low"], r["high"]
+                if second < end:
+                    break
+                low = high
+            below = end
+    return float(low)
 
 
 _SCORERS: dict[str, Scorer] = {}
