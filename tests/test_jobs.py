@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierline.plans import jobs
-from tierline.operators import keybuckets, quality
+from tierline.operators import conform, dedup, keybuckets, quality
 from tierline.session import ensure_checkpoint_dir
 from tierline.sources.files import list_folders, list_names, publish, read_text
 from tierline.sources.tables import CommitLog, ConcurrentWriteError, DimensionStore, LoadLog, VersionedTable, append_rows, compact_log, ensure_log, read_log, write_observed
@@ -837,3 +837,62 @@ def test_dimension_load_removes_its_change_set(spark, workdir):
     got = DimensionStore(spark, lake.layer("gold", "d")).read().select("id", "k").collect()
     assert sorted((r.id, r.k) for r in got) == [(1, 1), (2, 2)]
     assert [f for f in list_folders(spark, f"{ensure_checkpoint_dir(spark)}/tierline-scratch") if f not in left and f.startswith("d-changes")] == []
+
+
+@pytest.mark.parametrize("prefilter", [False, True])
+def test_barred_keys_against_plain_counts(spark, prefilter):
+    """One aggregate finds the keys that repeat or are loaded, NULL parts included."""
+    rows = [(1, "a"), (1, "a"), (2, None), (2, None), (3, None), (4, "d"), (None, None), (5, "e"), (6, "f"), (6, "f")]
+    there = [(3, None), (4, "x"), (5, "e"), (5, "e"), (6, "f"), (7, "g"), (7, "g")]
+    incoming, existing = (spark.createDataFrame(some, "k int, p string") for some in (rows, there))
+    for known, frame in ((there, existing), ([], None)):
+        found = {(r.k, r.p): (r["_tl_n"], r["_tl_loaded"]) for r in dedup.barred_keys(incoming, frame, ["k", "p"], prefilter).collect()}
+        assert found == {key: (rows.count(key), key in known) for key in set(rows) if rows.count(key) > 1 or key in known}
+
+
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_large_increments_load_like_small_ones(spark, workdir, monkeypatch, bound):
+    """Bounds on broadcast keys and small increments choose joins, never rows; only touched keys must be unique."""
+    monkeypatch.setattr(jobs, "SMALL_INCREMENT", bound)
+    monkeypatch.setattr(jobs, "BROADCAST_KEYS", bound)
+    src, lake = f"{workdir}/src", jobs.Lake(f"{workdir}/lake")
+
+    def load(name, rows):
+        write_csv(f"{src}/o", name, ["id", "k", "day"], [r.split(",") for r in rows])
+        jobs.bronze_job(spark, lake, "o", f"{src}/o", "csv")
+        spec = [("id", "id", "bigint"), ("k", "k", "bigint"), ("day", "day", "date:dd/MM/yyyy")]
+        return jobs.silver_job(spark, lake, "o", {"o": jobs.SilverSource(lake.layer("bronze", "o"))}, spec, ["id"], not_null=["id"],
+                               as_of=dt.datetime(2024, 1, 1), rows_per_bucket=2)
+
+    def dimension(rows):
+        frame = spark.createDataFrame(rows, "k long, key long").withColumn("is_current", F.lit(True))
+        DimensionStore(spark, lake.layer("gold", "d"), ["k"], 1).write_load(frame, [0])
+
+    def fact():
+        return jobs.fact_job(spark, lake, "f", "o", "d", ["k"], "key", ["id", "k"], as_of=dt.datetime(2024, 1, 1))
+
+    first = load("1.csv", ["1,1,01/02/2024", "2,2,02/02/2024", "3,1,2024-02-02", "4,1,01/02/2024", "4,2,01/02/2024", ",1,01/02/2024"])
+    assert (first.loaded, first.rejected) == (2, 4)
+    gold = LoadLog(spark, lake.layer("gold", "f"))
+    dimension([(1, 10), (2, 20)])
+    assert fact() == 2
+    dimension([(1, 10), (2, 20), (3, 30), (3, 31)])
+    second = load("2.csv", ["2,2,02/02/2024", "3,1,03/02/2024", "5,9,03/02/2024"])
+    assert (second.loaded, second.rejected) == (2, 0)
+    assert fact() == 2
+    assert sorted((r.id, r.key) for r in gold.read().collect()) == [(1, 10), (2, 20), (3, 10), (5, None)]
+    load("3.csv", ["6,3,03/02/2024"])
+    with pytest.raises(quality.QualityError):
+        fact()
+
+
+def test_conformed_rows_keep_raw_values_only_where_they_failed(spark):
+    spec = [("n", "n", "int"), ("d", "d", "date:dd/MM/yyyy"), ("n", "again", "double")]
+    df = spark.createDataFrame([("1", "01/02/2024", "a"), ("x", "01/02/2024", "b"), (" ", None, "c"), ("2", "2024-02-01", "d")], "n string, d string, s string")
+    flagged = conform.conform_flagged(df, spec, ["s"])
+    assert {r.s: (r["_tl_raw_n"], r["_tl_raw_d"], list(r["_tl_failed"])) for r in flagged.collect()} == {
+        "a": (None, None, []), "b": ("x", "01/02/2024", ["n", "again"]), "c": (None, None, []), "d": ("2", "2024-02-01", ["d"])
+    }
+    valid, rejected = conform.split_flagged(flagged, spec, ["s"])
+    assert sorted(r.s for r in valid.collect()) == ["a", "c"]
+    assert sorted((r.s, r.n, r.reject_reason) for r in rejected.collect()) == [("b", "x", "Invalid value: n, again"), ("d", "2", "Invalid value: d")]

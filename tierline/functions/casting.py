@@ -58,14 +58,16 @@ def cast_failures(spec: ConformSpec, raw_prefix: str = "") -> Column:
     Evaluate on a frame that still carries the raw columns (named
     ``raw_prefix + source``) next to the conformed ones.
     """
-    checks = []
+    checks, some = [], F.lit(False)
     for src, dst, _ in spec:
         raw = F.col(f"`{raw_prefix}{src}`")
         failed = (
             raw.isNotNull() & (F.trim(raw.cast("string")) != F.lit("")) & F.col(f"`{dst}`").isNull()
         )
         checks.append(F.when(failed, F.lit(dst)))
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+        some = some | failed
+    # the names are put together for failed rows only: most rows have none
+    return F.when(some, F.filter(F.array(*checks), lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
 def _col(c: Column | str) -> Column:

@@ -61,6 +61,24 @@ def anti_join_new(
     return incoming.join(right, key_condition(incoming, right, keys, null_safe), "left_anti")
 
 
+def barred_keys(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], prefilter: bool = True) -> DataFrame:
+    """``(keys, _tl_n, _tl_loaded)`` of the incoming keys that come more than once or are in ``existing``.
+
+    One hash aggregate over both sides' keys (null-safe): whole rows are neither shuffled
+    nor sorted. With ``prefilter``, for a small increment, ``existing`` is first cut to its
+    keys, so the large table is scanned but not shuffled.
+    """
+    cols = [F.col(f"`{k}`") for k in keys]
+    came = incoming.select(*cols, F.lit(1).alias("_tl_in"), F.lit(False).alias("_tl_there"))
+    if existing is not None:
+        there = existing.select(*cols)
+        if prefilter:
+            there = there.join(incoming.select(*prefixed_keys(keys)).distinct(), same_keys(keys), "left_semi")
+        came = came.unionByName(there.select(*cols, F.lit(0).alias("_tl_in"), F.lit(True).alias("_tl_there")))
+    found = came.groupBy(*cols).agg(F.sum("_tl_in").alias("_tl_n"), F.bool_or("_tl_there").alias("_tl_loaded"))
+    return found.filter((F.col("_tl_n") > 1) | ((F.col("_tl_n") > 0) & F.col("_tl_loaded")))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row per key under ``order`` (give a *total* order: add tie-breakers).
 

@@ -286,15 +286,16 @@ def silver_job(
     union = conform_ops.union_sources(parts, source_col="source")
     if RESCUE_COLUMN not in union.columns:
         union = union.withColumn(RESCUE_COLUMN, F.lit(None).cast("string"))
-    # The increment feeds two writes (silver and quarantine): keep it for the job's
-    # duration. A lost executor recomputes its part from the bounded bronze read.
-    union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time").persist(StorageLevel.MEMORY_AND_DISK)
+    # The increment feeds two writes (silver and quarantine) and the look-up of its keys: keep it
+    # typed for the job's duration. A lost executor recomputes its part from the bounded bronze read.
+    union = union.withColumnRenamed("ingestion_time", "bronze_ingestion_time")
+    flagged = conform_ops.conform_flagged(union, spec, keep=KEPT).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         load = loads.begin(last)
-        valid, bad_casts = conform_ops.conform_with_rejects(union, spec, keep=KEPT)
+        valid, bad_casts = conform_ops.split_flagged(flagged, spec, keep=KEPT)
         result, schema, state = _judged(spark, lake, table, valid, bad_casts, loads, load, keys, not_null, as_of, rows_per_bucket)
     finally:
-        union.unpersist()
+        flagged.unpersist()
     with _step(f"{pipeline}: logs and marks"):
         result.checks[:0] = checks
         # The results stand before the commit, under the load's number: a job that dies in
@@ -336,8 +337,13 @@ def loaded_keys(loads: LoadLog, last: Mapping | None, keys: Sequence[str], wante
     return rows.select(*[F.col(f"`{k}`") for k in keys])
 
 
+#: Most keys that a job broadcasts to mark rows by, and most rows of an increment that others' keys are cut by.
+BROADCAST_KEYS = 500_000
+SMALL_INCREMENT = 1_000_000
+
+
 def _judged(spark, lake, table, valid, bad_casts, loads, load, keys, not_null, as_of, rows_per_bucket):
-    """Gates on typed rows: new ones to the load's folder, all others to quarantine under its number."""
+    """Gates on typed rows (persisted ones): new ones to the load's folder, all others to quarantine under its number."""
     pipeline, number = f"silver.{table}", load.number
     valid = valid.withColumn("silver_ingestion_time", F.lit(as_of).cast("timestamp"))
     key_nulls = None
@@ -345,13 +351,35 @@ def _judged(spark, lake, table, valid, bad_casts, loads, load, keys, not_null, a
     if not_null:
         any_null = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
         key_nulls, valid_nn = valid.filter(any_null), valid.filter(~any_null)
-    unique, dups = quality.split_duplicate_keys(valid_nn, keys, "Duplicate business key")
     with _step(f"{pipeline}: key buckets"):
         n, wanted = keybuckets.touched(valid_nn, keys)
     layouts = [] if load.base is None else load.base["state"]["layouts"]
     existing = loaded_keys(loads, load.base, keys, wanted)
-    new_rows = unique if existing is None else dedup.anti_join_new(unique, existing, keys)
-    new_rows = new_rows.drop(RESCUE_COLUMN)
+    # Read by both writes. Mostly few: then they are broadcast, and no whole row is shuffled for its key.
+    barred = dedup.barred_keys(valid_nn, existing, keys, prefilter=n <= SMALL_INCREMENT).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with _step(f"{pipeline}: repeated and loaded keys"):
+            few = barred.count() <= BROADCAST_KEYS
+        return _written(
+            spark, lake, table, valid, valid_nn, key_nulls, bad_casts, barred, few, loads, load, keys, as_of, n, layouts, rows_per_bucket
+        )
+    finally:
+        barred.unpersist()
+
+
+def _written(
+    spark, lake, table, valid, valid_nn, key_nulls, bad_casts, barred, few, loads, load, keys, as_of, n, layouts, rows_per_bucket
+):
+    """The two writes of a load: its rows without a barred key, and its quarantine."""
+    pipeline, number = f"silver.{table}", load.number
+
+    def of(some: DataFrame) -> DataFrame:
+        marked = some.select(*dedup.prefixed_keys(keys))
+        return F.broadcast(marked) if few else marked
+
+    new_rows = valid_nn.join(of(barred), dedup.same_keys(keys), "left_anti").drop(RESCUE_COLUMN)
+    dups = valid_nn.join(of(barred.filter(F.col("_tl_n") > 1)), dedup.same_keys(keys), "left_semi")
+    dups = dups.withColumn("reject_reason", F.lit("Duplicate business key"))
     buckets = keybuckets.buckets_for(n, rows_per_bucket)
     with _step(f"{pipeline}: write silver"):
         laid_out = keybuckets.with_layout(new_rows, keys, buckets)
@@ -430,7 +458,8 @@ def replay_job(
 
     reason = F.col("reject_reason")
     unread, uncast = reason == "Malformed record", reason.startswith("Invalid value")
-    valid, bad_casts = conform_ops.conform_with_rejects(rows_of(uncast, "raw"), spec, keep=KEPT)
+    flagged = conform_ops.conform_flagged(rows_of(uncast, "raw"), spec, keep=KEPT).persist(StorageLevel.MEMORY_AND_DISK)
+    valid, bad_casts = conform_ops.split_flagged(flagged, spec, keep=KEPT)
     typed = rows_of(~uncast & ~unread, "typed").drop("silver_ingestion_time").unionByName(valid)
     if fix is not None:
         typed = fix(typed)
@@ -440,6 +469,7 @@ def replay_job(
         result, schema, state = _judged(spark, lake, table, typed, bad_casts, loads, load, keys, not_null, as_of, rows_per_bucket)
     finally:
         typed.unpersist()
+        flagged.unpersist()
     numbers = [r["load"] for r in rejects.filter(~unread).select("load").distinct().collect()]  # load numbers
     state["replayed"] = sorted({*last["state"].get("replayed", ()), *numbers})
     state["replays"] = {**last["state"].get("replays", {}), str(load.number): sorted(numbers)}
@@ -570,31 +600,32 @@ def fact_job(
     if done is not None and end <= done and not late:
         _complete_marks(spark, lake, pipeline, f"silver.{silver_table}", {silver_table: done}, times)
         return 0
-    # read three times (keys, check, join): kept for the job; a lost executor reads its part again
-    incoming = silver.read(after=done, last=last).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        waiting = loads.read(last=before, where=F.col(KEY_OPEN) == 1).drop("load") if late else None
-        asked = incoming.select(*keys) if waiting is None else incoming.select(*keys).unionByName(waiting.select(*keys))
-        wanted = keybuckets.touched(asked, keys, store.buckets)[1] if store.keys == list(keys) else None
-        dimension = store.current(wanted)
-        # Several current rows for one key would multiply fact rows: check the keys this load touches.
-        touched = dimension
-        if done is not None:
-            touched = dimension.join(asked.select(*dedup.prefixed_keys(keys)).distinct(), dedup.same_keys(keys), "left_semi")
-        if not quality.unique_current_keys(touched, keys).isEmpty():
-            raise quality.QualityError(f"{dim}: business keys with more than one current row")
-        # the first load touches most of the dimension: cutting it to the increment's keys would only add work
-        rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of, prefilter=done is not None)
-        if waiting is not None:
-            again = waiting.drop(key_col).withColumnRenamed("created_at", "_tl_created_at")
-            again = facts.fact_rows(again, dimension, keys, key_col, [*columns, "_tl_created_at"], created_at=as_of)
-            rows = rows.unionByName(again.withColumn("created_at", F.col("_tl_created_at")).select(*rows.columns))
-        load = loads.begin(before)
-        missing = F.col(key_col).isNull()
-        placed = rows.withColumn(KEY_OPEN, missing.cast("int"))
-        seen = write_observed(placed, load.folder, [KEY_OPEN], open=F.count_if(missing))
-    finally:
-        incoming.unpersist()
+    # read by its keys and by the join: of the load's immutable folders, the needed columns only
+    incoming = silver.read(after=done, last=last).select(*dict.fromkeys([*keys, *columns]))
+    waiting = loads.read(last=before, where=F.col(KEY_OPEN) == 1).drop("load") if late else None
+    asked = incoming.select(*keys) if waiting is None else incoming.select(*keys).unionByName(waiting.select(*keys))
+    n, wanted = keybuckets.touched(asked, keys, store.buckets)
+    dimension = store.current(wanted if store.keys == list(keys) else None)
+    # A small increment cuts the dimension to its keys; a large one touches most of it, so that would only add work.
+    small = done is not None and n <= SMALL_INCREMENT
+    distinct = asked.select(*dedup.prefixed_keys(keys)).distinct()
+    touched = dimension.join(distinct, dedup.same_keys(keys), "left_semi") if small else dimension
+    # Several current rows for one key would multiply fact rows: check the keys this load touches.
+    twice = quality.unique_current_keys(touched, keys)
+    clash = not twice.isEmpty()
+    if clash and done is not None and not small:
+        clash = not twice.join(distinct, dedup.same_keys(keys), "left_semi").isEmpty()
+    if clash:
+        raise quality.QualityError(f"{dim}: business keys with more than one current row")
+    rows = facts.fact_rows(incoming, dimension, keys, key_col, columns, created_at=as_of, prefilter=small)
+    if waiting is not None:
+        again = waiting.drop(key_col).withColumnRenamed("created_at", "_tl_created_at")
+        again = facts.fact_rows(again, dimension, keys, key_col, [*columns, "_tl_created_at"], created_at=as_of, prefilter=n <= SMALL_INCREMENT)
+        rows = rows.unionByName(again.withColumn("created_at", F.col("_tl_created_at")).select(*rows.columns))
+    load = loads.begin(before)
+    missing = F.col(key_col).isNull()
+    placed = rows.withColumn(KEY_OPEN, missing.cast("int"))
+    seen = write_observed(placed, load.folder, [KEY_OPEN], open=F.count_if(missing))
     still = {} if late else dict(state["open"])
     loads.commit(
         load, seen["rows"], {silver_table: end}, rows.schema, [KEY_OPEN],

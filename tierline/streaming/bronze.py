@@ -220,9 +220,11 @@ def _headers(lines: DataFrame) -> list[Row]:
     """``(file_path, header, _tl_hmid)`` of each file: its first line that is not blank.
 
     Ids ascend within a file's block and are unique in the batch, so the header is
-    found by a hash aggregate over blocks and ids and joined back by id.
+    found by a hash aggregate over blocks and ids (first the least id of each block: a least
+    pair is found by sorting) and joined back by id.
     """
-    firsts = lines.filter(F.col("value").rlike(_NOT_BLANK)).groupBy("file_path").agg(F.min(F.struct("block", "_tl_mid")).alias("_tl_first"))
+    firsts = lines.filter(F.col("value").rlike(_NOT_BLANK)).groupBy("file_path", "block").agg(F.min("_tl_mid").alias("_tl_mid"))
+    firsts = firsts.groupBy("file_path").agg(F.min(F.struct("block", "_tl_mid")).alias("_tl_first"))
     firsts = firsts.select(F.col("_tl_first._tl_mid").alias("_tl_hmid"))  # one row per file of this bounded batch
     found = lines.join(F.broadcast(firsts), F.col("_tl_mid") == F.col("_tl_hmid"))
     return found.select("file_path", F.col("value").alias("header"), "_tl_hmid").collect()
@@ -262,8 +264,8 @@ def _csv_lines(lines: DataFrame, bronze: BronzeTable, csv_opts: Mapping[str, str
     at = F.col("_tl_at")
     cols = [F.when(at[j] >= 0, F.get("_tl_fields", at[j])).alias(n) for j, n in enumerate(names)]
     if rescue_column:
-        beyond = F.slice("_tl_fields", F.col("_tl_width") + 1, F.lit(width + 1) - F.col("_tl_width"))
-        cols.append(F.when(F.exists(beyond, lambda x: x.isNotNull()), F.col("value")).alias(rescue_column))
+        beyond = F.coalesce(*[F.when(F.col("_tl_width") <= i, F.col(f"_tl_row.c{i}")) for i in range(width + 1)])
+        cols.append(F.when(beyond.isNotNull(), F.col("value")).alias(rescue_column))
     return parsed.select(*cols, "file_path"), [r["file_path"] for r in heads]
 
 
@@ -383,7 +385,9 @@ def _whole_files(
     corrupt = "_tl_corrupt"
     opts = {**read_opts, "columnNameOfCorruptRecord": corrupt}
     if evolve.fixed is None:
-        evolve.learn(f.name for f in spark.read.format(fmt).options(**opts).load(files).schema.fields if f.name != corrupt)
+        # only the names are wanted: values are not tried for types
+        plain = {"inferSchema": "false"} if fmt == "xml" else {"primitivesAsString": "true"}
+        evolve.learn(f.name for f in spark.read.format(fmt).options(**{**opts, **plain}).load(files).schema.fields if f.name != corrupt)
         source = string_schema([s for g in evolve.names.groups.values() for s in g.spellings])
     else:
         source = evolve.fixed
